@@ -108,7 +108,7 @@ def _aggregate(df: DataFrame, spec: Aggregation, keys: list[Key]) -> Column:
         result = F.median(value)
     elif spec.function == "CONCAT":
         text = converted(value, kind_of(df, spec.column), TEXT)
-        glue = F.lit(", " if spec.delimiter is None else spec.delimiter)
+        glue = ", " if spec.delimiter is None else spec.delimiter
         # the cell itself holds the whole group; order by value for a stable result
         result = F.array_join(F.array_sort(F.collect_list(text)), glue)
         result = F.when(F.count(text) > 0, result)
@@ -179,7 +179,9 @@ def percentile(
         .groupBy(*groups, col(column).cast("double").alias("_value"))
         .agg(F.count(F.lit(1)).alias("_count"))
     )
-    upto = scan.accumulated(counts, "SUM", F.col("_count"), group_by, [Key("_value")], "_upto")
+    upto = scan.accumulated(
+        counts, {"_upto": "SUM"}, F.col("_count"), group_by, [Key("_value")]
+    )
     group = F.struct(*groups) if groups else F.lit(0)
     totals = counts.groupBy(group.alias("_group")).agg(F.sum("_count").alias("_total"))
     rank = (F.col("_total") - 1) * F.lit(float(fraction))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
@@ -198,51 +198,63 @@ def tile(row: Column, total: Column, tiles: int) -> Column:
 
 def accumulated(
     df: DataFrame,
-    function: str,
+    functions: Mapping[str, str],
     value: Column,
     partition_by: Sequence[str],
     keys: Sequence[Key],
-    out: str,
     count: int | None = None,
 ) -> DataFrame:
-    """Running SUM, COUNT, AVG, MIN, MAX, STDDEV and VARIANCE."""
+    """Running SUM, COUNT, AVG, MIN, MAX, STDDEV and VARIANCE: ``{new column: function}``."""
     scan = Scan(df, partition_by, keys, count=count)
-    run = scan.running
+    run, wanted = scan.running, set(functions.values())
     n, s = F.count(value), F.sum(value)
-    parts: dict[str, Column] = {"n": n, "s": s}
-    if function in ("MIN", "MAX"):
-        parts = {"m": F.min(value) if function == "MIN" else F.max(value)}
-    elif function in ("STDDEV", "VARIANCE"):
+    parts: dict[str, Column] = {}
+    if wanted - {"MIN", "MAX"}:
+        parts |= {"n": n, "s": s}
+    if wanted & {"STDDEV", "VARIANCE"}:
         parts["q"] = F.var_pop(value) * n
+    if "MIN" in wanted:
+        parts["low"] = F.min(value)
+    if "MAX" in wanted:
+        parts["high"] = F.max(value)
 
     def carry(before: WindowSpec, _: WindowSpec) -> dict[str, Column]:
-        if "m" in parts:
-            pick = F.min if function == "MIN" else F.max
-            return {"_m": pick("m").over(before)}
-        made = {"_n": _zero(F.sum("n").over(before)), "_s": F.sum("s").over(before)}
+        made = {}
+        if "n" in parts:
+            made = {"_n": _zero(F.sum("n").over(before)), "_s": F.sum("s").over(before)}
         if "q" in parts:
             squares = F.col("q") + F.col("s") * F.try_divide(F.col("s"), F.col("n"))
-            made["_q"] = F.sum(squares).over(before) - made["_s"] * F.try_divide(
-                made["_s"], made["_n"]
-            )
+            spread = made["_s"] * F.try_divide(made["_s"], made["_n"])
+            made["_q"] = F.sum(squares).over(before) - spread
+        if "low" in parts:
+            made["_low"] = F.min("low").over(before)
+        if "high" in parts:
+            made["_high"] = F.max("high").over(before)
         return made
 
     rows = scan.carried(scan.totals(**parts), carry)
-    if "m" in parts:
-        pick, join = (F.min, F.least) if function == "MIN" else (F.max, F.greatest)
-        result = join(pick(value).over(run), F.col("_m"))
-    else:
-        here_n, here_s = n.over(run), s.over(run)
-        all_n = here_n + F.col("_n")
-        all_s = F.coalesce(here_s + F.col("_s"), here_s, F.col("_s"))
-        result = {"SUM": all_s, "COUNT": all_n, "AVG": F.try_divide(all_s, all_n)}.get(function)
-        if result is None:
-            gap = F.try_divide(here_s, here_n) - F.try_divide(F.col("_s"), F.col("_n"))
-            between = gap * gap * F.try_divide(here_n * F.col("_n"), all_n)
-            spread = _zero(F.var_pop(value).over(run) * here_n) + _zero(F.col("_q")) + _zero(between)
-            result = F.when(all_n > 1, F.greatest(spread, F.lit(0.0)) / (all_n - 1))
-            result = F.sqrt(result) if function == "STDDEV" else result
-    return rows.withColumn(out, result).drop("_n", "_s", "_q", "_m", GROUP, BUCKET)
+    here_n, here_s = n.over(run), s.over(run)
+    all_n = here_n + F.col("_n")
+    all_s = F.coalesce(here_s + F.col("_s"), here_s, F.col("_s"))
+
+    def variance() -> Column:
+        gap = F.try_divide(here_s, here_n) - F.try_divide(F.col("_s"), F.col("_n"))
+        between = gap * gap * F.try_divide(here_n * F.col("_n"), all_n)
+        inside = F.var_pop(value).over(run) * here_n
+        spread = _zero(inside) + _zero(F.col("_q")) + _zero(between)
+        return F.when(all_n > 1, F.greatest(spread, F.lit(0.0)) / (all_n - 1))
+
+    results: dict[str, Callable[[], Column]] = {
+        "SUM": lambda: all_s,
+        "COUNT": lambda: all_n,
+        "AVG": lambda: F.try_divide(all_s, all_n),
+        "MIN": lambda: F.least(F.min(value).over(run), F.col("_low")),
+        "MAX": lambda: F.greatest(F.max(value).over(run), F.col("_high")),
+        "VARIANCE": variance,
+        "STDDEV": lambda: F.sqrt(variance()),
+    }
+    made = rows.withColumns({out: results[f]() for out, f in functions.items()})
+    return made.drop("_n", "_s", "_q", "_low", "_high", GROUP, BUCKET)
 
 
 def edge_value(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
@@ -177,7 +177,7 @@ def _bucketed(
         return scan.edge_value(df, value, function == "LAST_VALUE", partition_by, keys, _OUT)
     if function == "NTH_VALUE":
         return _nth(df, value, partition_by, keys, range_type, offset)
-    return scan.accumulated(df, function, value, partition_by, keys, _OUT)
+    return scan.accumulated(df, {_OUT: function}, value, partition_by, keys)
 
 
 def _nth(
@@ -197,6 +197,32 @@ def _nth(
     )
 
 
+def running_aggregates(
+    df: DataFrame,
+    column: str,
+    functions: Mapping[str, str],
+    partition_by: Sequence[str] = (),
+    order_by: Sequence | None = None,
+    split: bool | None = None,
+) -> DataFrame:
+    """Several running aggregates of one column at once: ``{new column: function}``.
+
+    The same as one ``window`` step each, in a single pass over the buckets.
+    """
+    require(df, column, *partition_by)
+    wrong = [f for f in functions.values() if f not in AGGREGATES]
+    if wrong:
+        raise ValueError(f"unknown aggregate {wrong[0]!r}; one of {tuple(AGGREGATES)}")
+    keys = order_keys(df, order_by, needed_by="running_aggregates")
+    if scan.needs_split(df, partition_by) if split is None else split:
+        return scan.accumulated(df, functions, col(column), partition_by, keys)
+    base = Window.partitionBy(*[col(p) for p in partition_by]).orderBy(*sorts(keys))
+    run = base.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return df.withColumns(
+        {out: AGGREGATES[f](col(column)).over(run) for out, f in functions.items()}
+    )
+
+
 def fill_missing(
     df: DataFrame,
     column: str,

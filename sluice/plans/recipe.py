@@ -72,6 +72,7 @@ OPERATORS: dict[str, Callable[..., DataFrame]] = {
         aggregate.percentile,
         aggregate.sample_rows,
         windows.window,
+        windows.running_aggregates,
         windows.fill_missing,
         windows.top_per_group,
         joins.join,
@@ -102,8 +103,8 @@ class Step:
         return {"name": self.name, "params": plain(self.params)}
 
 
-def step(name: str, **params: Any) -> Step:
-    return Step(name, plain(params))
+def step(operator: str, /, **params: Any) -> Step:
+    return Step(operator, plain(params))
 
 
 def plain(value: Any) -> Any:
@@ -171,23 +172,23 @@ class Recipe:
 
     # -- building and editing ----------------------------------------------
 
-    def add(self, name: str, **params: Any) -> Recipe:
-        return replace(self, steps=(*self.steps, step(name, **params)))
+    def add(self, operator: str, /, **params: Any) -> Recipe:
+        return replace(self, steps=(*self.steps, step(operator, **params)))
 
     def delete(self, number: int) -> Recipe:
         """Without step ``number``, counted from 1."""
         self._known(number)
         return replace(self, steps=self.steps[: number - 1] + self.steps[number:])
 
-    def replace_step(self, number: int, name: str, **params: Any) -> Recipe:
+    def replace_step(self, number: int, operator: str, /, **params: Any) -> Recipe:
         self._known(number)
         changed = list(self.steps)
-        changed[number - 1] = step(name, **params)
+        changed[number - 1] = step(operator, **params)
         return replace(self, steps=tuple(changed))
 
-    def insert(self, number: int, name: str, **params: Any) -> Recipe:
-        before = self.steps[: number - 1]
-        return replace(self, steps=(*before, step(name, **params), *self.steps[number - 1 :]))
+    def insert(self, number: int, operator: str, /, **params: Any) -> Recipe:
+        made = step(operator, **params)
+        return replace(self, steps=(*self.steps[: number - 1], made, *self.steps[number - 1 :]))
 
     def at(self, number: int) -> Recipe:
         """The first ``number`` steps; 0 is the table as it came."""

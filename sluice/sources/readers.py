@@ -34,7 +34,7 @@ def read_csv(
     """
     if delimiter not in DELIMITERS:
         raise ValueError(f"delimiter is one of {DELIMITERS}, not {delimiter!r}")
-    options = {"sep": delimiter, "quote": quote, "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss"}
+    options = {"sep": delimiter, "quote": quote}
     if skip_rows:
         df = _skipping(spark, path, skip_rows, has_header, options, schema)
     else:

@@ -43,7 +43,7 @@ def write_file(
         require(df, name)
         df = df.withColumn(name, F.date_format(col(name), layout))
     writer = df.write.mode(mode)
-    if file_type == "csv":
+    if file_type != "parquet":
         writer = writer.options(header=True, timestampNTZFormat="yyyy-MM-dd HH:mm:ss.SSSSSS")
     writer.format(file_type).save(path)
 
