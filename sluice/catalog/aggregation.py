@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from sluice.catalog.registry import query
+from sluice.catalog.registry import query, steadied, steady_sql
 from sluice.functions.conditions import Condition
 from sluice.operators import aggregate, quality
 from sluice.operators.aggregate import Aggregation, Cell
@@ -14,8 +14,8 @@ def rounded(df, digits, *names):
 
 @query(
     "agg_sum_avg_min_max",
-    """SELECT l_returnflag, l_linestatus, round(sum(l_extendedprice), 2) AS total,
-       round(avg(l_quantity), 6) AS mean, min(l_shipdate) AS first_ship, max(l_discount) AS most
+    f"""SELECT l_returnflag, l_linestatus, round(sum(l_extendedprice), 2) AS total,
+       {steady_sql("avg(l_quantity)")} AS mean, min(l_shipdate) AS first_ship, max(l_discount) AS most
        FROM lineitem WHERE l_shipdate >= TIMESTAMP '1996-01-01' GROUP BY ALL""",
 )
 def agg_sum_avg_min_max(t):
@@ -30,7 +30,7 @@ def agg_sum_avg_min_max(t):
         ],
         condition=Condition("l_shipdate", "GTE", "1996-01-01"),
     )
-    return rounded(rounded(df, 2, "total"), 6, "mean")
+    return steadied(rounded(df, 2, "total"), "mean")
 
 
 @query(
@@ -71,8 +71,8 @@ def agg_null_group(t):
 
 @query(
     "agg_stddev_variance",
-    """SELECT o_orderpriority, round(stddev_samp(o_totalprice), 3) AS sd,
-       round(var_samp(o_totalprice) / 1000000, 3) AS var FROM orders GROUP BY o_orderpriority""",
+    f"""SELECT o_orderpriority, {steady_sql("stddev_samp(o_totalprice)", 3)} AS sd,
+       {steady_sql("var_samp(o_totalprice) / 1000000", 3)} AS var FROM orders GROUP BY o_orderpriority""",
 )
 def agg_stddev_variance(t):
     df = aggregate.pivot(
@@ -83,7 +83,7 @@ def agg_stddev_variance(t):
             Aggregation("o_totalprice", "VARIANCE", "var"),
         ],
     )
-    return rounded(df.withColumn("var", F.col("var") / 1000000), 3, "sd", "var")
+    return steadied(df.withColumn("var", F.col("var") / 1000000), "sd", "var", digits=3)
 
 
 @query(
@@ -173,7 +173,7 @@ def agg_conditional(t):
 
 @query(
     "agg_categories",
-    """SELECT c_mktsegment, round(sum(c_acctbal) / count(c_custkey), 4) AS per_customer,
+    f"""SELECT c_mktsegment, {steady_sql("sum(c_acctbal) / count(c_custkey)")} AS per_customer,
        count(CASE WHEN c_acctbal < 0 THEN 1 END) AS in_debt, count(c_custkey) AS customers,
        round(sum(c_acctbal), 2) AS balance FROM customer GROUP BY c_mktsegment""",
 )
@@ -189,7 +189,7 @@ def agg_categories(t):
         ],
         derived={"per_customer": "balance / customers"},
     )
-    return rounded(rounded(df, 4, "per_customer"), 2, "balance")
+    return rounded(steadied(df, "per_customer"), 2, "balance")
 
 
 @query(
@@ -252,7 +252,7 @@ def crosstab(t):
     "SELECT l_returnflag, "
     + ", ".join(
         f"count(CASE WHEN l_linestatus = '{s}' THEN 1 END) AS \"{s}_COUNT\", "
-        f"round(avg(CASE WHEN l_linestatus = '{s}' THEN l_quantity END), 6) AS \"{s}_AVG_l_quantity\""
+        f"{steady_sql(f"avg(CASE WHEN l_linestatus = '{s}' THEN l_quantity END)")} AS \"{s}_AVG_l_quantity\""
         for s in ("F", "O")
     )
     + " FROM lineitem GROUP BY l_returnflag",
@@ -265,7 +265,7 @@ def crosstab_multi(t):
         [Cell("COUNT"), Cell("AVG", "l_quantity")],
         values=["F", "O"],
     )
-    return rounded(df, 6, "F_AVG_l_quantity", "O_AVG_l_quantity")
+    return steadied(df, "F_AVG_l_quantity", "O_AVG_l_quantity")
 
 
 def _profile_sql(table, kinds):
@@ -282,8 +282,8 @@ def _profile_sql(table, kinds):
             f"""SELECT '{name}' AS "column", '{kind}' AS kind, count(*) AS rows,
             count(*) - count({name}) AS nulls, count(DISTINCT {name}) AS distinct_values,
             {text.format("min")} AS min, {text.format("max")} AS max,
-            {f"round(avg({name}), 4)" if number else "CAST(NULL AS DOUBLE)"} AS mean,
-            {f"round(stddev_samp({name}), 4)" if number else "CAST(NULL AS DOUBLE)"} AS stddev,
+            {steady_sql(f"avg({name})") if number else "CAST(NULL AS DOUBLE)"} AS mean,
+            {steady_sql(f"stddev_samp({name})") if number else "CAST(NULL AS DOUBLE)"} AS stddev,
             round((count(*) - count({name})) * 100.0 / count(*), 2)::DOUBLE AS null_pct FROM {table}"""
         )
         tops.append(
@@ -311,7 +311,7 @@ def _profile_sql(table, kinds):
     ),
 )
 def profile(t):
-    return rounded(quality.profile(t.orders, exact=True), 4, "mean", "stddev")
+    return steadied(quality.profile(t.orders, exact=True), "mean", "stddev")
 
 
 @query("profile_sketched")
@@ -321,7 +321,7 @@ def profile_sketched(t):
 
 @query(
     "summary_derivative",
-    """SELECT lang, count(doc_id) AS docs, round(avg(n_chars), 6) AS mean FROM documents
+    f"""SELECT lang, count(doc_id) AS docs, {steady_sql("avg(n_chars)")} AS mean FROM documents
        WHERE ('0x' || left(md5('0|' || doc_id), 8))::BIGINT < floor(0.5 * 4294967296) GROUP BY lang""",
 )
 def summary_derivative(t):
@@ -332,7 +332,7 @@ def summary_derivative(t):
         ["lang"],
         [Aggregation("doc_id", "COUNT", "docs"), Aggregation("n_chars", "AVG", "mean")],
     )
-    return rounded(df, 6, "mean")
+    return steadied(df, "mean")
 
 
 @query(

@@ -84,7 +84,7 @@ def fill_value(t):
 @query(
     "math",
     """SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
-       round(l_extendedprice * (1 - l_discount) * (1 + l_tax), 4) AS charge,
+       round(l_extendedprice * (1 - l_discount) * (1 + l_tax), 6) AS charge,
        round(l_extendedprice / nullif(l_quantity, 0), 8) AS unit_price,
        CAST(l_linenumber % 3 AS DOUBLE) AS m,
        round(CASE WHEN l_quantity > 25 THEN -l_extendedprice + l_quantity * 2 ELSE l_tax END, 4) AS l_tax
@@ -105,7 +105,8 @@ def math(t):
         "l_linenumber",
         "l_partkey",
         "l_suppkey",
-        *[F.round(c, 4).alias(c) for c in ("charge", "l_tax")],
+        F.round("charge", 6).alias("charge"),
+        F.round("l_tax", 4).alias("l_tax"),
         F.round("unit_price", 8).alias("unit_price"),
         F.col("m").cast("double"),
     )
@@ -348,7 +349,7 @@ def extract_date_date(t):
         for u in dates.DIFF_UNITS
         if u != "WEEK"
     )
-    + ", CAST(trunc(date_diff('day', l_shipdate, d) / 7) AS DOUBLE) AS in_week "
+    + ", CAST(CAST(trunc(date_diff('day', l_shipdate, d) / 7) AS BIGINT) AS DOUBLE) AS in_week "
     "FROM (SELECT *, o_orderdate + to_seconds(l_partkey * 7) AS d "
     "FROM lineitem JOIN orders ON l_orderkey = o_orderkey)",
 )

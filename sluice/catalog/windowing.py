@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from sluice.catalog.registry import query
+from sluice.catalog.registry import query, steadied, steady_sql
 from sluice.functions.conditions import Condition
 from sluice.operators import values, windows
 from sluice.operators.values import Value
@@ -28,7 +28,7 @@ def _several(df, functions, column, **options):
     f"""SELECT o_orderkey, o_custkey, row_number() {_BY_CUSTOMER} AS row_number,
         rank() OVER (PARTITION BY o_custkey ORDER BY o_orderpriority) AS rank,
         dense_rank() OVER (PARTITION BY o_custkey ORDER BY o_orderpriority) AS dense_rank,
-        round(percent_rank() {_BY_CUSTOMER}, 6) AS percent_rank, ntile(4) {_BY_CUSTOMER} AS ntile
+        {steady_sql(f"percent_rank() {_BY_CUSTOMER}")} AS percent_rank, ntile(4) {_BY_CUSTOMER} AS ntile
         FROM orders""",
 )
 def win_rank(t):
@@ -41,7 +41,7 @@ def win_rank(t):
         **by,
     )
     df = _several(df, ["RANK", "DENSE_RANK"], None, order_by=["o_orderpriority"], **by)
-    df = rounded(df, 6, "percent_rank")
+    df = steadied(df, "percent_rank")
     return df.select(
         "o_orderkey",
         "o_custkey",
@@ -54,7 +54,7 @@ def win_rank(t):
     f"""SELECT o_orderkey, row_number() {_ALL_ORDERS} AS row_number,
         rank() OVER (ORDER BY o_orderdate) AS rank,
         dense_rank() OVER (ORDER BY o_orderdate) AS dense_rank,
-        round(percent_rank() OVER (ORDER BY o_orderdate), 8) AS percent_rank,
+        {steady_sql("percent_rank() OVER (ORDER BY o_orderdate)", 6)} AS percent_rank,
         ntile(7) {_ALL_ORDERS} AS ntile FROM orders""",
 )
 def win_rank_split(t):
@@ -63,7 +63,7 @@ def win_rank_split(t):
     df = _several(t.orders.select("o_orderkey", "o_totalprice", "o_orderdate"), ["ROW_NUMBER"], None, order_by=total)
     df = windows.window(df, "NTILE", None, "ntile", order_by=total, buckets=7)
     df = _several(df, ["RANK", "DENSE_RANK", "PERCENT_RANK"], None, order_by=["o_orderdate"])
-    return rounded(df, 8, "percent_rank").drop("o_totalprice", "o_orderdate")
+    return steadied(df, "percent_rank", digits=6).drop("o_totalprice", "o_orderdate")
 
 
 @query(
@@ -135,15 +135,17 @@ def _aggregate_sql(window, column):
     out = []
     for f in _AGGREGATES:
         value = f"{_SQL_NAMES.get(f, f.lower())}({column}) {window}"
-        digits = {"SUM": 2, "MIN": 2, "MAX": 2, "COUNT": 0, "AVG": 8}.get(f, 7)
-        out.append(f"round({value}, {digits})::DOUBLE AS {f.lower()}")
+        if f in ("AVG", "STDDEV", "VARIANCE"):
+            out.append(f"{steady_sql(value)} AS {f.lower()}")
+        else:
+            out.append(f"round({value}, 2)::DOUBLE AS {f.lower()}")
     return ", ".join(out)
 
 
 def _aggregates(df, column, **options):
     df = _several(df, _AGGREGATES, column, **options)
     df = rounded(df, 2, "sum", "min", "max", "count")
-    return rounded(rounded(df, 8, "avg"), 7, "stddev", "variance")
+    return steadied(df, "avg", "stddev", "variance")
 
 
 @query(
@@ -192,7 +194,7 @@ def win_running_split(t):
     functions = {f.lower(): f for f in _AGGREGATES}
     df = windows.running_aggregates(t.events, "value", functions, order_by=["ts", "event_id"])
     df = rounded(df, 2, "sum", "min", "max", "count")
-    df = rounded(rounded(df, 8, "avg"), 7, "stddev", "variance")
+    df = steadied(df, "avg", "stddev", "variance")
     return df.select("event_id", *[f.lower() for f in _AGGREGATES])
 
 
@@ -216,10 +218,15 @@ def win_running_hot(t):
     return rounded(df, 2, "total").select("o_orderkey", "total")
 
 
+_MOVING = steady_sql(
+    """avg(value) OVER (PARTITION BY user_id ORDER BY ts, event_id
+       ROWS BETWEEN 6 PRECEDING AND CURRENT ROW)"""
+)
+
+
 @query(
     "win_moving",
-    """SELECT event_id, round(avg(value) OVER (PARTITION BY user_id ORDER BY ts, event_id
-       ROWS BETWEEN 6 PRECEDING AND CURRENT ROW), 8) AS moving,
+    f"""SELECT event_id, {_MOVING} AS moving,
        round(max(value) OVER (ORDER BY ts, event_id ROWS BETWEEN 9 PRECEDING AND CURRENT ROW), 2) AS peak
        FROM events""",
 )
@@ -229,7 +236,7 @@ def win_moving(t):
         t.events, "AVG", "value", "moving", partition_by=["user_id"], order_by=order, rows=7
     )
     df = windows.window(df, "MAX", "value", "peak", order_by=order, rows=10)
-    return rounded(rounded(df, 8, "moving"), 2, "peak").select("event_id", "moving", "peak")
+    return rounded(steadied(df, "moving"), 2, "peak").select("event_id", "moving", "peak")
 
 
 @query(
@@ -270,15 +277,15 @@ def win_topn(t):
 
 @query(
     "win_growth",
-    """WITH m AS (SELECT date_trunc('month', o_orderdate) AS period, sum(o_totalprice) AS total
+    f"""WITH m AS (SELECT date_trunc('month', o_orderdate) AS period, sum(o_totalprice) AS total
          FROM orders GROUP BY 1)
        SELECT period, round(total, 2) AS total, round(lag(total) OVER (ORDER BY period), 2) AS previous,
-         round((total - lag(total) OVER (ORDER BY period)) / lag(total) OVER (ORDER BY period) * 100, 3)
+         {steady_sql("(total - lag(total) OVER (ORDER BY period)) / lag(total) OVER (ORDER BY period) * 100", 3)}
            AS growth_pct FROM m""",
 )
 def win_growth(t):
-    df = windows.growth(t.orders, "o_orderdate", "o_totalprice", "month", digits=3)
-    return rounded(df, 2, "total", "previous")
+    df = windows.growth(t.orders, "o_orderdate", "o_totalprice", "month", digits=9)
+    return steadied(rounded(df, 2, "total", "previous"), "growth_pct", digits=3)
 
 
 @query(

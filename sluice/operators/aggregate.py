@@ -12,7 +12,7 @@ from sluice.functions.conditions import Predicate, as_predicate
 from sluice.functions.kinds import TEXT, col, converted, kind_of, require
 from sluice.operators import scan
 from sluice.operators.ordering import Key, order_keys
-from sluice.session import planned_bytes
+from sluice.session import planned_bytes, settled
 
 # fixed values: aggregate names
 SIMPLE = {
@@ -179,6 +179,7 @@ def percentile(
         .groupBy(*groups, col(column).cast("double").alias("_value"))
         .agg(F.count(F.lit(1)).alias("_count"))
     )
+    counts = settled(counts, "counts")
     upto = scan.accumulated(
         counts, {"_upto": "SUM"}, F.col("_count"), group_by, [Key("_value")]
     )

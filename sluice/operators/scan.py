@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from sluice.functions.kinds import col
 from sluice.operators.ordering import Key, buckets, sorts
-from sluice.session import planned_bytes
+from sluice.session import planned_bytes, settled
 
 # Below this estimate of the whole input no group can overload a task.
 SMALL_INPUT = 256 << 20
@@ -45,6 +45,8 @@ class Scan:
         reverse: bool = False,
         count: int | None = None,
     ) -> None:
+        # cut points, cell totals and rows are three reads of the input
+        df = settled(df, "scan")
         self.grouped = bool(partition_by)
         # a struct key keeps NULL groups together under plain equality
         group = F.struct(*[col(p) for p in partition_by]) if partition_by else F.lit(0)

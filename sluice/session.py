@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -68,6 +69,20 @@ def materialize(df: DataFrame, label: str = "step") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+# plan nodes that cost more than reading and reshaping rows in place
+_COSTLY = re.compile(r"(?m)^[\s:+-]*(Join|Aggregate|Window|Sort|Distinct|Deduplicate|Intersect|Except|Generate|\w*Python|\w*InPandas|LogicalRDD)")
+
+
+def settled(df: DataFrame, label: str = "step") -> DataFrame:
+    """``df`` in a form that is cheap to read several times.
+
+    Filters and projections over files stay as they are, since each read prunes
+    its columns. Anything with a shuffle behind it is written once.
+    """
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    return materialize(df, label) if _COSTLY.search(plan) else df
+
+
 def planned_bytes(df: DataFrame) -> int:
     """Catalyst's size estimate of ``df``; costs no job."""
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
