@@ -57,7 +57,7 @@ def file_settings(t):
     files = body.groupBy("part").agg(F.array_join(F.collect_list("line"), "\n").alias("lines"))
     text = files.select(F.concat(F.lit(head), "lines").alias("value"), "part")
     text.repartition(8, "part").write.partitionBy("part").text(path)
-    df = readers.read_csv(
+    return readers.read_csv(
         t.spark,
         f"{path}/part=*",
         delimiter="|",
@@ -66,7 +66,6 @@ def file_settings(t):
         date_format="US",
         date_formats={"uk": "UK"},
     )
-    return df.withColumn("o_orderkey", F.col("o_orderkey").cast("bigint"))
 
 
 @query(

@@ -54,15 +54,15 @@ COMPONENTS: dict[str, tuple[str, Callable[[Column], Column]]] = {
 
 
 def component(value: Column, name: str) -> Column:
-    key = name.lower()
-    if key not in COMPONENTS:
-        raise ValueError(f"unknown date component {name!r}; one of {sorted(COMPONENTS)}")
-    kind, build = COMPONENTS[key]
+    kind = component_kind(name)
+    build = COMPONENTS[name.lower()][1]
     result = build(value)
     return result.cast("double") if kind == NUMERIC else result
 
 
 def component_kind(name: str) -> str:
+    if name.lower() not in COMPONENTS:
+        raise ValueError(f"unknown date component {name!r}; one of {sorted(COMPONENTS)}")
     return COMPONENTS[name.lower()][0]
 
 

@@ -11,6 +11,7 @@ from sluice.functions import dates
 from sluice.functions.conditions import Predicate, needs_date
 from sluice.functions.kinds import DATE, NUMERIC, col, require
 from sluice.operators.targets import Expressions, assigned, column_step
+from sluice.session import settled
 
 
 @column_step
@@ -94,7 +95,8 @@ def business_days(
     if holidays is None:
         return df.withColumn(new_column, (days * sign).cast("double"))
 
-    calendar = _holidays_until(holidays, holiday_column or holidays.columns[0])
+    # read five times below, and small: one row per calendar day
+    calendar = settled(_holidays_until(holidays, holiday_column or holidays.columns[0]), "calendar")
     for when, day, taken in (
         (F.date_sub(low, 1), "_before_day", "_before"),
         (F.to_date(high), "_until_day", "_until"),

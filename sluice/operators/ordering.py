@@ -11,12 +11,15 @@ from __future__ import annotations
 
 import math
 import os
+import sys
 from collections import Counter
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sluice.functions.kinds import DATE, NUMERIC, col, kind_of, require
 from sluice.session import planned_bytes
@@ -24,8 +27,13 @@ from sluice.session import planned_bytes
 BUCKET_BYTES = 128 << 20
 MAX_BUCKETS = 8192
 SAMPLED_BYTES = 64 << 20
+# a value with less than this share of the rows is not cut further
+MAX_TIES = 256
+# Catalyst plans rows that came from the driver as if they were endless
+UNKNOWN_BYTES = 1 << 60
 _TREE_LEAVES = 64
-_FAR = 1.7e308
+_TEXT_BYTES = 24
+_FAR = sys.float_info.max
 
 
 @dataclass(frozen=True)
@@ -62,21 +70,104 @@ def sorts(keys: Sequence[Key], reverse: bool = False) -> list[Column]:
     return [k.sort(reverse) for k in keys]
 
 
-def _code(df: DataFrame, key: Key) -> Column:
-    """A number that never decreases as the key grows; equal keys get equal numbers."""
-    value, kind = col(key.name), kind_of(df, key.name)
-    if kind == NUMERIC:
-        code = F.nanvl(value.cast("double"), F.lit(_FAR))
-    elif kind == DATE:
-        code = F.unix_micros(value.cast("timestamp")).cast("double")
-    else:
-        text = value.cast("string")
-        low, high = df.agg(F.min(text), F.max(text)).first()
-        shared = len(os.path.commonprefix([low or "", high or ""]))
-        digits = F.hex(F.encode(F.substring(text, shared + 1, 6), "UTF-8"))
-        code = F.conv(F.rpad(F.left(digits, F.lit(12)), 12, "0"), 16, 10).cast("double")
-    # NULLs sort last whatever the direction
-    return F.coalesce(code, F.lit(-_FAR if key.descending else _FAR))
+class _Codes:
+    """Numbers that order rows as the keys do, one level after the other.
+
+    Equal numbers on one level are told apart by the next. The levels of a key
+    end only when equal numbers mean equal keys; where that cannot be had, the
+    list stops and later keys are not used.
+    """
+
+    def __init__(self, df: DataFrame, keys: Sequence[Key]) -> None:
+        self.df, self.keys = df, keys
+        self._all: list[tuple[Column, bool]] | None = None
+
+    def first(self) -> tuple[Column, bool]:
+        key = self.keys[0]
+        dtype = self.df.schema[key.name].dataType
+        if kind_of(self.df, key.name) in (NUMERIC, DATE):
+            return _numeric_codes(col(key.name), dtype, key.descending)[0], key.descending
+        return self.all()[0]
+
+    def all(self) -> list[tuple[Column, bool]]:
+        if self._all is not None:
+            return self._all
+        ranges = self._text_ranges()
+        self._all = []
+        for key in self.keys:
+            dtype = self.df.schema[key.name].dataType
+            if kind_of(self.df, key.name) in (NUMERIC, DATE):
+                codes, exact = _numeric_codes(col(key.name), dtype, key.descending), True
+                if isinstance(dtype, T.DecimalType) and dtype.precision > 15:
+                    exact = False
+            else:
+                codes, exact = _text_codes(col(key.name), *ranges[key.name], key.descending)
+            self._all += [(c, key.descending) for c in codes]
+            if not exact:
+                break
+        return self._all
+
+    def _text_ranges(self) -> dict[str, tuple[str, int]]:
+        """Shared beginning and longest length of each text key, in one aggregate."""
+        names = [k.name for k in self.keys if kind_of(self.df, k.name) not in (NUMERIC, DATE)]
+        if not names:
+            return {}
+        found = self.df.agg(
+            *[
+                F.struct(F.min(v), F.max(v), F.max(F.octet_length(v)))
+                for v in [col(n).cast("string") for n in names]
+            ]
+        ).first()
+        out = {}
+        for name, (low, high, longest) in zip(names, found, strict=True):
+            shared = os.path.commonprefix([low or "", high or ""])
+            out[name] = (shared, (longest or 0) - len(shared.encode()))
+        return out
+
+
+def _far(descending: bool) -> Column:
+    """NULLs sort last whatever the direction."""
+    return F.lit(-_FAR if descending else _FAR)
+
+
+def _numeric_codes(value: Column, dtype: T.DataType, descending: bool) -> list[Column]:
+    far = _far(descending)
+    if isinstance(dtype, (T.FloatType, T.DoubleType)):
+        number = F.nanvl(value.cast("double"), F.lit(_FAR))
+        inside = F.greatest(F.least(number, F.lit(_FAR)), F.lit(-_FAR))
+        code = F.when(value.isNotNull(), inside).otherwise(far)
+        outside = (
+            F.when(value.isNull(), -4.0 if descending else 4.0)
+            .when(F.isnan(value), 3.0)
+            .when(value == float("inf"), 2.0)
+            .when(value == float("-inf"), -2.0)
+            .otherwise(0.0)
+        )
+        return [code, outside]
+    if isinstance(dtype, T.DecimalType):
+        return [F.coalesce(value.cast("double"), far)]
+    if not isinstance(dtype, T.IntegralType):
+        value = F.unix_micros(value.cast("timestamp"))
+    code = F.coalesce(value.cast("double"), far)
+    if isinstance(dtype, (T.ByteType, T.ShortType, T.IntegerType)):
+        return [code]
+    # what a double cannot hold of a 64-bit number
+    rest = value.cast("decimal(38,0)") - value.cast("double").cast("decimal(38,0)")
+    return [code, F.coalesce(rest.cast("double"), F.lit(0.0))]
+
+
+def _text_codes(
+    value: Column, shared: str, longest: int, descending: bool
+) -> tuple[list[Column], bool]:
+    """Six bytes a level after what all texts share, and at the end the length."""
+    text = value.cast("string")
+    digits = F.hex(F.encode(F.substring(text, len(shared) + 1, _TEXT_BYTES), "UTF-8"))
+    codes = []
+    for start in range(0, min(max(longest, 1), _TEXT_BYTES), 6):
+        part = F.rpad(F.substring(digits, 2 * start + 1, 12), 12, "0")
+        codes.append(F.coalesce(F.conv(part, 16, 10).cast("double"), _far(descending)))
+    codes.append(F.coalesce(F.octet_length(text).cast("double"), F.lit(0.0)))
+    return codes, longest <= _TEXT_BYTES
 
 
 def _position(code: Column, cuts: list[float]) -> Column:
@@ -112,41 +203,80 @@ class Buckets:
 def buckets(df: DataFrame, keys: Sequence[Key], count: int | None = None) -> Buckets:
     """Cut the order of ``keys`` into about ``count`` equal buckets.
 
-    One aggregate over a sample of the first key finds the cut points. A value
-    that fills whole buckets by itself gets its own bucket, cut again along the
-    second key.
+    One aggregate over a sample of the first key finds the cut points. Rows that
+    tie on a value which fills whole buckets are cut again along what follows in
+    the order, level by level.
     """
     size = planned_bytes(df)
+    if size >= UNKNOWN_BYTES:
+        size = SAMPLED_BYTES
     if count is None:
         parallel = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         count = min(max(size // BUCKET_BYTES, parallel, 2), MAX_BUCKETS)
-    first = _code(df, keys[0])
-    coded = df.select(first.alias("a"))
-    if size > SAMPLED_BYTES:
-        coded = coded.sample(fraction=SAMPLED_BYTES / size, seed=7)
-    found = coded.agg(F.percentile_approx("a", _shares(count), 10 * count)).first()[0] or []
-    cuts = sorted(set(found))
-    heavy = {value: n for value, n in Counter(found).items() if n > 1}
-
-    base = 2 * _position(first, cuts)
-    base += F.when(first.isin(list(heavy)), 1).otherwise(0) if heavy else F.lit(0)
-    widest = 2 * len(cuts) + 1
-    if keys[0].descending:
-        base = F.lit(widest) - base
-    if not heavy or len(keys) < 2:
-        return Buckets(base.cast("bigint"), widest + 1)
-
-    parts = max(heavy.values()) + 1
-    second = _code(df, keys[1])
-    inner = df.select(first.alias("a"), second.alias("b")).filter(F.col("a").isin(list(heavy)))
+    sampled = df
     if size > SAMPLED_BYTES:
-        inner = inner.sample(fraction=SAMPLED_BYTES / size, seed=7)
-    rows = inner.groupBy("a").agg(F.percentile_approx("b", _shares(parts), 10 * parts)).collect()
-    within = F.lit(0)
-    for value, sub in rows:
-        place = _position(second, sorted(set(sub)))
-        within = F.when(first == value, place).otherwise(within)
-    if keys[1].descending:
-        within = F.lit(parts - 1) - within
-    number = base.cast("bigint") * parts + within
-    return Buckets(number, (widest + 1) * parts)
+        sampled = df.sample(fraction=max(SAMPLED_BYTES / size, 1e-6), seed=7)
+    codes = _Codes(df, keys)
+    code, descending = codes.first()
+    found = sampled.agg(F.percentile_approx(code, _shares(count), 10 * count)).first()[0] or []
+    least = max(2, count // MAX_TIES)
+
+    cuts = {(): sorted(set(found))}
+    tied = {(v,): n for v, n in Counter(found).items() if n >= least}
+    number, total = _place([], code, descending, cuts, tied)
+    levels = codes.all() if tied else []
+    for depth in range(1, len(levels)):
+        if not tied:
+            break
+        before = [c for c, _ in levels[:depth]]
+        code, descending = levels[depth]
+        cuts, tied = _cut_ties(sampled, before, code, tied, least)
+        place, width = _place(before, code, descending, cuts, tied)
+        number, total = number * width + place, total * width
+    return Buckets(number, total)
+
+
+def _cut_ties(
+    df: DataFrame, before: list[Column], code: Column, tied: dict[tuple, int], least: int
+) -> tuple[dict[tuple, list[float]], dict[tuple, int]]:
+    """Cut points inside each tie, and the ties that remain."""
+    names = [f"c{i}" for i in range(len(before))]
+    parts = max(tied.values()) + 1
+    rows = df.select(*[c.alias(n) for c, n in zip(before, names, strict=True)], code.alias("code"))
+    for i, name in enumerate(names):
+        rows = rows.filter(F.col(name).isin(sorted({t[i] for t in tied})))
+    found = rows.groupBy(*names).agg(F.percentile_approx("code", _shares(parts), 10 * parts))
+    cuts, left = {}, {}
+    for *prefix, points in found.collect():
+        tie = tuple(prefix)
+        if tie not in tied:
+            continue
+        cuts[tie] = sorted(set(points))
+        for value, n in Counter(points).items():
+            share = round(tied[tie] * n / parts)
+            if n > 1 and share >= least:
+                left[(*tie, value)] = share
+    return cuts, left
+
+
+def _place(
+    before: list[Column],
+    code: Column,
+    descending: bool,
+    cuts: dict[tuple, list[float]],
+    tied: dict[tuple, int],
+) -> tuple[Column, int]:
+    """The place of a row on one level, and the number of places there."""
+    width = 2 * max((len(c) for c in cuts.values()), default=0) + 2
+    place = None
+    for tie, points in cuts.items():
+        again = [t[-1] for t in tied if t[:-1] == tie]
+        one = 2 * _position(code, points)
+        if again:
+            one += F.when(code.isin(again), 1).otherwise(0)
+        one = (F.lit(width - 1) - one if descending else one).cast("bigint")
+        if not tie:
+            return one, width
+        hit = reduce(lambda a, b: a & b, [c == v for c, v in zip(before, tie, strict=True)])
+        place = F.when(hit, one) if place is None else place.when(hit, one)
+    return (F.lit(0) if place is None else place.otherwise(0)).cast("bigint"), width

@@ -60,10 +60,34 @@ def profile(
         one = df.agg(*[measures(n).alias(f"m{i}") for i, n in enumerate(names)])
         rows = one.select(F.inline(F.array(*[F.col(f"m{i}") for i in range(len(names))])))
     percent = F.round(F.try_divide(F.col("nulls") * 100, F.col("rows")), 2)
-    tops = top_values(df, names, top)
+    tops = top_values(df, names, top) if exact else _sketched_tops(df, names, top)
     return rows.withColumn("null_pct", percent).join(tops, "column", "left")
 
 
+def _sketched_tops(df: DataFrame, columns: Sequence[str], top: int) -> DataFrame:
+    """Frequent values of all columns from one bounded sketch each, in one pass."""
+    sketches = []
+    for i, name in enumerate(columns):
+        text = converted(col(name), kind_of(df, name), TEXT)
+        sketches.append(F.expr(f"approx_top_k(_t{i}, {top}, {max(1000, 100 * top)})").alias(f"s{i}"))
+        df = df.withColumn(f"_t{i}", text)
+    one = df.agg(*sketches)
+    listed = [
+        F.struct(
+            F.lit(name).alias("column"),
+            F.array_join(
+                F.transform(
+                    F.filter(F.col(f"s{i}"), lambda e: e["item"].isNotNull()),
+                    lambda e: F.concat(e["item"], F.lit(" ("), e["count"].cast("string"), F.lit(")")),
+                ),
+                ", ",
+            ).alias("top_values"),
+        )
+        for i, name in enumerate(columns)
+    ]
+    return one.select(F.inline(F.array(*listed)))
+
+
 def top_values(df: DataFrame, columns: Sequence[str], top: int = 5) -> DataFrame:
     """The most frequent values of each column, counted for all columns in one shuffle."""
     texts = [converted(col(c), kind_of(df, c), TEXT).alias(c) for c in columns]

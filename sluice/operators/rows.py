@@ -57,7 +57,12 @@ def page(
     if predicate is not None:
         df = df.filter(predicate.column(df))
     keys = order_keys(df, order_by, needed_by="page")
-    df = df.orderBy(*sorts(keys)).offset(offset - 1).limit(limit)
+    if offset + limit > LARGE_LIMIT:
+        numbered = scan.numbered(df, [], keys)
+        kept = F.col(scan.ROW).between(offset, offset + limit - 1)
+        df = numbered.filter(kept).drop(scan.ROW, scan.GROUP).orderBy(*sorts(keys))
+    else:
+        df = df.orderBy(*sorts(keys)).offset(offset - 1).limit(limit)
     return df.select(*[col(c) for c in columns]) if columns else df
 
 

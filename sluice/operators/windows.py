@@ -28,6 +28,8 @@ AGGREGATES = {
 }
 FRAMES = ("UNBOUNDED", "RUNNING")
 _OUT = "_window_value"
+# Spark cuts groups to this many rows before the shuffle, and no further
+MAX_GROUP_LIMIT = 1000
 
 
 def window(
@@ -256,6 +258,9 @@ def top_per_group(
     """The first ``n`` rows of each group; groups are cut to ``n`` before the shuffle."""
     require(df, *partition_by)
     keys = order_keys(df, order_by, needed_by="top_per_group")
+    if n > MAX_GROUP_LIMIT and scan.needs_split(df, partition_by):
+        rows = scan.numbered(df, partition_by, keys)
+        return rows.filter(F.col(scan.ROW) <= n).drop(scan.ROW, scan.GROUP)
     spec = Window.partitionBy(*[col(p) for p in partition_by]).orderBy(*sorts(keys))
     return df.withColumn("_place", F.row_number().over(spec)).filter(F.col("_place") <= n).drop(
         "_place"

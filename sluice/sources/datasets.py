@@ -120,7 +120,9 @@ class Dataset:
         current = self._current()
         number = (current[0] if current else 0) + 1
         folder = f"v{number}-{uuid.uuid4().hex[:8]}"
-        rows.write.partitionBy(BATCH).parquet(f"{self.root}/{folder}")
+        # few files per batch; large batches are split over tasks, small ones share one
+        even = rows.hint("rebalance", F.col(BATCH))
+        even.write.partitionBy(BATCH).parquet(f"{self.root}/{folder}")
         self._record(number, folder)
 
     def pull(

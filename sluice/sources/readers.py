@@ -37,6 +37,7 @@ def read_csv(
     options = {"sep": delimiter, "quote": quote}
     if skip_rows:
         df = _skipping(spark, path, skip_rows, has_header, options, schema)
+        df = df if schema is not None else inferred(df)
     else:
         reader = spark.read.options(header=has_header, **options)
         if schema is not None:
@@ -91,6 +92,24 @@ def _skipping(
     return body.select(parsed.alias("row")).select("row.*")
 
 
+def inferred(df: DataFrame) -> DataFrame:
+    """TEXT columns whose filled cells all read as numbers or ISO times, as such; one pass."""
+    kinds = ("bigint", "double", "timestamp_ntz")
+    checks = [F.count(col(c)).alias(f"n{i}") for i, c in enumerate(df.columns)]
+    for i, name in enumerate(df.columns):
+        for kind in kinds:
+            fits = F.count(F.trim(col(name)).try_cast(kind))
+            checks.append(fits.alias(f"{kind}{i}"))
+    seen = df.agg(*checks).first()
+    casts = {}
+    for i, name in enumerate(df.columns):
+        for kind in kinds:
+            if seen[f"n{i}"] and seen[f"{kind}{i}"] == seen[f"n{i}"]:
+                casts[name] = F.trim(col(name)).try_cast(kind)
+                break
+    return df.withColumns(casts)
+
+
 def _ddl(schema: T.StructType) -> str:
     return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
 

@@ -122,12 +122,11 @@ def write_table(
         if PARTITION in old.columns:
             old = old.withColumn(PARTITION, col(PARTITION).cast(df.schema[PARTITION].dataType))
         df = merge_by_key(old, df, upsert_keys)
+    if partition_column:
+        # few files per partition; hot partitions are split over tasks
+        df = df.hint("rebalance", col(PARTITION))
     writer = df.write.mode("append" if export_type == "COMBINE" else "overwrite")
     if partition_column:
-        # rows of one partition meet in few tasks, so few files; hot ones are split
-        writer = df.repartition(
-            col(PARTITION), F.pmod(F.xxhash64(*[col(c) for c in df.columns]), F.lit(8))
-        ).write.mode("append" if export_type == "COMBINE" else "overwrite")
         writer = writer.partitionBy(PARTITION)
     writer.parquet(path)
 
