@@ -46,6 +46,66 @@ def sql_functions(t):
     return df.withColumn("month", F.col("month").cast("timestamp_ntz"))
 
 
+_STRINGS = """SELECT page_id, upper(left(url, 5)) AS head, lower(trim('  ' || url)) AS low,
+    regexp_extract(url, '://([^/]+)', 1) AS host, split_part(url, '/', 4) AS lang,
+    substring(url, 3, 4) AS part, replace(url, 'http', 'x') AS short, concat(page_id, '-', 'p') AS tag,
+    url LIKE 'https%' AS secure, url ILIKE '%EXAMPLE.ORG%' AS org, rtrim(ltrim(' a ')) AS a,
+    CASE WHEN regexp_matches(url, '[?]') THEN 'query' ELSE coalesce(nullif(split_part(url, '#', 2), ''), 'none')
+    END AS extra FROM {table}"""
+
+
+@query("sql_strings", _STRINGS.format(table="pages"))
+def sql_strings(t):
+    return sql.sql_query(t.pages, _STRINGS.format(table="dataview"))
+
+
+@query(
+    "sql_aggregates",
+    """SELECT r.n_regionkey, string_agg(n_name, ', ' ORDER BY n_name) AS names, count(DISTINCT n_name) AS n,
+       (SELECT median(o_totalprice) FROM orders) AS mid,
+       (SELECT round(quantile_cont(o_totalprice, 0.95), 3) FROM orders) AS p95
+       FROM nation r GROUP BY r.n_regionkey""",
+)
+def sql_aggregates(t):
+    return sql.sql_query(
+        t.nation,
+        """SELECT r.n_regionkey, string_agg(n_name, ', ') WITHIN GROUP (ORDER BY n_name) AS names,
+           count(DISTINCT n_name) AS n, (SELECT median(o_totalprice) FROM orders) AS mid,
+           (SELECT round(percentile_cont(0.95) WITHIN GROUP (ORDER BY o_totalprice), 3) FROM orders) AS p95
+           FROM dataview r GROUP BY r.n_regionkey""",
+        tables={"orders": t.orders},
+    )
+
+
+_RANKED = """WITH ranked AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id) AS rn,
+      LAG(value) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS before,
+      NTILE(10) OVER (PARTITION BY event_type ORDER BY value, event_id) AS decile
+    FROM {table})
+  SELECT event_id, user_id, before, decile FROM ranked WHERE rn <= 5
+  EXCEPT SELECT event_id, user_id, before, decile FROM ranked WHERE event_type = 'error'"""
+
+
+@query("sql_windows", _RANKED.format(table="events"))
+def sql_windows(t):
+    return sql.sql_query(t.events, _RANKED.format(table="dataview"))
+
+
+@query(
+    "sql_date_gaps",
+    """WITH days AS (SELECT unnest(generate_series(min(o_orderdate), max(o_orderdate), INTERVAL 1 DAY)) AS day
+         FROM orders)
+       SELECT day::TIMESTAMP AS day, count(o_orderkey) AS n FROM days LEFT JOIN orders ON o_orderdate = day
+       GROUP BY day""",
+)
+def sql_date_gaps(t):
+    return sql.sql_query(
+        t.orders,
+        """WITH days AS (SELECT explode(sequence(min(o_orderdate), max(o_orderdate), INTERVAL 1 DAY)) AS day
+             FROM dataview)
+           SELECT day, count(o_orderkey) AS n FROM days LEFT JOIN dataview ON o_orderdate = day GROUP BY day""",
+    )
+
+
 @query(
     "sql_grouping_sets",
     """SELECT o_orderstatus, o_orderpriority, count(*) AS n FROM orders

@@ -84,6 +84,38 @@ def stream_consolidate(t):
     return target.read().withColumn("kind", F.lit("good")).unionByName(empty)
 
 
+@query("consolidate_folder", "SELECT event_id, user_id, value FROM events WHERE event_type <> 'error'")
+def consolidate_folder(t):
+    """Files of five subfolders; only those with a wanted name ending are appended."""
+    landing, target, progress = _places(t, "folder")
+    rows = t.events.select("event_id", "user_id", "value", "event_type")
+    wanted, other = (
+        values.filter_rows(rows, Condition("event_type", "NE", "error"), kept)
+        for kept in ("SHOW", "REMOVE")
+    )
+    wanted.write.partitionBy("event_type").option("compression", "snappy").parquet(landing)
+    errors = other.write.partitionBy("event_type").option("compression", "gzip")
+    errors.mode("append").parquet(landing)
+    schema = T.StructType(
+        [
+            T.StructField("event_id", T.LongType()),
+            T.StructField("user_id", T.LongType()),
+            T.StructField("value", T.DoubleType()),
+        ]
+    )
+    ingest.consolidate_files(
+        t.spark,
+        landing,
+        schema,
+        target,
+        progress,
+        name=".snappy.parquet",
+        match="ends_with",
+        file_format="parquet",
+    )
+    return target.read()
+
+
 @query("stream_refresh", "SELECT event_id, ts, user_id, event_type, value FROM events")
 def stream_refresh(t):
     """The second wave brings all rows again; only those past the last time are added."""

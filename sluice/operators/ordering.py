@@ -211,7 +211,8 @@ def buckets(df: DataFrame, keys: Sequence[Key], count: int | None = None) -> Buc
     if size >= UNKNOWN_BYTES:
         size = SAMPLED_BYTES
     if count is None:
-        parallel = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        setting = df.sparkSession.conf.get("spark.sql.shuffle.partitions")
+        parallel = int(setting) if setting.isdigit() else 200
         count = min(max(size // BUCKET_BYTES, parallel, 2), MAX_BUCKETS)
     sampled = df
     if size > SAMPLED_BYTES:

@@ -157,7 +157,9 @@ def dedupe_fuzzy(
     require(df, *columns)
     parts = [converted(col(c), kind_of(df, c), TEXT) for c in columns]
     text = normalized(F.concat_ws(" ", *parts))
-    keyed = df.withColumn("_text", text)
+    everything = df.withColumn("_text", text)
+    # nothing to compare in a blank key: such rows are no one's duplicates
+    keyed = everything.filter(F.col("_text") != "")
     values = keyed.select(F.col("_text").alias("text")).distinct()
     longest = F.greatest(F.length("text"), F.length("other"))
     pairs = near_pairs(values, max_edits).filter(
@@ -168,7 +170,8 @@ def dedupe_fuzzy(
         "_group", F.coalesce("_label", "_text")
     )
     kept = keep_first(labelled, ["_group"], order_keys(df, order_by, needed_by="dedupe_fuzzy"))
-    return kept.drop("_text", "_label", "_group")
+    blank = everything.filter(F.col("_text") == "").drop("_text")
+    return kept.drop("_text", "_label", "_group").unionByName(blank)
 
 
 def smallest_connected(pairs: DataFrame) -> DataFrame:

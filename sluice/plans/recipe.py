@@ -10,7 +10,6 @@ from typing import Any
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from sluice.functions.arithmetic import columns_in
 from sluice.functions.conditions import Predicate
@@ -28,6 +27,7 @@ from sluice.operators import (
     values,
     windows,
 )
+from sluice.sources.writers import conditional_export
 
 # Step name -> operator. Parameters that are tables name a view of the run.
 OPERATORS: dict[str, Callable[..., DataFrame]] = {
@@ -124,13 +124,6 @@ def plain(value: Any) -> Any:
     return value
 
 
-@dataclass(frozen=True)
-class View:
-    """A table that a run provides by name, as a step parameter."""
-
-    view: str
-
-
 def _bind(value: Any, tables: Mapping[str, DataFrame], params: Mapping[str, Any]) -> Any:
     if isinstance(value, Mapping):
         if set(value) == {"view"}:
@@ -233,11 +226,6 @@ class Recipe:
             pending |= made
         return _flush(df, pending)
 
-    def apply_to(
-        self, dfs: Mapping[str, DataFrame], name: str, params: Mapping[str, Any] | None = None
-    ) -> DataFrame:
-        return self.apply(dfs[name], dfs, params)
-
     def lint(self, df: DataFrame, tables: Mapping[str, DataFrame] | None = None) -> list[str]:
         """What would fail or be slow, step by step, without running anything."""
         notes = []
@@ -258,6 +246,20 @@ class Recipe:
                 break
         return notes
 
+    def export(
+        self,
+        df: DataFrame,
+        path: str,
+        condition: Predicate | Mapping[str, Any],
+        after: int | None = None,
+        tables: Mapping[str, DataFrame] | None = None,
+        params: Mapping[str, Any] | None = None,
+        **options: Any,
+    ) -> list[str]:
+        """Write the matching rows as of the end, or as of step ``after``."""
+        part = self if after is None else self.at(after)
+        return conditional_export(part.apply(df, tables, params), path, condition, **options)
+
     # -- saving ----------------------------------------------------------------
 
     def to_json(self) -> str:
@@ -322,11 +324,3 @@ def _mentions(params: Any, pending: Mapping[str, Any], names: Sequence[str]) ->
     if isinstance(params, (list, tuple)):
         return any(_mentions(v, pending, names) for v in params)
     return isinstance(params, str) and any(name in params for name in pending)
-
-
-def column_kinds(df: DataFrame) -> dict[str, str]:
-    return {name: kind_of(df, name) for name in df.columns}
-
-
-def count_rows(df: DataFrame) -> DataFrame:
-    return df.agg(F.count(F.lit(1)).alias("rows"))

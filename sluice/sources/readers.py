@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -82,7 +83,7 @@ def _skipping(
         first_file = lines.filter("start = 0").orderBy("file", "id").limit(drop + 1)
         top = [r["value"] for r in first_file.select("value").collect()]
         names = top[skip_rows] if has_header else top[-1]
-        cells = [c.strip().strip(options["quote"]) for c in names.split(options["sep"])]
+        cells = next(csv.reader([names], delimiter=options["sep"], quotechar=options["quote"]))
         if not has_header:
             cells = [f"_c{i}" for i in range(len(cells))]
         typed = T.StructType([T.StructField(c, T.StringType()) for c in cells])

@@ -11,7 +11,12 @@ from sluice.session import local_session  # noqa: E402
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
     shared = str(tmp_path_factory.mktemp("shared"))
-    session = local_session(4, **{"spark.checkpoint.dir": shared, "spark.driver.memory": "6g"})
+    options = {
+        "spark.checkpoint.dir": shared,
+        "spark.driver.memory": "6g",
+        "spark.sql.maxMetadataStringLength": "1000",
+    }
+    session = local_session(4, **options)
     yield session
     session.stop()
 

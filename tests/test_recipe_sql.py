@@ -57,7 +57,7 @@ def test_edits_are_new_recipes(df):
     shorter = made.delete(4)
     assert (len(made.steps), len(shorter.steps)) == (5, 4)
     assert shorter.apply(df).count() == 3
-    assert made.insert(1, "limit_rows", n=1, order_by=["id"]).apply(df).count() == 0
+    assert made.insert(1, "limit_rows", n=1, order_by=["id"]).apply(df).count() == 1
     swapped = made.replace_step(4, "filter_rows", condition=Condition("id", "EQ", 1))
     assert swapped.apply(df).count() == 1
     with pytest.raises(ValueError):
@@ -138,3 +138,14 @@ def test_sql_leaves_the_session_as_it_was(df, spark):
     sql.sql_query(df, "SELECT 1")
     assert spark.conf.get("spark.sql.ansi.doubleQuotedIdentifiers") == before
     assert not spark.catalog.tableExists("dataview")
+
+
+def test_export_as_of_a_step(df, spark, tmp_path):
+    made = recipe()
+    low, high = Condition("id", "EQ", 3), Condition("id", "LT", 3)
+    assert "head" in made.export(df, str(tmp_path / "a"), low, after=2)
+    made.export(df, str(tmp_path / "b"), high)
+    assert spark.read.parquet(str(tmp_path / "a")).count() == 1
+    assert spark.read.parquet(str(tmp_path / "b")).count() == 2
+    with pytest.raises(ValueError, match="does not fit|unknown"):
+        made.export(df, str(tmp_path / "c"), Condition("more", "GT", 1), after=1, validate_only=True)
