@@ -32,13 +32,17 @@ MAX_CROSSTAB_COLUMNS = 2000
 
 @dataclass(frozen=True)
 class Aggregation:
-    """One aggregate; ``condition`` limits it to some of the rows."""
+    """One aggregate; ``condition`` limits it to some of the rows.
+
+    ``approximate`` trades COUNT_DISTINCT and MEDIAN for sketches of fixed size.
+    """
 
     column: str
     function: str
     as_name: str | None = None
     delimiter: str | None = None
     condition: Predicate | dict | None = None
+    approximate: bool = False
 
     @property
     def name(self) -> str:
@@ -76,7 +80,7 @@ def pivot(
     if predicate is not None:
         df = df.filter(predicate.column(df))
     keys = order_keys(df, order_by)
-    apart = [s for s in specs if s.function == "MEDIAN"]
+    apart = [s for s in specs if s.function == "MEDIAN" and not s.approximate]
     if split is None and apart:
         split = planned_bytes(df) > scan.SMALL_INPUT
     apart = apart if split else []
@@ -102,7 +106,11 @@ def _aggregate(df: DataFrame, spec: Aggregation, keys: list[Key]) -> Column:
     only = as_predicate(spec.condition)
     if only is not None:
         value = F.when(only.column(df), value)
-    if spec.function in SIMPLE:
+    if spec.approximate and spec.function == "COUNT_DISTINCT":
+        result = sketched_distinct(value)
+    elif spec.approximate and spec.function == "MEDIAN":
+        result = F.percentile_approx(value, 0.5, 10_000)
+    elif spec.function in SIMPLE:
         result = SIMPLE[spec.function](value)
     elif spec.function == "MEDIAN":
         result = F.median(value)
@@ -117,6 +125,12 @@ def _aggregate(df: DataFrame, spec: Aggregation, keys: list[Key]) -> Column:
     return result.alias(spec.name)
 
 
+def sketched_distinct(value: Column) -> Column:
+    """Number of distinct values from a sketch of some kilobytes, within about a percent."""
+    hashed = F.when(value.isNotNull(), F.xxhash64(value))
+    return F.hll_sketch_estimate(F.hll_sketch_agg(hashed, F.lit(13)))
+
+
 def _first_or_last(value: Column, last: bool, keys: list[Key]) -> Column:
     if not keys:
         raise ValueError("FIRST and LAST need order_by: rows have no order of their own")

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from sluice.functions.conditions import Predicate, as_predicate
 from sluice.functions.kinds import NUMERIC, TEXT, col, converted, kind_of, require
-from sluice.operators.aggregate import Aggregation, pivot
+from sluice.operators.aggregate import Aggregation, pivot, sketched_distinct
 from sluice.operators.rows import limit_rows
 
 MAX_WIDGETS = 100  # fixed value: widgets in one request
@@ -34,7 +34,7 @@ def profile(
         blank = F.lit(None).cast("double")
         text = converted(value, kinds[name], TEXT)
         low, high = (F.min(value), F.max(value)) if kinds[name] != TEXT else (F.min(text), F.max(text))
-        distinct = F.count_distinct(value) if exact else F.approx_count_distinct(value, 0.01)
+        distinct = F.count_distinct(value) if exact else sketched_distinct(value)
         return F.struct(
             F.lit(name).alias("column"),
             F.lit(kinds[name]).alias("kind"),
@@ -65,7 +65,10 @@ def profile(
 
 
 def _sketched_tops(df: DataFrame, columns: Sequence[str], top: int) -> DataFrame:
-    """Frequent values of all columns from one bounded sketch each, in one pass."""
+    """Frequent values of all columns from one bounded sketch each, in one pass.
+
+    Columns in which no value stands out get no list.
+    """
     sketches = []
     for i, name in enumerate(columns):
         text = converted(col(name), kind_of(df, name), TEXT)

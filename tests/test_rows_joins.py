@@ -189,3 +189,14 @@ def test_date_scaffold_fills_gaps_per_key(table):
     df = table([("a", day, 5), ("a", later, 6), (None, day, 7)], "k string, d timestamp_ntz, n int")
     out = date_ops.date_scaffold(df, "d", "day", ["k"], fill={"n": 0})
     assert [r[2] for r in values(out)] == [5, 0, 0, 6, 7]
+
+
+def test_approximate_aggregates_stay_close(spark):
+    df = spark.range(20_000).selectExpr("id % 2 AS k", "id % 5000 AS v")
+    specs = [
+        Aggregation("v", "COUNT_DISTINCT", "n", approximate=True),
+        Aggregation("v", "MEDIAN", "m", approximate=True),
+    ]
+    for row in aggregate.pivot(df, ["k"], specs).collect():
+        assert row["n"] == pytest.approx(2500, rel=0.05)
+        assert row["m"] == pytest.approx(2500, rel=0.05)
