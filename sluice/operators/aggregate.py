@@ -26,6 +26,8 @@ SIMPLE = {
     "VARIANCE": F.var_samp,
 }
 FUNCTIONS = (*SIMPLE, "MEDIAN", "FIRST", "LAST", "CONCAT")
+# a median in memory holds every different value of its group
+MAX_VALUES_IN_MEMORY = 2_000_000
 # above this many different values a crosstab would be wider than a table can be
 MAX_CROSSTAB_COLUMNS = 2000
 
@@ -82,7 +84,8 @@ def pivot(
     keys = order_keys(df, order_by)
     apart = [s for s in specs if s.function == "MEDIAN" and not s.approximate]
     if split is None and apart:
-        split = planned_bytes(df) > scan.SMALL_INPUT
+        large = planned_bytes(df) > scan.SMALL_INPUT
+        split = large and scan.longest_group(df, group_by) > MAX_VALUES_IN_MEMORY
     apart = apart if split else []
     together = [s for s in specs if s not in apart]
     groups = [col(g) for g in group_by]

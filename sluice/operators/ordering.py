@@ -1,7 +1,7 @@
 """Order keys and balanced order buckets.
 
 A running result over a long sequence must not pull the sequence into one task.
-``Buckets`` cuts the order into ranges of about equal row counts; results are
+``with_buckets`` cuts the order into ranges of about equal row counts; results are
 then computed inside each bucket and completed with what earlier buckets carry
 over (see ``scan``). Cut points are constants in the plan, so a lost task that
 runs again puts every row into the same bucket.
@@ -17,6 +17,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -31,7 +32,6 @@ SAMPLED_BYTES = 64 << 20
 MAX_TIES = 256
 # Catalyst plans rows that came from the driver as if they were endless
 UNKNOWN_BYTES = 1 << 60
-_TREE_LEAVES = 64
 _TEXT_BYTES = 24
 _FAR = sys.float_info.max
 
@@ -170,38 +170,14 @@ def _text_codes(
     return codes, longest <= _TEXT_BYTES
 
 
-def _position(code: Column, cuts: list[float]) -> Column:
-    """How many cut points lie below ``code``."""
-    if len(cuts) <= _TREE_LEAVES:
-
-        def tree(low: int, high: int) -> Column:
-            if low == high:
-                return F.lit(low)
-            middle = (low + high) // 2
-            return F.when(code <= cuts[middle], tree(low, middle)).otherwise(tree(middle + 1, high))
-
-        return tree(0, len(cuts))
-    width = math.isqrt(len(cuts)) + 1
-    groups = [cuts[i : i + width] for i in range(0, len(cuts), width)]
-    group = _position(code, [g[-1] for g in groups[:-1]])
-    inner = F.element_at(F.lit(groups), group + 1)
-    return group * width + F.size(F.filter(inner, lambda cut: cut < code))
-
-
 def _shares(count: int) -> list[float]:
     return [i / count for i in range(1, count)]
 
 
-@dataclass(frozen=True)
-class Buckets:
-    """Bucket numbers that grow with the order of the rows."""
-
-    number: Column
-    count: int
-
-
-def buckets(df: DataFrame, keys: Sequence[Key], count: int | None = None) -> Buckets:
-    """Cut the order of ``keys`` into about ``count`` equal buckets.
+def with_buckets(
+    df: DataFrame, keys: Sequence[Key], out: str, count: int | None = None
+) -> DataFrame:
+    """Add bucket numbers that grow with the order of ``keys``, about ``count`` equal buckets.
 
     One aggregate over a sample of the first key finds the cut points. Rows that
     tie on a value which fills whole buckets are cut again along what follows in
@@ -224,7 +200,9 @@ def buckets(df: DataFrame, keys: Sequence[Key], count: int | None = None) -> Buc
 
     cuts = {(): sorted(set(found))}
     tied = {(v,): n for v, n in Counter(found).items() if n >= least}
-    number, total = _place([], code, descending, cuts, tied)
+    names = ["_code_0"]
+    rows = df.withColumn(names[0], code)
+    rows = _place(rows, names, descending, cuts, tied).withColumn(out, F.col("_place"))
     levels = codes.all() if tied else []
     for depth in range(1, len(levels)):
         if not tied:
@@ -232,9 +210,11 @@ def buckets(df: DataFrame, keys: Sequence[Key], count: int | None = None) -> Buc
         before = [c for c, _ in levels[:depth]]
         code, descending = levels[depth]
         cuts, tied = _cut_ties(sampled, before, code, tied, least)
-        place, width = _place(before, code, descending, cuts, tied)
-        number, total = number * width + place, total * width
-    return Buckets(number, total)
+        names.append(f"_code_{depth}")
+        rows = _place(rows.withColumn(names[-1], code), names, descending, cuts, tied)
+        width = 2 * max((len(c) for c in cuts.values()), default=0) + 2
+        rows = rows.withColumn(out, F.col(out) * width + F.col("_place"))
+    return rows.drop(*names, "_place")
 
 
 def _cut_ties(
@@ -261,23 +241,58 @@ def _cut_ties(
 
 
 def _place(
-    before: list[Column],
-    code: Column,
+    rows: DataFrame,
+    names: list[str],
     descending: bool,
     cuts: dict[tuple, list[float]],
     tied: dict[tuple, int],
-) -> tuple[Column, int]:
-    """The place of a row on one level, and the number of places there."""
+) -> DataFrame:
+    """``rows`` with their place on one level; ``names`` are its code and those before it.
+
+    Places are even for values that are cut again and odd for the rest.
+    """
+    code, before = F.col(names[-1]), [F.col(n) for n in names[:-1]]
     width = 2 * max((len(c) for c in cuts.values()), default=0) + 2
+    if len(cuts) == 1:
+        (points,) = cuts.values()
+        rows, reached = _reached(rows, names[-1], points)
+    else:
+        reached = None
     place = None
     for tie, points in cuts.items():
+        at = reached if reached is not None else _reached_in(code, points)
         again = [t[-1] for t in tied if t[:-1] == tie]
-        one = 2 * _position(code, points)
+        one = 2 * at + 1
         if again:
-            one += F.when(code.isin(again), 1).otherwise(0)
+            one -= F.when(code.isin(again), 1).otherwise(0)
         one = (F.lit(width - 1) - one if descending else one).cast("bigint")
         if not tie:
-            return one, width
+            place = one
+            break
         hit = reduce(lambda a, b: a & b, [c == v for c, v in zip(before, tie, strict=True)])
         place = F.when(hit, one) if place is None else place.when(hit, one)
-    return (F.lit(0) if place is None else place.otherwise(0)).cast("bigint"), width
+    if place is None:
+        place = F.lit(0)
+    elif before:
+        place = place.otherwise(0)
+    return rows.withColumn("_place", place.cast("bigint")).drop("_reached")
+
+
+def _reached(rows: DataFrame, name: str, points: list[float]) -> tuple[DataFrame, Column]:
+    """How many cut points lie at or below a code, by binary search."""
+    if not points:
+        return rows, F.lit(0)
+    ends = [float("-inf"), *points, float("inf")]
+    cutter = Bucketizer(splits=ends, inputCol=name, outputCol="_reached")
+    return cutter.transform(rows), F.col("_reached").cast("bigint")
+
+
+def _reached_in(code: Column, points: list[float]) -> Column:
+    """The same as an expression, for the few rows of one of several ties."""
+    width = math.isqrt(len(points)) + 1
+    groups = [points[i : i + width] for i in range(0, len(points), width)]
+    if len(groups) < 2:
+        return F.size(F.filter(F.lit(points), lambda p: p <= code)) if points else F.lit(0)
+    group = F.size(F.filter(F.lit([g[0] for g in groups[1:]]), lambda p: p <= code))
+    inner = F.element_at(F.lit(groups), group + 1)
+    return group * width + F.size(F.filter(inner, lambda p: p <= code))

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from sluice.functions.kinds import col
-from sluice.operators.ordering import Key, buckets, sorts
+from sluice.operators.ordering import Key, sorts, with_buckets
 from sluice.session import planned_bytes, settled
 
 # Below this estimate of the whole input no group can overload a task.
@@ -28,10 +28,13 @@ def needs_split(df: DataFrame, partition_by: Sequence[str]) -> bool:
     """
     if not partition_by:
         return True
-    if planned_bytes(df) <= SMALL_INPUT:
-        return False
-    longest = df.groupBy(*[col(p) for p in partition_by]).count().agg(F.max("count")).first()[0]
-    return (longest or 0) > MAX_GROUP_ROWS
+    return planned_bytes(df) > SMALL_INPUT and longest_group(df, partition_by) > MAX_GROUP_ROWS
+
+
+def longest_group(df: DataFrame, partition_by: Sequence[str]) -> int:
+    """Rows of the largest group: partial counts and one number."""
+    counts = df.groupBy(*[col(p) for p in partition_by]).agg(F.count(F.lit(1)).alias("n"))
+    return counts.agg(F.max("n")).first()[0] or 0
 
 
 class Scan:
@@ -50,9 +53,10 @@ class Scan:
         self.grouped = bool(partition_by)
         # a struct key keeps NULL groups together under plain equality
         group = F.struct(*[col(p) for p in partition_by]) if partition_by else F.lit(0)
-        number = buckets(df, keys, count).number
         self.keys, self.reverse = keys, reverse
-        self.base = df.withColumn(GROUP, group).withColumn(BUCKET, -number if reverse else number)
+        self.base = with_buckets(df, keys, BUCKET, count).withColumn(GROUP, group)
+        if reverse:
+            self.base = self.base.withColumn(BUCKET, -F.col(BUCKET))
         self.cell = [GROUP, BUCKET] if self.grouped else [BUCKET]
         self.order = sorts(keys, reverse)
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from sluice.operators import rows, scan, windows
 from sluice.operators.aggregate import Aggregation, percentile, pivot
-from sluice.operators.ordering import Key, buckets
+from sluice.operators.ordering import Key, with_buckets
 
 
 def made(seed, n=400):
@@ -214,10 +214,10 @@ def test_a_tied_first_key_is_cut_along_the_second(table):
     """A third of the rows and more share one value; no bucket may hold them all."""
     data = [(i, "x", 5.0 if i % 2 else float(i), 1.0) for i in range(2000)]
     df = table(data, SCHEMA)
-    number = buckets(df, [Key("k"), Key("id")], 16).number
-    sizes = [r["count"] for r in df.groupBy(number.alias("b")).count().collect()]
+    cut = with_buckets(df, [Key("k"), Key("id")], "b", 16)
+    sizes = [r["count"] for r in cut.groupBy("b").count().collect()]
     assert max(sizes) <= 2000 / 16 * 2.5
-    ascending = df.withColumn("b", number).orderBy("k", "id").collect()
+    ascending = cut.orderBy("k", "id").collect()
     assert [r.b for r in ascending] == sorted(r.b for r in ascending)
 
 
