@@ -499,7 +499,27 @@ def suggest_spelling(t):
     return similar.suggest_replacements(t.part, "p_name", "spelling", max_edits=2)
 
 
-@query("suggest_phonetic")
+def _soundex_sql(word):
+    """First letter and three digits: letters to sound classes, runs to one, vowels dropped."""
+    code = f"translate(upper({word}), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', '01230127022455012623017202')"
+    code = f"replace({code}, '7', '')"
+    for digit in "123456":
+        code = f"regexp_replace({code}, '{digit}+', '{digit}', 'g')"
+    rest = f"CASE WHEN {word}[1] IN ('h', 'w') THEN {code} ELSE {code}[2:] END"
+    return f"upper({word}[1]) || rpad(left(replace({rest}, '0', ''), 3), 3, '0')"
+
+
+@query(
+    "suggest_phonetic",
+    f"""WITH counts AS (SELECT regexp_extract(url, '://([^/]+)', 1) AS v, count(*) AS n FROM pages GROUP BY 1),
+       keyed AS (SELECT v, n, array_to_string(list_transform(string_split(
+           trim(regexp_replace(lower(v), '[^a-z0-9]+', ' ', 'g')), ' '), lambda w: {_soundex_sql("w")}), ' ') AS key
+         FROM counts),
+       best AS (SELECT key, v AS suggested FROM keyed
+         QUALIFY row_number() OVER (PARTITION BY key ORDER BY n DESC, v) = 1)
+       SELECT v AS variant, suggested, n AS occurrences FROM keyed JOIN best USING (key)
+       WHERE v <> suggested""",
+)
 def suggest_phonetic(t):
     """Host names of pages that sound alike."""
     df = text.substring(t.pages, "url", regex_pattern="://([^/]+)", new_column="host")

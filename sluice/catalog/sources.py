@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from sluice.catalog.registry import query
 from sluice.functions.conditions import Condition
 from sluice.operators import values
+from sluice.operators.rows import dedupe_latest
 from sluice.session import scratch_path
 from sluice.sources import datasets, readers, writers
 from sluice.sources.datasets import Dataset
@@ -138,7 +139,7 @@ def merge_by_key(t):
     keys = ["user_id", "event_type"]
     early, late = (h.select(*keys, "event_id", "ts") for h in _halves(t))
     target = _dataset(t, "merge")
-    target.replace(datasets.merge_by_key(early.limit(0), early, keys, order))
+    target.replace(dedupe_latest(early, keys, order))
     target.merge(late, keys, order)
     return target.read()
 
@@ -193,8 +194,8 @@ def write_table_modes(t):
     order = [["ts", "DESC"], "event_id"]
     month = {"partition_column": "ts", "granularity": "MONTH"}
     early, late = (h.select(*keys, "event_id", "ts") for h in _halves(t))
-    early = datasets.merge_by_key(early.limit(0), early, keys, order)
-    late = datasets.merge_by_key(late.limit(0), late, keys, order)
+    early = dedupe_latest(early, keys, order)
+    late = dedupe_latest(late, keys, order)
     first = scratch_path(t.spark, "table")
     second = scratch_path(t.spark, "table")
     errors, others = (

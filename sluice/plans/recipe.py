@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import inspect
 import json
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field, fields, is_dataclass, replace
@@ -168,6 +169,17 @@ class Recipe:
     def add(self, operator: str, /, **params: Any) -> Recipe:
         return replace(self, steps=(*self.steps, step(operator, **params)))
 
+    def __getattr__(self, name: str) -> Callable[..., Recipe]:
+        """``recipe.math("a + b", "c")`` for ``recipe.add("math", expression=..., new_column=...)``."""
+        if name not in OPERATORS:
+            raise AttributeError(name)
+        names = list(inspect.signature(OPERATORS[name]).parameters)[1:]
+
+        def add(*args: Any, **params: Any) -> Recipe:
+            return self.add(name, **dict(zip(names, args, strict=False)), **params)
+
+        return add
+
     def delete(self, number: int) -> Recipe:
         """Without step ``number``, counted from 1."""
         self._known(number)

@@ -14,7 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sluice.sources.datasets import BATCH, Dataset, merge_by_key, newer_rows
+from sluice.operators.rows import keep_first
+from sluice.sources.datasets import BATCH, Dataset, newer_rows
 
 # fixed values: how a file name may match, and webhook modes
 NAME_MATCHES = ("contains", "starts_with", "ends_with", "exact")
@@ -151,8 +152,7 @@ def merge_increments(
 
     def each(rows: DataFrame, epoch: int) -> None:
         if not target.exists():
-            empty = rows.limit(0)
-            target.replace(merge_by_key(empty, rows, keys, order_by))
+            target.replace(keep_first(rows, keys, order_by))
         else:
             target.merge(rows, keys, order_by)
 

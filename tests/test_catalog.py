@@ -13,7 +13,7 @@ from __spark_entry__ import entry, oracle_sql, queries  # noqa: E402
 
 FOLDER = "/root/testdata/sf0.001"
 # results that no SQL counterpart describes, tested by hand elsewhere
-ROWS_ONLY = {"suggest_phonetic", "profile_sketched"}
+ROWS_ONLY = {"profile_sketched"}
 
 
 @pytest.fixture(scope="module")

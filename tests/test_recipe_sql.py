@@ -149,3 +149,16 @@ def test_export_as_of_a_step(df, spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "b")).count() == 2
     with pytest.raises(ValueError, match="does not fit|unknown"):
         made.export(df, str(tmp_path / "c"), Condition("more", "GT", 1), after=1, validate_only=True)
+
+
+def test_steps_as_methods(df):
+    made = (
+        Recipe()
+        .filter_rows(Condition("n", "IS_NOT_EMPTY"))
+        .math("n * 2", "twice")
+        .window("ROW_NUMBER", new_column="place", order_by=[["n", "DESC"]])
+    )
+    assert values(made.apply(df), "id", "twice", "place") == [(1, 20.0, 2), (2, 40.0, 1)]
+    assert made.steps[1].params == {"expression": "n * 2", "new_column": "twice"}
+    with pytest.raises(AttributeError):
+        Recipe().explode_everything
