@@ -1,19 +1,23 @@
 """Datasets made of batches: append, replace, delete, merge and incremental pulls.
 
-A dataset is a folder with one Parquet directory per version, partitioned by
-batch. Appends add a partition to the current version. Everything else writes
-the next version and then records it, so that readers never see half a change
-and nothing is overwritten while it is read.
+Every batch is a Parquet folder of its own, and a small log says which folders
+make up the dataset. A change writes new folders and then adds to the log, so
+readers never see half a change, nothing is overwritten while it is read, and
+batches that a change does not touch are not copied.
 """
 
 from __future__ import annotations
 
+import json
+import re
 import uuid
 from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sluice.functions.conditions import Predicate, as_predicate
 from sluice.functions.kinds import col, kind_of, require
@@ -21,6 +25,15 @@ from sluice.operators.joins import matching
 from sluice.operators.rows import keep_first
 
 BATCH = "_batch_id"
+# an entry without a folder drops its batch, one without a batch drops all before it
+_LOG = "number bigint, batch string, folder string, schema string"
+
+
+@dataclass(frozen=True)
+class _State:
+    number: int
+    folders: dict[str, str]
+    schema: T.StructType
 
 
 class Dataset:
@@ -30,35 +43,80 @@ class Dataset:
         self.spark = spark
         self.root = root.rstrip("/")
 
-    # -- versions ---------------------------------------------------------
+    # -- which folders count ------------------------------------------------
 
-    def _current(self) -> tuple[int, str] | None:
+    def _state(self) -> _State | None:
+        """The live batches: the last entry of each since everything was last replaced."""
         try:
-            log = self.spark.read.schema("number bigint, folder string").json(f"{self.root}/log")
+            log = self.spark.read.schema(_LOG).json(f"{self.root}/log")
         except AnalysisException:
             return None
-        last = log.agg(F.max(F.struct("number", "folder")).alias("m")).first()["m"]
-        return (last["number"], last["folder"]) if last else None
+        cleared = F.max(F.when(F.col("batch").isNull(), F.col("number")))
+        last = log.agg(F.max(F.struct("number", "schema")), cleared).first()
+        if last[0] is None:
+            return None
+        live = (
+            log.filter(F.col("batch").isNotNull() & (F.col("number") >= (last[1] or 0)))
+            .groupBy("batch")
+            .agg(F.max_by("folder", "number").alias("folder"))
+            .filter("folder is not null")
+        )
+        folders = {r["batch"]: r["folder"] for r in live.collect()}
+        schema = T.StructType.fromJson(json.loads(last[0]["schema"]))
+        return _State(last[0]["number"], folders, schema)
 
-    def _record(self, number: int, folder: str) -> None:
-        row = self.spark.createDataFrame([(number, folder)], "number bigint, folder string")
-        row.coalesce(1).write.mode("append").json(f"{self.root}/log")
+    def _record(
+        self,
+        state: _State | None,
+        schema: T.StructType,
+        entries: Sequence[tuple[str | None, str | None]],
+    ) -> None:
+        """Make a change count, all at once."""
+        number = (state.number if state else 0) + 1
+        rows = [
+            F.struct(
+                F.lit(number).cast("bigint").alias("number"),
+                F.lit(batch).cast("string").alias("batch"),
+                F.lit(folder).cast("string").alias("folder"),
+                F.lit(schema.json()).alias("schema"),
+            )
+            for batch, folder in entries
+        ]
+        log = self.spark.range(1, numPartitions=1).select(F.inline(F.array(*rows)))
+        log.write.mode("append").json(f"{self.root}/log")
+
+    def _write(self, rows: DataFrame, batch: str) -> str:
+        folder = f"data/{uuid.uuid4().hex}/{BATCH}={batch}"
+        rows.write.parquet(f"{self.root}/{folder}")
+        return folder
+
+    def _open(self, state: _State, batches: Sequence[str]) -> DataFrame:
+        paths = [f"{self.root}/{state.folders[b]}" for b in batches]
+        if not paths:
+            return self._empty(state.schema).withColumn(BATCH, F.lit(""))
+        df = self.spark.read.schema(state.schema).parquet(*paths)
+        name = F.regexp_extract(F.col("_metadata.file_path"), f"/{BATCH}=([^/]+)/", 1)
+        return df.withColumn(BATCH, name)
+
+    def _empty(self, schema: T.StructType) -> DataFrame:
+        nothing = [F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields]
+        return self.spark.range(0).select(*nothing)
 
     def exists(self) -> bool:
-        return self._current() is not None
+        return self._state() is not None
 
     def read(self, with_batch: bool = False) -> DataFrame:
-        current = self._current()
-        if current is None:
+        state = self._state()
+        if state is None:
             raise ValueError(f"no dataset at {self.root}")
-        df = self.spark.read.parquet(f"{self.root}/{current[1]}")
+        df = self._open(state, list(state.folders))
         return df if with_batch else df.drop(BATCH)
 
     def batches(self) -> DataFrame:
         """Batches with their row counts."""
         return self.read(True).groupBy(BATCH).agg(F.count(F.lit(1)).alias("rows"))
 
-    # -- changes ----------------------------------------------------------
+    # -- changes --------------------------------------------------------------
 
     def append(
         self,
@@ -77,53 +135,58 @@ class Dataset:
         if mapping:
             require(rows, *mapping)
             rows = rows.select(*[col(s).alias(t) for s, t in mapping.items()])
-        current = self._current()
-        if current is None:
-            self._write_version(rows.withColumn(BATCH, F.lit(batch or "first")))
-            return batch or "first"
-        target = self.read()
-        if validate:
-            check_schema(rows, target)
-        rows = rows.select(
-            *[col(f.name).cast(f.dataType).alias(f.name) for f in target.schema.fields]
-        )
-        name = batch or uuid.uuid4().hex
-        (
-            rows.withColumn(BATCH, F.lit(name))
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(BATCH)
-            .parquet(f"{self.root}/{current[1]}")
-        )
+        state, name = self._state(), _batch_name(batch)
+        if state is not None:
+            if validate:
+                check_schema(rows, self._empty(state.schema))
+            rows = _shaped(rows, state.schema)
+        self._record(state, rows.schema, [(name, self._write(rows, name))])
         return name
 
     def replace(self, source: DataFrame, batch: str | None = None) -> str:
         """All content at once."""
-        name = batch or uuid.uuid4().hex
-        self._write_version(source.withColumn(BATCH, F.lit(name)))
+        state, name = self._state(), _batch_name(batch)
+        self._record(state, source.schema, [(None, None), (name, self._write(source, name))])
         return name
 
     def delete(self, batches: Sequence[str]) -> None:
-        """Everything but the given batches."""
-        self._write_version(self.read(True).filter(~F.col(BATCH).isin(list(batches))))
+        """Everything but the given batches; no data is rewritten."""
+        state = self._state()
+        self._record(state, state.schema, [(b, None) for b in batches])
 
     def merge(
         self, source: DataFrame, keys: Sequence[str], order_by: Sequence | None = None
-    ) -> None:
-        """New keys are added, rows with known keys replaced."""
-        name = uuid.uuid4().hex
-        old = self.read(True)
-        merged = merge_by_key(old, source.withColumn(BATCH, F.lit(name)), keys, order_by)
-        self._write_version(merged)
-
-    def _write_version(self, rows: DataFrame) -> None:
-        current = self._current()
-        number = (current[0] if current else 0) + 1
-        folder = f"v{number}-{uuid.uuid4().hex[:8]}"
-        # few files per batch; large batches are split over tasks, small ones share one
-        even = rows.hint("rebalance", F.col(BATCH))
-        even.write.partitionBy(BATCH).parquet(f"{self.root}/{folder}")
-        self._record(number, folder)
+    ) -> str:
+        """New keys are added, rows with known keys replaced.
+
+        Only batches that hold such keys are written anew.
+        """
+        state, name = self._state(), _batch_name(None)
+        known = source.select(*[col(k) for k in keys]).distinct()
+        old = self._open(state, list(state.folders))
+        hit = matching(old, known, list(keys)).select(BATCH).distinct().collect()
+        touched = sorted(r[BATCH] for r in hit)
+        latest = _shaped(newest(source, keys, order_by), state.schema)
+        entries: list[tuple[str | None, str | None]] = [(name, self._write(latest, name))]
+        if touched:
+            kept = matching(self._open(state, touched), known, list(keys), matched=False)
+            folder = f"data/{uuid.uuid4().hex}"
+            # few files per batch; large batches are split over tasks, small ones share one
+            even = kept.hint("rebalance", F.col(BATCH))
+            even.write.partitionBy(BATCH).parquet(f"{self.root}/{folder}")
+            left = self._written(folder)
+            entries += [(b, f"{folder}/{BATCH}={b}" if b in left else None) for b in touched]
+        self._record(state, state.schema, entries)
+        return name
+
+    def _written(self, folder: str) -> set[str]:
+        """Batches that still have rows."""
+        schema = T.StructType([T.StructField(BATCH, T.StringType())])
+        try:
+            found = self.spark.read.schema(schema).parquet(f"{self.root}/{folder}")
+        except AnalysisException:
+            return set()
+        return {r[BATCH] for r in found.distinct().collect()}
 
     def pull(
         self,
@@ -141,6 +204,24 @@ class Dataset:
         return self.append(fresh, batch=batch)
 
 
+def _batch_name(name: str | None) -> str:
+    """Names become folder names, so only plain characters."""
+    made = name or uuid.uuid4().hex
+    if not re.fullmatch(r"[\w.-]+", made, re.ASCII):
+        raise ValueError(f"a batch name has letters, digits, dots, dashes only, not {made!r}")
+    return made
+
+
+def _shaped(rows: DataFrame, schema: T.StructType) -> DataFrame:
+    """Columns in the order and types of the dataset."""
+    return rows.select(*[col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+
+
+def newest(source: DataFrame, keys: Sequence[str], order_by: Sequence | None) -> DataFrame:
+    """One row per key: the first in ``order_by``, else in the order of the other columns."""
+    return keep_first(source, keys, order_by or [c for c in source.columns if c not in keys])
+
+
 def check_schema(rows: DataFrame, target: DataFrame) -> None:
     """Names and kinds must agree."""
     differing = sorted(set(rows.columns) ^ set(target.columns))
@@ -168,7 +249,7 @@ def merge_by_key(
     """
     require(target, *keys)
     require(source, *keys)
-    latest = keep_first(source, keys, order_by or [c for c in source.columns if c not in keys])
+    latest = newest(source, keys, order_by)
     kept = matching(target, source.select(*keys).distinct(), list(keys), matched=False)
     return kept.unionByName(latest)
 
