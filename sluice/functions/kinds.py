@@ -69,12 +69,38 @@ def java_layout(layout: str) -> str:
     )
 
 
+# what a run of one pattern letter looks like in a text
+_SHAPES = {
+    "yyyy": r"\d{4}",
+    "MMMM": "[^ 0-9]+",
+    "MMM": "[^ 0-9]+",
+    "a": "[^ 0-9]+",
+    **{two: r"\d{2}" for two in ("yy", "MM", "dd", "HH", "hh", "mm", "ss")},
+    **{one: r"\d{1,2}" for one in ("M", "d", "H", "h", "m", "s")},
+}
+
+
+def _shape(pattern: str) -> str | None:
+    """A regular expression that every text of the layout matches, if one is known."""
+    out = ""
+    for run in re.findall(r"([A-Za-z])(\1*)|(.)", pattern):
+        letters = run[0] + run[1]
+        if letters and letters not in _SHAPES:
+            return None
+        out += _SHAPES[letters] if letters else re.escape(run[2])
+    return f"^{out}$"
+
+
+def _read(text: Column, pattern: str) -> Column:
+    """A failed attempt is slow, so only texts of the right shape are tried."""
+    parsed = F.try_to_timestamp(text, F.lit(pattern)).cast("timestamp_ntz")
+    shape = None if "'" in pattern else _shape(pattern)
+    return parsed if shape is None else F.when(text.rlike(shape), parsed)
+
+
 def parse_date(text: Column, layouts: list[str] | None = None) -> Column:
     """TEXT to DATE; a value no layout reads becomes NULL."""
-    tried = [
-        F.try_to_timestamp(text, F.lit(java_layout(f))).cast("timestamp_ntz")
-        for f in (layouts or DATE_LAYOUTS)
-    ]
+    tried = [_read(text, java_layout(f)) for f in (layouts or DATE_LAYOUTS)]
     if not layouts:
         tried.insert(0, text.try_cast("timestamp_ntz"))
     return F.coalesce(*tried)

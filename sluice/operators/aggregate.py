@@ -84,8 +84,7 @@ def pivot(
     keys = order_keys(df, order_by)
     apart = [s for s in specs if s.function == "MEDIAN" and not s.approximate]
     if split is None and apart:
-        large = planned_bytes(df) > scan.SMALL_INPUT
-        split = large and scan.longest_group(df, group_by) > MAX_VALUES_IN_MEMORY
+        split = _too_large(df, group_by)
     apart = apart if split else []
     together = [s for s in specs if s not in apart]
     groups = [col(g) for g in group_by]
@@ -167,7 +166,13 @@ def _join_groups(left: DataFrame, right: DataFrame, group_by: Sequence[str]) ->
 def _median(df: DataFrame, spec: Aggregation, group_by: Sequence[str]) -> DataFrame:
     only = as_predicate(spec.condition)
     rows = df if only is None else df.filter(only.column(df))
-    return percentile(rows, spec.column, 0.5, group_by, spec.name)
+    return percentile(rows, spec.column, 0.5, group_by, spec.name, split=True)
+
+
+def _too_large(df: DataFrame, group_by: Sequence[str]) -> bool:
+    """Whether some group may hold more different values than a task should."""
+    large = planned_bytes(df) > scan.SMALL_INPUT
+    return large and scan.longest_group(df, group_by) > MAX_VALUES_IN_MEMORY
 
 
 def percentile(
@@ -176,19 +181,22 @@ def percentile(
     fraction: float,
     group_by: Sequence[str] = (),
     as_name: str | None = None,
-    split: bool | None = True,
+    split: bool | None = None,
 ) -> DataFrame:
     """The exact, interpolated percentile of each group.
 
     Equal values are counted together first, the counts are summed up along the
     order in buckets, and the one or two values at the wanted rank are kept: no
-    task holds a group. With ``split=False`` Spark's in-memory aggregate is used.
+    task holds a group. Unless told to ``split``, small inputs and small groups
+    use Spark's in-memory aggregate.
     """
     require(df, column, *group_by)
     if not 0 <= fraction <= 1:
         raise ValueError(f"the fraction lies between 0 and 1, not {fraction}")
     name = as_name or f"PERCENTILE_{column}"
     groups = [col(g) for g in group_by]
+    if split is None:
+        split = _too_large(df, group_by)
     if not split:
         return df.groupBy(*groups).agg(F.percentile(col(column), fraction).alias(name))
     counts = (

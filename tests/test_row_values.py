@@ -259,3 +259,29 @@ def test_small_large_checks(table):
     ):
         with pytest.raises(ValueError):
             bad()
+
+
+@pytest.mark.parametrize(
+    ("text_", "layout"),
+    [
+        ("2024-01-05", None),
+        ("2024-01-05 00:00:00", None),
+        ("2024-01-05T00:00:00", None),
+        ("2024/01/05", None),
+        ("01/05/2024", None),
+        ("Jan 5, 2024", None),
+        ("January 5, 2024", None),
+        ("5 Jan 2024", None),
+        ("05.01.2024", None),
+        ("05/01/2024", "UK"),
+        ("05/01/2024", "DD/MM/YYYY"),
+        ("5-1-24", "D-M-YY"),
+        ("2024|01|05", "yyyy|MM|dd"),
+        ("20240105", "yyyyMMdd"),
+    ],
+)
+def test_date_layouts(table, text_, layout):
+    df = table([(text_,), ("nonsense",), ("13/13/2024",)], "d string")
+    out = columns.normalize_date(df, "d", [layout] if layout else None)
+    read = [r.d for r in out.collect()]
+    assert read == [dt.datetime(2024, 1, 5), None, None]

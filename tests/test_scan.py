@@ -242,12 +242,12 @@ def test_empty_and_single_row(table):
 def test_percentiles_by_rank(table, fraction):
     data = made(11)
     df = table(data, SCHEMA)
-    by_rank = {r["g"]: r["p"] for r in percentile(df, "v", fraction, ["g"], "p").collect()}
+    by_rank = {r["g"]: r["p"] for r in percentile(df, "v", fraction, ["g"], "p", split=True).collect()}
     in_memory = {
         r["g"]: r["p"] for r in percentile(df, "v", fraction, ["g"], "p", split=False).collect()
     }
     assert by_rank == pytest.approx(in_memory)
-    whole = percentile(df, "v", fraction, as_name="p").first()["p"]
+    whole = percentile(df, "v", fraction, as_name="p", split=True).first()["p"]
     assert whole == pytest.approx(percentile(df, "v", fraction, as_name="p", split=False).first()["p"])
 
 
