@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.llm import ring
+from sluice.llm import divergence, ring
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -89,3 +89,9 @@ used0 AS (
 
 
 SQL["op10_consistent_ring"] = _ring_sql(SHARDS, POINTS)
+
+
+@query
+def op7_divergence_rules(spark: SparkSession, folder: str) -> DataFrame:
+    """Counting rules and distances to the language's distributions, for every document."""
+    return divergence.judge(table(spark, folder, "documents"))
