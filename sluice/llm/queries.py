@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.llm import divergence, ring
+from sluice.llm import divergence, language, ring
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -95,3 +95,12 @@ SQL["op10_consistent_ring"] = _ring_sql(SHARDS, POINTS)
 def op7_divergence_rules(spark: SparkSession, folder: str) -> DataFrame:
     """Counting rules and distances to the language's distributions, for every document."""
     return divergence.judge(table(spark, folder, "documents"))
+
+
+@query
+def op5_naive_bayes(spark: SparkSession, folder: str) -> DataFrame:
+    """Language of every document, learned from the four fifths that are not held out."""
+    docs = table(spark, folder, "documents")
+    held_out = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 5 == 0
+    model = language.train(docs.filter(~held_out & F.col("lang").isNotNull()))
+    return language.identify(docs, model, "doc_id", held_out)
