@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.llm import divergence, language, ring
+from sluice.llm import divergence, language, ring, spans
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -104,3 +104,10 @@ def op5_naive_bayes(spark: SparkSession, folder: str) -> DataFrame:
     held_out = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 5 == 0
     model = language.train(docs.filter(~held_out & F.col("lang").isNotNull()))
     return language.identify(docs, model, "doc_id", held_out)
+
+
+@query
+def op9_sentence_spans(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document without the sentences that repeat an earlier run of sentences."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return spans.remove_repeats(docs)
