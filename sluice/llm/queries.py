@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.llm import divergence, language, ring, spans
+from sluice.llm import divergence, language, leaks, ring, spans
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -111,3 +111,9 @@ def op9_sentence_spans(spark: SparkSession, folder: str) -> DataFrame:
     """Every document without the sentences that repeat an earlier run of sentences."""
     docs = table(spark, folder, "documents").select("doc_id", "text")
     return spans.remove_repeats(docs)
+
+
+@query
+def op8_edit_matches(spark: SparkSession, folder: str) -> DataFrame:
+    """Every benchmark item's best occurrence in every document, within the error budget."""
+    return leaks.find_leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))

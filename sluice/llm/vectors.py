@@ -40,16 +40,35 @@ def mixed(x: np.ndarray) -> np.ndarray:
         return x ^ (x >> U64(31))
 
 
-def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """64-bit hashes of byte ranges ``data[start:end]``."""
+def prefix_sums(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sums of the bytes times powers, and the inverse powers that move a sum to the origin."""
     global _powers, _inverses
     n = len(data) + 1
     if len(_powers) < n:
         _powers, _inverses = _grown(_powers, _BASE, n), _grown(_inverses, _INVERSE, n)
+    sums = np.zeros(n, U64)
     with np.errstate(over="ignore"):
-        sums = np.zeros(n, U64)
         np.cumsum((data.astype(U64) + U64(1)) * _powers[: n - 1], out=sums[1:])
-        return mixed((sums[end] - sums[start]) * _inverses[start] + (end - start).astype(U64))
+    return sums, _inverses[:n]
+
+
+def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """64-bit hashes of byte ranges ``data[start:end]``."""
+    sums, inverses = prefix_sums(data)
+    with np.errstate(over="ignore"):
+        return mixed((sums[end] - sums[start]) * inverses[start] + (end - start).astype(U64))
+
+
+def rolling_hashes(data: np.ndarray, size: int) -> np.ndarray:
+    """Cheaper hashes of all ranges of ``size`` bytes; high bits are good, low bits are not."""
+    if len(data) < size:
+        return np.zeros(0, U64)
+    sums, inverses = prefix_sums(data)
+    with np.errstate(over="ignore"):
+        made = sums[size:] - sums[: len(sums) - size]
+        made *= inverses[: len(made)]
+        made *= U64(0xD1342543DE82EF95)
+    return made
 
 
 @dataclass
