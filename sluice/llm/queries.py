@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.llm import divergence, language, leaks, ring, spans
+from sluice.llm import divergence, language, leaks, packing, ring, spans
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -117,3 +117,19 @@ def op9_sentence_spans(spark: SparkSession, folder: str) -> DataFrame:
 def op8_edit_matches(spark: SparkSession, folder: str) -> DataFrame:
     """Every benchmark item's best occurrence in every document, within the error budget."""
     return leaks.find_leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+TOKENIZER = "word_bpe_49k.json"
+
+
+def tokenizer_path(name: str = TOKENIZER) -> str:
+    """Where the installed public vocabulary files lie; the operators take any path."""
+    import public_tokenizers
+
+    return str(public_tokenizers.path(name))
+
+
+@query
+def op6_bin_completion(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents packed into sequences of at most 4096 tokens."""
+    return packing.pack_documents(table(spark, folder, "documents"), tokenizer_path())
