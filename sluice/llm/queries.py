@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.llm import divergence, language, leaks, packing, ring, spans
+from sluice.llm import divergence, language, leaks, packing, ring, spans, warc
+from sluice.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -133,3 +134,22 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
 def op6_bin_completion(spark: SparkSession, folder: str) -> DataFrame:
     """All documents packed into sequences of at most 4096 tokens."""
     return packing.pack_documents(table(spark, folder, "documents"), tokenizer_path())
+
+
+@query
+def op2_warc_ranges(spark: SparkSession, folder: str) -> DataFrame:
+    """Every page written to archives, and its record read back by byte range."""
+    target = scratch_path(spark, "warc")
+    index = warc.write_archives(table(spark, folder, "pages"), target)
+    records = warc.read_records(index, target, payload=False)
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+SQL["op2_warc_ranges"] = """
+WITH p AS (
+  SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages),
+f AS (SELECT payload_digest, min(page_id) AS response FROM p WHERE payload_bytes >= 100 GROUP BY ALL)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN page_id > response THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN page_id > response THEN response END AS refers_to
+FROM p LEFT JOIN f USING (payload_digest)"""
