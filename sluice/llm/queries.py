@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.llm import divergence, language, leaks, packing, ring, spans, warc
+from sluice.llm import divergence, language, leaks, licences, packing, ring, spans, warc
 from sluice.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -153,3 +153,10 @@ SELECT page_id, payload_bytes, payload_digest,
   CASE WHEN page_id > response THEN 'revisit' ELSE 'response' END AS record_type,
   CASE WHEN page_id > response THEN response END AS refers_to
 FROM p LEFT JOIN f USING (payload_digest)"""
+
+
+@query
+def op4_licence_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """The licence of every document, taken as a file ``source/lang/doc_id.txt``."""
+    path = F.concat_ws("/", "source", "lang", F.concat(F.col("doc_id").cast("string"), F.lit(".txt")))
+    return licences.scan(table(spark, folder, "documents").withColumn("path", path))
