@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.llm import divergence, language, leaks, licences, packing, ring, spans, warc
+from sluice.llm import divergence, jaccard, language, leaks, licences, packing, ring, spans, warc
 from sluice.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -160,3 +160,27 @@ def op4_licence_scan(spark: SparkSession, folder: str) -> DataFrame:
     """The licence of every document, taken as a file ``source/lang/doc_id.txt``."""
     path = F.concat_ws("/", "source", "lang", F.concat(F.col("doc_id").cast("string"), F.lit(".txt")))
     return licences.scan(table(spark, folder, "documents").withColumn("path", path))
+
+
+@query
+def op3_parity_sketch(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents linked by a Jaccard similarity of 0.9 or more on 3-word shingles."""
+    return jaccard.jaccard_classes(table(spark, folder, "documents"), jaccard.Similar(words=3, percent=90))
+
+
+#: all pairs with a common shingle; tables small enough for DuckDB
+SQL["op3_parity_sketch"] = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) = 0 THEN []::VARCHAR[] WHEN len(ws) < 3 THEN [array_to_string(ws, ' ')]
+    ELSE list_transform(range(1, len(ws) - 1), lambda i: ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2]) END) AS sh FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+pairs AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS common FROM s a JOIN s b ON a.sh = b.sh AND a.doc_id <> b.doc_id GROUP BY ALL),
+links AS (
+  SELECT x, y FROM pairs JOIN n p ON p.doc_id = x JOIN n q ON q.doc_id = y WHERE 100 * common >= 90 * (p.n + q.n - common)),
+reach AS (SELECT doc_id AS x, doc_id AS y FROM documents UNION SELECT r.x, l.y FROM reach r JOIN links l ON r.y = l.x)
+SELECT d.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, min(y) AS component_id
+FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id JOIN reach r ON r.x = d.doc_id GROUP BY d.doc_id, n"""
