@@ -1,14 +1,66 @@
-"""The corpus pipeline: five stages from raw documents to packed sequences."""
+"""The corpus pipeline: five stages from raw documents to packed sequences.
+
+Every stage takes the documents its predecessor kept and returns documents with
+the columns of the input, the last one the packed pieces. Decisions name a
+document by its doc_id; rows without one cannot be named and stay.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from sluice.llm import jaccard, leaks, packing, perplexity, spans
+from sluice.llm.queries import table, tokenizer_path
 from sluice.session import materialize
 
-STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = []
+
+def _without(docs: DataFrame, named: DataFrame) -> DataFrame:
+    """The documents whose doc_id is not among the named ones."""
+    gone = named.filter("doc_id IS NOT NULL").select(F.col("doc_id").alias("__gone")).distinct()
+    return docs.join(gone, docs["doc_id"] == F.col("__gone"), "left_anti")
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents the perplexity model rejects go."""
+    return _without(docs, perplexity.judge(docs).filter("NOT kept"))
+
+
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents linked by 5-word shingles at 0.8, the one with the smallest doc_id stays."""
+    classes = jaccard.jaccard_classes(docs, jaccard.Similar(words=5, percent=80))
+    return _without(docs, classes.filter("component_id IS NOT NULL AND doc_id <> component_id"))
+
+
+def repeated_spans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Sentences that repeat an earlier run go, and documents nothing is left of."""
+    cut = spans.remove_repeats(docs)
+    left = cut.filter("NOT (n_removed > 0 AND trim(text) = '')")
+    if "n_chars" in docs.columns:
+        length = F.when(F.col("n_removed") > 0, F.length("text")).otherwise(F.col("n_chars"))
+        left = left.withColumn("n_chars", length.cast(docs.schema["n_chars"].dataType))
+    return left.select(*docs.columns)
+
+
+def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in which a benchmark item occurs go."""
+    return leaks.drop_leaks(docs, table(spark, sf_dir, "benchmark"))
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token pieces of what is left, packed into sequences."""
+    return packing.pack_documents(docs, tokenizer_path())
+
+
+STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("quality classifier", quality),
+    ("n-gram Jaccard join", near_copies),
+    ("substring dedup", repeated_spans),
+    ("benchmark decontamination", decontaminated),
+    ("best-fit packing", packed),
+]
 
 #: SQL cannot express the stages; each is tested against a brute-force version
 ORACLE_SQL = None
@@ -16,7 +68,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``, each written and read again before the next."""
-    docs = spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
+    docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         docs = materialize(stage(spark, docs, sf_dir), name.replace(" ", "-"))
-    return STAGES[-1][1](spark, docs, sf_dir) if STAGES else docs
+    return STAGES[-1][1](spark, docs, sf_dir)

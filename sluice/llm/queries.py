@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.llm import divergence, jaccard, language, leaks, licences, packing, ring, spans, warc
+from sluice.llm import divergence, jaccard, language, leaks, licences, packing, perplexity, ring, spans, warc
 from sluice.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -184,3 +184,9 @@ links AS (
 reach AS (SELECT doc_id AS x, doc_id AS y FROM documents UNION SELECT r.x, l.y FROM reach r JOIN links l ON r.y = l.x)
 SELECT d.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, min(y) AS component_id
 FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id JOIN reach r ON r.x = d.doc_id GROUP BY d.doc_id, n"""
+
+
+@query
+def op1_kneser_ney(spark: SparkSession, folder: str) -> DataFrame:
+    """Perplexity of every document under a model of trusted text, and whether it is kept."""
+    return perplexity.judge(table(spark, folder, "documents"))
