@@ -111,12 +111,12 @@ def settle(h: np.ndarray, doc: np.ndarray, begin: np.ndarray) -> tuple[np.ndarra
     return first, later
 
 
-def _ranges(doc: np.ndarray, begin: np.ndarray, end: np.ndarray) -> pd.DataFrame:
-    """Overlapping ranges of one document as one."""
+def _ranges(doc: np.ndarray, begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Overlapping or touching ranges of one document as one, in order."""
     order = np.lexsort((begin, doc))
     doc, begin, end = doc[order], begin[order], end[order]
     if len(doc) == 0:
-        return pd.DataFrame({"doc_id": doc, "begin": begin, "end": end})
+        return doc, begin, end
     # the furthest end so far within the document
     new = np.concatenate([[True], doc[1:] != doc[:-1]])
     group = np.cumsum(new)
@@ -124,13 +124,27 @@ def _ranges(doc: np.ndarray, begin: np.ndarray, end: np.ndarray) -> pd.DataFrame
     far = np.maximum.accumulate(end + group * span) - group * span
     start = new | np.concatenate([[False], begin[1:] > far[:-1]])
     at = np.flatnonzero(start)
-    return pd.DataFrame({"doc_id": doc[at], "begin": begin[at], "end": np.maximum.reduceat(far, at)})
+    return doc[at], begin[at], np.maximum.reduceat(far, at)
+
+
+def _grouped(doc: np.ndarray, begin: np.ndarray, end: np.ndarray, groups: int) -> Iterator[tuple[int, bytes, bytes, bytes]]:
+    """Packed ranges by group of documents."""
+    group = (mixed(doc.astype(np.uint64)) % np.uint64(groups)).astype(np.int64)
+    for g in np.unique(group):
+        some = group == g
+        yield int(g), pack(doc[some].astype(np.int64)), pack(begin[some].astype(np.int64)), pack(end[some].astype(np.int64))
 
 
 def repeated_ranges(df: DataFrame, run: Run = Run(), block_runs: int = 400_000) -> DataFrame:
-    """Sentence ranges covered by later occurrences of a run: ``doc_id, begin, end``."""
+    """Sentence ranges of each document that later occurrences of a run cover.
+
+    Returns ``doc_id, cuts``, one row per document with any; ranges of sentences
+    in order, without overlaps. Ranges travel in packed rows by groups of
+    documents, as one copied document is covered by many runs.
+    """
     size = df.select(F.sum(F.octet_length("text"))).first()[0] or 0
     bits = shard_bits(size / 30, 2_000_000)
+    groups = 1 << shard_bits(size / 30, 1_000_000)
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
@@ -158,9 +172,7 @@ def repeated_ranges(df: DataFrame, run: Run = Run(), block_runs: int = 400_000)
                         pack((end - begin)[part].astype(np.uint32)),
                     )
                 )
-            if len(gone):
-                doc, begin, end = (gone[c].to_numpy(np.int64) for c in ("doc_id", "begin", "end"))
-                rows.append((-1, b"", b"", pack(doc), pack(begin), pack(end)))
+            rows += [(-1 - group, b"", b"", *packed) for group, *packed in _grouped(*gone, groups)]
             kinds = (pa.int32(), *[pa.binary()] * 5)
             out = list(zip(*rows, strict=True)) or [[]] * 6
             return pa.RecordBatch.from_arrays(
@@ -192,17 +204,21 @@ def repeated_ranges(df: DataFrame, run: Run = Run(), block_runs: int = 400_000)
         begin = np.concatenate([unpack(b) for b in pdf["begins"]]).astype(np.int64)
         end = begin + np.concatenate([unpack(b) for b in pdf["lengths"]])
         _, later = settle(h, doc, begin)
-        return _ranges(doc[later], begin[later], end[later])
+        found = _ranges(doc[later], begin[later], end[later])
+        return pd.DataFrame(list(_grouped(*found, groups)), columns=["group", "docs", "begins", "ends"])
 
-    def local(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            for d, b, e in zip(pdf["docs"], pdf["begins"], pdf["lengths"], strict=True):
-                yield pd.DataFrame({"doc_id": unpack(d), "begin": unpack(b), "end": unpack(e)})
+    def collect(pdf: pd.DataFrame) -> pd.DataFrame:
+        doc, begin, end = (np.concatenate([unpack(b) for b in pdf[c]]) for c in ("docs", "begins", "ends"))
+        doc, begin, end = _ranges(doc, begin, end)
+        at = np.flatnonzero(np.concatenate([[True], doc[1:] != doc[:-1]]))
+        stops = np.append(at[1:], len(doc))
+        cuts = [[{"begin": b, "end": e} for b, e in zip(begin[x:y], end[x:y], strict=True)] for x, y in zip(at, stops, strict=True)]
+        return pd.DataFrame({"doc_id": doc[at], "cuts": cuts})
 
-    out = "doc_id long, begin long, end long"
-    across = blocks.filter("shard >= 0").groupBy("shard").applyInPandas(resolve, out)
-    within = blocks.filter("shard < 0").mapInPandas(local, out)
-    return across.unionByName(within)
+    across = blocks.filter("shard >= 0").groupBy("shard").applyInPandas(resolve, "group int, docs binary, begins binary, ends binary")
+    within = blocks.filter("shard < 0").selectExpr("-1 - shard AS group", "docs", "begins", "lengths AS ends")
+    found = across.unionByName(within)
+    return found.groupBy("group").applyInPandas(collect, "doc_id long, cuts array<struct<begin:long,end:long>>")
 
 
 def remove_repeats(df: DataFrame, run: Run = Run()) -> DataFrame:
@@ -220,9 +236,7 @@ def remove_repeats(df: DataFrame, run: Run = Run()) -> DataFrame:
     if clash:
         raise ValueError(f"the input has columns {sorted(clash)} already")
     found = repeated_ranges(df, run)
-    cuts = found.groupBy(F.col("doc_id").alias("__id")).agg(
-        F.sort_array(F.collect_set(F.struct("begin", "end"))).alias("__cuts")
-    )
+    cuts = found.select(F.col("doc_id").alias("__id"), F.col("cuts").alias("__cuts"))
     key = F.coalesce(F.col("doc_id").cast("long"), F.lit(int(LAST)))
     joined = df.join(cuts, key == F.col("__id"), "left").drop("__id")
     place, width = df.columns.index("text"), len(df.columns)
