@@ -52,12 +52,13 @@ def file_settings(t):
         F.date_format("o_orderdate", "dd/MM/yyyy"),
         F.concat(F.lit("'"), F.col("o_orderpriority"), F.lit("'")),
     )
-    head = "# exported\n# by nobody\no_orderkey|us|uk|o_orderpriority\n"
+    head = "# exported\n# by nobody\no_orderkey|us|uk|o_orderpriority"
     part = F.pmod(F.xxhash64("o_orderkey"), F.lit(8))
-    body = t.orders.select(part.alias("part"), line.alias("line"))
-    files = body.groupBy("part").agg(F.array_join(F.collect_list("line"), "\n").alias("lines"))
-    text = files.select(F.concat(F.lit(head), "lines").alias("value"), "part")
-    text.repartition(8, "part").write.partitionBy("part").text(path)
+    body = t.orders.select(part.alias("part"), F.lit(1).alias("place"), line.alias("value"))
+    # each file's head comes first, and a part is one file
+    tops = t.spark.range(8).select(F.col("id").alias("part"), F.lit(0).alias("place"), F.lit(head).alias("value"))
+    laid = tops.unionByName(body).repartition(8, "part").sortWithinPartitions("part", "place")
+    laid.drop("place").write.partitionBy("part").text(path)
     return readers.read_csv(
         t.spark,
         f"{path}/part=*",
@@ -69,6 +70,41 @@ def file_settings(t):
     )
 
 
+_ODD_TEXT = """CASE WHEN doc_id % 7 = 0 THEN '' WHEN doc_id % 7 = 1 THEN NULL
+       WHEN doc_id % 7 = 2 THEN ' "' || text || '", he said, ' ELSE text END AS text"""
+
+
+@query("csv_documents", f"SELECT doc_id, {_ODD_TEXT}, lang FROM documents")
+def csv_documents(t):
+    """Texts with line ends, quotes, blanks around them and nothing in them, written and read back."""
+    path = scratch_path(t.spark, "csv")
+    writers.write_file(t.documents.selectExpr("doc_id", _ODD_TEXT, "lang"), path, "csv")
+    return readers.read_csv(t.spark, path, schema="doc_id bigint, text string, lang string", multiline=True)
+
+
+@query("csv_documents_skip", f"SELECT doc_id, {_ODD_TEXT}, lang FROM documents")
+def csv_documents_skip(t):
+    """The same with a line to skip in every file; the head is read as any other record."""
+    path = scratch_path(t.spark, "csv")
+    writers.write_file(t.documents.selectExpr("doc_id", _ODD_TEXT, "lang"), path, "csv")
+    return readers.read_csv(
+        t.spark, path, schema="doc_id bigint, text string, lang string", multiline=True, skip_rows=1, has_header=False
+    )
+
+
+@query("merge_null_keys", "SELECT user_id, event_type, max(event_id) AS event_id FROM (SELECT event_id, event_type, CASE WHEN user_id % 3 = 0 THEN NULL ELSE user_id END AS user_id FROM events) GROUP BY ALL")
+def merge_null_keys(t):
+    """Keys that are NULL match each other, so merging twice changes nothing."""
+    keys = ["user_id", "event_type"]
+    user = F.when(F.col("user_id") % 3 != 0, F.col("user_id")).alias("user_id")
+    rows = t.events.select(user, "event_type", "event_id")
+    target = _dataset(t, "merge")
+    target.replace(rows.filter("event_id % 2 = 0").groupBy(*keys).agg(F.max("event_id").alias("event_id")))
+    for _ in range(2):
+        target.merge(rows.groupBy(*keys).agg(F.max("event_id").alias("event_id")), keys)
+    return target.read()
+
+
 @query(
     "read_folder",
     """SELECT event_id, event_type, value, event_type AS folder FROM events""",

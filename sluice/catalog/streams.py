@@ -36,6 +36,27 @@ def stream_webhook(t):
     return target.read()
 
 
+@query("stream_two_sources", "SELECT event_id, ts, user_id, event_type, value FROM events")
+def stream_two_sources(t):
+    """Two landing folders, each with a query of its own, into one dataset."""
+    root = scratch_path(t.spark, "two")
+    target = Dataset(t.spark, f"{root}/target")
+    for k, half in enumerate(_halves(t)):
+        writers.write_file(_events(half), f"{root}/landing-{k}", "json")
+        ingest.land_pushed_rows(t.spark, f"{root}/landing-{k}", _EVENT, target, f"{root}/progress-{k}")
+    return target.read()
+
+
+@query("stream_quoted_lines", "SELECT doc_id, text FROM documents")
+def stream_quoted_lines(t):
+    """Arriving CSV files whose cells hold line ends and quotes."""
+    landing, target, progress = _places(t, "quoted")
+    writers.write_file(t.documents.select("doc_id", "text"), landing)
+    schema = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType())])
+    ingest.consolidate_files(t.spark, landing, schema, target, progress, multiline=True)
+    return target.read()
+
+
 @query(
     "stream_webhook_replace",
     "SELECT event_id, ts, user_id, event_type, value FROM events WHERE NOT ts < TIMESTAMP '2024-01-16'",

@@ -113,15 +113,18 @@ def lookup_mapping(
 
 
 def matching(
-    df: DataFrame, other: DataFrame, on: Sequence[tuple[str, str] | str], matched: bool = True
+    df: DataFrame, other: DataFrame, on: Sequence[tuple[str, str] | str], matched: bool = True, null_safe: bool = False
 ) -> DataFrame:
-    """Rows with a match in ``other``, or those without one."""
+    """Rows with a match in ``other``, or those without one; ``null_safe`` lets NULL match NULL."""
     pairs = [_pair(item, "left", "right") for item in on]
     keys = [f"_join_key_{i}" for i in range(len(pairs))]
     right = other.select(*[col(r).alias(k) for k, (_, r) in zip(keys, pairs, strict=True)])
     same = reduce(
         lambda a, b: a & b,
-        [col(left) == F.col(k) for k, (left, _) in zip(keys, pairs, strict=True)],
+        [
+            col(left).eqNullSafe(F.col(k)) if null_safe else col(left) == F.col(k)
+            for k, (left, _) in zip(keys, pairs, strict=True)
+        ],
     )
     return df.join(right, same, "left_semi" if matched else "left_anti")
 

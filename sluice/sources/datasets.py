@@ -1,9 +1,12 @@
 """Datasets made of batches: append, replace, delete, merge and incremental pulls.
 
 Every batch is a Parquet folder of its own, and a small log says which folders
-make up the dataset. A change writes new folders and then adds to the log, so
-readers never see half a change, nothing is overwritten while it is read, and
-batches that a change does not touch are not copied.
+make up the dataset. A change writes new folders and then adds one numbered file
+to the log, which must not exist yet: of two writers with the same number one
+fails, reads the log again and takes the next. So readers never see half a
+change, no change is lost, nothing is overwritten while it is read, and batches
+that a change does not touch are not copied. Every so often a file holds all live
+batches, and readers start there.
 """
 
 from __future__ import annotations
@@ -14,6 +17,7 @@ import uuid
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,6 +33,31 @@ BATCH = "_batch_id"
 _LOG = "number bigint, batch string, folder string, schema string"
 
 
+# every so many changes the log says everything anew
+_SNAPSHOT = 50
+
+
+def _hadoop(spark: SparkSession, path: str) -> tuple:
+    """The file system Spark uses for a path, and the path there."""
+    jvm = spark._jvm
+    made = jvm.org.apache.hadoop.fs.Path(path)
+    return made.getFileSystem(spark._jsc.hadoopConfiguration()), made
+
+
+def _create(spark: SparkSession, path: str, text: str) -> bool:
+    """Write a new small file; false if there is one already."""
+    system, made = _hadoop(spark, path)
+    try:
+        out = system.create(made, False)
+    except Py4JJavaError as error:
+        if "AlreadyExists" in str(error.java_exception.getClass().getName()) or system.exists(made):
+            return False
+        raise
+    out.write(bytearray(text.encode()))
+    out.close()
+    return True
+
+
 @dataclass(frozen=True)
 class _State:
     number: int
@@ -45,16 +74,24 @@ class Dataset:
 
     # -- which folders count ------------------------------------------------
 
+    def _files(self) -> list[tuple[int, bool, str]]:
+        """Number, whether it holds everything, and path of each log file, in order."""
+        system, path = _hadoop(self.spark, f"{self.root}/log")
+        if not system.exists(path):
+            return []
+        names = [str(f.getPath()) for f in system.listStatus(path)]
+        found = [(re.search(r"/(\d+)(-all)?\.json$", n), n) for n in names]
+        return sorted((int(m[1]), m[2] is not None, n) for m, n in found if m)
+
     def _state(self) -> _State | None:
         """The live batches: the last entry of each since everything was last replaced."""
-        try:
-            log = self.spark.read.schema(_LOG).json(f"{self.root}/log")
-        except AnalysisException:
+        files = self._files()
+        if not files:
             return None
+        start = max((n for n, whole, _ in files if whole), default=0)
+        log = self.spark.read.schema(_LOG).json([path for n, _, path in files if n >= start])
         cleared = F.max(F.when(F.col("batch").isNull(), F.col("number")))
         last = log.agg(F.max(F.struct("number", "schema")), cleared).first()
-        if last[0] is None:
-            return None
         live = (
             log.filter(F.col("batch").isNotNull() & (F.col("number") >= (last[1] or 0)))
             .groupBy("batch")
@@ -63,27 +100,43 @@ class Dataset:
         )
         folders = {r["batch"]: r["folder"] for r in live.collect()}
         schema = T.StructType.fromJson(json.loads(last[0]["schema"]))
-        return _State(last[0]["number"], folders, schema)
+        return _State(files[-1][0], folders, schema)
 
     def _record(
         self,
         state: _State | None,
         schema: T.StructType,
         entries: Sequence[tuple[str | None, str | None]],
-    ) -> None:
-        """Make a change count, all at once."""
+    ) -> bool:
+        """Make a change count, all at once; false if another change came first."""
         number = (state.number if state else 0) + 1
-        rows = [
-            F.struct(
-                F.lit(number).cast("bigint").alias("number"),
-                F.lit(batch).cast("string").alias("batch"),
-                F.lit(folder).cast("string").alias("folder"),
-                F.lit(schema.json()).alias("schema"),
-            )
-            for batch, folder in entries
-        ]
-        log = self.spark.range(1, numPartitions=1).select(F.inline(F.array(*rows)))
-        log.write.mode("append").json(f"{self.root}/log")
+        whole = number % _SNAPSHOT == 0
+        if whole:
+            live = dict(state.folders) if state else {}
+            for batch, folder in entries:
+                if batch is None:
+                    live = {}
+                elif folder is None:
+                    live.pop(batch, None)
+                else:
+                    live[batch] = folder
+            entries = [(None, None), *live.items()]
+        made = schema.json()
+        lines = []
+        for k, (batch, folder) in enumerate(entries):
+            row = {"number": number, "batch": batch, "folder": folder, "schema": made if k == 0 else None}
+            lines.append(json.dumps({n: v for n, v in row.items() if v is not None}))
+        name = f"{number:012d}{'-all' if whole else ''}.json"
+        # the same number under either name is a conflict
+        taken = {n for n, _, _ in self._files()}
+        return number not in taken and _create(self.spark, f"{self.root}/log/{name}", "\n".join(lines) + "\n")
+
+    def _change(self, build: Callable[[_State | None], tuple[T.StructType, list[tuple[str | None, str | None]]]]) -> None:
+        """Commit what ``build`` makes of the state, again if the state has changed meanwhile."""
+        while True:
+            state = self._state()
+            if self._record(state, *build(state)):
+                return
 
     def _write(self, rows: DataFrame, batch: str) -> str:
         folder = f"data/{uuid.uuid4().hex}/{BATCH}={batch}"
@@ -140,44 +193,70 @@ class Dataset:
             if validate:
                 check_schema(rows, self._empty(state.schema))
             rows = _shaped(rows, state.schema)
-        self._record(state, rows.schema, [(name, self._write(rows, name))])
+        folder = self._write(rows, name)
+
+        def build(now: _State | None) -> tuple:
+            if now is not None and now.schema != (state.schema if state else rows.schema):
+                raise ValueError("the dataset got other columns while rows were appended")
+            return rows.schema, [(name, folder)]
+
+        self._change(build)
         return name
 
     def replace(self, source: DataFrame, batch: str | None = None) -> str:
         """All content at once."""
-        state, name = self._state(), _batch_name(batch)
-        self._record(state, source.schema, [(None, None), (name, self._write(source, name))])
+        name = _batch_name(batch)
+        folder = self._write(source, name)
+        self._change(lambda _: (source.schema, [(None, None), (name, folder)]))
         return name
 
     def delete(self, batches: Sequence[str]) -> None:
         """Everything but the given batches; no data is rewritten."""
-        state = self._state()
-        self._record(state, state.schema, [(b, None) for b in batches])
+
+
+        def build(state: _State | None) -> tuple:
+            unknown = sorted(set(batches) - set(self._needed(state).folders))
+            if unknown:
+                raise ValueError(f"the dataset has no batches {unknown}")
+            return state.schema, [(b, None) for b in batches]
+
+        self._change(build)
+
+    def _needed(self, state: _State | None) -> _State:
+        if state is None:
+            raise ValueError(f"no dataset at {self.root}")
+        return state
 
     def merge(
         self, source: DataFrame, keys: Sequence[str], order_by: Sequence | None = None
     ) -> str:
         """New keys are added, rows with known keys replaced.
 
+        Keys that are NULL match each other, so merging again changes nothing.
         Only batches that hold such keys are written anew.
         """
-        state, name = self._state(), _batch_name(None)
+        name = _batch_name(None)
+        self._change(lambda state: self._merged(self._needed(state), name, source, list(keys), order_by))
+        return name
+
+    def _merged(
+        self, state: _State, name: str, source: DataFrame, keys: list[str], order_by: Sequence | None
+    ) -> tuple[T.StructType, list[tuple[str | None, str | None]]]:
         known = source.select(*[col(k) for k in keys]).distinct()
         old = self._open(state, list(state.folders))
-        hit = matching(old, known, list(keys)).select(BATCH).distinct().collect()
+        hit = matching(old, known, keys, null_safe=True).select(BATCH).distinct().collect()
         touched = sorted(r[BATCH] for r in hit)
         latest = _shaped(newest(source, keys, order_by), state.schema)
         entries: list[tuple[str | None, str | None]] = [(name, self._write(latest, name))]
         if touched:
-            kept = matching(self._open(state, touched), known, list(keys), matched=False)
+            kept = matching(self._open(state, touched), known, keys, matched=False, null_safe=True)
             folder = f"data/{uuid.uuid4().hex}"
             # few files per batch; large batches are split over tasks, small ones share one
             even = kept.hint("rebalance", F.col(BATCH))
             even.write.partitionBy(BATCH).parquet(f"{self.root}/{folder}")
             left = self._written(folder)
             entries += [(b, f"{folder}/{BATCH}={b}" if b in left else None) for b in touched]
-        self._record(state, state.schema, entries)
-        return name
+        return state.schema, entries
 
     def _written(self, folder: str) -> set[str]:
         """Batches that still have rows."""
@@ -245,12 +324,12 @@ def merge_by_key(
     """Upsert: rows of ``source`` replace those with the same keys and add new ones.
 
     When a key occurs more than once in the source, the first row in ``order_by``
-    counts, so name the newest first.
+    counts, so name the newest first. Keys that are NULL match each other.
     """
     require(target, *keys)
     require(source, *keys)
     latest = newest(source, keys, order_by)
-    kept = matching(target, source.select(*keys).distinct(), list(keys), matched=False)
+    kept = matching(target, source.select(*keys).distinct(), list(keys), matched=False, null_safe=True)
     return kept.unionByName(latest)
 
 

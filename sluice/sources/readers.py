@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import csv
+import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,6 +14,7 @@ from sluice.functions.kinds import col, java_layout, parse_date
 
 DELIMITERS = (",", "\t", "|", ";")  # fixed values: separators a CSV file may use
 FILE_COLUMN = "_source_file"
+NULL_MARK = "\x00"
 
 
 def read_csv(
@@ -25,9 +27,16 @@ def read_csv(
     schema: str | T.StructType | None = None,
     date_format: str | None = None,
     date_formats: Mapping[str, str] | None = None,
+    multiline: bool = False,
 ) -> DataFrame:
     """CSV files as a table.
 
+    A quote inside quotes is doubled, an empty cell is NULL and ``""`` is empty
+    text. With ``multiline`` quoted cells may hold line ends; each file is then
+    read by one task, so cut such data into files of a moderate size. Without it
+    files are split, and a cell whose quote is still open at the end of its line
+    fails the read instead of giving broken rows.
+
     Without a schema numbers and ISO timestamps are typed and everything else
     is TEXT. ``date_formats`` (per column) and ``date_format`` (all columns with
     a slash date) read other dates: a layout, ``US`` or ``UK``. ``skip_rows``
@@ -35,9 +44,12 @@ def read_csv(
     """
     if delimiter not in DELIMITERS:
         raise ValueError(f"delimiter is one of {DELIMITERS}, not {delimiter!r}")
-    options = {"sep": delimiter, "quote": quote}
+    options = csv_options(delimiter, quote, multiline)
+    if not multiline:
+        check_closed_quotes(spark.read.text(path), delimiter, quote)
     if skip_rows:
-        df = _skipping(spark, path, skip_rows, has_header, options, schema)
+        skip = _skipping_records if multiline else _skipping
+        df = skip(spark, path, skip_rows, has_header, options, schema)
         df = df if schema is not None else inferred(df)
     else:
         reader = spark.read.options(header=has_header, **options)
@@ -49,6 +61,23 @@ def read_csv(
     return with_dates(df, date_format, date_formats)
 
 
+def csv_options(delimiter: str = ",", quote: str = '"', multiline: bool = False) -> dict[str, object]:
+    """How CSV is read and written here: what one side writes the other reads back."""
+    # a NULL is nothing between two delimiters; a mark no cell holds keeps "" apart from it
+    return {"sep": delimiter, "quote": quote, "escape": quote, "nullValue": NULL_MARK, "emptyValue": "", "multiLine": multiline}
+
+
+def check_closed_quotes(lines: DataFrame, delimiter: str = ",", quote: str = '"') -> None:
+    """Fail if a line ends inside quotes; one pass that stops at the first such line."""
+    q, d = re.escape(quote), re.escape(delimiter)
+    # what is left after all closed cells must not begin a quoted cell
+    rest = F.regexp_replace("value", f"(^|{d})[ \t]*{q}(?:[^{q}]|{q}{q})*+{q}", "$1")
+    bad = lines.filter(F.col("value").contains(quote) & rest.rlike(f"(^|{d})[ \t]*{q}")).limit(1).collect()
+    if bad:
+        start = bad[0]["value"][:60]
+        raise ValueError(f"a quoted cell holds a line end; read the files with multiline=True: {start!r}")
+
+
 def _naive_dates(df: DataFrame) -> DataFrame:
     dated = [f.name for f in df.schema if isinstance(f.dataType, (T.TimestampType, T.DateType))]
     return df.withColumns({n: col(n).cast("timestamp_ntz") for n in dated})
@@ -93,6 +122,38 @@ def _skipping(
     return body.select(parsed.alias("row")).select("row.*")
 
 
+def _skipping_records(
+    spark: SparkSession,
+    path: str | Sequence[str],
+    skip_rows: int,
+    has_header: bool,
+    options: Mapping[str, object],
+    schema: str | T.StructType | None,
+) -> DataFrame:
+    """Records after the first ones of each file, where cells may hold line ends.
+
+    The lines to skip are read like any others, so they must not open a quote.
+    """
+    if schema is None:
+        numbered = spark.read.text(path).select(
+            "value", F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("id")
+        )
+        # a header is not expected to run over more lines than this
+        top = [r["value"] for r in numbered.orderBy("file", "id").limit(skip_rows + 50).collect()]
+        cells = next(csv.reader([f"{x}\n" for x in top[skip_rows:]], delimiter=str(options["sep"]), quotechar=str(options["quote"])))
+        names = cells if has_header else [f"_c{i}" for i in range(len(cells))]
+        typed = T.StructType([T.StructField(c, T.StringType()) for c in names])
+    else:
+        typed = schema if isinstance(schema, T.StructType) else T._parse_datatype_string(schema)
+    df = spark.read.options(**options).schema(typed).csv(path)
+    # a file is one task, which numbers its records in order
+    rows = df.withColumns({"_file": F.col("_metadata.file_path"), "_id": F.monotonically_increasing_id()})
+    heads = rows.groupBy("_file").agg(F.min("_id").alias("_first"))
+    drop = skip_rows + (1 if has_header else 0)
+    body = rows.join(heads, "_file").filter(F.col("_id") - F.col("_first") >= drop)
+    return body.select(*[col(f.name) for f in typed.fields])
+
+
 def inferred(df: DataFrame) -> DataFrame:
     """TEXT columns whose filled cells all read as numbers or ISO times, as such; one pass."""
     kinds = ("bigint", "double", "timestamp_ntz")
@@ -155,6 +216,12 @@ def read_folder(
     if pattern:
         reader = reader.option("pathGlobFilter", pattern)
     if file_format == "csv":
+        given = {"multiLine": "false", "sep": ",", "quote": '"', **options}
+        if str(given["multiLine"]).lower() != "true":
+            lines = spark.read.option("recursiveFileLookup", True)
+            lines = lines.option("pathGlobFilter", pattern) if pattern else lines
+            check_closed_quotes(lines.text(path), str(given["sep"]), str(given["quote"]))
+        options = {**csv_options(str(given["sep"]), str(given["quote"])), "multiLine": given["multiLine"], **options}
         reader = reader.options(header=True, inferSchema=schema is None)
     if schema is not None:
         reader = reader.schema(schema)

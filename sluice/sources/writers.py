@@ -45,6 +45,11 @@ def write_file(
     writer = df.write.mode(mode)
     if file_type != "parquet":
         writer = writer.options(header=True, timestampNTZFormat="yyyy-MM-dd HH:mm:ss.SSSSSS")
+    if file_type == "csv":
+        # quotes are doubled, empty text is "" and spaces stay, so that reading gives the same rows
+        writer = writer.options(
+            quote='"', escape='"', nullValue="", emptyValue='""', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
+        )
     writer.format(file_type).save(path)
 
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable, Sequence
+from concurrent.futures import Future
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,6 +17,7 @@ from pyspark.sql import types as T
 
 from sluice.operators.rows import keep_first
 from sluice.sources.datasets import BATCH, Dataset, newer_rows
+from sluice.sources.readers import csv_options
 
 # fixed values: how a file name may match, and webhook modes
 NAME_MATCHES = ("contains", "starts_with", "ends_with", "exact")
@@ -37,14 +39,25 @@ def name_pattern(text: str, match: str = "contains", case_sensitive: bool = True
 
 
 def _run(
-    stream: DataFrame, checkpoint: str, each: Callable[[DataFrame, int], None]
+    stream: DataFrame, checkpoint: str, each: Callable[[DataFrame, str], None]
 ) -> None:
+    """Run over what is there; ``each`` gets the rows and a batch name of their own.
+
+    The name is the query's id, which its checkpoint keeps, and the epoch: the
+    same for a micro-batch that runs again, another for any other stream.
+    """
+    query_id: Future[str] = Future()
+
+    def named(rows: DataFrame, epoch: int) -> None:
+        each(rows, f"{query_id.result()}-epoch-{epoch}")
+
     query = (
-        stream.writeStream.foreachBatch(each)
+        stream.writeStream.foreachBatch(named)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
+    query_id.set_result(str(query.id))
     query.awaitTermination()
 
 
@@ -64,12 +77,12 @@ def land_pushed_rows(
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
 
-    def each(rows: DataFrame, epoch: int) -> None:
-        # the epoch as batch id: writing it again replaces the same batch
+    def each(rows: DataFrame, batch: str) -> None:
+        # writing a batch again replaces the same batch
         if mode == "replace":
-            target.replace(rows, batch=f"epoch-{epoch}")
+            target.replace(rows, batch=batch)
         else:
-            target.append(rows, batch=f"epoch-{epoch}")
+            target.append(rows, batch=batch)
 
     _run(reader.json(folder), checkpoint, each)
 
@@ -86,9 +99,12 @@ def consolidate_files(
     subfolders: bool = True,
     file_format: str = "csv",
     quarantine: str | None = None,
+    multiline: bool = False,
 ) -> None:
     """Append arriving files with matching names; rows off the schema are set aside.
 
+    ``multiline`` lets quoted CSV cells hold line ends, with one task per file.
+
     CSV and JSON rows that do not fit the schema go to ``quarantine`` with the
     name of their file, or fail the run without one.
     """
@@ -97,6 +113,8 @@ def consolidate_files(
     if file_format in ("csv", "json"):
         reader = reader.schema(T.StructType([*schema.fields, T.StructField(corrupt, T.StringType())]))
         reader = reader.option("columnNameOfCorruptRecord", corrupt).option("header", True)
+        if file_format == "csv":
+            reader = reader.options(**csv_options(multiline=multiline))
     else:
         reader = reader.schema(schema)
     stream = reader.format(file_format).load(folder)
@@ -106,16 +124,16 @@ def consolidate_files(
             F.url_decode("_file").rlike(name_pattern(name, match, case_sensitive))
         )
 
-    def each(rows: DataFrame, epoch: int) -> None:
+    def each(rows: DataFrame, batch: str) -> None:
         names = [f.name for f in schema.fields]
         if corrupt in rows.columns:
             bad = rows.filter(F.col(corrupt).isNotNull()).select("_file", corrupt)
             if quarantine is not None:
-                bad.write.mode("overwrite").parquet(f"{quarantine}/epoch-{epoch}")
+                bad.write.mode("overwrite").parquet(f"{quarantine}/{batch}")
             elif not bad.isEmpty():
                 raise ValueError("some rows do not fit the schema and no quarantine is set")
             rows = rows.filter(F.col(corrupt).isNull())
-        target.append(rows.select(*names), batch=f"epoch-{epoch}")
+        target.append(rows.select(*names), batch=batch)
 
     _run(stream, checkpoint, each)
 
@@ -129,8 +147,7 @@ def refresh(
 ) -> None:
     """Rows past the largest sequence value seen are appended, or each batch replaces all."""
 
-    def each(rows: DataFrame, epoch: int) -> None:
-        batch = f"epoch-{epoch}"
+    def each(rows: DataFrame, batch: str) -> None:
         if on_refresh == "replace" or not target.exists():
             target.replace(rows, batch=batch)
             return
@@ -150,7 +167,7 @@ def merge_increments(
 ) -> None:
     """Upsert every increment by key; merging the same increment again changes nothing."""
 
-    def each(rows: DataFrame, epoch: int) -> None:
+    def each(rows: DataFrame, batch: str) -> None:
         if not target.exists():
             target.replace(keep_first(rows, keys, order_by))
         else:
@@ -169,9 +186,9 @@ def run_steps(
 ) -> None:
     """Row-wise steps on each increment; steps over all rows on the dataset after it."""
 
-    def each(rows: DataFrame, epoch: int) -> None:
-        target.append(steps(rows), batch=f"epoch-{epoch}")
+    def each(rows: DataFrame, batch: str) -> None:
+        target.append(steps(rows), batch=batch)
         if whole is not None and result is not None:
-            result.replace(whole(target.read()), batch=f"epoch-{epoch}")
+            result.replace(whole(target.read()), batch=batch)
 
     _run(stream, checkpoint, each)

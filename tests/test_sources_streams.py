@@ -270,3 +270,74 @@ def test_merge_rewrites_only_touched_batches(dataset, table):
     assert dataset.read().columns == ["id", "name", "n"]
     with pytest.raises(ValueError, match="batch name"):
         dataset.append(table([(1, "a", 0.0)], SCHEMA), batch="a/b")
+
+
+ODD = [(1, "a\nb", "x"), (2, 'say "hi", you', ""), (3, None, "\\"), (4, "", '"'), (5, " lead, ", 'a\\"b'), (6, '5" pipe', 'q"')]
+
+
+def test_csv_reads_back_what_was_written(spark, table, tmp_path):
+    path = str(tmp_path / "odd")
+    writers.write_file(table(ODD, "id int, t string, u string"), path)
+    assert values(readers.read_csv(spark, path, multiline=True)) == sorted(ODD, key=repr)
+    folder = readers.read_folder(spark, path, pattern="*.csv", multiLine=True)
+    assert values(folder.drop(readers.FILE_COLUMN)) == sorted(ODD, key=repr)
+    with pytest.raises(ValueError, match="multiline"):
+        readers.read_csv(spark, path)
+    with pytest.raises(ValueError, match="multiline"):
+        readers.read_folder(spark, path, pattern="*.csv")
+
+
+def test_csv_quotes_inside_plain_cells(spark, tmp_path):
+    path = put(tmp_path / "a.csv", 'id,t\n1,5" pipe\n2,"x ""y"" z"\n3,a "b" c\n')
+    assert values(readers.read_csv(spark, path)) == [(1, '5" pipe'), (2, 'x "y" z'), (3, 'a "b" c')]
+
+
+def test_csv_skips_lines_before_records_with_line_ends(spark, tmp_path):
+    for name in "ab":
+        put(tmp_path / "s" / f"{name}.csv", f'made by\nnobody\nid,"t\nu"\n1,"x\n{name}"\n2,""\n')
+    df = readers.read_csv(spark, str(tmp_path / "s"), skip_rows=2, multiline=True)
+    assert df.columns[0] == "id" and df.columns[1].split() == ["t", "u"]
+
+
+def test_two_writers_lose_nothing(spark, table, tmp_path):
+    root = str(tmp_path / "shared")
+    one, two = Dataset(spark, root), Dataset(spark, root)
+    one.append(table([(0, "z", 0.0)], SCHEMA), batch="zero")
+    before = two._state()
+    two._state = lambda: states.pop(0) if states else Dataset._state(two)
+    states = [before, before]  # what the second writer saw before the first one's change
+    one.append(table([(1, "a", 1.0)], SCHEMA), batch="one")
+    two.append(table([(2, "b", 2.0)], SCHEMA), batch="two")
+    assert values(one.read()) == [(0, "z", 0.0), (1, "a", 1.0), (2, "b", 2.0)]
+
+
+def test_log_is_written_anew_from_time_to_time(spark, table, tmp_path, monkeypatch):
+    from sluice.sources import datasets
+
+    monkeypatch.setattr(datasets, "_SNAPSHOT", 3)
+    target = Dataset(spark, str(tmp_path / "many"))
+    for k in range(7):
+        target.append(table([(k, "x", 1.0)], SCHEMA), batch=f"b{k}")
+    target.delete(["b0"])
+    assert [n for n, whole, _ in target._files() if whole] == [3, 6]
+    assert sorted(r["id"] for r in target.read().collect()) == [1, 2, 3, 4, 5, 6]
+
+
+def test_changes_need_a_dataset_and_its_batches(table, dataset):
+    rows = table([(1, "a", 1.0)], SCHEMA)
+    with pytest.raises(ValueError, match="no dataset"):
+        dataset.delete(["x"])
+    with pytest.raises(ValueError, match="no dataset"):
+        dataset.merge(rows, ["id"])
+    dataset.append(rows, batch="a")
+    with pytest.raises(ValueError, match="no batches"):
+        dataset.delete(["b"])
+
+
+def test_merging_null_keys_again_changes_nothing(table, dataset):
+    dataset.append(table([(None, "a", 1.0), (1, "b", 1.0)], SCHEMA), batch="a")
+    for _ in range(2):
+        dataset.merge(table([(None, "c", 2.0)], SCHEMA), ["id"])
+    assert values(dataset.read()) == [(1, "b", 1.0), (None, "c", 2.0)]
+    merged = merge_by_key(dataset.read(), table([(None, "d", 3.0)], SCHEMA), ["id"])
+    assert values(merged) == [(1, "b", 1.0), (None, "d", 3.0)]
