@@ -15,7 +15,7 @@ _SPENDERS = """WITH spent AS (SELECT o_custkey AS "Customer", SUM(o_totalprice)
   SELECT "Customer", round(total, 2) AS total, n, CASE WHEN total > 2500000 THEN 'big' ELSE 'small' END AS size
   FROM spent WHERE total > (SELECT AVG(total) FROM spent)
   UNION ALL SELECT c_custkey, 0.0, 0, 'none' FROM {other}
-  WHERE c_custkey NOT IN (SELECT o_custkey FROM {table})"""
+  WHERE NOT EXISTS (SELECT 1 FROM {table} o WHERE o.o_custkey = c_custkey)"""
 
 
 @query("sql_query", _SPENDERS.format(table="orders", other="customer"))
@@ -63,7 +63,7 @@ def sql_strings(t):
     "sql_aggregates",
     """SELECT r.n_regionkey, string_agg(n_name, ', ' ORDER BY n_name) AS names, count(DISTINCT n_name) AS n,
        (SELECT median(o_totalprice) FROM orders) AS mid,
-       (SELECT round(quantile_cont(o_totalprice, 0.95), 3) FROM orders) AS p95
+       (SELECT round(quantile_cont(o_totalprice, 0.95), 2) FROM orders) AS p95
        FROM nation r GROUP BY r.n_regionkey""",
 )
 def sql_aggregates(t):
@@ -71,7 +71,7 @@ def sql_aggregates(t):
         t.nation,
         """SELECT r.n_regionkey, string_agg(n_name, ', ') WITHIN GROUP (ORDER BY n_name) AS names,
            count(DISTINCT n_name) AS n, (SELECT median(o_totalprice) FROM orders) AS mid,
-           (SELECT round(percentile_cont(0.95) WITHIN GROUP (ORDER BY o_totalprice), 3) FROM orders) AS p95
+           (SELECT round(percentile_cont(0.95) WITHIN GROUP (ORDER BY o_totalprice), 2) FROM orders) AS p95
            FROM dataview r GROUP BY r.n_regionkey""",
         tables={"orders": t.orders},
     )
@@ -414,3 +414,27 @@ def widget_data(t):
         )
         out = row if out is None else out.union(row)
     return out
+
+
+_STAMPS = "%a %A %b %B %d %-d %f %G %H %-H %I %j %-j %m %-m %M %p %S %u %U %V %w %W %x %X %y %Y 100%% at"
+
+
+@query(
+    "sql_strftime",
+    f"SELECT event_id, strftime(ts, '{_STAMPS}') AS stamp, strftime(ts, '%Y at %H') AS hour FROM events",
+)
+def sql_strftime(t):
+    """Every specifier, with text between them."""
+    return sql.sql_query(
+        t.events, f"SELECT event_id, strftime(ts, '{_STAMPS}') AS stamp, strftime(ts, '%Y at %H') AS hour FROM this"
+    )
+
+
+_UNITS = ("second", "minute", "hour", "day", "week", "month", "quarter", "year")
+_DIFFERENCES = ", ".join(f"date_diff('{u}', ts, TIMESTAMP '2025-03-01 00:00:30') AS {u}s" for u in _UNITS)
+
+
+@query("sql_date_diff", f"SELECT event_id, {_DIFFERENCES} FROM events")
+def sql_date_diff(t):
+    """Units in quotes count the boundaries between two moments."""
+    return sql.sql_query(t.events, f"SELECT event_id, {_DIFFERENCES} FROM this")

@@ -107,12 +107,14 @@ def columns_in(text: str, names: list[str]) -> set[str]:
 def _mark(text: str, names: list[str]) -> tuple[str, dict[str, str]]:
     calls = "|".join([*FUNCTIONS, *RANKED])
     known = "|".join(re.escape(n) for n in sorted(names, key=len, reverse=True))
-    pattern = re.compile(rf"(?<!\w)(?:(?P<call>{calls})(?=\s*\()|(?P<name>{known})(?!\w))")
+    quoted = r"'(?:[^'\\]|\\.)*'|\"(?:[^\"\\]|\\.)*\""
+    # names inside quoted text are text
+    pattern = re.compile(rf"(?P<text>{quoted})|(?<!\w)(?:(?P<call>{calls})(?=\s*\()|(?P<name>{known})(?!\w))")
     used: dict[str, str] = {}
 
     def mark(match: re.Match[str]) -> str:
-        if match["call"]:
-            return match["call"]
+        if match["call"] or match["text"]:
+            return match[0]
         key = f"_column_{names.index(match['name'])}_"
         used[key] = match["name"]
         return key

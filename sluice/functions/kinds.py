@@ -114,16 +114,27 @@ def converted(value: Column, source: str, target: str, layout: str | None = None
     if target == TEXT:
         if source == DATE:
             return F.date_format(value, java_layout(layout or "yyyy-MM-dd HH:mm:ss"))
-        return value.cast("string")
+        return number_text(value)
     if target == NUMERIC:
         if source == DATE:
             return F.unix_timestamp(value.cast("timestamp")).cast("double")
         return F.trim(value).try_cast("double")
     if source == NUMERIC:
-        value = value.cast("decimal(38,0)").cast("string")
+        # digits of a date by its layout, else the seconds that DATE to NUMERIC gives
+        read = parse_date(value.cast("decimal(38,0)").cast("string"), [layout] if layout else None)
+        seconds = F.timestamp_micros((value * 1_000_000).try_cast("bigint")).cast("timestamp_ntz")
+        return read if layout else F.coalesce(read, seconds)
     return parse_date(F.trim(value), [layout] if layout else None)
 
 
+def number_text(value: Column) -> Column:
+    """A number's digits, without an exponent where 38 digits suffice."""
+    plain = value.cast("string")
+    digits = value.try_cast("decimal(38,18)").cast("string")
+    whole = F.regexp_replace(F.regexp_replace(digits, "0+$", ""), r"\.$", ".0")
+    return F.when(plain.rlike("^-?[0-9.]+E"), F.coalesce(whole, plain)).otherwise(plain)
+
+
 def literal(value: object, kind: str) -> Column:
     """A constant of the given kind."""
     return F.lit(value).cast(spark_type(kind)) if value is None else _typed(value, kind)

@@ -218,7 +218,11 @@ def percentile(
     low_value, high_value = F.min("_value"), F.max("_value")
     share = F.max(rank - low)
     result = low_value + (high_value - low_value) * share
-    return kept.groupBy(*groups).agg(result.alias(name))
+    made = kept.groupBy(*groups).agg(result.alias(name))
+    if not groups:
+        return made
+    # groups without any value are there too, with NULL
+    return _join_groups(df.select(*groups).distinct(), made, group_by)
 
 
 def metric(df: DataFrame, expression: str, as_name: str = "value") -> DataFrame:
@@ -258,8 +262,7 @@ def crosstab(
         if cell.function not in CROSSTAB_FUNCTIONS:
             raise ValueError(f"crosstab does not do {cell.function}; one of {CROSSTAB_FUNCTIONS}")
         if (cell.function == "COUNT") != (cell.column is None):
-            need = "counts rows and takes no" if cell.function == "COUNT" else "needs a"
-            raise ValueError(f"crosstab {cell.function} {need} column")
+            raise ValueError("in a crosstab COUNT is given without a column and every other function with one")
     require(df, *rows, pivot_column, *[c.column for c in cells if c.column])
     predicate = as_predicate(condition)
     if predicate is not None:
@@ -275,19 +278,14 @@ def crosstab(
                 "group by it instead"
             )
         values = [r[0] for r in found]
-    aggregates, counted = [], []
+    aggregates = []
     for cell in cells:
         value = F.lit(1) if cell.column is None else col(cell.column)
         name = "_".join(x for x in (cell.function, cell.column) if x)
         aggregates.append(SIMPLE[cell.function](value).alias(name))
-        counted += [name] if cell.function.startswith("COUNT") else []
     wide = df.groupBy(*[col(r) for r in rows]).pivot(pivot_column, list(values)).agg(*aggregates)
-    # nothing to count is zero, not empty
-    zero = [
-        c
-        for c in wide.columns[len(rows) :]
-        if counted and (len(cells) == 1 or c.endswith(tuple(f"_{n}" for n in counted)))
-    ]
+    # nothing to count is zero, not empty; every value has the cells in their order
+    zero = [c for i, c in enumerate(wide.columns[len(rows) :]) if cells[i % len(cells)].function.startswith("COUNT")]
     return wide.fillna(0, subset=zero) if zero else wide
 
 

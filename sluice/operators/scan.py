@@ -72,6 +72,10 @@ class Scan:
     def _cells(self) -> WindowSpec:
         return Window.partitionBy(GROUP).orderBy(BUCKET)
 
+    @property
+    def cells_before(self) -> WindowSpec:
+        return self._cells.rowsBetween(_START, -1)
+
     def edge(self, value: Column, last: bool, present_only: bool = False) -> DataFrame:
         """The first or last row of each cell, cut to one row per task before the shuffle."""
         rows = self.base.filter(value.isNotNull()) if present_only else self.base
@@ -92,7 +96,7 @@ class Scan:
 
         ``build`` gets the window of all earlier cells and that of all cells.
         """
-        earlier = self._cells.rowsBetween(_START, -1)
+        earlier = self.cells_before
         everything = Window.partitionBy(GROUP).orderBy(BUCKET).rowsBetween(
             _START, Window.unboundedFollowing
         )
@@ -189,6 +193,8 @@ def ranked(
         place = F.when(F.col("_all") > 1, (place - 1) / (F.col("_all") - 1)).otherwise(0.0)
     elif function == "NTILE":
         place = tile(place, F.col("_all"), tiles)
+    if function != "PERCENT_RANK":
+        place = place.cast("bigint")
     return rows.withColumn(out, place).drop("_off", "_all", GROUP, BUCKET)
 
 
@@ -229,16 +235,22 @@ def accumulated(
         if "n" in parts:
             made = {"_n": _zero(F.sum("n").over(before)), "_s": F.sum("s").over(before)}
         if "q" in parts:
-            squares = F.col("q") + F.col("s") * F.try_divide(F.col("s"), F.col("n"))
-            spread = made["_s"] * F.try_divide(made["_s"], made["_n"])
-            made["_q"] = F.sum(squares).over(before) - spread
+            made["_q"] = F.sum("q").over(before)
         if "low" in parts:
             made["_low"] = F.min("low").over(before)
         if "high" in parts:
             made["_high"] = F.max("high").over(before)
         return made
 
-    rows = scan.carried(scan.totals(**parts), carry)
+    cells = scan.totals(**parts)
+    if "q" in parts:
+        # what a cell adds to the spread of all before it: sums of terms that are never negative
+        earlier = scan.cells_before
+        n_before, s_before = F.sum("n").over(earlier), F.sum("s").over(earlier)
+        gap = F.try_divide(F.col("s"), F.col("n")) - F.try_divide(s_before, n_before)
+        between = gap * gap * F.try_divide(F.col("n") * n_before, F.col("n") + n_before)
+        cells = cells.withColumn("q", _zero(F.col("q")) + _zero(between))
+    rows = scan.carried(cells, carry)
     here_n, here_s = n.over(run), s.over(run)
     all_n = here_n + F.col("_n")
     all_s = F.coalesce(here_s + F.col("_s"), here_s, F.col("_s"))

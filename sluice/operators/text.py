@@ -16,9 +16,11 @@ from sluice.operators.targets import Expressions, assigned, column_step, rewritt
 
 # fixed values: case names
 _CASES = {"UPPER": F.upper, "LOWER": F.lower, "TITLE": F.initcap}
-# one private-use character per replacement target, so that a value written for
-# one target is never searched again for the next
-_MARKS = range(0xE000, 0xF8FF)
+# A value written for one target must not be searched again for the next. Until
+# all are searched it is a mark of three characters: one that begins marks, and
+# two for the number of the target. The first one, where a text has it already,
+# becomes a mark too.
+_MARK, _OWN, _FIRST, _BASE = "\uf8ff", "\uf8fe", 0xE000, 4096
 
 
 @dataclass(frozen=True)
@@ -89,21 +91,28 @@ def bulk_replace(
     variants use ``bulk_replace_from``, which joins instead.
     """
     targets = [Variants(**m) if isinstance(m, dict) else m for m in mapping]
-    if len(targets) > 200:
-        raise ValueError("more than 200 target values: use bulk_replace_from with a table")
-    marks = [chr(_MARKS[i]) for i in range(len(targets))]
+    marks = [_MARK + chr(_FIRST + i // _BASE) + chr(_FIRST + i % _BASE) for i in range(len(targets))]
 
     def change(value: Column) -> Column:
+        value = F.replace(value, F.lit(_MARK), F.lit(_MARK + _OWN))
         marked = reduce(
             lambda v, pair: replaced(v, list(pair[0].search), pair[1], match_case, match_words),
             zip(targets, marks, strict=True),
             value,
         )
-        return reduce(
-            lambda v, pair: F.replace(v, F.lit(pair[1]), F.lit(pair[0].replace)),
-            zip(targets, marks, strict=True),
-            marked,
-        )
+        # marks give way all in one pass, so that no replacement is taken for a mark
+        pieces = F.split(marked, f"(?={_MARK})")
+        written = F.create_map(*[F.lit(x) for m, t in zip(marks, targets, strict=True) for x in (m, t.replace)])
+        length = len(marks[0])
+
+        def read(piece: Column) -> Column:
+            found = F.try_element_at(written, F.substring(piece, 1, length))
+            rest = F.substring(piece, length + 1, 2**31 - 1)
+            own = F.concat(F.lit(_MARK), F.substring(piece, 3, 2**31 - 1))
+            escaped = F.startswith(piece, F.lit(_MARK + _OWN))
+            return F.when(escaped, own).when(found.isNotNull(), F.concat(found, rest)).otherwise(piece)
+
+        return F.array_join(F.transform(pieces, read), "")
 
     return rewritten(df, list(columns), change, condition)
 

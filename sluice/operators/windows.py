@@ -126,6 +126,8 @@ def _plain(
     }
     if function in ranks:
         result = ranks[function]().over(base)
+        # the type of the bucketed plan
+        result = result if function == "PERCENT_RANK" else result.cast("bigint")
     elif function in SHIFTS:
         result = _shift(function, value, offset)(base)
     elif function == "FIRST_VALUE":

@@ -229,7 +229,7 @@ class Recipe:
                 df = operator(_flush(df, pending), **bound)
                 pending = {}
                 continue
-            if pending and _mentions(one.params, pending, df.columns):
+            if pending and _mentions(bound, pending, df.columns):
                 df, pending = _flush(df, pending), {}
             made = build(df, **bound)
             if set(made) & set(pending):
@@ -278,7 +278,7 @@ class Recipe:
         return json.dumps(
             {"steps": [s.to_dict() for s in self.steps], "parameters": dict(self.parameters)},
             indent=1,
-            default=str,
+            default=_saved,
         )
 
     @classmethod
@@ -302,16 +302,21 @@ class Recipe:
         every: Sequence[int] = (),
         tables: Mapping[str, DataFrame] | None = None,
         params: Mapping[str, Any] | None = None,
+        table_sources: Mapping[str, str] | None = None,
     ) -> DataFrame:
         """Apply, writing the result after the step numbers in ``every``.
 
-        A run starts from the latest checkpoint whose steps, parameters and
-        ``source`` label still hold, so an edit reruns only what follows it.
+        A run starts from the latest checkpoint whose steps, parameters, tables
+        and ``source`` label still hold, so an edit reruns only what follows it.
+        Other files or another plan make a table another one; ``table_sources``
+        labels tables that change without either, like ``source`` does.
         """
+        labels = {n: [_table_label(t), (table_sources or {}).get(n, "")] for n, t in (tables or {}).items()}
+        label = json.dumps([source, labels], sort_keys=True) if labels else source
         spark = df.sparkSession
         start = 0
         for number in sorted(every, reverse=True):
-            path = f"{folder}/{self.at(number).fingerprint(params, source)}"
+            path = f"{folder}/{self.at(number).fingerprint(params, label)}"
             try:
                 df, start = spark.read.parquet(path), number
                 break
@@ -319,12 +324,24 @@ class Recipe:
                 continue
         for number in sorted(n for n in every if n > start):
             part = replace(self, steps=self.steps[start:number])
-            path = f"{folder}/{self.at(number).fingerprint(params, source)}"
+            path = f"{folder}/{self.at(number).fingerprint(params, label)}"
             part.apply(df, tables, params).write.mode("overwrite").parquet(path)
             df, start = spark.read.parquet(path), number
         return replace(self, steps=self.steps[start:]).apply(df, tables, params)
 
 
+def _saved(value: Any) -> str:
+    """Dates and the like as text; a table cannot be part of a saved recipe."""
+    if isinstance(value, DataFrame):
+        raise TypeError("a recipe with a DataFrame cannot be saved: name a table with {'view': name}")
+    return str(value)
+
+
+def _table_label(table: DataFrame) -> str:
+    """Changes with the files and the plan of a table."""
+    return json.dumps([sorted(table.inputFiles()), table.semanticHash()])
+
+
 def _flush(df: DataFrame, pending: Mapping[str, Any]) -> DataFrame:
     return df.withColumns(dict(pending)) if pending else df
 

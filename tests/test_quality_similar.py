@@ -194,3 +194,13 @@ def test_ai_asks_once_per_distinct_input(table, tmp_path):
         ai_transform(df, "p", ["s"], model, "x", row_limit=5)
     with pytest.raises(ValueError, match="exists"):
         ai_transform(df, "p", ["s"], model, "n")
+
+
+def test_checks_need_names_of_their_own(table):
+    from sluice.operators.quality import Check, check_summary, flag_rows
+
+    df = table([(1,), (None,)], "a int")
+    twice = [Check("same", "not_null", "a"), Check("same", "unique", "a")]
+    for run in (check_summary, flag_rows):
+        with pytest.raises(ValueError, match="more than once"):
+            run(df, twice)

@@ -162,3 +162,47 @@ def test_steps_as_methods(df):
     assert made.steps[1].params == {"expression": "n * 2", "new_column": "twice"}
     with pytest.raises(AttributeError):
         Recipe().explode_everything
+
+
+def test_sql_cannot_write(df, tmp_path):
+    for text in (
+        f"FROM this INSERT OVERWRITE DIRECTORY '{tmp_path}/x' USING parquet SELECT *",
+        "WITH a AS (SELECT 1) INSERT INTO t SELECT * FROM a",
+        "INSERT INTO t VALUES (1)",
+    ):
+        with pytest.raises(ValueError, match="quer"):
+            sql.sql_query(df, text)
+    assert not (tmp_path / "x").exists()
+    assert sql.sql_query(df, "SELECT 'insert into x; y' AS s FROM this -- ; no").first()["s"] == "insert into x; y"
+
+
+def test_sql_leaves_the_callers_views(df, spark, table):
+    table([(7,)], "v int").createOrReplaceTempView("this")
+    assert sql.sql_query(df, "SELECT count(*) AS n FROM this").first()["n"] == 3
+    assert values(spark.table("this")) == [(7,)]
+    spark.catalog.dropTempView("this")
+    sql.sql_query(df, "SELECT 1 FROM this")
+    assert "this" not in {t.name for t in spark.catalog.listTables()}
+
+
+def test_fused_steps_see_parameters_bound(table):
+    df = table([("ann", "x")], "name string, other string")
+    made = Recipe(parameters={"c": "TEXT"}).add("text_transform", columns=["name"], case="UPPER")
+    made = made.add("combine_columns", sources=["$c"], new_column="both")
+    for fuse in (True, False):
+        assert made.apply(df, params={"c": "name"}, fuse=fuse).first()["both"] == "ANN"
+
+
+def test_checkpoints_depend_on_the_joined_tables(df, table, tmp_path):
+    made = Recipe().add("join", other={"view": "o"}, on=[["id", "k"]], select=["w"])
+    got = []
+    for word in ("one", "two"):
+        other = table([(1, word)], "k int, w string")
+        out = made.checkpointed(df, str(tmp_path), "v1", every=[1], tables={"o": other}, table_sources={"o": word})
+        got.append(sorted(r["w"] for r in out.collect() if r["w"]))
+    assert got == [["one"], ["two"]]
+
+
+def test_recipes_with_tables_are_not_saved(df):
+    with pytest.raises(TypeError, match="cannot be saved"):
+        Recipe().add("join", other=df, on=["id"]).to_json()

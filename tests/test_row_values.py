@@ -285,3 +285,37 @@ def test_date_layouts(table, text_, layout):
     out = columns.normalize_date(df, "d", [layout] if layout else None)
     read = [r.d for r in out.collect()]
     assert read == [dt.datetime(2024, 1, 5), None, None]
+
+
+def test_numbers_as_text_have_no_exponent(table):
+    from sluice.operators.columns import convert_type
+
+    df = table([(12345678.0,), (0.0001,), (100.0,), (-2.5e-7,), (1e22,), (None,)], "x double")
+    got = [r["x"] for r in convert_type(df, [{"column": "x", "to": "TEXT"}]).collect()]
+    assert got[:4] == ["12345678.0", "0.0001", "100.0", "-0.00000025"] and got[5] is None
+
+
+def test_dates_survive_numbers(table):
+    from sluice.operators.columns import convert_type
+
+    df = table([("2024-01-05 10:11:12",)], "d string").selectExpr("cast(d as timestamp_ntz) d")
+    back = convert_type(convert_type(df, [{"column": "d", "to": "NUMERIC"}]), [{"column": "d", "to": "DATE"}])
+    assert back.first() == df.first()
+
+
+def test_math_leaves_quoted_text_alone(table):
+    from sluice.operators.values import math
+
+    df = table([("Price", 2.0), ("x", 3.0)], "k string, Price double")
+    got = [r["n"] for r in math(df, "IF(k == 'Price', Price, 0)", new_column="n").collect()]
+    assert [float(x) for x in got] == [2.0, 0.0]
+
+
+def test_bulk_replace_with_private_characters(table):
+    from sluice.operators.text import Variants, bulk_replace
+
+    df = table([("x",), ("a",), ("ab",)], "t string")
+    made = bulk_replace(df, ["t"], [Variants(["a"], "b"), Variants(["b"], "Z")])
+    assert [r["t"] for r in made.collect()] == ["x", "b", "bZ"]
+    many = bulk_replace(table([("w7 w299",)], "t string"), ["t"], [Variants([f"w{k}"], f"v{k}") for k in range(299, -1, -1)])
+    assert many.first()["t"] == "v7 v299"

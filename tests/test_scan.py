@@ -279,3 +279,37 @@ def test_large_groups_are_measured(table, monkeypatch):
     monkeypatch.setattr(scan, "MAX_GROUP_ROWS", 100)
     assert scan.needs_split(df, ["g"])
     assert not scan.needs_split(df, ["id"])
+
+
+def test_running_spread_far_from_zero(table):
+    """Both plans over values whose spread is tiny next to their size."""
+    from sluice.operators import scan
+    from sluice.operators.ordering import Key
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+
+    rows = [(k, 1.7e9 + (k * 7) % 11) for k in range(200)]
+    df = table(rows, "k int, v double")
+    got = scan.accumulated(df, {"var": "VARIANCE"}, F.col("v"), [], [Key("k")], count=16)
+    window = Window.orderBy("k").rowsBetween(Window.unboundedPreceding, 0)
+    expected = {r["k"]: r["e"] for r in df.select("k", F.var_samp("v").over(window).alias("e")).collect()}
+    for r in got.collect():
+        if r["k"]:
+            assert abs(r["var"] - expected[r["k"]]) < 1e-4
+
+
+def test_percentile_keeps_groups_without_values(table):
+    from sluice.operators.aggregate import percentile
+
+    df = table([("a", 1.0), ("a", 2.0), ("b", None), (None, 4.0)], "g string, v double")
+    both = [sorted(map(tuple, percentile(df, "v", 0.5, ["g"], "p", split=s).collect()), key=repr) for s in (True, False)]
+    assert both[0] == both[1] and len(both[0]) == 3
+
+
+def test_crosstab_leaves_sums_of_nothing_empty(table):
+    from sluice.operators.aggregate import crosstab
+
+    df = table([("a", "x", 1.0), ("b", "y", 2.0)], "r string, c string, MY_COUNT double")
+    cells = [{"function": "SUM", "column": "MY_COUNT"}, {"function": "COUNT"}]
+    got = {r["r"]: r.asDict() for r in crosstab(df, ["r"], "c", cells).collect()}
+    assert got["a"]["y_SUM_MY_COUNT"] is None and got["a"]["y_COUNT"] == 0
