@@ -9,8 +9,8 @@ runs again puts every row into the same bucket.
 
 from __future__ import annotations
 
+import json
 import math
-import os
 import sys
 from collections import Counter
 from collections.abc import Sequence
@@ -26,13 +26,11 @@ from sluice.functions.kinds import DATE, NUMERIC, col, kind_of, require
 from sluice.session import planned_bytes
 
 BUCKET_BYTES = 128 << 20
-MAX_BUCKETS = 8192
 SAMPLED_BYTES = 64 << 20
-# a value with less than this share of the rows is not cut further
-MAX_TIES = 256
+# cut points of a text key per bucket, rows sampled for each, and the text they may hold together
+_FINER, _SAMPLED_ROWS, _SAMPLED_TEXT = 4, 8, 256 << 20
 # Catalyst plans rows that came from the driver as if they were endless
 UNKNOWN_BYTES = 1 << 60
-_TEXT_BYTES = 24
 _FAR = sys.float_info.max
 
 
@@ -75,11 +73,13 @@ class _Codes:
 
     Equal numbers on one level are told apart by the next. The levels of a key
     end only when equal numbers mean equal keys; where that cannot be had, the
-    list stops and later keys are not used.
+    list stops and later keys are not used. The number of a text is how many cut
+    points lie at or below it; a text that is frequent in the sample has a number
+    of its own, and the others of a number fill a part of a bucket only.
     """
 
-    def __init__(self, df: DataFrame, keys: Sequence[Key]) -> None:
-        self.df, self.keys = df, keys
+    def __init__(self, df: DataFrame, keys: Sequence[Key], sampled: DataFrame, count: int) -> None:
+        self.df, self.keys, self.sampled, self.count = df, keys, sampled, count
         self._all: list[tuple[Column, bool]] | None = None
 
     def first(self) -> tuple[Column, bool]:
@@ -92,7 +92,6 @@ class _Codes:
     def all(self) -> list[tuple[Column, bool]]:
         if self._all is not None:
             return self._all
-        ranges = self._text_ranges()
         self._all = []
         for key in self.keys:
             dtype = self.df.schema[key.name].dataType
@@ -101,28 +100,66 @@ class _Codes:
                 if isinstance(dtype, T.DecimalType) and dtype.precision > 15:
                     exact = False
             else:
-                codes, exact = _text_codes(col(key.name), *ranges[key.name], key.descending)
+                codes, exact = [self._text_code(key)], True
             self._all += [(c, key.descending) for c in codes]
             if not exact:
                 break
         return self._all
 
-    def _text_ranges(self) -> dict[str, tuple[str, int]]:
-        """Shared beginning and longest length of each text key, in one aggregate."""
-        names = [k.name for k in self.keys if kind_of(self.df, k.name) not in (NUMERIC, DATE)]
-        if not names:
-            return {}
-        found = self.df.agg(
-            *[
-                F.struct(F.min(v), F.max(v), F.max(F.octet_length(v)))
-                for v in [col(n).cast("string") for n in names]
-            ]
-        ).first()
-        out = {}
-        for name, (low, high, longest) in zip(names, found, strict=True):
-            shared = os.path.commonprefix([low or "", high or ""])
-            out[name] = (shared, (longest or 0) - len(shared.encode()))
-        return out
+    def _text_code(self, key: Key) -> Column:
+        text = col(key.name).cast("string")
+        points = _text_points(self.sampled.select(text.alias("t")), self.count * _FINER)
+        reached = _reached_text(text, points).cast("double")
+        return F.when(text.isNotNull(), reached).otherwise(_far(key.descending))
+
+
+def _text_points(sampled: DataFrame, wanted: int) -> list[str]:
+    """Cut points on the real values of a sample; frequent values are cut on both sides.
+
+    The sample is sorted on the driver: some rows per cut point, bounded in text.
+    """
+    sizes = sampled.agg(F.count("t"), F.sum(F.octet_length("t"))).first()
+    if not sizes[0]:
+        return []
+    rows = min(wanted * _SAMPLED_ROWS, sizes[0], max(1000, _SAMPLED_TEXT * sizes[0] // max(sizes[1], 1)))
+    few = sampled.filter("t IS NOT NULL").sample(fraction=min(1.0, rows / sizes[0]), seed=11)
+    # Spark orders text by its bytes
+    texts = sorted((r["t"] for r in few.collect()), key=lambda t: t.encode())
+    step = max(1, len(texts) // wanted)
+    picked = texts[::step]
+    points: dict[str, None] = {}
+    for text, n in Counter(picked).items():
+        points[text] = None
+        if n > 1:  # the next text in order after this one
+            points[text + "\0"] = None
+    return list(points)
+
+
+def _reached_text(text: Column, points: list[str]) -> Column:
+    """How many points lie at or below a text, by steps through a tree of a few levels."""
+    if not points:
+        return F.lit(0)
+    fan = 16
+    levels = [points]
+    while len(levels[-1]) > fan:
+        levels.append(levels[-1][::fan])
+    reached: Column | None = None
+    # from the coarsest level down: position among the points of each level
+    for depth in range(len(levels) - 1, -1, -1):
+        level = levels[depth]
+        if reached is None:
+            reached = F.size(F.filter(_array(level, "array<string>"), lambda p: p <= text))
+            continue
+        groups = [level[i : i + fan] for i in range(0, len(level), fan)]
+        inside = F.element_at(_array(groups, "array<array<string>>"), F.greatest(reached, F.lit(1)))
+        here = F.size(F.filter(inside, lambda p: p <= text))
+        reached = F.when(reached == 0, 0).otherwise((reached - 1) * fan + here)
+    return reached
+
+
+def _array(values: list, kind: str) -> Column:
+    """A constant array; one literal, however many values."""
+    return F.from_json(F.lit(json.dumps(values)), kind)
 
 
 def _far(descending: bool) -> Column:
@@ -156,20 +193,6 @@ def _numeric_codes(value: Column, dtype: T.DataType, descending: bool) -> list[C
     return [code, F.coalesce(rest.cast("double"), F.lit(0.0))]
 
 
-def _text_codes(
-    value: Column, shared: str, longest: int, descending: bool
-) -> tuple[list[Column], bool]:
-    """Six bytes a level after what all texts share, and at the end the length."""
-    text = value.cast("string")
-    digits = F.hex(F.encode(F.substring(text, len(shared) + 1, _TEXT_BYTES), "UTF-8"))
-    codes = []
-    for start in range(0, min(max(longest, 1), _TEXT_BYTES), 6):
-        part = F.rpad(F.substring(digits, 2 * start + 1, 12), 12, "0")
-        codes.append(F.coalesce(F.conv(part, 16, 10).cast("double"), _far(descending)))
-    codes.append(F.coalesce(F.octet_length(text).cast("double"), F.lit(0.0)))
-    return codes, longest <= _TEXT_BYTES
-
-
 def _shares(count: int) -> list[float]:
     return [i / count for i in range(1, count)]
 
@@ -189,14 +212,15 @@ def with_buckets(
     if count is None:
         setting = df.sparkSession.conf.get("spark.sql.shuffle.partitions")
         parallel = int(setting) if setting.isdigit() else 200
-        count = min(max(size // BUCKET_BYTES, parallel, 2), MAX_BUCKETS)
+        count = max(size // BUCKET_BYTES, parallel, 2)
     sampled = df
     if size > SAMPLED_BYTES:
         sampled = df.sample(fraction=max(SAMPLED_BYTES / size, 1e-6), seed=7)
-    codes = _Codes(df, keys)
+    codes = _Codes(df, keys, sampled, count)
     code, descending = codes.first()
     found = sampled.agg(F.percentile_approx(code, _shares(count), 10 * count)).first()[0] or []
-    least = max(2, count // MAX_TIES)
+    # a value that fills more than a bucket is cut again
+    least = 2
 
     cuts = {(): sorted(set(found))}
     tied = {(v,): n for v, n in Counter(found).items() if n >= least}

@@ -313,3 +313,33 @@ def test_crosstab_leaves_sums_of_nothing_empty(table):
     cells = [{"function": "SUM", "column": "MY_COUNT"}, {"function": "COUNT"}]
     got = {r["r"]: r.asDict() for r in crosstab(df, ["r"], "c", cells).collect()}
     assert got["a"]["y_SUM_MY_COUNT"] is None and got["a"]["y_COUNT"] == 0
+
+
+def test_text_keys_with_a_long_common_beginning(spark):
+    """Most texts begin alike, two do not; buckets stay even and in order."""
+    from sluice.operators.ordering import Key, with_buckets
+    from pyspark.sql import functions as F
+
+    n = 40_000
+    same = F.concat(F.lit("https://www.example.com/a/very/long/common/path/"), F.lpad(F.col("id").cast("string"), 9, "0"))
+    odd = F.when(F.col("id") == 5, "é").when(F.col("id") == 6, "").otherwise(same)
+    df = spark.range(n).select("id", odd.alias("u"))
+    for descending in (False, True):
+        got = with_buckets(df, [Key("u", descending), Key("id")], "b", 16)
+        stats = got.groupBy("b").agg(F.count("*").alias("n"), F.min("u").alias("lo"), F.max("u").alias("hi")).orderBy("b").collect()
+        assert len(stats) > 8 and max(r["n"] for r in stats) <= 1.5 * n / 16 + 2
+        ends = [(r["lo"].encode(), r["hi"].encode()) for r in (reversed(stats) if descending else stats)]
+        assert all(x[1] < y[0] for x, y in zip(ends, ends[1:]))
+
+
+def test_frequent_texts_are_cut_by_what_follows(spark):
+    from sluice.operators.ordering import Key, with_buckets
+    from pyspark.sql import functions as F
+
+    n = 30_000
+    df = spark.range(n).select("id", F.when(F.col("id") % 3 > 0, "hot").otherwise(F.col("id").cast("string")).alias("u"))
+    got = with_buckets(df, [Key("u"), Key("id", True)], "b", 12)
+    stats = got.groupBy("b").agg(F.count("*").alias("n"), F.min_by("u", F.struct("u", -F.col("id"))).alias("lo"), F.max("u").alias("hi")).collect()
+    assert max(r["n"] for r in stats) <= 2 * n / 12
+    rows = sorted(((r["u"].encode(), -r["id"]), r["b"]) for r in got.collect())
+    assert [b for _, b in rows] == sorted(b for _, b in rows)
