@@ -3,6 +3,7 @@
 from sluice.catalog.registry import query
 from sluice.functions.conditions import Condition
 from sluice.operators import columns as ops
+from sluice.operators import text
 
 
 @query(
@@ -140,3 +141,26 @@ def arrange_columns(t):
         hide=["c_nationkey"],
         first=["c_mktsegment"],
     )
+
+
+@query(
+    "split_positions",
+    """SELECT o_orderkey, left(o_orderpriority, 1) AS number, substr(o_orderpriority, 2, 1) AS mark,
+       substr(o_orderpriority, 3) AS rest FROM orders""",
+)
+def split_positions(t):
+    df = ops.split_column(t.orders, "o_orderpriority", positions=[1, 2], new_columns=["number", "mark", "rest"])
+    return df.select("o_orderkey", "number", "mark", "rest")
+
+
+@query(
+    "trim_sides",
+    r"""SELECT doc_id, regexp_replace(t, '^\s+', '') AS l, regexp_replace(t, '\s+$', '') AS r, regexp_replace(t, '\s+', '', 'g') AS a
+       FROM (SELECT doc_id, '  ' || chr(9) || lang || ' ' || source || chr(10) || ' ' AS t FROM documents)""",
+)
+def trim_sides(t):
+    df = t.documents.selectExpr("doc_id", "'  ' || chr(9) || lang || ' ' || source || chr(10) || ' ' AS t")
+    df = df.selectExpr("doc_id", "t AS l", "t AS r", "t AS a")
+    for name, side in (("l", "left"), ("r", "right"), ("a", "all")):
+        df = text.text_transform(df, [name], trim=side)
+    return df

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import datetime as dt
 import warnings
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import reduce
 from typing import Any
@@ -172,6 +172,9 @@ class Condition(Predicate):
             return _compare(op, side(left), side(col(self.value)))
         if self.value_is_date_fn:
             return _compare(op, left, scope.moment(str(self.value), self.column_name))
+        bounded = self._on_the_bare_column(left)
+        if bounded is not None:
+            return bounded
         if self.component is not None:
             left = dates.component(left, self.component)
             kind = dates.component_kind(self.component)
@@ -202,6 +205,38 @@ class Condition(Predicate):
         return _compare(op, side(left), constant(self.value))
 
 
+    def _on_the_bare_column(self, left: Column) -> Column | None:
+        """A comparison of a truncated date or a year as bounds of the date itself, which scans can use."""
+        values = list(self.value) if isinstance(self.value, (list, tuple, set)) else [self.value]
+        if self.operator not in (*_BOUNDS, "IN_RANGE") or None in values:
+            return None
+        if self.truncate is not None and self.component is None:
+            unit = self.truncate
+            starts = [dates.truncated(unit, literal(v, DATE)) for v in values]
+        elif self.component is not None and self.component.lower() == "year" and self.truncate is None:
+            unit = "year"
+            if not all(isinstance(v, int) and not isinstance(v, bool) and 1 <= v < 9999 for v in values):
+                return None
+            starts = [F.lit(f"{v:04d}-01-01").cast("timestamp_ntz") for v in values]
+        else:
+            return None
+        ends = [F.timestamp_add(unit.upper(), F.lit(1), s) for s in starts]
+        if self.operator == "IN_RANGE":
+            return (left >= starts[0]) & (left < ends[1])
+        return _BOUNDS[self.operator](left, starts[0], ends[0])
+
+
+# comparisons of a moment's unit with a unit from ``start`` to before ``end``
+_BOUNDS: dict[str, Callable[[Column, Column, Column], Column]] = {
+    "EQ": lambda left, start, end: (left >= start) & (left < end),
+    "NE": lambda left, start, end: (left < start) | (left >= end),
+    "GT": lambda left, start, end: left >= end,
+    "GTE": lambda left, start, end: left >= start,
+    "LT": lambda left, start, end: left < start,
+    "LTE": lambda left, start, end: left < end,
+}
+
+
 def _compare(op: str, left: Column, right: Column) -> Column:
     if op == "EQ":
         return left == right

@@ -132,13 +132,29 @@ def normalize_date(
 
 @column_step
 def split_column(
-    df: DataFrame, column: str, delimiter: str, new_columns: Sequence[Part | dict | str]
+    df: DataFrame,
+    column: str,
+    delimiter: str | None = None,
+    new_columns: Sequence[Part | dict | str] = (),
+    positions: Sequence[int] | None = None,
 ) -> Expressions:
-    """Split at a literal delimiter; missing parts are NULL, surplus parts are dropped."""
+    """Split at a literal delimiter, or after the given numbers of characters.
+
+    Missing parts are NULL, surplus parts are dropped.
+    """
     require(df, column)
-    if not delimiter:
-        raise ValueError("the delimiter is empty")
-    pieces = F.split(col(column), literal_pattern(delimiter))
+    if (not delimiter) == (not positions):
+        raise ValueError("split_column takes a delimiter or positions; the delimiter is empty" if delimiter == "" else "split_column takes either a delimiter or positions")
+    if positions:
+        cuts = [0, *positions]
+        if any(b <= a for a, b in zip(cuts, cuts[1:], strict=False)):
+            raise ValueError("positions grow and start above 0")
+        text, length = col(column), F.length(col(column))
+        ends = [*(b - a for a, b in zip(cuts, cuts[1:], strict=False)), 2**31 - 1]
+        parts = [F.when(length > a, F.substring(text, a + 1, n)) for a, n in zip(cuts, ends, strict=True)]
+        pieces = F.array(*parts)
+    else:
+        pieces = F.split(col(column), literal_pattern(delimiter))
     out: Expressions = {}
     for index, spec in enumerate(new_columns, start=1):
         part = as_part(spec)

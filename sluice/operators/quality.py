@@ -266,8 +266,9 @@ def row_level_security(
     own = assignments.filter(col(viewer_column) == viewer)
     everything = own.agg(F.count_if(col(all_access_column))).scalar() > 0
     allowed = own.select(col(value_column).alias("_allowed")).distinct()
-    joined = df.join(allowed, col(column) == F.col("_allowed"), "left")
-    return joined.filter(everything | F.col("_allowed").isNotNull()).drop("_allowed")
+    # with all access one side of the union is the whole table, else the rows with a match
+    whole = df.filter(everything)
+    return whole.unionAll(df.join(allowed, col(column) == F.col("_allowed"), "left_semi").filter(~everything))
 
 
 def distinct_values(df: DataFrame, column: str) -> DataFrame:

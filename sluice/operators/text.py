@@ -16,6 +16,8 @@ from sluice.operators.targets import Expressions, assigned, column_step, rewritt
 
 # fixed values: case names
 _CASES = {"UPPER": F.upper, "LOWER": F.lower, "TITLE": F.initcap}
+# fixed values: what the ways of trimming remove
+_TRIMS = {"left": r"^\s+", "right": r"\s+$", "both": r"^\s+|\s+$", "all": r"\s+"}
 # A value written for one target must not be searched again for the next. Until
 # all are searched it is a mark of three characters: one that begins marks, and
 # two for the number of the target. The first one, where a text has it already,
@@ -36,12 +38,18 @@ def text_transform(
     df: DataFrame,
     columns: Sequence[str],
     case: str | None = None,
-    trim: bool = False,
+    trim: bool | str = False,
     clean: bool = False,
     collapse: bool = False,
     condition: Predicate | dict | None = None,
 ) -> Expressions:
-    """Change case, trim the ends, drop non-printable characters, collapse inner blanks."""
+    """Change case, trim the ends, drop non-printable characters, collapse inner blanks.
+
+    ``trim`` is true (blanks at both ends), ``left``, ``right``, ``both`` (any white
+    space at the ends) or ``all`` (all white space).
+    """
+    if not isinstance(trim, bool) and trim not in _TRIMS:
+        raise ValueError(f"trim is true, false or one of {tuple(_TRIMS)}, not {trim!r}")
     if case is not None and case not in _CASES:
         raise ValueError(f"case is one of {tuple(_CASES)}, not {case!r}")
 
@@ -50,8 +58,10 @@ def text_transform(
             value = F.regexp_replace(value, r"[\p{Cntrl}]", "")
         if collapse:
             value = F.regexp_replace(value, r"\s+", " ")
-        if trim:
+        if trim is True:
             value = F.trim(value)
+        elif trim:
+            value = F.regexp_replace(value, _TRIMS[trim], "")
         return _CASES[case](value) if case else value
 
     return rewritten(df, list(columns), change, condition)

@@ -127,3 +127,32 @@ def test_more_validation(df):
         filter_rows(df, Condition("city", "IN_RANGE", ["a", "b"]))
     with pytest.raises(ValueError, match="unknown column"):
         filter_rows(df, Condition("town", "EQ", "x"))
+
+
+def test_truncated_dates_and_years_reach_the_scan(spark):
+    import re as _re
+
+    df = spark.read.parquet("/root/testdata/sf0.001/orders.parquet")
+    made = [
+        Condition("o_orderdate", "GTE", "1996-03-10", truncate="MONTH"),
+        Condition("o_orderdate", "LT", "1996-03-10", truncate="WEEK"),
+        Condition("o_orderdate", "EQ", 1998, component="year"),
+        Condition("o_orderdate", "IN_RANGE", [1993, 1994], component="year"),
+    ]
+    for condition in made:
+        plan = df.filter(condition.column(df))._jdf.queryExecution().executedPlan().toString()
+        assert _re.search(r"PushedFilters: \[[^\]]*(GreaterThan|LessThan)[^\]]*o_orderdate", plan), plan
+
+
+def test_bounds_agree_with_the_truncated_values(table):
+    import datetime as dt
+
+    from pyspark.sql import functions as F
+
+    stamps = [dt.datetime(2024, 1, 1) + dt.timedelta(hours=7 * k, microseconds=k) for k in range(200)] + [None]
+    df = table([(s,) for s in stamps], "t timestamp_ntz")
+    for unit in ("DAY", "WEEK", "MONTH", "HOUR"):
+        for op, sign in (("EQ", "="), ("NE", "<>"), ("GT", ">"), ("GTE", ">="), ("LT", "<"), ("LTE", "<=")):
+            got = df.filter(Condition("t", op, "2024-02-07 05:00:00", truncate=unit).column(df)).count()
+            text = f"date_trunc('{unit}', t) {sign} date_trunc('{unit}', timestamp_ntz'2024-02-07 05:00:00')"
+            assert got == df.filter(F.expr(text)).count(), (unit, op)

@@ -319,3 +319,23 @@ def test_bulk_replace_with_private_characters(table):
     assert [r["t"] for r in made.collect()] == ["x", "b", "bZ"]
     many = bulk_replace(table([("w7 w299",)], "t string"), ["t"], [Variants([f"w{k}"], f"v{k}") for k in range(299, -1, -1)])
     assert many.first()["t"] == "v7 v299"
+
+
+def test_trim_of_one_side_and_of_all(table):
+    from sluice.operators.text import text_transform
+
+    df = table([(" \ta b\n ",)], "t string")
+    got = {k: text_transform(df, ["t"], trim=k).first()["t"] for k in ("left", "right", "both", "all")}
+    assert got == {"left": "a b\n ", "right": " \ta b", "both": "a b", "all": "ab"}
+    with pytest.raises(ValueError, match="trim"):
+        text_transform(df, ["t"], trim="middle")
+
+
+def test_split_at_positions(table):
+    from sluice.operators.columns import split_column
+
+    df = table([("abcdef",), ("abc",), ("a",), (None,)], "t string")
+    made = split_column(df, "t", positions=[2, 3], new_columns=["x", "y", "z"])
+    assert [tuple(r)[1:] for r in made.collect()] == [("ab", "c", "def"), ("ab", "c", None), ("a", None, None), (None, None, None)]
+    with pytest.raises(ValueError, match="grow"):
+        split_column(df, "t", positions=[3, 2], new_columns=["x"])
