@@ -32,10 +32,11 @@ CLOSING = b"\"')]"
 
 @dataclass(frozen=True)
 class Run:
-    """How long a run is at least."""
+    """How long a run is at least; a sentence of ``alone`` words is a run by itself."""
 
     sentences: int = 2
     words: int = 25
+    alone: int = 40
 
 
 def sentences(t: Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -82,9 +83,10 @@ def runs(hashes: np.ndarray, words: np.ndarray, first: np.ndarray, run: Run) ->
     here = np.arange(n)
     ahead = np.maximum(np.searchsorted(upto, upto[:-1] + run.words), here + run.sentences)
     back = np.minimum(np.searchsorted(upto, upto[1:] - run.words, "right") - 1, here + 1 - run.sentences)
-    begin = np.concatenate([here, back])
-    end = np.concatenate([ahead, here + 1])
-    owner = np.concatenate([doc, doc])
+    long = np.flatnonzero(words >= run.alone)
+    begin = np.concatenate([here, back, long])
+    end = np.concatenate([ahead, here + 1, long + 1])
+    owner = np.concatenate([doc, doc, doc[long]])
     fits = (begin >= first[owner]) & (end <= first[owner + 1])
     both = np.unique(np.stack([begin[fits], end[fits]], axis=1), axis=0) if fits.any() else np.zeros((0, 2), np.int64)
     begin, end = both[:, 0], both[:, 1]

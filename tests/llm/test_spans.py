@@ -32,6 +32,8 @@ def plain(docs, run):
                 if sum(x[1] for x in s[i:j]) >= run.words:
                     found.add((i, j))
                     break
+            if s[i][1] >= run.alone:
+                found.add((i, i + 1))
             for h in range(i + 1 - run.sentences, -1, -1):
                 if sum(x[1] for x in s[h : i + 1]) >= run.words:
                     found.add((h, i + 1))
@@ -100,6 +102,13 @@ def test_odd_rows(table):
     assert got[7][1] == 0
 
 
+def test_a_long_sentence_is_a_run(table):
+    long = " ".join(f"w{k}" for k in range(45)) + "."
+    rows = [(1, f"Start here. {long} End."), (2, f"Other start. {long.upper()} Other end.")]
+    got = {r["doc_id"]: r["text"] for r in remove_repeats(table(rows, "doc_id long, text string")).collect()}
+    assert got == {1: rows[0][1], 2: "Other start. Other end."}
+
+
 def test_empty_table(table):
     df = table([], "doc_id long, text string")
     assert remove_repeats(df).collect() == []
