@@ -197,8 +197,13 @@ def _with_marks(df: DataFrame, checks: Sequence[Check]) -> tuple[DataFrame, dict
     return df, failed
 
 
+def as_checks(checks: Sequence[Check | Mapping]) -> list[Check]:
+    """Checks, also given as dictionaries, as saved recipes hold them."""
+    return [Check(**c) if isinstance(c, Mapping) else c for c in checks]
+
+
 def _distinct_names(checks: Sequence[Check]) -> None:
-    names = [c.name for c in checks]
+    names = [c.name for c in as_checks(checks)]
     again = sorted({n for n in names if names.count(n) > 1})
     if again:
         raise ValueError(f"checks need names of their own; given more than once: {again}")
@@ -207,6 +212,7 @@ def _distinct_names(checks: Sequence[Check]) -> None:
 def flag_rows(df: DataFrame, checks: Sequence[Check], out: str = "failed_checks") -> DataFrame:
     """The rows that fail some check, with the names of the checks they fail."""
     _distinct_names(checks)
+    checks = as_checks(checks)
     names = df.columns
     marked, failed = _with_marks(df, checks)
     listed = F.array_compact(F.array(*[F.when(bad, F.lit(n)) for n, bad in failed.items()]))
@@ -217,6 +223,7 @@ def flag_rows(df: DataFrame, checks: Sequence[Check], out: str = "failed_checks"
 def check_summary(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
     """One row per check: rows looked at, rows that failed, and whether it passed."""
     _distinct_names(checks)
+    checks = as_checks(checks)
     marked, failed = _with_marks(df, checks)
     total = F.count(F.lit(1))
     entries = []

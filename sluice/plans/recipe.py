@@ -21,6 +21,7 @@ from sluice.operators import (
     date_ops,
     joins,
     json_ops,
+    quality,
     rows,
     similar,
     sql,
@@ -76,6 +77,12 @@ OPERATORS: dict[str, Callable[..., DataFrame]] = {
         windows.running_aggregates,
         windows.fill_missing,
         windows.top_per_group,
+        windows.growth,
+        quality.profile,
+        quality.flag_rows,
+        quality.check_summary,
+        quality.conditional_format,
+        quality.row_level_security,
         joins.join,
         joins.lookup,
         joins.lookup_mapping,

@@ -5,6 +5,8 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -55,7 +57,32 @@ def scratch_root(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new, unused path below the shared scratch folder."""
-    return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+    path = f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+    for held in _open:
+        held.append(path)
+    return path
+
+
+# the paths handed out within each open ``intermediates``
+_open: list[list[str]] = []
+
+
+@contextmanager
+def intermediates(spark: SparkSession) -> Iterator[None]:
+    """Remove at the end what operators wrote to the scratch folder inside.
+
+    Results read these copies, so write or count them inside as well.
+    """
+    held: list[str] = []
+    _open.append(held)
+    try:
+        yield
+    finally:
+        _open.remove(held)
+        hadoop = spark._jvm.org.apache.hadoop.fs
+        for path in held:
+            made = hadoop.Path(path)
+            made.getFileSystem(spark._jsc.hadoopConfiguration()).delete(made, True)
 
 
 def materialize(df: DataFrame, label: str = "step") -> DataFrame:

@@ -114,3 +114,17 @@ def test_chained_running_windows_stay_linear(orders):
         order = ["o_orderdate", "o_orderkey"]
         df = windows.window(df, "SUM", "o_totalprice", f"t{i}", order_by=order, range_type="RUNNING")
     assert plan(df).count("FileScan") <= 3
+
+
+def test_intermediates_go_when_they_are_no_longer_needed(spark):
+    import os
+
+    from sluice.catalog import QUERIES
+    from sluice.session import intermediates, scratch_root
+
+    root = scratch_root(spark).removeprefix("file://")
+    before = set(os.listdir(root))
+    with intermediates(spark):
+        assert QUERIES["win_rank_split"](spark, "/root/testdata/sf0.001").count() > 0
+        assert set(os.listdir(root)) - before
+    assert set(os.listdir(root)) == before

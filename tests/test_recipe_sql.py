@@ -206,3 +206,16 @@ def test_checkpoints_depend_on_the_joined_tables(df, table, tmp_path):
 def test_recipes_with_tables_are_not_saved(df):
     with pytest.raises(TypeError, match="cannot be saved"):
         Recipe().add("join", other=df, on=["id"]).to_json()
+
+
+def test_checks_tags_and_access_are_steps_that_can_be_saved(df, table):
+    from sluice.operators.quality import Check
+
+    made = Recipe().add("flag_rows", checks=[Check("has n", "not_null", "n"), Check("low", "condition", condition=Condition("id", "LT", 3))])
+    again = Recipe.from_json(made.to_json())
+    assert values(again.apply(df), "id", "failed_checks") == values(made.apply(df), "id", "failed_checks") == [(3, "has n, low")]
+    tagged = Recipe().add("conditional_format", rules=[["red", "n", Condition("n", "GT", 15)]])
+    assert values(Recipe.from_json(tagged.to_json()).apply(df), "id", "format_tags") == [(1, ""), (2, "n:red"), (3, "")]
+    access = table([("ann", "a-x", False)], "viewer string, value string, all_access boolean")
+    own = Recipe().add("row_level_security", column="code", viewer="ann", assignments={"view": "access"})
+    assert values(Recipe.from_json(own.to_json()).apply(df, {"access": access}), "id") == [(1,)]
