@@ -13,17 +13,24 @@ from sluice.functions.conditions import Predicate, as_predicate
 from sluice.functions.kinds import NUMERIC, TEXT, col, converted, kind_of, require
 from sluice.operators.aggregate import Aggregation, pivot, sketched_distinct
 from sluice.operators.rows import limit_rows
+from sluice.session import settled
 
 MAX_WIDGETS = 100  # fixed value: widgets in one request
 
 
 def profile(
-    df: DataFrame, columns: Sequence[str] | None = None, top: int = 5, exact: bool = False
+    df: DataFrame,
+    columns: Sequence[str] | None = None,
+    top: int = 5,
+    exact: bool = False,
+    samples: int = 0,
 ) -> DataFrame:
     """One row per column: kind, nulls, distinct values, range, mean, spread, top values.
 
     Distinct counts are sketched unless ``exact``. The range is over the values
     as text for TEXT, as numbers otherwise; top values come as ``value (count)``.
+    ``samples`` adds that many different values, the same ones on every run.
+    An exact profile reads the table twice, whatever its number of columns.
     """
     names = list(columns or df.columns)
     require(df, *names)
@@ -34,7 +41,7 @@ def profile(
         blank = F.lit(None).cast("double")
         text = converted(value, kinds[name], TEXT)
         low, high = (F.min(value), F.max(value)) if kinds[name] != TEXT else (F.min(text), F.max(text))
-        distinct = F.count_distinct(value) if exact else sketched_distinct(value)
+        distinct = F.lit(0).cast("bigint") if exact else sketched_distinct(value)
         return F.struct(
             F.lit(name).alias("column"),
             F.lit(kinds[name]).alias("kind"),
@@ -47,21 +54,44 @@ def profile(
             (F.stddev_samp(value) if number else blank).alias("stddev"),
         )
 
+    one = df.agg(*[measures(n).alias(f"m{i}") for i, n in enumerate(names)])
+    rows = one.select(F.inline(F.array(*[F.col(f"m{i}") for i in range(len(names))])))
+    percent = F.round(F.try_divide(F.col("nulls") * 100, F.col("rows")), 2)
+    rows = rows.withColumn("null_pct", percent)
+    if not exact and not samples:
+        return rows.join(_sketched_tops(df, names, top), "column", "left")
+    counts = settled(value_counts(df, names), "counts")
     if exact:
-        # one aggregate per column: several exact distinct counts in one would
-        # multiply every row before the shuffle
-        from functools import reduce
+        distinct = counts.groupBy("column").agg(F.count(F.lit(1)).alias("_distinct"))
+        order = rows.columns
+        rows = rows.join(distinct, "column", "left").withColumn("distinct_values", F.coalesce("_distinct", F.lit(0).cast("bigint")))
+        rows = rows.select(*order).join(_tops(counts, top), "column", "left")
+    else:
+        rows = rows.join(_sketched_tops(df, names, top), "column", "left")
+    if not samples:
+        return rows
+    # the values with the smallest hashes, a handful per column
+    place = Window.partitionBy("column").orderBy(F.xxhash64("value"), "value")
+    few = counts.withColumn("place", F.row_number().over(place)).filter(F.col("place") <= samples)
+    listed = few.groupBy("column").agg(F.array_sort(F.collect_list("shown")).alias("sample_values"))
+    return rows.join(listed, "column", "left")
 
-        rows = reduce(
-            DataFrame.unionByName,
-            [df.agg(measures(n).alias("m")).select("m.*") for n in names],
+
+def value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``column, value, shown, n`` of all values of all columns, counted in one shuffle.
+
+    ``value`` tells values apart, ``shown`` is how they read as TEXT.
+    """
+    entries = [
+        F.struct(
+            F.lit(c).alias("column"),
+            col(c).cast("string").alias("value"),
+            converted(col(c), kind_of(df, c), TEXT).alias("shown"),
         )
-    else:
-        one = df.agg(*[measures(n).alias(f"m{i}") for i, n in enumerate(names)])
-        rows = one.select(F.inline(F.array(*[F.col(f"m{i}") for i in range(len(names))])))
-    percent = F.round(F.try_divide(F.col("nulls") * 100, F.col("rows")), 2)
-    tops = top_values(df, names, top) if exact else _sketched_tops(df, names, top)
-    return rows.withColumn("null_pct", percent).join(tops, "column", "left")
+        for c in columns
+    ]
+    long = df.select(F.inline(F.array(*entries))).filter("value IS NOT NULL")
+    return long.groupBy("column", "value").agg(F.any_value("shown").alias("shown"), F.count(F.lit(1)).alias("n"))
 
 
 def _sketched_tops(df: DataFrame, columns: Sequence[str], top: int) -> DataFrame:
@@ -93,11 +123,13 @@ def _sketched_tops(df: DataFrame, columns: Sequence[str], top: int) -> DataFrame
 
 def top_values(df: DataFrame, columns: Sequence[str], top: int = 5) -> DataFrame:
     """The most frequent values of each column, counted for all columns in one shuffle."""
-    texts = [converted(col(c), kind_of(df, c), TEXT).alias(c) for c in columns]
-    long = df.select(*texts).unpivot([], [col(c) for c in columns], "column", "value")
-    counts = long.filter("value is not null").groupBy("column", "value").count()
+    return _tops(value_counts(df, columns), top)
+
+
+def _tops(counts: DataFrame, top: int) -> DataFrame:
+    shown = counts.groupBy("column", F.col("shown").alias("value")).agg(F.sum("n").alias("count"))
     place = Window.partitionBy("column").orderBy(F.desc("count"), F.asc("value"))
-    kept = counts.withColumn("place", F.row_number().over(place)).filter(F.col("place") <= top)
+    kept = shown.withColumn("place", F.row_number().over(place)).filter(F.col("place") <= top)
     entry = F.struct("place", F.concat("value", F.lit(" ("), F.col("count"), F.lit(")")).alias("t"))
     listed = F.transform(F.array_sort(F.collect_list(entry)), lambda e: e["t"])
     return kept.groupBy("column").agg(F.array_join(listed, ", ").alias("top_values"))

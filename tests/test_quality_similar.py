@@ -204,3 +204,16 @@ def test_checks_need_names_of_their_own(table):
     for run in (check_summary, flag_rows):
         with pytest.raises(ValueError, match="more than once"):
             run(df, twice)
+
+
+def test_exact_profile_reads_twice_and_shows_samples(table):
+    from sluice.operators.quality import profile
+
+    df = table([(k, f"t{k % 7}", None if k % 2 else 1.5) for k in range(40)], "a int, b string, c double")
+    made = profile(df, exact=True, samples=3)
+    got = {r["column"]: r for r in made.collect()}
+    assert {k: r["distinct_values"] for k, r in got.items()} == {"a": 40, "b": 7, "c": 1}
+    assert got["b"]["sample_values"] == sorted(got["b"]["sample_values"]) and len(got["b"]["sample_values"]) == 3
+    assert got["c"]["sample_values"] == ["1.5"] and got["c"]["top_values"] == "1.5 (20)"
+    again = {r["column"]: r["sample_values"] for r in profile(df.repartition(7), exact=True, samples=3).collect()}
+    assert again == {k: r["sample_values"] for k, r in got.items()}
