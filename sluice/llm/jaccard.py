@@ -11,9 +11,11 @@ may have partners there.
 With spare pieces more than one must agree. So, as in prefix filtering, every
 set leaves out its most frequent pieces, as many as it can spare: pieces that
 hold nothing but a widely shared passage never form candidates. What is left is
-compared with one set per piece; pieces whose sets are not all connected after
-that are compared across components, so that no link is lost. Equal sets are one
-set throughout. Every candidate is verified on the whole sets.
+compared with one set per piece, and again with another one where a piece's sets
+are not all connected; what is apart even then is compared across components.
+There the Hamming distance of short folded sketches bounds the difference from
+below, so that no link is lost and hardly a pair is formed for nothing. Equal sets are one set throughout. Every candidate is
+verified on the whole sets.
 """
 
 from __future__ import annotations
@@ -24,14 +26,17 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sluice.llm.counts import by_shard, pack, pack_sorted, shard_bits, unpack, unpack_sorted
 from sluice.llm.vectors import U64, Texts, mixed, ragged, run_hashes, slices, span_hashes, split_words, texts
-from sluice.operators.similar import smallest_connected
 from sluice.session import materialize
 
+#: bits of the folded sketch of a whole set
+FOLD = 1024
+#: rows a task of a small step should have at least
+TASK_ROWS = 100_000
 #: members of one piece that a task sends to its shard; the others skip the shard
 LOCAL_MEMBERS = 64
 
@@ -95,6 +100,15 @@ def class_of(sets: np.ndarray, first: np.ndarray) -> np.ndarray:
         return mixed(total[first[1:]] - total[first[:-1]] + mixed(size.astype(U64)))
 
 
+def folded(sets: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """The parity sketch of each set, folded to ``FOLD`` bits: rows of 64-bit words."""
+    n = len(first) - 1
+    doc = np.repeat(np.arange(n), np.diff(first))
+    place = (mixed(sets + U64(2)) >> U64(32)).astype(np.int64) % FOLD
+    odd = (np.bincount(doc * FOLD + place, minlength=n * FOLD) & 1).astype(np.uint8)
+    return np.packbits(odd.reshape(n, FOLD), axis=1).view(np.int64)
+
+
 def sketch_pieces(sets: np.ndarray, first: np.ndarray, rule: Similar) -> dict[str, np.ndarray]:
     """The pieces each set may meet others in: set, key, band, and how many it can spare."""
     size = np.diff(first)
@@ -159,7 +173,8 @@ def sketch_blocks(df: DataFrame, rule: Similar, bits: int, block_keys: int = 1_5
                 names, size = class_of(sets, first), np.diff(first)
                 ids = part.column("doc_id")
                 null = np.asarray(ids.is_null(), dtype=np.uint8)
-                yield _rows([(-2, pack(np.asarray(ids.fill_null(0), np.int64)), pack(null), pack(names), pack(size), b"")])
+                fold = folded(sets, first).tobytes()
+                yield _rows([(-2, pack(np.asarray(ids.fill_null(0), np.int64)), pack(null), pack(names), pack(size), fold)])
                 made = sketch_pieces(sets, first, rule)
                 s = made["set"]
                 held.append((made["key"], names[s], made["band"], made["spare"], size[s]))
@@ -260,17 +275,18 @@ def _unpacked_members(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]
 
 def _unpacked_documents(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
-        for a, b, c, d in zip(pdf["a"], pdf["b"], pdf["c"], pdf["d"], strict=True):
+        for a, b, c, d, e in zip(pdf["a"], pdf["b"], pdf["c"], pdf["d"], pdf["e"], strict=True):
             ids, null = unpack(a), unpack(b).astype(bool)
             doc = pd.array(ids, "Int64")
             doc[null] = pd.NA
-            yield pd.DataFrame({"doc_id": doc, "cls": unpack(c).view(np.int64), "size": unpack(d)})
+            fold = np.frombuffer(e, np.int64).reshape(len(ids), -1)
+            yield pd.DataFrame({"doc_id": doc, "cls": unpack(c).view(np.int64), "size": unpack(d), "fold": list(fold)})
 
 
-def _class_sets(df: DataFrame, needed: DataFrame, rule: Similar) -> DataFrame:
-    """``cls, items`` of the sets needed, from one document of each."""
+def _class_sets(df: DataFrame, documents: DataFrame, pairs: DataFrame, rows: int, rule: Similar) -> DataFrame:
+    """``cls, items`` of all sets that met another one, from one document of each, written once."""
 
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for part in slices(whole):
                 sets, first = shingle_sets(texts(part.column("text")), rule.words)
@@ -279,9 +295,24 @@ def _class_sets(df: DataFrame, needed: DataFrame, rule: Similar) -> DataFrame:
                 same = pa.array(names == np.asarray(part.column("cls")))
                 yield pa.RecordBatch.from_arrays([pa.array(names), items], ["cls", "items"]).filter(same)
 
+    wanted = pairs.select(F.col("a").alias("cls")).union(pairs.select("b")).distinct()
+    needed = documents.filter("size > 0").join(wanted, "cls").groupBy("cls").agg(F.min("doc_id").alias("doc_id"))
+    needed = materialize(_sized(needed, 2 * rows), "needed")
     chosen = df.select(F.col("doc_id").cast("long").alias("_id"), F.col("text").cast("string").alias("text"))
-    joined = chosen.join(needed, F.col("_id").eqNullSafe(F.col("doc_id"))).select("cls", "text")
-    return joined.mapInArrow(rows, "cls long, items array<long>").dropDuplicates(["cls"])
+    # the same plan at every size
+    joined = chosen.join(needed.hint("merge"), F.col("_id").eqNullSafe(F.col("doc_id"))).select("cls", "text")
+    return materialize(joined.mapInArrow(shingled, "cls long, items array<long>").dropDuplicates(["cls"]), "sets")
+
+
+def _sized(df: DataFrame, rows: int) -> DataFrame:
+    """In tasks of at least ``TASK_ROWS`` rows, when there are about so many rows."""
+    return df.coalesce(max(1, -(-rows // TASK_ROWS)))
+
+
+def _kept(df: DataFrame, label: str, rows: int) -> tuple[DataFrame, int]:
+    """``df`` written once, and its number of rows; ``rows`` is about how many are expected."""
+    made = materialize(_sized(df, rows), label)
+    return made, made.count()
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, rule: Similar) -> DataFrame:
@@ -294,6 +325,38 @@ def _verified(pairs: DataFrame, sets: DataFrame, rule: Similar) -> DataFrame:
     return joined.filter(F.col("both") * 100 >= either * rule.percent).select("a", "b")
 
 
+def components(links: DataFrame, rows: int) -> DataFrame:
+    """``cls, label``: the smallest class each linked class is connected to.
+
+    Every class points at its smallest neighbour, pointers are followed to their
+    ends, and links between different ends make a smaller graph of the same kind,
+    until no link is left. Each step is written to the shared folder, in as many
+    tasks as its rows need.
+    """
+    labels = None
+    while rows:
+        ways = links.select("a", "b").union(links.select("b", "a")).toDF("cls", "near")
+        low = F.least("cls", F.min("near")).alias("label")
+        point, nodes = _kept(ways.groupBy("cls").agg(low), "labels", 2 * rows)
+        while True:
+            ahead = point.select(F.col("cls").alias("label"), F.col("label").alias("far"))
+            moved = point.join(ahead, "label").select("cls", F.col("far").alias("label"), (F.col("far") != F.col("label")).alias("moved"))
+            moved, _ = _kept(moved, "labels", nodes)
+            point = moved.drop("moved")
+            if moved.filter("moved").isEmpty():
+                break
+        if labels is None:
+            labels, total = point, nodes
+        else:
+            far = point.select(F.col("cls").alias("label"), F.col("label").alias("far"))
+            labels = labels.join(far, "label", "left").select("cls", F.coalesce("far", "label").alias("label"))
+            labels, total = _kept(labels, "labels", total)
+        ends = [point.select(F.col("cls").alias(x), F.col("label").alias(f"{x}_end")) for x in ("a", "b")]
+        moved = links.join(ends[0], "a").join(ends[1], "b").filter("a_end <> b_end")
+        links, rows = _kept(moved.select(F.col("a_end").alias("a"), F.col("b_end").alias("b")).distinct(), "links", rows)
+    return labels if labels is not None else links.sparkSession.createDataFrame([], "cls long, label long")
+
+
 def jaccard_classes(df: DataFrame, rule: Similar = Similar()) -> DataFrame:
     """Documents of ``doc_id, text`` with the group they are linked into.
 
@@ -309,49 +372,84 @@ def jaccard_classes(df: DataFrame, rule: Similar = Similar()) -> DataFrame:
     pieces = size / 6 * 2 * (100 - rule.percent) / (100 + rule.percent) * rule.spare * 1.6
     bits = shard_bits(pieces, 3_000_000)
     blocks = materialize(sketch_blocks(df, rule, bits), "sketches")
-    documents = blocks.filter("shard = -2").mapInPandas(_unpacked_documents, "doc_id long, cls long, size long")
+    unpacked = blocks.filter("shard = -2").mapInPandas(_unpacked_documents, "doc_id long, cls long, size long, fold array<long>")
+    documents = materialize(unpacked, "documents")
     shared = blocks.filter("shard >= 0").groupBy("shard").applyInPandas(_members, MEMBERS)
     hot = blocks.filter("shard = -1").mapInPandas(_unpacked_members, MEMBERS)
     members = materialize(shared.unionByName(hot), "members")
     rank = F.row_number().over(Window.partitionBy("cls", "band").orderBy(F.desc("freq"), "key"))
-    kept = materialize(members.withColumn("_rank", rank).filter("_rank > spare").select("key", "cls", "size"), "kept")
+    ranked = members.withColumn("_rank", rank).filter("_rank > spare").select("key", "cls", "size")
+    kept, n = _kept(ranked, "kept", members.count())
 
     fits = F.least("size", "size_b") * 100 >= F.greatest("size", "size_b") * rule.percent
     leads = kept.groupBy("key").agg(F.min(F.struct("cls", "size")).alias("lead"))
     star = kept.join(leads, "key").select(F.col("lead.cls").alias("a"), F.col("lead.size").alias("size_b"), F.col("cls").alias("b"), "size")
-    pairs = materialize(star.filter((F.col("a") != F.col("b")) & fits).select("a", "b").distinct(), "pairs")
-    links = _linked(df, documents, pairs, rule)
-    groups = smallest_connected(links)
-
-    # pieces whose sets are still apart: compare across components
-    label = F.coalesce("_label", "cls")
-    placed = kept.join(groups, kept["cls"] == groups["_text"], "left").select("key", "cls", "size", label.alias("label"))
+    met, n_met = _kept(star.filter(F.col("a") != F.col("b")).select("a", "b", fits.alias("fits")).distinct(), "pairs", n)
+    pairs = met.filter("fits").select("a", "b")
+    sets = _class_sets(df, documents, met, n_met, rule)
+    links, linked = _linked(pairs, n_met, sets, rule)
+    groups = components(links, linked)
+
+    # pieces whose sets are still apart: first with one set per piece, another one for
+    # each piece, then, in those that remain, across components
+    folds = documents.select("cls", "fold").dropDuplicates(["cls"])
+    for find in (_leading, _across):
+        rest, n = _apart(kept, groups, folds, n)
+        if not n:
+            break
+        more, asked = _kept(find(rest, rule).distinct().join(pairs, ["a", "b"], "left_anti"), "pairs", n)
+        if asked:
+            pairs = pairs.unionByName(more)
+            found, extra = _linked(more, asked, sets, rule)
+            if extra:
+                links, linked = links.unionByName(found), linked + extra
+                groups = components(links, linked)
+    return _labelled(documents.drop("fold"), groups)
+
+
+def _apart(kept: DataFrame, groups: DataFrame, folds: DataFrame, rows: int) -> tuple[DataFrame, int]:
+    """The sets of pieces that are not all connected, with their component and folded sketch."""
+    label = F.coalesce("label", "cls").alias("label")
+    placed = kept.join(groups, "cls", "left").select("key", "cls", "size", label)
     apart = placed.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count(F.lit(1)).alias("n"))
-    rest = materialize(placed.join(apart.filter("lo <> hi AND n > 2").select("key"), "key"), "apart")
-    other = rest.select("key", F.col("cls").alias("b"), F.col("size").alias("size_b"), F.col("label").alias("label_b"))
-    across = rest.withColumnRenamed("cls", "a").join(other, "key").filter(
-        (F.col("a") < F.col("b")) & (F.col("label") != F.col("label_b")) & fits
+    return _kept(placed.join(apart.filter("lo <> hi AND n > 2").select("key"), "key").join(folds, "cls"), "apart", rows)
+
+
+def _near(rule: Similar) -> Column:
+    """Whether two sets side by side may be similar, by sizes and folded sketches."""
+    fits = F.least("size", "size_b") * 100 >= F.greatest("size", "size_b") * rule.percent
+    differ = F.aggregate(
+        F.zip_with("fold", "fold_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda total, x: total + x
     )
-    more = materialize(across.select("a", "b").distinct().join(pairs, ["a", "b"], "left_anti"), "pairs")
-    if not more.isEmpty():
-        groups = smallest_connected(links.unionByName(_linked(df, documents, more, rule)))
-    return _labelled(documents, groups)
+    near = differ * (100 + rule.percent) <= (F.col("size") + F.col("size_b")) * (100 - rule.percent)
+    return (F.col("label") != F.col("label_b")) & fits & near
 
 
-def _linked(df: DataFrame, documents: DataFrame, pairs: DataFrame, rule: Similar) -> DataFrame:
-    if pairs.isEmpty():
-        return pairs
-    wanted = pairs.select(F.col("a").alias("cls")).union(pairs.select("b")).distinct()
-    needed = documents.filter("size > 0").join(wanted, "cls").groupBy("cls").agg(F.min("doc_id").alias("doc_id"))
-    sets = materialize(_class_sets(df, needed, rule), "sets")
-    return materialize(_verified(pairs, sets, rule), "links")
+def _pairs(joined: DataFrame) -> DataFrame:
+    return joined.select(F.least("cls", "cls_b").alias("a"), F.greatest("cls", "cls_b").alias("b"))
+
+
+def _leading(rest: DataFrame, rule: Similar) -> DataFrame:
+    """Every set with one set of its piece, which differs from piece to piece."""
+    one = F.min_by(F.struct("cls", "size", "label", "fold"), F.xxhash64("key", "cls")).alias("lead")
+    leads = rest.groupBy("key").agg(one).select("key", *(F.col(f"lead.{c}").alias(f"{c}_b") for c in ("cls", "size", "label", "fold")))
+    return _pairs(rest.join(leads, "key").filter(_near(rule)))
+
+
+def _across(rest: DataFrame, rule: Similar) -> DataFrame:
+    """Sets of a piece that belong to different components."""
+    other = rest.select("key", *(F.col(c).alias(f"{c}_b") for c in ("cls", "size", "label", "fold")))
+    return _pairs(rest.join(other, "key").filter((F.col("cls") < F.col("cls_b")) & _near(rule)))
+
+
+def _linked(pairs: DataFrame, rows: int, sets: DataFrame, rule: Similar) -> tuple[DataFrame, int]:
+    """The pairs that are similar, and how many they are."""
+    return _kept(_verified(pairs, sets, rule), "links", 8 * rows)
 
 
 def _labelled(documents: DataFrame, groups: DataFrame) -> DataFrame:
     full = F.col("size") > 0
-    placed = documents.join(groups, full & (F.col("cls") == F.col("_text")), "left").select(
-        "doc_id", "size", F.when(full, F.coalesce("_label", "cls")).alias("label")
-    )
+    placed = documents.join(groups, "cls", "left").select("doc_id", "size", F.when(full, F.coalesce("label", "cls")).alias("label"))
     smallest = placed.filter("label IS NOT NULL").groupBy(F.col("label").alias("_of")).agg(F.min("doc_id").alias("lowest"))
     joined = placed.join(smallest, F.col("label") == F.col("_of"), "left")
     component = F.when(F.col("label").isNull(), F.col("doc_id")).otherwise(F.col("lowest"))
