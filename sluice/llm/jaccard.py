@@ -161,7 +161,7 @@ def _rows(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], NAMES)
 
 
-def sketch_blocks(df: DataFrame, rule: Similar, bits: int, block_keys: int = 1_500_000) -> DataFrame:
+def sketch_blocks(df: DataFrame, rule: Similar, bits: int, block_keys: int = 500_000) -> DataFrame:
     """Packed rows of ``doc_id, text``: pieces by shard, members of hot pieces (-1), documents (-2)."""
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -177,7 +177,7 @@ def sketch_blocks(df: DataFrame, rule: Similar, bits: int, block_keys: int = 1_5
                 yield _rows([(-2, pack(np.asarray(ids.fill_null(0), np.int64)), pack(null), pack(names), pack(size), fold)])
                 made = sketch_pieces(sets, first, rule)
                 s = made["set"]
-                held.append((made["key"], names[s], made["band"], made["spare"], size[s]))
+                held.append((made["key"], names[s], made["band"].astype(np.uint8), made["spare"].astype(np.uint32), size[s]))
                 count += len(s)
                 if count > block_keys:
                     yield _rows(list(_packed(held, bits)))
@@ -237,7 +237,7 @@ def _members(pdf: pd.DataFrame) -> pd.DataFrame:
         keys.append(unpack_sorted(a))
         cls.append(unpack(c)[inside])
         size.append((both >> 8)[inside])
-        band.append((both & 255)[inside])
+        band.append((both & 255).astype(np.uint8)[inside])
         spare.append(unpack(e)[inside])
     key, cls, band, spare, size = (np.concatenate(x) for x in (keys, cls, band, spare, size))
     order = np.lexsort((cls, key))
@@ -370,7 +370,7 @@ def jaccard_classes(df: DataFrame, rule: Similar = Similar()) -> DataFrame:
     size = df.select(F.sum(F.octet_length("text"))).first()[0] or 0
     # about one shingle in six bytes, and a piece per possible difference, some in two bands
     pieces = size / 6 * 2 * (100 - rule.percent) / (100 + rule.percent) * rule.spare * 1.6
-    bits = shard_bits(pieces, 3_000_000)
+    bits = shard_bits(pieces, 1_000_000)
     blocks = materialize(sketch_blocks(df, rule, bits), "sketches")
     unpacked = blocks.filter("shard = -2").mapInPandas(_unpacked_documents, "doc_id long, cls long, size long, fold array<long>")
     documents = materialize(unpacked, "documents")
