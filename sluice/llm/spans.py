@@ -2,7 +2,8 @@
 
 Every run of consecutive sentences that is just long enough is hashed, and runs
 with equal hashes meet across the whole corpus. All but the first occurrence (by
-doc_id, then place) cover their sentences, and covered sentences go.
+doc_id, then row, then place) cover their sentences, and covered sentences go.
+Every row has a number of its own, so rows may share a doc_id or have none.
 
 A task settles runs that repeat among its own documents and passes on one
 occurrence of each, so a passage that a third of all documents share reaches its
@@ -22,7 +23,7 @@ from pyspark.sql import functions as F
 
 from sluice.llm.counts import by_shard, pack, pack_sorted, shard_bits, unpack, unpack_sorted
 from sluice.llm.vectors import Texts, mixed, slices, span_hashes, split_words, texts
-from sluice.session import materialize
+from sluice.session import materialize, with_row_keys
 
 LAST = np.int64(2**63 - 1)
 #: fixed values: bytes that end a sentence, and that may stand after its end
@@ -113,6 +114,16 @@ def settle(h: np.ndarray, doc: np.ndarray, begin: np.ndarray) -> tuple[np.ndarra
     return first, later
 
 
+def _ranked(doc: np.ndarray, mix: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Each occurrence's place among the rows by doc_id, hash of the text and number, and the rows in this order."""
+    row, at, which = np.unique(row, return_index=True, return_inverse=True)
+    doc, mix = doc[at], mix[at]
+    order = np.lexsort((row, mix, doc))
+    rank = np.empty(len(row), np.int64)
+    rank[order] = np.arange(len(row))
+    return rank[which], doc[order], mix[order], row[order]
+
+
 def _ranges(doc: np.ndarray, begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Overlapping or touching ranges of one document as one, in order."""
     order = np.lexsort((begin, doc))
@@ -138,12 +149,22 @@ def _grouped(doc: np.ndarray, begin: np.ndarray, end: np.ndarray, groups: int) -
 
 
 def repeated_ranges(df: DataFrame, run: Run = Run(), block_runs: int = 400_000) -> DataFrame:
-    """Sentence ranges of each document that later occurrences of a run cover.
+    """Sentence ranges of each row that later occurrences of a run cover.
+
+    Returns ``doc_id, cuts``, one row per input row with any; ranges of sentences
+    in order, without overlaps.
+    """
+    keyed = with_row_keys(df.select("doc_id", "text"))
+    return keyed.join(row_ranges(keyed, run, block_runs), "__row").select("doc_id", "cuts")
+
+
+def row_ranges(keyed: DataFrame, run: Run, block_runs: int = 400_000) -> DataFrame:
+    """The same as ``__row, cuts``, for rows with keys.
 
-    Returns ``doc_id, cuts``, one row per document with any; ranges of sentences
-    in order, without overlaps. Ranges travel in packed rows by groups of
-    documents, as one copied document is covered by many runs.
+    Ranges travel in packed rows by groups of rows, as one copied document is
+    covered by many runs.
     """
+    df = keyed
     size = df.select(F.sum(F.octet_length("text"))).first()[0] or 0
     bits = shard_bits(size / 30, 2_000_000)
     groups = 1 << shard_bits(size / 30, 1_000_000)
@@ -153,14 +174,14 @@ def repeated_ranges(df: DataFrame, run: Run = Run(), block_runs: int = 400_000)
         count = 0
 
         def block() -> pa.RecordBatch:
-            h, doc, begin, end = (np.concatenate(c) for c in zip(*held, strict=True))
-            first, later = settle(h, doc, begin)
-            gone = _ranges(doc[later], begin[later], end[later])
+            h, doc, mix, row, begin, end = (np.concatenate(c) for c in zip(*held, strict=True))
+            place, ids, mixes, numbers = _ranked(doc, mix, row)
+            first, later = settle(h, place, begin)
+            gone = _ranges(row[later], begin[later], end[later])
             rows: list[tuple] = []
-            h, doc, begin, end = h[first], doc[first], begin[first], end[first]
+            h, place, begin, end = h[first], place[first], begin[first], end[first]
             order = np.argsort(h)
-            h, doc, begin, end = h[order], doc[order], begin[order], end[order]
-            ids, place = np.unique(doc, return_inverse=True)
+            h, place, begin, end = h[order], place[order], begin[order], end[order]
             small = np.uint16 if len(ids) < 1 << 16 else np.uint32
             for shard, part in by_shard(h, bits):
                 named, inside = np.unique(place[part], return_inverse=True)
@@ -172,13 +193,16 @@ def repeated_ranges(df: DataFrame, run: Run = Run(), block_runs: int = 400_000)
                         pack_sorted(ids[named]),
                         pack(begin[part].astype(np.uint32)),
                         pack((end - begin)[part].astype(np.uint32)),
+                        pack(mixes[named]),
+                        pack(numbers[named]),
                     )
                 )
-            rows += [(-1 - group, b"", b"", *packed) for group, *packed in _grouped(*gone, groups)]
-            kinds = (pa.int32(), *[pa.binary()] * 5)
-            out = list(zip(*rows, strict=True)) or [[]] * 6
+            rows += [(-1 - group, b"", b"", *packed, b"", b"") for group, *packed in _grouped(*gone, groups)]
+            kinds = (pa.int32(), *[pa.binary()] * 7)
+            out = list(zip(*rows, strict=True)) or [[]] * 8
             return pa.RecordBatch.from_arrays(
-                [pa.array(c, k) for c, k in zip(out, kinds, strict=True)], ["shard", "hashes", "inside", "docs", "begins", "lengths"]
+                [pa.array(c, k) for c, k in zip(out, kinds, strict=True)],
+                ["shard", "hashes", "inside", "docs", "begins", "lengths", "mixes", "rows"],
             )
 
         for whole in batches:
@@ -188,7 +212,8 @@ def repeated_ranges(df: DataFrame, run: Run = Run(), block_runs: int = 400_000)
                 ids = part.column("doc_id")
                 ids = np.where(np.asarray(ids.is_null()), LAST, np.asarray(ids.fill_null(0)))
                 owner = np.searchsorted(first, begin, "right") - 1
-                held.append((made, ids[owner], begin - first[owner], end - first[owner]))
+                mix, row = (part.column(c).to_numpy()[owner] for c in ("mix", "row"))
+                held.append((made, ids[owner], mix, row, begin - first[owner], end - first[owner]))
                 count += len(made)
                 if count > block_runs:
                     yield block()
@@ -196,17 +221,21 @@ def repeated_ranges(df: DataFrame, run: Run = Run(), block_runs: int = 400_000)
         if held:
             yield block()
 
-    schema = "shard int, hashes binary, inside binary, docs binary, begins binary, lengths binary"
-    columns = [F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")]
+    schema = "shard int, hashes binary, inside binary, docs binary, begins binary, lengths binary, mixes binary, rows binary"
+    columns = [F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("__row").alias("row")]
+    # half of the hash orders rows of one doc_id, their numbers tell them apart
+    columns.append(F.shiftright("__hash", 32).cast("int").alias("mix"))
     blocks = materialize(df.select(*columns).mapInArrow(gather, schema), "runs")
 
     def resolve(pdf: pd.DataFrame) -> pd.DataFrame:
         h = np.concatenate([unpack_sorted(b) for b in pdf["hashes"]])
-        doc = np.concatenate([unpack_sorted(d)[unpack(i)] for d, i in zip(pdf["docs"], pdf["inside"], strict=True)])
+        inside = [unpack(i) for i in pdf["inside"]]
+        doc = np.concatenate([unpack_sorted(d)[i] for d, i in zip(pdf["docs"], inside, strict=True)])
+        mix, row = (np.concatenate([unpack(b)[i] for b, i in zip(pdf[c], inside, strict=True)]) for c in ("mixes", "rows"))
         begin = np.concatenate([unpack(b) for b in pdf["begins"]]).astype(np.int64)
         end = begin + np.concatenate([unpack(b) for b in pdf["lengths"]])
-        _, later = settle(h, doc, begin)
-        found = _ranges(doc[later], begin[later], end[later])
+        _, later = settle(h, _ranked(doc, mix, row)[0], begin)
+        found = _ranges(row[later], begin[later], end[later])
         return pd.DataFrame(list(_grouped(*found, groups)), columns=["group", "docs", "begins", "ends"])
 
     def collect(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -215,20 +244,21 @@ def repeated_ranges(df: DataFrame, run: Run = Run(), block_runs: int = 400_000)
         at = np.flatnonzero(np.concatenate([[True], doc[1:] != doc[:-1]]))
         stops = np.append(at[1:], len(doc))
         cuts = [[{"begin": b, "end": e} for b, e in zip(begin[x:y], end[x:y], strict=True)] for x, y in zip(at, stops, strict=True)]
-        return pd.DataFrame({"doc_id": doc[at], "cuts": cuts})
+        return pd.DataFrame({"__row": doc[at], "cuts": cuts})
 
     across = blocks.filter("shard >= 0").groupBy("shard").applyInPandas(resolve, "group int, docs binary, begins binary, ends binary")
     within = blocks.filter("shard < 0").selectExpr("-1 - shard AS group", "docs", "begins", "lengths AS ends")
     found = across.unionByName(within)
-    return found.groupBy("group").applyInPandas(collect, "doc_id long, cuts array<struct<begin:long,end:long>>")
+    return found.groupBy("group").applyInPandas(collect, "__row long, cuts array<struct<begin:long,end:long>>")
 
 
 def remove_repeats(df: DataFrame, run: Run = Run()) -> DataFrame:
     """Drop repeated sentences from ``text``; adds ``n_sentences`` and ``n_removed``.
 
     The first occurrence is the one with the smallest doc_id, then the earliest
-    place; later ones lose their sentences, also within one document. Rows that
-    share a doc_id count as one document, and those without one as the last one.
+    place; later ones lose their sentences, also within one document. Every row
+    is a document of its own: of rows that share a doc_id the hash of the text
+    decides, of equal rows one is the first, and rows without a doc_id come last.
     What remains of a text stays as it is, with the white space after a removed
     sentence gone with it. Null texts stay null with 0 sentences, texts shorter
     than a run are never changed, and an empty table gives an empty result. All
@@ -237,10 +267,9 @@ def remove_repeats(df: DataFrame, run: Run = Run()) -> DataFrame:
     clash = {"n_sentences", "n_removed"} & set(df.columns)
     if clash:
         raise ValueError(f"the input has columns {sorted(clash)} already")
-    found = repeated_ranges(df, run)
-    cuts = found.select(F.col("doc_id").alias("__id"), F.col("cuts").alias("__cuts"))
-    key = F.coalesce(F.col("doc_id").cast("long"), F.lit(int(LAST)))
-    joined = df.join(cuts, key == F.col("__id"), "left").drop("__id")
+    keyed = with_row_keys(df)
+    cuts = row_ranges(keyed, run).withColumnRenamed("cuts", "__cuts")
+    joined = keyed.join(cuts, "__row", "left").select(*df.columns, "__cuts")
     place, width = df.columns.index("text"), len(df.columns)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

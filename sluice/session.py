@@ -9,6 +9,7 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # Settings that matter for the operators in this package. Everything else is
 # left to the cluster.
@@ -96,6 +97,15 @@ def materialize(df: DataFrame, label: str = "step") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def with_row_keys(df: DataFrame) -> DataFrame:
+    """``df`` with ``__row``, a number no other row has, and ``__hash`` of the text.
+
+    Written once, so that every read sees the same numbers.
+    """
+    keys = {"__row": F.monotonically_increasing_id(), "__hash": F.xxhash64(F.col("text").cast("string"))}
+    return materialize(df.withColumns(keys), "rows")
+
+
 # plan nodes that cost more than reading and reshaping rows in place
 _COSTLY = re.compile(r"(?m)^[\s:+-]*(Join|Aggregate|Window|Sort|Distinct|Deduplicate|Intersect|Except|Generate|\w*Python|\w*InPandas|LogicalRDD)")
 

@@ -118,3 +118,20 @@ def test_equal_rows_share_their_fate(table):
     df = table([(1, "A b c. D e f.")] * 2 + [(0, "A b c. D e f.")], "doc_id long, text string")
     got = sorted((r["doc_id"], r["text"]) for r in remove_repeats(df, Run(2, 4)).collect())
     assert got == [(0, "A b c. D e f."), (1, ""), (1, "")]
+
+
+def test_rows_without_ids_are_documents_of_their_own(table):
+    passage, other = "A b c. D e f.", "U v w. X y z. Unlike it."
+    rows = [(1, passage), (None, passage), (None, other), (2, other), (2, "Not this. Nor that one.")]
+    got = sorted((str(r["doc_id"]), r["text"]) for r in remove_repeats(table(rows, "doc_id long, text string"), Run(2, 4)).collect())
+    assert got == [("1", passage), ("2", "Not this. Nor that one."), ("2", other), ("None", ""), ("None", "")]
+    rows = [(1, passage), (None, passage), (None, other)]
+    got = sorted((str(r["doc_id"]), r["text"]) for r in remove_repeats(table(rows, "doc_id long, text string"), Run(2, 4)).collect())
+    assert got == [("1", passage), ("None", ""), ("None", other)]
+
+
+def test_of_equal_rows_one_stays(table):
+    passage = "A b c. D e f."
+    for key in (7, None):
+        df = table([(key, passage)] * 3, "doc_id long, text string").repartition(2)
+        assert sorted(r["text"] for r in remove_repeats(df, Run(2, 4)).collect()) == ["", "", passage]
