@@ -1,8 +1,8 @@
 """The corpus pipeline: five stages from raw documents to packed sequences.
 
 Every stage takes the documents its predecessor kept and returns documents with
-the columns of the input, the last one the packed pieces. Decisions name a
-document by its doc_id; rows without one cannot be named and stay.
+the columns of the input, the last one the packed pieces. Every row is a document
+of its own, also one that shares its doc_id with others or has none.
 """
 
 from __future__ import annotations
@@ -14,24 +14,24 @@ from pyspark.sql import functions as F
 
 from sluice.llm import jaccard, leaks, packing, perplexity, spans
 from sluice.llm.queries import table, tokenizer_path
-from sluice.session import materialize
-
-
-def _without(docs: DataFrame, named: DataFrame) -> DataFrame:
-    """The documents whose doc_id is not among the named ones."""
-    gone = named.filter("doc_id IS NOT NULL").select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(gone, docs["doc_id"] == F.col("__gone"), "left_anti")
+from sluice.session import materialize, with_row_keys
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents the perplexity model rejects go."""
-    return _without(docs, perplexity.judge(docs).filter("NOT kept"))
+    """Documents the perplexity model rejects go: equal texts of a language have equal verdicts."""
+    gone = perplexity.verdicts(docs).filter("NOT kept").select(F.col("h").alias("__h"), F.col("lang").alias("__lang")).distinct()
+    same = (F.xxhash64(docs["text"].cast("string")) == F.col("__h")) & docs["lang"].cast("string").eqNullSafe(F.col("__lang"))
+    return docs.join(gone, same, "left_anti")
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents linked by 5-word shingles at 0.8, the one with the smallest doc_id stays."""
-    classes = jaccard.jaccard_classes(docs, jaccard.Similar(words=5, percent=80))
-    return _without(docs, classes.filter("component_id IS NOT NULL AND doc_id <> component_id"))
+    """Of rows linked by 5-word shingles at 0.8, one stays: smallest doc_id, then hash of the text, then row."""
+    rows = with_row_keys(docs)
+    classes = jaccard.jaccard_classes(rows.select(F.col("__row").alias("doc_id"), "text"), jaccard.Similar(words=5, percent=80))
+    named = classes.select(F.col("doc_id").alias("__row"), "component_id").join(rows.select("__row", "__hash", "doc_id"), "__row")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "__hash", "__row"))
+    kept = named.groupBy("component_id").agg(first.alias("first")).select(F.col("first.__row").alias("__row"))
+    return rows.join(kept, "__row", "left_semi").select(*docs.columns)
 
 
 def repeated_spans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

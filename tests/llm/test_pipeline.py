@@ -85,6 +85,20 @@ def test_rows_without_ids_and_odd_rows(spark, table):
         assert stage(spark, docs.limit(0), FOLDER).collect() == []
 
 
+def test_every_row_is_decided_by_itself(spark, table):
+    good = "some plain words in a sentence that is long enough to be judged by the model of trusted text here. And more."
+    bad = " ".join(f"Q{k}#" for k in range(60))
+    kind = "doc_id long, text string, lang string, source string, n_chars long"
+    rows = [(k, good + f" It is number {k}.", "en", "s", 1) for k in range(10, 30)] + [(1, good, "en", "s", 1), (1, bad, "en", "s", 1), (None, bad, "en", "s", 1)]
+    got = corpus_pipeline.quality(spark, table(rows, kind), FOLDER).collect()
+    assert len(got) == 21 and all(r["text"] != bad for r in got)
+    other = "another text of many words that is not at all like the first one in any of its parts."
+    rows = [(None, good), (1, good), (1, good), (1, other), (None, other), (None, "alone here without any partner to be found at all"), (2, None), (None, None), (3, "")]
+    docs = table([(*r, "en", "s", 1) for r in rows], kind).repartition(3)
+    got = sorted((str(r["doc_id"]), str(r["text"])) for r in corpus_pipeline.near_copies(spark, docs, FOLDER).collect())
+    assert got == sorted((str(k), str(t)) for k, t in [rows[1], rows[3], *rows[5:]])
+
+
 def test_registration():
     names = set(__spark_entry__.queries())
     assert "pipeline" in names
