@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.llm import divergence, jaccard, language, leaks, licences, packing, perplexity, ring, spans, warc
+from sluice.llm import divergence, jaccard, language, leaks, licences, packing, perplexity, records, ring, spans, warc
 from sluice.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -190,3 +190,11 @@ FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id JOIN reach r ON r.x = d.doc_
 def op1_kneser_ney(spark: SparkSession, folder: str) -> DataFrame:
     """Perplexity of every document under a model of trusted text, and whether it is kept."""
     return perplexity.judge(table(spark, folder, "documents"))
+
+
+@query
+def op11_length_delimited(spark: SparkSession, folder: str) -> DataFrame:
+    """Token ids of all documents written as framed records, and every record read back."""
+    target = scratch_path(spark, "records")
+    index = records.write_records(table(spark, folder, "documents"), target, tokenizer_path())
+    return records.read_records(index, target, ids=False).select("doc_id", "start", "n_tokens", "ids_crc32")
