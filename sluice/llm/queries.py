@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.llm import divergence, jaccard, language, leaks, licences, packing, perplexity, records, ring, spans, warc
+from sluice.llm import audit, divergence, infill, jaccard, language, leaks, licences, packing, perplexity, records, ring, spans, warc
 from sluice.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -198,3 +198,64 @@ def op11_length_delimited(spark: SparkSession, folder: str) -> DataFrame:
     target = scratch_path(spark, "records")
     index = records.write_records(table(spark, folder, "documents"), target, tokenizer_path())
     return records.read_records(index, target, ids=False).select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
+@query
+def op12_term_transducer(spark: SparkSession, folder: str) -> DataFrame:
+    """Divergence of all sources of a language from each other, and the terms that make them differ from it."""
+    return audit.divergence_audit(table(spark, folder, "documents"))
+
+
+SQL["op12_term_transducer"] = r"""
+WITH d AS (SELECT row_number() OVER () AS id, coalesce(lang, '') AS lang, coalesce(source, '') AS source, coalesce(text, '') AS text FROM documents),
+w AS (
+  SELECT id, lang, source, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d),
+kept AS (SELECT lang, term FROM w GROUP BY ALL HAVING count(DISTINCT id) >= 3),
+v AS (SELECT lang, count(*) AS v FROM kept GROUP BY lang),
+groups AS (SELECT DISTINCT lang, source FROM d),
+c AS (SELECT lang, source, term, count(*) AS n FROM w JOIN kept USING (lang, term) GROUP BY ALL),
+cells AS (SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n FROM groups g JOIN kept k USING (lang) LEFT JOIN c USING (lang, source, term)),
+p AS (
+  SELECT lang, source, term, n, (1 + 1000000000::HUGEINT * (n + 1) // (sum(n) OVER (PARTITION BY lang, source) + v)) AS p
+  FROM cells JOIN v USING (lang)),
+q AS (
+  SELECT lang, term, (1 + 1000000000::HUGEINT * (n + 1) // (sum(n) OVER (PARTITION BY lang) + v)) AS q
+  FROM (SELECT lang, term, sum(n) AS n FROM cells GROUP BY ALL) JOIN v USING (lang)),
+pairs AS (
+  SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+  FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+listed AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value FROM groups a
+  JOIN groups b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN pairs ON pairs.lang = a.lang AND pairs.source = a.source AND pairs.item = b.source
+  UNION ALL
+  SELECT lang, source, 'term', term, (p - q) * (p - q) // q FROM p JOIN q USING (lang, term) WHERE n > 0 AND p > q),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, encode(item)) AS rank FROM listed)
+SELECT lang, source, part, item, value::BIGINT AS value, rank::INT AS rank FROM ranked WHERE part = 'pair' OR rank <= 200"""
+
+
+@query
+def op13_rank_index(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents as prefix, suffix and middle, and whether the text comes back."""
+    made = infill.fill_in_middle(table(spark, folder, "documents"))
+    digests = {"output_sha256": F.sha2("output", 256), "restored_sha256": F.sha2(infill.restored(F.col("output"), F.col("form")), 256)}
+    return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars", *[c.alias(k) for k, c in digests.items()])
+
+
+SQL["op13_rank_index"] = r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, sha256('7:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents),
+l AS (
+  SELECT doc_id, t, regexp_extract_all(t, '[^
+]*
+|[^
+]+') AS u, len(u) AS n, ('0x' || substr(h, 1, 8))::BIGINT % (n + 1) AS a,
+    ('0x' || substr(h, 9, 8))::BIGINT % (n + 1) AS b, ('0x' || substr(h, 25, 8))::BIGINT % 100 < 50 AS spm FROM d),
+p AS (
+  SELECT doc_id, n, t, spm, t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') AS plain,
+    array_to_string(u[1:least(a, b)], '') AS prefix, array_to_string(u[least(a, b) + 1:greatest(a, b)], '') AS middle,
+    array_to_string(u[greatest(a, b) + 1:n], '') AS suffix FROM l)
+SELECT doc_id, n, CASE WHEN plain THEN 'plain' WHEN spm THEN 'spm' ELSE 'psm' END AS form,
+  CASE WHEN NOT plain THEN length(prefix) END AS prefix_chars, CASE WHEN NOT plain THEN length(middle) END AS middle_chars,
+  sha256(CASE WHEN plain THEN t WHEN spm THEN '<S>' || suffix || '<P>' || prefix || '<M>' || middle
+    ELSE '<P>' || prefix || '<S>' || suffix || '<M>' || middle END) AS output_sha256, sha256(t) AS restored_sha256
+FROM p"""

@@ -29,6 +29,8 @@ def test_against_sql(spark, name):
         ("op7_divergence_rules", "doc_id n_words word_chars n_symbols n_dup_lines n_repeat_words base_failed kept class_distance word_distance"),
         ("op8_edit_matches", "doc_id item_id distance begin end"),
         ("op9_sentence_spans", "doc_id text n_sentences n_removed"),
+        ("op11_length_delimited", "doc_id start n_tokens ids_crc32"),
+        ("op13_rank_index", "doc_id n form prefix_chars middle_chars output_sha256 restored_sha256"),
     ],
 )
 def test_columns(spark, name, columns):
