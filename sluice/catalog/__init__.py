@@ -5,6 +5,7 @@ from sluice.catalog import (
     columns,
     filters,
     joining,
+    joining_ranges,
     recipes,
     row_values,
     rows,
@@ -21,6 +22,7 @@ __all__ = [
     "columns",
     "filters",
     "joining",
+    "joining_ranges",
     "recipes",
     "row_values",
     "rows",

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sluice.functions.kinds import TEXT, col, converted, kind_of, kind_of_type, require
@@ -34,23 +34,13 @@ def join(
     if not on:
         raise ValueError("a join needs at least one key pair")
     pairs = [_pair(item, "left", "right") for item in on]
-    chosen = [_pair(item, "column", "alias") for item in select]
     require(df, *[left for left, _ in pairs])
-    require(other, *[right for _, right in pairs], *[name for name, _ in chosen])
-
-    taken = set(df.columns)
-    brought = []
-    for name, alias in chosen:
-        free = f"{column_prefix or ''}{alias}"
-        number = 0
-        while free in taken:
-            number += 1
-            free = f"{column_prefix or ''}{alias}_{number}"
-        taken.add(free)
-        brought.append(col(name).alias(free))
+    require(other, *[right for _, right in pairs])
+    extra = brought(df, other, select, column_prefix)
     keys = [f"_join_key_{i}" for i in range(len(pairs))]
     right = other.select(
-        *[col(r).alias(k) for k, (_, r) in zip(keys, pairs, strict=True)], *brought
+        *[col(r).alias(k) for k, (_, r) in zip(keys, pairs, strict=True)],
+        *[c.alias(n) for n, c in extra.items()],
     )
     same = reduce(
         lambda a, b: a & b,
@@ -59,6 +49,34 @@ def join(
     return df.join(right, same, how).drop(*keys)
 
 
+def brought(
+    df: DataFrame,
+    other: DataFrame,
+    select: Sequence[str | tuple[str, str] | Mapping[str, str]],
+    column_prefix: str | None,
+) -> dict[str, Column]:
+    """Columns of ``other`` under the names they get beside those of ``df``."""
+    chosen = [_pair(item, "column", "alias") for item in select]
+    require(other, *[name for name, _ in chosen])
+    out: dict[str, Column] = {}
+    for name, alias in chosen:
+        free = f"{column_prefix or ''}{alias}"
+        number = 0
+        while free in df.columns or free in out:
+            number += 1
+            free = f"{column_prefix or ''}{alias}_{number}"
+        out[free] = col(name)
+    return out
+
+
+def unused(stem: str, names: Sequence[str]) -> str:
+    """``stem``, longer if one of the names is the same but for case."""
+    taken = {n.lower() for n in names}
+    while stem.lower() in taken:
+        stem += "_"
+    return stem
+
+
 def _pair(item: object, first: str, second: str) -> tuple[str, str]:
     if isinstance(item, str):
         return item, item

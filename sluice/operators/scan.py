@@ -103,9 +103,6 @@ class Scan:
         carry = cells.select(
             *self.cell, *[v.alias(k) for k, v in build(earlier, everything).items()]
         )
-        if not self.grouped:
-            # one row per bucket, and the number of buckets is bounded
-            carry = F.broadcast(carry)
         return self.base.join(carry, self.cell, "left")
 
 

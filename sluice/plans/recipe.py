@@ -22,6 +22,7 @@ from sluice.operators import (
     joins,
     json_ops,
     quality,
+    range_joins,
     rows,
     similar,
     sql,
@@ -89,6 +90,9 @@ OPERATORS: dict[str, Callable[..., DataFrame]] = {
         joins.matching,
         joins.append,
         joins.combine_sets,
+        range_joins.join_range,
+        range_joins.join_overlap,
+        range_joins.join_nearest,
         similar.dedupe_fuzzy,
         sql.sql_query,
     )
