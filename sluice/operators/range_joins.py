@@ -4,7 +4,8 @@ A range join is an equality join in disguise. The values of both sides are cut
 into cells at shared points; a range is split at cell edges into few aligned
 runs of cells of sizes 1, 2, 4, ..., and a value meets the run of each size that
 its cell lies in. Every pair meets exactly once, and only pairs that meet in a
-range's outermost cells can fail the exact comparison.
+range's outermost cells can fail the exact comparison. Texts are cut by the bytes
+that follow the beginning that all of them share.
 
 A nearest join is one pass over both sides in one order: each row of the left
 side takes the last row of the right side that came before it, carried over the
@@ -15,12 +16,13 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from functools import reduce
+from os.path import commonprefix
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sluice.functions.kinds import DATE, NUMERIC, col, kind_of, require
+from sluice.functions.kinds import DATE, TEXT, col, kind_of, require
 from sluice.operators.joins import _pair, brought, unused
 from sluice.operators.ordering import Key, _numeric_codes
 from sluice.operators.scan import last_present
@@ -116,8 +118,8 @@ def _checked(join_type: str, ends: str) -> str:
 
 def _same_kind(df: DataFrame, value: str, other: DataFrame, *bounds: str) -> None:
     kinds = {kind_of(df, value), *(kind_of(other, b) for b in bounds)}
-    if len(kinds) > 1 or not kinds <= {NUMERIC, DATE}:
-        raise ValueError(f"values and bounds are all NUMERIC or all DATE, not {sorted(kinds)}")
+    if len(kinds) > 1:
+        raise ValueError(f"values and bounds are of one kind, not {sorted(kinds)}")
 
 
 def _keys(pairs: Sequence[tuple[str, str]], side: int) -> list[Column]:
@@ -189,16 +191,30 @@ def _doubles(values: list[float]) -> Column:
     return F.from_json(F.lit("[" + ",".join(repr(float(v)) for v in values) + "]"), "array<double>")
 
 
-def _code(df: DataFrame, name: str) -> Column:
-    return _numeric_codes(F.col(name), df.schema[name].dataType, False)[0]
+def _code(df: DataFrame, name: str, shared: int) -> Column:
+    """A number that grows with the value; equal numbers are told apart by the exact comparison."""
+    if kind_of(df, name) != TEXT:
+        return _numeric_codes(F.col(name), df.schema[name].dataType, False)[0]
+    following = F.hex(F.substring(F.encode(F.col(name).cast("string"), "UTF-8"), shared + 1, 6))
+    return F.conv(F.rpad(following, 12, "0"), 16, 10).cast("double")
+
+
+def _shared(points: DataFrame, ranges: DataFrame) -> int:
+    """Bytes that all values and bounds have in common at the beginning."""
+    if kind_of(points, "at") != TEXT:
+        return 0
+    ends = [*points.agg(F.min("at"), F.max("at")).first(), *ranges.agg(F.min("low"), F.max("high")).first()]
+    return len(commonprefix([str(e).encode() for e in ends if e is not None] or [b""]))
 
 
 def _meet(points: DataFrame, ranges: DataFrame, keys: Sequence[str], exact: Column) -> DataFrame:
     """Pairs of rows with equal keys for which ``exact`` holds: ``at`` of one in ``low`` to ``high`` of the other."""
     present = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in ("at", *keys)])
-    points = settled(points.filter(present).withColumn("code", _code(points, "at")), "points")
+    points = settled(points.filter(present), "points")
+    shared = _shared(points, ranges)
+    points = points.withColumn("code", _code(points, "at", shared))
     whole = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in ("low", "high", *keys)])
-    bounds = {"code_low": _code(ranges, "low"), "code_high": _code(ranges, "high")}
+    bounds = {"code_low": _code(ranges, "low", shared), "code_high": _code(ranges, "high", shared)}
     ranges = ranges.filter(whole).withColumns(bounds).filter("code_low <= code_high")
     counted = points.agg(F.count(F.lit(1))).first()[0] + ranges.agg(F.count(F.lit(1))).first()[0]
     both = points.select("code").unionAll(ranges.select("code_low")).unionAll(ranges.select("code_high"))
@@ -253,6 +269,8 @@ def join_nearest(
     require(df, left_value, *[left for left, _ in pairs])
     require(other, right_value, *[right for _, right in pairs])
     _same_kind(df, left_value, other, right_value)
+    if within is not None and kind_of(df, left_value) == TEXT:
+        raise ValueError("texts have no distance")
     keys = [f"key{k}" for k in range(len(pairs))]
     names = list(df.columns)
     left = df.select(F.struct(*[col(c) for c in names]).alias("row"), *_keys(pairs, 0), col(left_value).alias("at"))

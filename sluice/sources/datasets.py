@@ -7,6 +7,12 @@ fails, reads the log again and takes the next. So readers never see half a
 change, no change is lost, nothing is overwritten while it is read, and batches
 that a change does not touch are not copied. Every so often a file holds all live
 batches, and readers start there.
+
+A merge copies no rows either. It adds the new rows as a batch, and the places of
+the rows they replace as a deletion of each batch concerned, which readers leave
+out. To find them it reads only the files whose range of keys holds a merged key;
+ranges are kept per file, once taken. ``compact`` writes batches with deletions
+anew, in the order of a key if asked, so that ranges stay narrow.
 """
 
 from __future__ import annotations
@@ -15,10 +21,10 @@ import json
 import re
 import uuid
 from collections.abc import Callable, Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import asdict, dataclass, field
+from functools import reduce
 
 from py4j.protocol import Py4JJavaError
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -26,11 +32,15 @@ from pyspark.sql import types as T
 from sluice.functions.conditions import Predicate, as_predicate
 from sluice.functions.kinds import col, kind_of, require
 from sluice.operators.joins import matching
+from sluice.operators.range_joins import join_range
 from sluice.operators.rows import keep_first
 
 BATCH = "_batch_id"
-# an entry without a folder drops its batch, one without a batch drops all before it
-_LOG = "number bigint, batch string, folder string, schema string"
+# an entry with deletions or ranges adds to its batch; of the others one without a folder
+# drops its batch, and one without a batch drops all before it
+_LOG = "number bigint, line int, batch string, folder string, schema string, deleted string, ranges string, key string"
+_FILE, _PLACE = "_file_name", "_file_row"
+_DELETED = f"{_FILE} string, {_PLACE} bigint"
 
 
 # every so many changes the log says everything anew
@@ -58,12 +68,58 @@ def _create(spark: SparkSession, path: str, text: str) -> bool:
     return True
 
 
+@dataclass
+class _Batch:
+    folder: str
+    #: folders with places of rows that do not count
+    deleted: list[str] = field(default_factory=list)
+    #: folder with the ranges of a key in each file, by key
+    ranges: dict[str, str] = field(default_factory=dict)
+
+
 @dataclass(frozen=True)
 class _State:
     number: int
-    folders: dict[str, str]
+    batches: dict[str, _Batch]
     schema: T.StructType
 
+    @property
+    def folders(self) -> dict[str, str]:
+        return {name: batch.folder for name, batch in self.batches.items()}
+
+
+@dataclass(frozen=True)
+class _Entry:
+    """One line of the log."""
+
+    batch: str | None = None
+    folder: str | None = None
+    deleted: str | None = None
+    ranges: str | None = None
+    key: str | None = None
+
+    def apply(self, live: dict[str, _Batch]) -> None:
+        if self.batch is None:
+            live.clear()
+        elif self.deleted is not None:
+            live[self.batch].deleted.append(self.deleted)
+        elif self.ranges is not None:
+            live[self.batch].ranges[self.key or ""] = self.ranges
+        elif self.folder is None:
+            live.pop(self.batch, None)
+        else:
+            live[self.batch] = _Batch(self.folder)
+
+
+def _entries(live: Mapping[str, _Batch]) -> list[_Entry]:
+    """Lines that say all there is about the batches."""
+    out = [_Entry()]
+    for name, batch in live.items():
+        out.append(_Entry(name, batch.folder))
+        out += [_Entry(name, deleted=d) for d in batch.deleted]
+        out += [_Entry(name, ranges=r, key=k) for k, r in batch.ranges.items()]
+    return out
+
 
 class Dataset:
     """A named folder of batches."""
@@ -90,48 +146,34 @@ class Dataset:
             return None
         start = max((n for n, whole, _ in files if whole), default=0)
         log = self.spark.read.schema(_LOG).json([path for n, _, path in files if n >= start])
-        cleared = F.max(F.when(F.col("batch").isNull(), F.col("number")))
-        last = log.agg(F.max(F.struct("number", "schema")), cleared).first()
-        live = (
-            log.filter(F.col("batch").isNotNull() & (F.col("number") >= (last[1] or 0)))
-            .groupBy("batch")
-            .agg(F.max_by("folder", "number").alias("folder"))
-            .filter("folder is not null")
-        )
-        folders = {r["batch"]: r["folder"] for r in live.collect()}
-        schema = T.StructType.fromJson(json.loads(last[0]["schema"]))
-        return _State(files[-1][0], folders, schema)
-
-    def _record(
-        self,
-        state: _State | None,
-        schema: T.StructType,
-        entries: Sequence[tuple[str | None, str | None]],
-    ) -> bool:
+        rows = sorted(log.collect(), key=lambda r: (r["number"], r["line"] or 0))
+        live: dict[str, _Batch] = {}
+        schema = ""
+        for r in rows:
+            schema = r["schema"] or schema
+            _Entry(r["batch"], r["folder"], r["deleted"], r["ranges"], r["key"]).apply(live)
+        return _State(files[-1][0], live, T.StructType.fromJson(json.loads(schema)))
+
+    def _record(self, state: _State | None, schema: T.StructType, entries: Sequence[_Entry]) -> bool:
         """Make a change count, all at once; false if another change came first."""
         number = (state.number if state else 0) + 1
         whole = number % _SNAPSHOT == 0
         if whole:
-            live = dict(state.folders) if state else {}
-            for batch, folder in entries:
-                if batch is None:
-                    live = {}
-                elif folder is None:
-                    live.pop(batch, None)
-                else:
-                    live[batch] = folder
-            entries = [(None, None), *live.items()]
+            live = {n: _Batch(b.folder, list(b.deleted), dict(b.ranges)) for n, b in state.batches.items()} if state else {}
+            for entry in entries:
+                entry.apply(live)
+            entries = _entries(live)
         made = schema.json()
         lines = []
-        for k, (batch, folder) in enumerate(entries):
-            row = {"number": number, "batch": batch, "folder": folder, "schema": made if k == 0 else None}
+        for k, entry in enumerate(entries):
+            row = {"number": number, "line": k, **asdict(entry), "schema": made if k == 0 else None}
             lines.append(json.dumps({n: v for n, v in row.items() if v is not None}))
         name = f"{number:012d}{'-all' if whole else ''}.json"
         # the same number under either name is a conflict
         taken = {n for n, _, _ in self._files()}
         return number not in taken and _create(self.spark, f"{self.root}/log/{name}", "\n".join(lines) + "\n")
 
-    def _change(self, build: Callable[[_State | None], tuple[T.StructType, list[tuple[str | None, str | None]]]]) -> None:
+    def _change(self, build: Callable[[_State | None], tuple[T.StructType, list[_Entry]]]) -> None:
         """Commit what ``build`` makes of the state, again if the state has changed meanwhile."""
         while True:
             state = self._state()
@@ -144,12 +186,35 @@ class Dataset:
         return folder
 
     def _open(self, state: _State, batches: Sequence[str]) -> DataFrame:
-        paths = [f"{self.root}/{state.folders[b]}" for b in batches]
-        if not paths:
+        """Rows of the batches that count, with the name of their batch."""
+        if not batches:
             return self._empty(state.schema).withColumn(BATCH, F.lit(""))
+        clean = [b for b in batches if not state.batches[b].deleted]
+        parts = []
+        if clean:
+            parts.append(self._scan(state, [f"{self.root}/{state.folders[b]}" for b in clean]).drop(_FILE, _PLACE))
+        if len(clean) < len(batches):
+            rest = [b for b in batches if state.batches[b].deleted]
+            parts.append(self._counting(state, rest, [f"{self.root}/{state.folders[b]}" for b in rest]).drop(_FILE, _PLACE))
+        return reduce(DataFrame.unionAll, parts)
+
+    def _scan(self, state: _State, paths: Sequence[str]) -> DataFrame:
         df = self.spark.read.schema(state.schema).parquet(*paths)
-        name = F.regexp_extract(F.col("_metadata.file_path"), f"/{BATCH}=([^/]+)/", 1)
-        return df.withColumn(BATCH, name)
+        path = F.col("_metadata.file_path")
+        return df.select(
+            *[col(f.name) for f in state.schema.fields],
+            F.regexp_extract(path, f"/{BATCH}=([^/]+)/", 1).alias(BATCH),
+            F.regexp_extract(path, "/data/([^/]+/[^/]+/[^/]+)$", 1).alias(_FILE),
+            F.col("_metadata.row_index").alias(_PLACE),
+        )
+
+    def _counting(self, state: _State, batches: Sequence[str], paths: Sequence[str]) -> DataFrame:
+        """Rows of the paths without those that the batches' deletions name."""
+        rows = self._scan(state, paths)
+        gone = [f"{self.root}/{d}" for b in batches for d in state.batches[b].deleted]
+        if not gone:
+            return rows
+        return rows.join(self.spark.read.schema(_DELETED).parquet(*gone), [_FILE, _PLACE], "left_anti")
 
     def _empty(self, schema: T.StructType) -> DataFrame:
         nothing = [F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields]
@@ -198,7 +263,7 @@ class Dataset:
         def build(now: _State | None) -> tuple:
             if now is not None and now.schema != (state.schema if state else rows.schema):
                 raise ValueError("the dataset got other columns while rows were appended")
-            return rows.schema, [(name, folder)]
+            return rows.schema, [_Entry(name, folder)]
 
         self._change(build)
         return name
@@ -207,18 +272,17 @@ class Dataset:
         """All content at once."""
         name = _batch_name(batch)
         folder = self._write(source, name)
-        self._change(lambda _: (source.schema, [(None, None), (name, folder)]))
+        self._change(lambda _: (source.schema, [_Entry(), _Entry(name, folder)]))
         return name
 
     def delete(self, batches: Sequence[str]) -> None:
         """Everything but the given batches; no data is rewritten."""
 
-
         def build(state: _State | None) -> tuple:
             unknown = sorted(set(batches) - set(self._needed(state).folders))
             if unknown:
                 raise ValueError(f"the dataset has no batches {unknown}")
-            return state.schema, [(b, None) for b in batches]
+            return state.schema, [_Entry(b) for b in batches]
 
         self._change(build)
 
@@ -233,7 +297,9 @@ class Dataset:
         """New keys are added, rows with known keys replaced.
 
         Keys that are NULL match each other, so merging again changes nothing.
-        Only batches that hold such keys are written anew.
+        Nothing is rewritten: the new rows are a batch, and the rows that they
+        replace are named as deleted. Only files whose range of the first key
+        holds a merged key are read, and of these only the keys.
         """
         name = _batch_name(None)
         self._change(lambda state: self._merged(self._needed(state), name, source, list(keys), order_by))
@@ -241,31 +307,88 @@ class Dataset:
 
     def _merged(
         self, state: _State, name: str, source: DataFrame, keys: list[str], order_by: Sequence | None
-    ) -> tuple[T.StructType, list[tuple[str | None, str | None]]]:
-        known = source.select(*[col(k) for k in keys]).distinct()
-        old = self._open(state, list(state.folders))
-        hit = matching(old, known, keys, null_safe=True).select(BATCH).distinct().collect()
-        touched = sorted(r[BATCH] for r in hit)
+    ) -> tuple[T.StructType, list[_Entry]]:
         latest = _shaped(newest(source, keys, order_by), state.schema)
-        entries: list[tuple[str | None, str | None]] = [(name, self._write(latest, name))]
-        if touched:
-            kept = matching(self._open(state, touched), known, keys, matched=False, null_safe=True)
-            folder = f"data/{uuid.uuid4().hex}"
+        entries = [_Entry(name, self._write(latest, name))]
+        known = self.spark.read.schema(state.schema).parquet(f"{self.root}/{entries[0].folder}").select(*[col(k) for k in keys])
+        entries += self._take_ranges(state, keys[0])
+        seen = {**{b: s.ranges.get(keys[0]) for b, s in state.batches.items()}, **{e.batch: e.ranges for e in entries if e.ranges}}
+        files = self.candidates(known, keys[0], [r for r in seen.values() if r])
+        if files:
+            batches = sorted({f.split("/")[1].removeprefix(f"{BATCH}=") for f in files})
+            old = self._counting(state, batches, [f"{self.root}/data/{f}" for f in files])
+            hit = matching(old.select(*[col(k) for k in keys], BATCH, _FILE, _PLACE), known, keys, null_safe=True)
+            folder = f"deleted/{uuid.uuid4().hex}"
             # few files per batch; large batches are split over tasks, small ones share one
-            even = kept.hint("rebalance", F.col(BATCH))
-            even.write.partitionBy(BATCH).parquet(f"{self.root}/{folder}")
-            left = self._written(folder)
-            entries += [(b, f"{folder}/{BATCH}={b}" if b in left else None) for b in touched]
+            places = hit.select(BATCH, _FILE, _PLACE).hint("rebalance", F.col(BATCH))
+            places.write.partitionBy(BATCH).parquet(f"{self.root}/{folder}")
+            entries += [_Entry(b, deleted=f"{folder}/{BATCH}={b}") for b in batches if b in self._written(folder)]
         return state.schema, entries
 
+    def candidates(self, known: DataFrame, key: str, ranges: Sequence[str]) -> list[str]:
+        """Files whose range holds one of the known keys; NULL is held by files with NULLs."""
+        if not ranges:
+            return []
+        files = self.spark.read.parquet(*[f"{self.root}/{r}" for r in ranges])
+        held = join_range(known.select(col(key).alias("known")).distinct(), files, "known", "low", "high", select=[_FILE])
+        found = held.select(_FILE)
+        if not known.filter(col(key).isNull()).limit(1).isEmpty():
+            found = found.unionAll(files.filter("empty > 0").select(_FILE))
+        return sorted(r[0] for r in found.distinct().collect())
+
+    def _take_ranges(self, state: _State, key: str) -> list[_Entry]:
+        """The range of a key in each file of the batches for which it is not known yet; reads one column."""
+        new = [b for b, s in state.batches.items() if key not in s.ranges]
+        if not new:
+            return []
+        rows = self._scan(state, [f"{self.root}/{state.folders[b]}" for b in new])
+        value = col(key)
+        per_file = rows.groupBy(BATCH, _FILE).agg(
+            F.min(value).alias("low"), F.max(value).alias("high"), F.count_if(value.isNull()).alias("empty")
+        )
+        folder = f"ranges/{uuid.uuid4().hex}"
+        per_file.hint("rebalance", F.col(BATCH)).write.partitionBy(BATCH).parquet(f"{self.root}/{folder}")
+        left = self._written(folder)
+        return [_Entry(b, ranges=f"{folder}/{BATCH}={b}", key=key) for b in new if b in left]
+
+    def compact(self, batches: Sequence[str] | None = None, key: str | None = None, file_bytes: int = 128 << 20) -> list[str]:
+        """Write batches anew without the rows that do not count; by default those that have some.
+
+        With ``key`` a batch's files hold ranges of that key in its order, about
+        ``file_bytes`` each. Returns the batches written; the content stays the same.
+        """
+        chosen: list[str] = []
+
+        def build(state: _State | None) -> tuple[T.StructType, list[_Entry]]:
+            state = self._needed(state)
+            unknown = sorted(set(batches or ()) - set(state.batches))
+            if unknown:
+                raise ValueError(f"the dataset has no batches {unknown}")
+            chosen[:] = sorted(batches if batches is not None else [b for b, s in state.batches.items() if s.deleted])
+            if not chosen:
+                return state.schema, []
+            rows, folder = self._open(state, chosen), f"data/{uuid.uuid4().hex}"
+            if key is None:
+                rows = rows.hint("rebalance", F.col(BATCH))
+            else:
+                size = sum(self._size(state.folders[b]) for b in chosen)
+                rows = rows.repartitionByRange(max(1, -(-size // file_bytes)), F.col(BATCH), col(key)).sortWithinPartitions(BATCH, col(key))
+            rows.write.partitionBy(BATCH).parquet(f"{self.root}/{folder}")
+            left = self._written(folder)
+            return state.schema, [_Entry(b, f"{folder}/{BATCH}={b}" if b in left else None) for b in chosen]
+
+        self._change(build)
+        return chosen
+
+    def _size(self, folder: str) -> int:
+        system, path = _hadoop(self.spark, f"{self.root}/{folder}")
+        return int(system.getContentSummary(path).getLength())
+
     def _written(self, folder: str) -> set[str]:
-        """Batches that still have rows."""
-        schema = T.StructType([T.StructField(BATCH, T.StringType())])
-        try:
-            found = self.spark.read.schema(schema).parquet(f"{self.root}/{folder}")
-        except AnalysisException:
-            return set()
-        return {r[BATCH] for r in found.distinct().collect()}
+        """Batches that have a folder below the given one."""
+        system, path = _hadoop(self.spark, f"{self.root}/{folder}")
+        names = [str(f.getPath().getName()) for f in system.listStatus(path)]
+        return {n.removeprefix(f"{BATCH}=") for n in names if n.startswith(f"{BATCH}=")}
 
     def pull(
         self,
