@@ -3,8 +3,10 @@
 A file is a row of frames: the length of the payload, a checksum of that length,
 the payload, and a checksum of the payload. Checksums are CRC-32C, masked so that
 checksums of data that holds checksums stay useful. A payload is a document's
-identifier and its token ids. The index names file, place and length of every
-record, so that any selection of records can be read in any order.
+identifier, the number of its token ids, and the ids in two bytes each, or in four
+where the vocabulary needs them, filled up to whole words of four bytes. The index
+names file, place and length of every record, so that any selection of records can
+be read in any order.
 
 Documents are dealt to files by ranges of their order, each file is one task that
 sorts its documents by identifier, and a file is written under a name of its own
@@ -36,8 +38,10 @@ MASK = 0xA282EAD8
 
 #: bytes of the pieces whose checksums are found side by side
 _PIECE = 256
-#: 32-bit words of a frame around the ids: length (2), its checksum, identifier (2), flag, checksum
-_AROUND, _BEFORE = 7, 6
+#: 32-bit words of a frame around the ids: length (2), its checksum, identifier (2), flags, number of ids, checksum
+_AROUND, _BEFORE = 8, 7
+#: flags
+_KNOWN, _WIDE = 1, 2
 
 INDEX = "doc_id long, file string, offset long, length long, n_tokens long, start long"
 
@@ -112,18 +116,22 @@ def masked(sums: np.ndarray) -> np.ndarray:
 
 
 def frames(doc_id: np.ndarray, known: np.ndarray, ids: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The frames of some documents as 32-bit words, and the words of each."""
-    words = size + _AROUND
+    """The frames of some documents as 32-bit words, and the words of each; ids have 16 or 32 bits."""
+    per_word = 4 // ids.itemsize
+    filled = -(-size // per_word)
+    words = filled + _AROUND
     at = np.cumsum(words) - words
-    out = np.empty(int(words.sum()), "<u4")
-    out[ragged(at + _BEFORE, size)] = ids
-    length = (4 * (size + 3)).astype("<u8").view("<u4").reshape(-1, 2)
+    out = np.zeros(int(words.sum()), "<u4")
+    out.view("<u2" if per_word == 2 else "<u4")[ragged(per_word * (at + _BEFORE), size)] = ids
+    payload = 4 * (filled + 4)
+    length = payload.astype("<u8").view("<u4").reshape(-1, 2)
     name = doc_id.astype("<i8").view("<u4").reshape(-1, 2)
     out[at], out[at + 1] = length[:, 0], length[:, 1]
-    out[at + 3], out[at + 4], out[at + 5] = name[:, 0], name[:, 1], known
+    out[at + 3], out[at + 4], out[at + 6] = name[:, 0], name[:, 1], size
+    out[at + 5] = known * _KNOWN + (per_word == 1) * _WIDE
     raw = out.view(np.uint8)
     out[at + 2] = masked(checksums(raw, 4 * at, np.full(len(at), 8)))
-    out[at + words - 1] = masked(checksums(raw, 4 * at + 12, 4 * (size + 3)))
+    out[at + words - 1] = masked(checksums(raw, 4 * at + 12, payload))
     return out, words
 
 
@@ -136,7 +144,7 @@ def unframed(raw: np.ndarray, at: np.ndarray, length: np.ndarray, where: str) ->
         return np.zeros(0, np.int64), np.zeros(0, bool), np.zeros(0, np.uint32), np.zeros(0, np.int64)
     words = np.frombuffer(raw, "<u4")
     at = at // 4
-    payload = (words[at].astype(np.int64) | words[at + 1].astype(np.int64) << 32) if len(at) else np.zeros(0, np.int64)
+    payload = words[at].astype(np.int64) | words[at + 1].astype(np.int64) << 32
     good = payload == length - 16
     good &= words[at + 2] == masked(checksums(raw, 4 * at, np.full(len(at), 8)))
     if good.all():
@@ -144,8 +152,12 @@ def unframed(raw: np.ndarray, at: np.ndarray, length: np.ndarray, where: str) ->
     if not good.all():
         raise ValueError(f"damaged record in {where}, byte {int(4 * at[~good][0])} of the range read")
     name = np.stack([words[at + 3], words[at + 4]], axis=1).reshape(-1).view("<i8")
-    size = length // 4 - _AROUND
-    return name, words[at + 5] == 1, words[ragged(at + _BEFORE, size)], size
+    flags, size = words[at + 5], words[at + 6].astype(np.int64)
+    if (flags & _WIDE).any():
+        ids = words[ragged(at + _BEFORE, size)]
+    else:
+        ids = np.frombuffer(raw, "<u2")[ragged(2 * (at + _BEFORE), size)].astype(np.uint32)
+    return name, flags & _KNOWN == _KNOWN, ids, size
 
 
 def sequential(raw: np.ndarray, where: str = "file") -> tuple[np.ndarray, np.ndarray]:

@@ -41,15 +41,16 @@ def test_checksums():
     assert int(masked(np.array([0], np.uint32))[0]) == 0xA282EAD8
 
 
-def test_frames_and_damage():
+@pytest.mark.parametrize("kind", [np.uint16, np.uint32])
+def test_frames_and_damage(kind):
     doc, known = np.array([5, 0, -7]), np.array([True, False, True])
-    ids, size = np.arange(10, dtype=np.uint32), np.array([4, 0, 6])
+    ids, size = np.arange(10, dtype=kind), np.array([3, 0, 7])
     words, count = frames(doc, known, ids, size)
     raw = np.frombuffer(words.tobytes(), np.uint8)
     at, length = sequential(raw)
     assert length.tolist() == (4 * count).tolist()
     name, there, back, n = unframed(raw, at, length, "f")
-    assert (name.tolist(), there.tolist(), back.tolist(), n.tolist()) == ([5, 0, -7], [True, False, True], list(range(10)), [4, 0, 6])
+    assert (name.tolist(), there.tolist(), back.tolist(), n.tolist()) == ([5, 0, -7], [True, False, True], list(range(10)), [3, 0, 7])
     for place in range(0, len(raw), 3):
         broken = raw.copy()
         broken[place] ^= 16
