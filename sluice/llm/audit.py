@@ -16,7 +16,7 @@ All arithmetic is on integers.
 from __future__ import annotations
 
 from bisect import bisect_left
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -54,19 +54,26 @@ def letter_runs(column: pa.Array) -> pa.Table:
     return pa.table({"doc": pa.array(doc.astype(np.int32)), "term": term})
 
 
-def _added(tables: list[pa.Table], keys: list[str]) -> pa.Table:
-    """The rows of all tables with equal keys as one, ``n`` added up."""
-    made = pa.concat_tables(tables).group_by(keys, use_threads=False).aggregate([("n", "sum")])
-    return made.rename_columns([c.removesuffix("_sum") for c in made.column_names])
+def _added(tables: list[pa.Table], name: str, number: str) -> pa.Table:
+    """The rows of all tables with equal text ``name`` and integer ``number`` as one, ``n`` added up."""
+    whole = pa.concat_tables(tables)
+    coded = whole.column(name).combine_chunks().dictionary_encode()
+    other = whole.column(number).to_numpy()
+    order = np.lexsort((coded.indices.to_numpy(), other))
+    code, other = coded.indices.to_numpy()[order], other[order]
+    first = np.flatnonzero(np.concatenate([[True], (code[1:] != code[:-1]) | (other[1:] != other[:-1])])) if len(order) else order
+    n = np.add.reduceat(whole.column("n").to_numpy()[order], first) if len(order) else np.zeros(0, np.int64)
+    made = pa.table({number: pa.array(other[first]), name: coded.dictionary.take(pa.array(code[first])), "n": pa.array(n)})
+    return made.select(whole.column_names)
 
 
 def _gathered(
-    batches: Iterator[pa.RecordBatch], count: Callable[[pa.Table], pa.Table], names: list[str], most: int, bytes_most: int = 48 << 20
+    batches: Iterator[pa.RecordBatch], once: bool, names: list[str], most: int, bytes_most: int = 48 << 20
 ) -> Iterator[tuple[list[tuple], pa.Table]]:
     """Counts by group and term over as many texts as give ``most`` different ones.
 
     Groups are the distinct values of the named columns; yields their list and a
-    table ``group, term, n``.
+    table ``group, term, n``. With ``once`` a term counts once per text.
     """
     codes: dict[tuple, int] = {}
     held: list[pa.Table] = []
@@ -74,37 +81,35 @@ def _gathered(
     for whole in batches:
         for part in slices(whole):
             keys = zip(*(part.column(n).to_pylist() for n in names), strict=True)
-            group = np.array([codes.setdefault(k, len(codes)) for k in keys], np.int32)
-            found = letter_runs(part.column("text"))
-            doc = found.column("doc").to_numpy()
-            made = count(found.append_column("group", pa.array(group[doc])))
-            held.append(made.select(["group", "term", "n"]))
-            rows += made.num_rows
+            group = np.array([codes.setdefault(k, len(codes)) for k in keys], np.int64)
+            held.append(_counted(letter_runs(part.column("text")), group, once))
+            rows += held[-1].num_rows
             if rows > 2 * most or sum(h.nbytes for h in held) > bytes_most:
-                held = [_added(held, ["group", "term"])]
+                held = [_added(held, "term", "group")]
                 rows = held[0].num_rows
                 if rows > most or 2 * held[0].nbytes > bytes_most:
                     yield list(codes), held[0]
                     held, rows = [], 0
     if held:
-        yield list(codes), _added(held, ["group", "term"])
+        yield list(codes), _added(held, "term", "group")
 
 
-def _one_per_document(found: pa.Table) -> pa.Table:
-    once = found.group_by(["doc", "group", "term"], use_threads=False).aggregate([])
-    return _occurrences(once)
+def _counted(found: pa.Table, group: np.ndarray, once: bool) -> pa.Table:
+    """``group, term, n`` of the terms of some texts, whose groups are given."""
+    coded = found.column("term").combine_chunks().dictionary_encode()
+    doc, code = found.column("doc").to_numpy().astype(np.int64), coded.indices.to_numpy()
+    if once:
+        doc, code = np.divmod(np.unique(doc << 32 | code), 1 << 32)
+    cell, n = np.unique(group[doc] << 32 | code, return_counts=True)
+    group, code = np.divmod(cell, 1 << 32)
+    return pa.table({"group": pa.array(group), "term": coded.dictionary.take(pa.array(code)), "n": pa.array(n)})
 
 
-def _occurrences(found: pa.Table) -> pa.Table:
-    made = found.group_by(["group", "term"], use_threads=False).aggregate([([], "count_all")])
-    return made.rename_columns(["group", "term", "n"])
-
-
-def document_frequencies(docs: DataFrame, most: int = 400_000) -> DataFrame:
+def document_frequencies(docs: DataFrame, most: int) -> DataFrame:
     """``lang, term, docs, parts``: documents that have the term, and tasks' blocks that found it."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for groups, table in _gathered(batches, _one_per_document, ["lang"], most):
+        for groups, table in _gathered(batches, True, ["lang"], most):
             names = pa.array([g[0] for g in groups], pa.string())
             out = pa.table([names.take(table.column("group")), table.column("term").cast(pa.binary()).cast(pa.string()), table.column("n")], ["lang", "term", "n"])
             yield from out.to_batches(max_chunksize=50_000)
@@ -170,18 +175,18 @@ def _table(blob: bytes) -> pa.Table:
     return pa.ipc.open_stream(blob).read_all()
 
 
-def source_words(docs: DataFrame, most: int = 250_000) -> DataFrame:
+def source_words(docs: DataFrame, most: int) -> DataFrame:
     """Words of the texts as sorted tables ``term, source, n``: ``lang, seed, entries, words``, written once."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = 0
-        for groups, table in _gathered(batches, _occurrences, ["lang", "source"], most):
+        for groups, table in _gathered(batches, False, ["lang", "source"], most):
             langs: dict[str, list[int]] = {}
             for code, (lang, _) in enumerate(groups):
                 langs.setdefault(lang, []).append(code)
             names = pa.array([s for _, s in groups], pa.string())
             for lang, codes in langs.items():
-                one = table.filter(pc.is_in(table.column("group"), pa.array(codes, pa.int32()))) if len(langs) > 1 else table
+                one = table.filter(pc.is_in(table.column("group"), pa.array(codes, pa.int64()))) if len(langs) > 1 else table
                 if one.num_rows == 0:
                     continue
                 one = one.take(pc.sort_indices(one, sort_keys=[("term", "ascending")])).combine_chunks()
@@ -196,7 +201,7 @@ def source_words(docs: DataFrame, most: int = 250_000) -> DataFrame:
     return materialize(docs.select("lang", "source", "text").mapInArrow(count, "lang string, seed long, entries long, words binary"), "words")
 
 
-def recount(words: DataFrame, blocks: DataFrame, task_entries: int) -> DataFrame:
+def recount(words: DataFrame, blocks: DataFrame, task_entries: int, most: int) -> DataFrame:
     """Occurrences of kept terms: ``lang, source, block, ord, n``, written once, without zeros.
 
     A task gets one block and about ``task_entries`` entries of words for it.
@@ -227,13 +232,15 @@ def recount(words: DataFrame, blocks: DataFrame, task_entries: int) -> DataFrame
         held: list[pa.Table] = []
 
         def rows() -> Iterator[pa.RecordBatch]:
-            table = _added(held, ["source", "ord"])
+            table = _added(held, "source", "ord")
             n = table.num_rows
             out = [pa.array([lang] * n), table.column("source"), pa.array([block] * n), table.column("ord"), table.column("n")]
             yield from pa.table(out, ["lang", "source", "block", "ord", "n"]).to_batches(max_chunksize=50_000)
 
         for batch in batches:
-            for row in batch.to_pylist() if batch.num_rows < 64 else (r for k in range(batch.num_rows) for r in batch.slice(k, 1).to_pylist()):
+            for k in range(batch.num_rows):
+                # one row at a time: a row holds many words
+                (row,) = batch.slice(k, 1).to_pylist()
                 if row["machine"] is not None:
                     if held:
                         yield from rows()
@@ -248,9 +255,9 @@ def recount(words: DataFrame, blocks: DataFrame, task_entries: int) -> DataFrame
                 hit = np.flatnonzero(found >= 0)
                 source = table.column("source").combine_chunks().cast(pa.string())
                 held.append(pa.table({"source": source.take(pa.array(hit)), "ord": pa.array(found[hit] + base), "n": table.column("n").take(pa.array(hit))}))
-                if sum(h.num_rows for h in held) > 500_000:
-                    held = [_added(held, ["source", "ord"])]
-                    if held[0].num_rows > 250_000:
+                if sum(h.num_rows for h in held) > 4 * most:
+                    held = [_added(held, "source", "ord")]
+                    if held[0].num_rows > 2 * most:
                         yield from rows()
                         held = []
         if held:
@@ -331,7 +338,9 @@ def _decoded(wanted: DataFrame, blocks: DataFrame) -> DataFrame:
     return wanted.distinct().groupBy("block").cogroup(machines.groupBy("block")).applyInPandas(decode, "block string, ord long, item string")
 
 
-def divergence_audit(df: DataFrame, least_docs: int = 3, top: int = 200, block_terms: int = 100_000, task_entries: int = 1_000_000) -> DataFrame:
+def divergence_audit(
+    df: DataFrame, least_docs: int = 3, top: int = 200, block_terms: int = 100_000, task_entries: int = 3_000_000, held: int = 400_000
+) -> DataFrame:
     """Divergence of the sources of each language, from ``text, lang, source``.
 
     Returns lang, source, part, item, value, rank. Part ``pair``: every other
@@ -341,6 +350,10 @@ def divergence_audit(df: DataFrame, least_docs: int = 3, top: int = 200, block_t
     V kept terms of the language, N their occurrences in the source or language.
     Ranks count from 1 by value, descending, then item in the order of its bytes.
 
+    A task holds about ``held`` different words at once, a block has about
+    ``block_terms`` terms, and a task of the second reading gets about
+    ``task_entries`` words of a block; the result depends on none of these.
+
     Nulls are empty texts, languages or sources, which are values like others. A
     language without kept terms has pairs of value 0, a language with one source
     has no pairs, repeated rows count each, other columns are left out and an
@@ -348,9 +361,9 @@ def divergence_audit(df: DataFrame, least_docs: int = 3, top: int = 200, block_t
     """
     text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c)
     docs = df.select(text("lang"), text("source"), text("text"))
-    kept = document_frequencies(docs).filter(F.col("docs") >= least_docs)
+    kept = document_frequencies(docs, held).filter(F.col("docs") >= least_docs)
     blocks = vocabulary(kept, block_terms)
-    counts = recount(source_words(docs), blocks, task_entries)
+    counts = recount(source_words(docs, held), blocks, task_entries, held)
 
     sizes = blocks.groupBy("lang").agg(F.sum("terms").alias("vocabulary"))
     totals = counts.groupBy("lang", "source").agg(F.sum("n").alias("total"))

@@ -112,12 +112,12 @@ def odd_rows():
     return rows
 
 
-@pytest.mark.parametrize("block_terms", [7, 100_000])
-def test_against_plain(spark, block_terms):
+@pytest.mark.parametrize(("block_terms", "held"), [(7, 20), (100_000, 400_000)])
+def test_against_plain(spark, block_terms, held):
     rows = odd_rows()
     given = [(*r, 1, "x", 2) for r in rows]
     df = spark.createDataFrame(given, "text string, lang string, source string, n long, term string, ord int").repartition(4)
-    got = collected(divergence_audit(df, top=9, block_terms=block_terms, task_entries=50))
+    got = collected(divergence_audit(df, top=9, block_terms=block_terms, task_entries=50, held=held))
     assert got == plain(rows, top=9)
 
 
