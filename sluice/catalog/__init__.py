@@ -6,6 +6,7 @@ from sluice.catalog import (
     filters,
     joining,
     joining_ranges,
+    large_results,
     recipes,
     row_values,
     rows,
@@ -23,6 +24,7 @@ __all__ = [
     "filters",
     "joining",
     "joining_ranges",
+    "large_results",
     "recipes",
     "row_values",
     "rows",

@@ -542,3 +542,47 @@ def suggest_phonetic(t):
 def suggest_tfidf(t):
     df = columns.combine_columns(t.part, ["p_name", "p_type"], "v")
     return similar.suggest_replacements(df, "v", "tfidf", common_share=0.14)
+
+
+_TITLES = """titles AS (SELECT concat_ws(' ', p_name, lower(p_type), 'of', replace(p_brand, '#', ' '), CASE WHEN p_size % 9 = 0 THEN 'the best' END) AS v
+  FROM part),
+  counts AS (SELECT v, count(*) AS n FROM titles GROUP BY v)"""
+
+
+def _titles(t):
+    best = F.when(F.col("p_size") % 9 == 0, F.lit("the best"))
+    return t.part.select(
+        F.concat_ws(" ", "p_name", F.lower("p_type"), F.lit("of"), F.replace("p_brand", F.lit("#"), F.lit(" ")), best).alias("v")
+    )
+
+
+@query(
+    "suggest_cosine",
+    f"""WITH {_TITLES},
+       words AS (SELECT v, w, count(*) AS tf FROM (SELECT v, unnest(string_split(trim(regexp_replace(lower(v), '[^\\pL\\pN]+', ' ', 'g')), ' ')) AS w FROM counts)
+         WHERE w <> '' GROUP BY ALL),
+       idf AS (SELECT w, ln(1 + (SELECT count(*) FROM counts) / count(*)) AS idf FROM words GROUP BY w),
+       vec AS (SELECT v, w, tf * idf / sqrt(sum((tf * idf) ** 2) OVER (PARTITION BY v)) AS x FROM words JOIN idf USING (w)),
+       near AS (SELECT a.v AS variant, b.v AS suggested FROM vec a JOIN vec b ON a.w = b.w AND a.v <> b.v
+         GROUP BY ALL HAVING round(sum(a.x * b.x), 9) >= 0.9),
+       ranked AS (SELECT variant, suggested, a.n AS occurrences, b.n AS m, row_number() OVER (PARTITION BY variant ORDER BY b.n DESC, suggested) AS place
+         FROM near JOIN counts a ON a.v = variant JOIN counts b ON b.v = suggested WHERE b.n > a.n OR (b.n = a.n AND suggested < variant))
+       SELECT variant, suggested, occurrences FROM ranked WHERE place = 1""",
+)
+def suggest_cosine(t):
+    """The best of the titles whose weighted words are at least 0.9 alike."""
+    return similar.suggest_replacements(_titles(t), "v", "tfidf", min_similarity=0.9)
+
+
+@query(
+    "suggest_similar_spelling",
+    f"""WITH {_TITLES},
+       near AS (SELECT a.v AS variant, b.v AS suggested FROM counts a JOIN counts b ON a.v <> b.v
+         AND 1 - levenshtein(a.v, b.v) / greatest(length(a.v), length(b.v)) >= 0.85 - 1e-9),
+       ranked AS (SELECT variant, suggested, a.n AS occurrences, b.n AS m, row_number() OVER (PARTITION BY variant ORDER BY b.n DESC, suggested) AS place
+         FROM near JOIN counts a ON a.v = variant JOIN counts b ON b.v = suggested WHERE b.n > a.n OR (b.n = a.n AND suggested < variant))
+       SELECT variant, suggested, occurrences FROM ranked WHERE place = 1""",
+)
+def suggest_similar_spelling(t):
+    """The best of the titles that differ in at most 15 of 100 characters."""
+    return similar.suggest_replacements(_titles(t), "v", "spelling", min_similarity=0.85)

@@ -13,6 +13,7 @@ from sluice.session import scratch_path
 from sluice.sources import writers
 from sluice.sources.datasets import Dataset
 from sluice.streaming import ingest
+from sluice.streaming.incremental import KeptPivot, KeptTop, deleted_increment
 
 _EVENT = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double"
 
@@ -189,3 +190,48 @@ def stream_merge(t):
         stream = t.spark.readStream.schema(schema).parquet(landing)
         ingest.merge_increments(stream, target, progress, keys, [["ts", "DESC"], "event_id"])
     return target.read()
+
+
+_LATEST = """SELECT * FROM events QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id) = 1"""
+
+
+def _kept(t, label, build):
+    """Two increments merged by key, then some rows deleted; what is kept follows, and is opened again each time."""
+    landing, target, progress = _places(t, label)
+    root, keys = scratch_path(t.spark, f"{label}-kept"), ["user_id", "event_type"]
+    for half in _halves(t):
+        _events(half).write.mode("append").parquet(landing)
+        stream = t.spark.readStream.schema(_EVENT).parquet(landing)
+        ingest.merge_increments(stream, target, progress, keys, [["ts", "DESC"], "event_id"], [build(root)])
+    deleted_increment(target, lambda df: F.col("user_id") % 10 == 0, [build(root)], "closed-accounts")
+    build(root).fold()
+    return build(root).result()
+
+
+@query(
+    "stream_kept_pivot",
+    f"""SELECT event_type, count(event_id) AS n, count(DISTINCT value) AS different, min(value) AS low, max(ts) AS last, median(value) AS middle,
+       sum(CASE WHEN value >= 20 THEN user_id END)::BIGINT AS high_users FROM ({_LATEST}) WHERE user_id % 10 <> 0 GROUP BY event_type""",
+)
+def stream_kept_pivot(t):
+    def build(root):
+        aggregations = [
+            Aggregation("event_id", "COUNT", "n"),
+            Aggregation("value", "COUNT_DISTINCT", "different"),
+            Aggregation("value", "MIN", "low"),
+            Aggregation("ts", "MAX", "last"),
+            Aggregation("value", "MEDIAN", "middle"),
+            Aggregation("user_id", "SUM", "high_users", condition=Condition("value", "GTE", 20)),
+        ]
+        return KeptPivot(t.spark, root, ["event_type"], aggregations)
+
+    return _kept(t, "kept-pivot", build)
+
+
+@query(
+    "stream_kept_top",
+    f"""SELECT event_id, ts, user_id, event_type, value FROM ({_LATEST}) WHERE user_id % 10 <> 0
+       QUALIFY row_number() OVER (PARTITION BY event_type ORDER BY value DESC, event_id) <= 5""",
+)
+def stream_kept_top(t):
+    return _kept(t, "kept-top", lambda root: KeptTop(t.spark, root, 5, ["event_type"], [["value", "DESC"], "event_id"]))

@@ -5,14 +5,14 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sluice.functions.conditions import Predicate, as_predicate
 from sluice.functions.kinds import TEXT, col, converted, kind_of, require
 from sluice.operators import scan
 from sluice.operators.ordering import Key, order_keys
-from sluice.session import planned_bytes, settled
+from sluice.session import materialize, planned_bytes, settled
 
 # fixed values: aggregate names
 SIMPLE = {
@@ -275,7 +275,7 @@ def crosstab(
         if len(found) > MAX_CROSSTAB_COLUMNS:
             raise ValueError(
                 f"{pivot_column!r} has more than {MAX_CROSSTAB_COLUMNS} values; "
-                "group by it instead"
+                "use crosstab_pages, which has them in pages of columns"
             )
         values = [r[0] for r in found]
     aggregates = []
@@ -289,6 +289,129 @@ def crosstab(
     return wide.fillna(0, subset=zero) if zero else wide
 
 
+class CrosstabPages:
+    """A crosstab of any width: its cells, its columns as a table, and pages of columns.
+
+    ``cells`` has one row per group and value that occur together, ``columns``
+    the values in order with ``position`` from 0 and the ``page`` they are on.
+    """
+
+    def __init__(self, cells: DataFrame, columns: DataFrame, rows: Sequence[str], names: Sequence[str], kinds: Sequence[str], width: int) -> None:
+        self.cells, self.columns = cells, columns
+        self._rows, self._names, self._kinds, self._width = list(rows), list(names), list(kinds), width
+
+    def pages(self) -> int:
+        return self.columns.agg(F.coalesce(F.max("page") + 1, F.lit(0))).first()[0]
+
+    def page(self, number: int) -> DataFrame:
+        """All groups with the columns of one page; reads that page's cells only."""
+        if not 0 <= number < self.pages():
+            raise ValueError(f"pages are 0 to {self.pages() - 1}, got {number}")
+        # a page holds ``width`` columns at most
+        here = self.columns.filter(F.col("page") == number).orderBy("position").collect()
+        cells = self.cells.filter(F.col("page") == number)
+        made = []
+        for place in here:
+            label = "null" if place["value"] is None else place["value"]
+            for name, kind in zip(self._names, self._kinds, strict=True):
+                value = F.max(F.when(F.col("position") == place["position"], F.col(name)))
+                value = F.coalesce(value, F.lit(0)) if kind.startswith("COUNT") else value
+                made.append(value.alias(label if len(self._names) == 1 else f"{label}_{name}"))
+        wide = cells.groupBy(*[col(r) for r in self._rows]).agg(*made)
+        if not self._rows:
+            return wide
+        # groups without a cell on this page
+        groups = self.cells.select(*[col(r) for r in self._rows]).distinct()
+        joined = _join_groups(groups, wide, self._rows)
+        counts = [c for i, c in enumerate(wide.columns[len(self._rows) :]) if self._kinds[i % len(self._kinds)].startswith("COUNT")]
+        return joined.withColumns({c: F.coalesce(col(c), F.lit(0)) for c in counts}) if counts else joined
+
+
+def crosstab_pages(
+    df: DataFrame,
+    rows: Sequence[str],
+    pivot_column: str,
+    select: Cell | dict | Sequence[Cell | dict],
+    condition: Predicate | dict | None = None,
+    width: int = 500,
+) -> CrosstabPages:
+    """A crosstab without a bound on its columns: cells are counted once, columns come in pages.
+
+    The values of ``pivot_column`` are a table in their order and never come to
+    the driver; a page of ``width`` of them does.
+    """
+    specs = [select] if isinstance(select, (Cell, dict)) else list(select)
+    cells = [Cell(**s) if isinstance(s, dict) else s for s in specs]
+    for cell in cells:
+        if cell.function not in CROSSTAB_FUNCTIONS or (cell.function == "COUNT") != (cell.column is None):
+            raise ValueError("in a crosstab COUNT is given without a column and every other function with one")
+    if not cells or width < 1:
+        raise ValueError("crosstab_pages needs an aggregate and a width of one or more")
+    clash = {"value", "position", "page"} & {r.lower() for r in rows}
+    if clash:
+        raise ValueError(f"rows of a crosstab have other names than {sorted(clash)}")
+    require(df, *rows, pivot_column, *[c.column for c in cells if c.column])
+    predicate = as_predicate(condition)
+    if predicate is not None:
+        df = df.filter(predicate.column(df))
+    value = converted(col(pivot_column), kind_of(df, pivot_column), TEXT)
+    names = ["_".join(x for x in (c.function, c.column) if x) for c in cells]
+    made = [SIMPLE[c.function](F.lit(1) if c.column is None else col(c.column)).alias(n) for c, n in zip(cells, names, strict=True)]
+    sparse = settled(df.groupBy(*[col(r) for r in rows], col(pivot_column).alias("_sorted")).agg(*made), "cells")
+    found = sparse.select("_sorted").distinct()
+    numbered = scan.numbered(found, [], [Key("_sorted")])
+    position = (F.col(scan.ROW) - 1).cast("bigint")
+    text = converted(F.col("_sorted"), kind_of(df, pivot_column), TEXT)
+    columns = numbered.select("_sorted", text.alias("value"), position.alias("position"), F.floor(position / width).alias("page"))
+    columns = settled(columns, "columns")
+    placed = sparse.join(columns.withColumnRenamed("_sorted", "_other"), F.col("_sorted").eqNullSafe(F.col("_other")))
+    placed = placed.select(*[col(r) for r in rows], "value", "position", "page", *names)
+    return CrosstabPages(settled(placed, "cells"), columns.drop("_sorted"), rows, names, [c.function for c in cells], width)
+
+
+def concat_parts(
+    df: DataFrame,
+    group_by: Sequence[str],
+    column: str,
+    delimiter: str = ", ",
+    order_by: Sequence | None = None,
+    part_chars: int = 1 << 20,
+) -> DataFrame:
+    """The values of a group joined by ``delimiter``, in parts: the groups, ``part``, ``begin`` and ``text``.
+
+    For groups whose text does not fit into a cell. Parts count from 0 and begin
+    at character ``begin`` of the whole; joined in order they are the whole text.
+    A part holds whole values and ends with the delimiter, but for the last one;
+    a value belongs to the part that its first character lies in. Values are in
+    the order of ``order_by``, else in their own; NULLs are left out. Offsets
+    come from running lengths over order buckets, so no task sees a whole group.
+    """
+    require(df, *group_by, column)
+    if part_chars < 1:
+        raise ValueError(f"a part has one character or more, not {part_chars}")
+    named = {"_text", "_length", "_end", "part", "begin", "text"} & {g.lower() for g in group_by}
+    if named:
+        raise ValueError(f"groups have other names than {sorted(named)}")
+    text = converted(col(column), kind_of(df, column), TEXT)
+    given = order_keys(df, order_by) if order_by else []
+    order = {f"_order{k}": col(key.name) for k, key in enumerate(given)}
+    rows = df.select(*[col(g) for g in group_by], text.alias("_text"), *[c.alias(n) for n, c in order.items()]).filter("_text IS NOT NULL")
+    rows = rows.withColumn("_length", F.length("_text").cast("bigint") + len(delimiter))
+    keys = [*(Key(f"_order{k}", key.descending) for k, key in enumerate(given)), Key("_text")]
+    # written once: where rows tie, their offsets must stay as they are
+    placed = scan.accumulated(rows, {"_end": "SUM"}, F.col("_length"), group_by, keys)
+    placed = materialize(placed.withColumn("begin", F.col("_end") - F.col("_length")), "offsets")
+    last = placed.groupBy(*[col(g) for g in group_by]).agg(F.max("_end").alias("_last")) if group_by else placed.agg(F.max("_end").alias("_last"))
+    inside = F.floor(F.col("begin") / part_chars).cast("bigint")
+    pieces = F.sort_array(F.collect_list(F.struct("begin", "_text")))
+    parts = placed.groupBy(*[col(g) for g in group_by], inside.alias("_cell")).agg(pieces.alias("_pieces"), F.max("_end").alias("_end"), F.min("begin").alias("begin"))
+    parts = _join_groups(parts, last, group_by)
+    joined = F.array_join(F.transform("_pieces", lambda p: p["_text"]), delimiter)
+    whole = F.when(F.col("_end") == F.col("_last"), joined).otherwise(F.concat(joined, F.lit(delimiter)))
+    number = F.row_number().over(Window.partitionBy(*[col(g) for g in group_by]).orderBy("_cell")) - 1
+    return parts.select(*[col(g) for g in group_by], number.cast("bigint").alias("part"), "begin", whole.alias("text"))
+
+
 def sample_rows(df: DataFrame, fraction: float, keys: Sequence[str], seed: int = 0) -> DataFrame:
     """A repeatable sample: the same rows on every run and on every retry of a task."""
     require(df, *keys)

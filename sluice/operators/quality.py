@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, Window
@@ -11,9 +11,10 @@ from pyspark.sql import functions as F
 
 from sluice.functions.conditions import Predicate, as_predicate
 from sluice.functions.kinds import NUMERIC, TEXT, col, converted, kind_of, require
-from sluice.operators.aggregate import Aggregation, pivot, sketched_distinct
+from sluice.operators.aggregate import Aggregation, as_aggregation, pivot, sketched_distinct
+from sluice.operators.joins import unused
 from sluice.operators.rows import limit_rows
-from sluice.session import settled
+from sluice.session import materialize, settled
 
 MAX_WIDGETS = 100  # fixed value: widgets in one request
 
@@ -329,14 +330,66 @@ class Widget:
 def widget_data(
     df: DataFrame, widgets: Mapping[str, Widget], filters: Sequence[Predicate | dict] = ()
 ) -> dict[str, DataFrame]:
-    """One table per widget, all under the same global and drill-down filters."""
+    """One table per widget, all under the same global and drill-down filters.
+
+    The table is read once: each row goes to the widgets whose filter it passes,
+    and one aggregate by widget and group makes all results, which are written
+    and read back, a widget's own rows each.
+    """
     if len(widgets) > MAX_WIDGETS:
         raise ValueError(f"at most {MAX_WIDGETS} widgets at once, got {len(widgets)}")
+    if not widgets:
+        return {}
     for condition in filters:
         df = df.filter(as_predicate(condition).column(df))
+    listed = list(widgets.values())
+    # the results of each widget alone have the names and types that are wanted
+    shapes = [pivot(df, w.group_by, w.aggregations, w.condition) for w in listed]
+    passed = []
+    for k, widget in enumerate(listed):
+        predicate = as_predicate(widget.condition)
+        passed.append(F.lit(k) if predicate is None else F.when(predicate.column(df), F.lit(k)))
+    number = unused("_widget", df.columns)
+    dealt = df.withColumn(number, F.explode(F.array_compact(F.array(*passed))))
+    bases = list(dict.fromkeys(g for w in listed for g in w.group_by))
+    keys = []
+    for j, base in enumerate(bases):
+        users = [k for k, w in enumerate(listed) if base in w.group_by]
+        keys.append(F.when(F.col(number).isin(users), col(base)).alias(f"key{j}"))
+    # equal aggregates of several widgets are one
+    wanted: list[tuple[Aggregation, list[int]]] = []
+    place: dict[tuple[int, int], int] = {}
+    for k, widget in enumerate(listed):
+        for i, spec in enumerate(map(as_aggregation, widget.aggregations)):
+            bare = replace(spec, as_name=None)
+            at = next((j for j, (other, _) in enumerate(wanted) if other == bare), len(wanted))
+            if at == len(wanted):
+                wanted.append((bare, []))
+            wanted[at][1].append(k)
+            place[k, i] = at
+    taken = {}
+    for j, (spec, users) in enumerate(wanted):
+        only = as_predicate(spec.condition)
+        value = col(spec.column) if only is None else F.when(only.column(df), col(spec.column))
+        taken[f"value{j}"] = value if len(users) == len(listed) else F.when(F.col(number).isin(users), value)
+    narrow = dealt.select(number, *keys, *[c.alias(n) for n, c in taken.items()])
+    specs = [Aggregation(f"value{j}", s.function, f"made{j}", s.delimiter, None, s.approximate) for j, (s, _) in enumerate(wanted)]
+    made = materialize(pivot(narrow, [number, *[f"key{j}" for j in range(len(bases))]], specs), "widgets")
     out = {}
-    for name, widget in widgets.items():
-        table = pivot(df, widget.group_by, widget.aggregations, widget.condition)
+    for k, (name, widget) in enumerate(widgets.items()):
+        own = made.filter(F.col(number) == k)
+        if not widget.group_by:
+            # a total is there even if there is nothing to add up
+            one = df.sparkSession.range(1).select(F.lit(k).alias("w"))
+            own = one.join(own, F.col("w") == F.col(number), "left")
+        fields = {f.name: f.dataType for f in shapes[k].schema.fields}
+        columns = [F.col(f"key{bases.index(g)}").alias(g) for g in widget.group_by]
+        for i, spec in enumerate(map(as_aggregation, widget.aggregations)):
+            result = F.col(f"made{place[k, i]}")
+            if spec.function.startswith("COUNT"):
+                result = F.coalesce(result, F.lit(0))
+            columns.append(result.cast(fields[spec.name]).alias(spec.name))
+        table = own.select(*columns)
         if widget.limit is not None:
             table = limit_rows(table, widget.limit, order_by=widget.order_by)
         out[name] = table

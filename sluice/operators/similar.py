@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sluice.functions.kinds import TEXT, col, converted, kind_of, require
+from sluice.operators.joins import unused
 from sluice.operators.ordering import order_keys
 from sluice.operators.rows import keep_first
-from sluice.session import materialize
+from sluice.session import materialize, settled
 
 METHODS = ("spelling", "phonetic", "patterns", "tfidf")
 # fixed values: words that say what kind of entity a name is, not which one
@@ -64,12 +65,93 @@ def near_pairs(values: DataFrame, max_edits: int) -> DataFrame:
     )
 
 
+def edit_pairs(values: DataFrame, min_similarity: float) -> DataFrame:
+    """All pairs of distinct texts with ``1 - edits / longer length`` of at least ``min_similarity``, exactly.
+
+    The longer text of a pair is cut into one segment more than the edits its
+    length allows, so one of them is untouched and lies in the shorter text, no
+    further from its place than the edits left and right of it. Texts of all
+    lengths meet by these segments, and candidates are verified within the bound.
+    The keys of a text grow with the square of the edits it may have, not with
+    its length.
+    """
+    if not 0 < min_similarity <= 1:
+        raise ValueError(f"min_similarity lies above 0 and not above 1, not {min_similarity}")
+    share = F.lit(1 - min_similarity + 1e-12)
+    texts = settled(values.select("text", F.length("text").cast("int").alias("size")).distinct(), "texts")
+    edits = F.floor(share * F.col("long")).cast("int")
+    place, length = F.col("place"), F.col("length")
+
+    def segments(edits: Column) -> Column:
+        """Number, place from 0 and length of the parts of a text of length ``long``."""
+        base, larger = F.call_function("div", F.col("long"), edits + 1).cast("int"), F.col("long") % (edits + 1)
+        small = edits + 1 - larger
+        return F.transform(
+            F.sequence(F.lit(0), edits),
+            lambda i: F.struct(i.alias("i"), (i * base + F.greatest(F.lit(0), i - small)).alias("place"), (base + (i >= small).cast("int")).alias("length")),
+        )
+
+    key = lambda text: F.xxhash64("long", "i", text)
+    parts = texts.filter("size > 0").withColumnRenamed("size", "long").withColumn("edits", edits).select("text", "long", "edits", F.inline(segments(F.col("edits"))))
+    kept = parts.select(F.col("text").alias("other"), "edits", key(F.substring("text", place + 1, length)).alias("key"))
+    # lengths that a longer partner may have, of those that there are
+    lengths = texts.select(F.col("size").alias("long")).distinct()
+    reach = F.sequence(F.col("size"), F.floor(F.col("size") / min_similarity + 1e-9).cast("int"))
+    probes = texts.filter("size > 0").select("text", "size", F.explode(reach).alias("long")).join(lengths, "long")
+    probes = probes.withColumn("edits", edits).filter(F.col("long") - F.col("size") <= F.col("edits"))
+    probes = probes.select("text", "size", "long", "edits", F.inline(segments(F.col("edits"))))
+    more = F.col("long") - F.col("size")
+    low = F.greatest(F.lit(0), place - F.col("i"), place - more - (F.col("edits") - F.col("i")))
+    high = F.least(F.col("size") - length, place + F.col("i"), place - more + F.col("edits") - F.col("i"))
+    found = F.when(low <= high, F.transform(F.sequence(low, high), lambda p: key(F.substring("text", p + 1, length))))
+    asked = probes.select("text", F.explode(F.array_distinct(found)).alias("key"))
+    met = asked.join(kept, "key").filter(
+        (F.length("text") < F.length("other")) | ((F.length("text") == F.length("other")) & (F.col("text") < F.col("other")))
+    )
+    # -1 beyond the bound, without looking further
+    close = F.call_function("levenshtein", F.col("text"), F.col("other"), F.col("edits"))
+    verified = met.select("text", "other", "edits").distinct().withColumn("found", close).filter("found >= 0")
+    return verified.select(F.least("text", "other").alias("text"), F.greatest("text", "other").alias("other"), F.col("found").alias("edits"))
+
+
+def cosine_pairs(values: DataFrame, min_similarity: float) -> DataFrame:
+    """All pairs of distinct texts whose words, weighted by rarity, have a cosine of at least ``min_similarity``.
+
+    A word weighs its count in the text times ``ln(1 + texts / texts with it)``.
+    Words of a text are taken rarest first, as many as are needed for the rest to
+    be shorter than the bound: two texts as similar as that share one of these.
+    So a word that half of the texts have brings no candidates, unless a text has
+    little else.
+    """
+    if not 0 < min_similarity <= 1:
+        raise ValueError(f"min_similarity lies above 0 and not above 1, not {min_similarity}")
+    texts = values.select("text").distinct()
+    words = texts.select("text", F.explode(F.split(normalized(F.col("text")), " ")).alias("word")).filter("word <> ''")
+    counted = words.groupBy("text", "word").agg(F.count(F.lit(1)).alias("tf"))
+    spread = counted.groupBy("word").agg(F.count(F.lit(1)).alias("texts"))
+    total = texts.agg(F.count(F.lit(1))).scalar()
+    weighted = counted.join(spread, "word").withColumn("weight", F.col("tf") * F.log1p(total / F.col("texts")))
+    whole = Window.partitionBy("text")
+    vectors = weighted.withColumn("weight", F.col("weight") / F.sqrt(F.sum(F.col("weight") ** 2).over(whole)))
+    vectors = materialize(vectors.select("text", "word", "texts", "weight"), "vectors")
+    # what is left of the vector from each word on
+    rest = F.sum(F.col("weight") ** 2).over(whole.orderBy(F.desc("texts"), F.desc("word")).rowsBetween(Window.unboundedPreceding, 0))
+    first = vectors.withColumn("rest", rest).filter(F.col("rest") >= min_similarity**2 - 1e-9).select("text", "word")
+    other = first.withColumnRenamed("text", "other")
+    met = first.join(other, "word").filter(F.col("text") < F.col("other")).select("text", "other").distinct()
+    mine = vectors.select("text", "word", "weight")
+    yours = vectors.select(F.col("text").alias("other"), "word", F.col("weight").alias("other_weight"))
+    product = F.round(F.sum(F.col("weight") * F.col("other_weight")), 9).alias("similarity")
+    return met.join(mine, "text").join(yours, ["other", "word"]).groupBy("text", "other").agg(product).filter(F.col("similarity") >= min_similarity)
+
+
 def suggest_replacements(
     df: DataFrame,
     column: str,
     method: str = "spelling",
     max_edits: int = 1,
     common_share: float = 0.2,
+    min_similarity: float | None = None,
 ) -> DataFrame:
     """Variants of a column's values with the value that should replace them.
 
@@ -77,6 +159,8 @@ def suggest_replacements(
     among equally frequent ones. Groups are values within some edits
     (spelling), that sound alike (phonetic), that differ in entity words and
     punctuation (patterns), or that share all words except common ones (tfidf).
+    With ``min_similarity`` spelling and tfidf suggest the best of the values
+    that are as similar as that: by edits and length, or by weighted words.
     Feed the result to ``bulk_replace_from``.
     """
     require(df, column)
@@ -89,8 +173,13 @@ def suggest_replacements(
         .groupBy("text")
         .agg(F.count(F.lit(1)).alias("n"))
     )
+    if min_similarity is not None and method not in ("spelling", "tfidf"):
+        raise ValueError(f"{method!r} has no similarity")
     if method == "spelling":
-        return _spelling(counts, max_edits)
+        texts = counts.select("text")
+        return _best_near(counts, near_pairs(texts, max_edits) if min_similarity is None else edit_pairs(texts, min_similarity))
+    if method == "tfidf" and min_similarity is not None:
+        return _best_near(counts, cosine_pairs(counts, min_similarity))
     if method == "tfidf":
         keyed = _rare_words(counts, common_share)
     else:
@@ -113,8 +202,8 @@ def suggest_replacements(
     )
 
 
-def _spelling(counts: DataFrame, max_edits: int) -> DataFrame:
-    pairs = near_pairs(counts.select("text"), max_edits)
+def _best_near(counts: DataFrame, pairs: DataFrame) -> DataFrame:
+    """For each value the most frequent of those it is near to, if that is more frequent."""
     both = pairs.select("text", "other").union(pairs.select("other", "text"))
     other = counts.select(F.col("text").alias("other"), F.col("n").alias("other_n"))
     ranked = both.join(counts, "text").join(other, "other")
@@ -145,33 +234,36 @@ def dedupe_fuzzy(
     df: DataFrame,
     columns: Sequence[str],
     order_by: Sequence,
-    max_edits: int = 1,
+    max_edits: int | None = 1,
     min_similarity: float = 0.0,
 ) -> DataFrame:
     """Keep the first row of every group of rows whose key texts are nearly equal.
 
-    Two texts are near when at most ``max_edits`` edits apart, at a similarity
-    of ``1 - edits / length`` of at least ``min_similarity``; groups are closed
-    under nearness. Equal texts are one value throughout, so copies cost nothing.
+    Two texts are near when at most ``max_edits`` edits apart (1, 2, or None for
+    any number), at a similarity of ``1 - edits / length`` of at least
+    ``min_similarity``; groups are closed under nearness. Equal texts are one value throughout, so copies cost nothing.
     """
     require(df, *columns)
     parts = [converted(col(c), kind_of(df, c), TEXT) for c in columns]
     text = normalized(F.concat_ws(" ", *parts))
-    everything = df.withColumn("_text", text)
+    names = df.columns
+    own, label, group = (unused(n, names) for n in ("_text", "_label", "_group"))
+    everything = df.withColumn(own, text)
     # nothing to compare in a blank key: such rows are no one's duplicates
-    keyed = everything.filter(F.col("_text") != "")
-    values = keyed.select(F.col("_text").alias("text")).distinct()
+    keyed = everything.filter(F.col(own) != "")
+    values = keyed.select(F.col(own).alias("text")).distinct()
     longest = F.greatest(F.length("text"), F.length("other"))
-    pairs = near_pairs(values, max_edits).filter(
-        1 - F.col("edits") / longest >= F.lit(float(min_similarity))
-    )
-    groups = smallest_connected(pairs.select("text", "other"))
-    labelled = keyed.join(groups, "_text", "left").withColumn(
-        "_group", F.coalesce("_label", "_text")
-    )
-    kept = keep_first(labelled, ["_group"], order_keys(df, order_by, needed_by="dedupe_fuzzy"))
-    blank = everything.filter(F.col("_text") == "").drop("_text")
-    return kept.drop("_text", "_label", "_group").unionByName(blank)
+    if max_edits is None:
+        pairs = edit_pairs(values, min_similarity)
+    else:
+        pairs = near_pairs(values, max_edits).filter(
+            1 - F.col("edits") / longest >= F.lit(float(min_similarity))
+        )
+    groups = smallest_connected(pairs.select("text", "other")).toDF(own, label)
+    labelled = keyed.join(groups, own, "left").withColumn(group, F.coalesce(label, own))
+    kept = keep_first(labelled, [group], order_keys(df, order_by, needed_by="dedupe_fuzzy"))
+    blank = everything.filter(F.col(own) == "").drop(own)
+    return kept.drop(own, label, group).unionByName(blank)
 
 
 def smallest_connected(pairs: DataFrame) -> DataFrame:

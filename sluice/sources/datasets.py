@@ -230,6 +230,13 @@ class Dataset:
         df = self._open(state, list(state.folders))
         return df if with_batch else df.drop(BATCH)
 
+    def batch(self, name: str) -> DataFrame:
+        """The rows of one batch."""
+        state = self._needed(self._state())
+        if name not in state.batches:
+            raise ValueError(f"the dataset has no batches {[name]}")
+        return self._open(state, [name]).drop(BATCH)
+
     def batches(self) -> DataFrame:
         """Batches with their row counts."""
         return self.read(True).groupBy(BATCH).agg(F.count(F.lit(1)).alias("rows"))
@@ -291,8 +298,55 @@ class Dataset:
             raise ValueError(f"no dataset at {self.root}")
         return state
 
+    def names(self) -> list[str]:
+        """Live batches, oldest first."""
+        return list(self._needed(self._state()).batches)
+
+    def shaped(self, rows: DataFrame) -> DataFrame:
+        """Columns in the order and types of the dataset."""
+        return _shaped(rows, self._needed(self._state()).schema)
+
+    def fold(self, batches: Sequence[str], build: Callable[[DataFrame], DataFrame], batch: str | None = None) -> str:
+        """One batch made of others takes their place."""
+        name = _batch_name(batch)
+
+        def change(state: _State | None) -> tuple[T.StructType, list[_Entry]]:
+            state = self._needed(state)
+            unknown = sorted(set(batches) - set(state.batches))
+            if unknown:
+                raise ValueError(f"the dataset has no batches {unknown}")
+            folder = self._write(_shaped(build(self._open(state, list(batches))), state.schema), name)
+            # first in order, as what it is made of
+            rest = {n: b for n, b in state.batches.items() if n not in batches}
+            return state.schema, _entries({name: _Batch(folder), **rest})
+
+        self._change(change)
+        return name
+
+    def remove(self, condition: Callable[[DataFrame], Column], batch: str | None = None) -> str:
+        """Delete rows; their places are named as deleted. ``batch`` names the change, an empty batch."""
+        name = _batch_name(batch)
+
+        def change(state: _State | None) -> tuple[T.StructType, list[_Entry]]:
+            state = self._needed(state)
+            entries = [_Entry(name, self._write(self._empty(state.schema), name))]
+            old = self._counting(state, list(state.batches), [f"{self.root}/{f}" for f in state.folders.values()])
+            return state.schema, entries + self._deletions(old.filter(condition(old)), list(state.batches))
+
+        self._change(change)
+        return name
+
+    def _deletions(self, rows: DataFrame, batches: Sequence[str]) -> list[_Entry]:
+        """Name rows of some batches as deleted; few files per batch."""
+        folder = f"deleted/{uuid.uuid4().hex}"
+        # large batches are split over tasks, small ones share one
+        places = rows.select(BATCH, _FILE, _PLACE).hint("rebalance", F.col(BATCH))
+        places.write.partitionBy(BATCH).parquet(f"{self.root}/{folder}")
+        left = self._written(folder)
+        return [_Entry(b, deleted=f"{folder}/{BATCH}={b}") for b in batches if b in left]
+
     def merge(
-        self, source: DataFrame, keys: Sequence[str], order_by: Sequence | None = None
+        self, source: DataFrame, keys: Sequence[str], order_by: Sequence | None = None, batch: str | None = None
     ) -> str:
         """New keys are added, rows with known keys replaced.
 
@@ -301,7 +355,7 @@ class Dataset:
         replace are named as deleted. Only files whose range of the first key
         holds a merged key are read, and of these only the keys.
         """
-        name = _batch_name(None)
+        name = _batch_name(batch)
         self._change(lambda state: self._merged(self._needed(state), name, source, list(keys), order_by))
         return name
 
@@ -318,11 +372,7 @@ class Dataset:
             batches = sorted({f.split("/")[1].removeprefix(f"{BATCH}=") for f in files})
             old = self._counting(state, batches, [f"{self.root}/data/{f}" for f in files])
             hit = matching(old.select(*[col(k) for k in keys], BATCH, _FILE, _PLACE), known, keys, null_safe=True)
-            folder = f"deleted/{uuid.uuid4().hex}"
-            # few files per batch; large batches are split over tasks, small ones share one
-            places = hit.select(BATCH, _FILE, _PLACE).hint("rebalance", F.col(BATCH))
-            places.write.partitionBy(BATCH).parquet(f"{self.root}/{folder}")
-            entries += [_Entry(b, deleted=f"{folder}/{BATCH}={b}") for b in batches if b in self._written(folder)]
+            entries += self._deletions(hit, batches)
         return state.schema, entries
 
     def candidates(self, known: DataFrame, key: str, ranges: Sequence[str]) -> list[str]:

@@ -3,14 +3,14 @@
 from __future__ import annotations
 
 import csv
-import re
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sluice.functions.kinds import col, java_layout, parse_date
+from sluice.sources.quoted import open_after, parsed, records
 
 DELIMITERS = (",", "\t", "|", ";")  # fixed values: separators a CSV file may use
 FILE_COLUMN = "_source_file"
@@ -32,9 +32,9 @@ def read_csv(
     """CSV files as a table.
 
     A quote inside quotes is doubled, an empty cell is NULL and ``""`` is empty
-    text. With ``multiline`` quoted cells may hold line ends; each file is then
-    read by one task, so cut such data into files of a moderate size. Without it
-    files are split, and a cell whose quote is still open at the end of its line
+    text. With ``multiline`` quoted cells may hold line ends; files are split all
+    the same, and records are cut in two passes (see ``quoted``). Without it one
+    pass is enough, and a cell whose quote is still open at the end of its line
     fails the read instead of giving broken rows.
 
     Without a schema numbers and ISO timestamps are typed and everything else
@@ -44,12 +44,14 @@ def read_csv(
     """
     if delimiter not in DELIMITERS:
         raise ValueError(f"delimiter is one of {DELIMITERS}, not {delimiter!r}")
-    options = csv_options(delimiter, quote, multiline)
-    if not multiline:
-        check_closed_quotes(spark.read.text(path), delimiter, quote)
+    options = csv_options(delimiter, quote)
+    if multiline:
+        found = records(lambda: spark.read, path, delimiter, quote, skip_rows)
+        df = _naive_dates(_cells(found, options, has_header, schema, prefersDate=False).drop(FILE_COLUMN))
+        return with_dates(df, date_format, date_formats)
+    check_closed_quotes(spark.read.text(path), delimiter, quote)
     if skip_rows:
-        skip = _skipping_records if multiline else _skipping
-        df = skip(spark, path, skip_rows, has_header, options, schema)
+        df = _skipping(spark, path, skip_rows, has_header, options, schema)
         df = df if schema is not None else inferred(df)
     else:
         reader = spark.read.options(header=has_header, **options)
@@ -69,10 +71,8 @@ def csv_options(delimiter: str = ",", quote: str = '"', multiline: bool = False)
 
 def check_closed_quotes(lines: DataFrame, delimiter: str = ",", quote: str = '"') -> None:
     """Fail if a line ends inside quotes; one pass that stops at the first such line."""
-    q, d = re.escape(quote), re.escape(delimiter)
-    # what is left after all closed cells must not begin a quoted cell
-    rest = F.regexp_replace("value", f"(^|{d})[ \t]*{q}(?:[^{q}]|{q}{q})*+{q}", "$1")
-    bad = lines.filter(F.col("value").contains(quote) & rest.rlike(f"(^|{d})[ \t]*{q}")).limit(1).collect()
+    left_open = open_after(F.col("value"), delimiter, quote, False)
+    bad = lines.filter(F.col("value").contains(quote) & left_open).limit(1).collect()
     if bad:
         start = bad[0]["value"][:60]
         raise ValueError(f"a quoted cell holds a line end; read the files with multiline=True: {start!r}")
@@ -122,36 +122,35 @@ def _skipping(
     return body.select(parsed.alias("row")).select("row.*")
 
 
-def _skipping_records(
-    spark: SparkSession,
-    path: str | Sequence[str],
-    skip_rows: int,
-    has_header: bool,
+def _cells(
+    found: DataFrame,
     options: Mapping[str, object],
+    has_header: bool,
     schema: str | T.StructType | None,
+    **inference: object,
 ) -> DataFrame:
-    """Records after the first ones of each file, where cells may hold line ends.
-
-    The lines to skip are read like any others, so they must not open a quote.
-    """
-    if schema is None:
-        numbered = spark.read.text(path).select(
-            "value", F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("id")
-        )
-        # a header is not expected to run over more lines than this
-        top = [r["value"] for r in numbered.orderBy("file", "id").limit(skip_rows + 50).collect()]
-        cells = next(csv.reader([f"{x}\n" for x in top[skip_rows:]], delimiter=str(options["sep"]), quotechar=str(options["quote"])))
-        names = cells if has_header else [f"_c{i}" for i in range(len(cells))]
-        typed = T.StructType([T.StructField(c, T.StringType()) for c in names])
-    else:
+    """Records as rows, with the file each came from; without a schema columns are typed as Spark types them."""
+    spark = found.sparkSession
+    body = found.filter(~F.col("first")) if has_header else found
+    if schema is not None:
         typed = schema if isinstance(schema, T.StructType) else T._parse_datatype_string(schema)
-    df = spark.read.options(**options).schema(typed).csv(path)
-    # a file is one task, which numbers its records in order
-    rows = df.withColumns({"_file": F.col("_metadata.file_path"), "_id": F.monotonically_increasing_id()})
-    heads = rows.groupBy("_file").agg(F.min("_id").alias("_first"))
-    drop = skip_rows + (1 if has_header else 0)
-    body = rows.join(heads, "_file").filter(F.col("_id") - F.col("_first") >= drop)
-    return body.select(*[col(f.name) for f in typed.fields])
+    else:
+        plain = lambda: spark.read.options(**options)
+        names = None
+        if has_header:
+            top = found.filter("first").orderBy("file").limit(1)
+            cells = [str(c) for c in (parsed(plain(), top).first() or ())]
+            names = [c if cells.count(c) == 1 else f"{c}{k}" for k, c in enumerate(cells)]
+        seen = parsed(plain().options(inferSchema=True, **inference), body).schema.fields
+        if names is None:
+            names = [f.name for f in seen]
+        kinds = [f.dataType for f in seen]
+        # rows shorter or longer than the header say nothing about columns they lack
+        kinds = kinds if len(kinds) == len(names) else [T.StringType()] * len(names)
+        typed = T.StructType([T.StructField(n, k) for n, k in zip(names, kinds, strict=True)])
+    row = F.from_csv("record", _ddl(typed), {k: str(v) for k, v in options.items()})
+    rows = body.select(row.alias("row"), F.col("file").alias(FILE_COLUMN))
+    return rows.select(*[F.col("row")[f.name].alias(f.name) for f in typed.fields], FILE_COLUMN)
 
 
 def inferred(df: DataFrame) -> DataFrame:
@@ -217,10 +216,15 @@ def read_folder(
         reader = reader.option("pathGlobFilter", pattern)
     if file_format == "csv":
         given = {"multiLine": "false", "sep": ",", "quote": '"', **options}
-        if str(given["multiLine"]).lower() != "true":
-            lines = spark.read.option("recursiveFileLookup", True)
-            lines = lines.option("pathGlobFilter", pattern) if pattern else lines
-            check_closed_quotes(lines.text(path), str(given["sep"]), str(given["quote"]))
+
+        def lines() -> DataFrameReader:
+            made = spark.read.option("recursiveFileLookup", True)
+            return made.option("pathGlobFilter", pattern) if pattern else made
+
+        if str(given["multiLine"]).lower() == "true":
+            found = records(lines, path, str(given["sep"]), str(given["quote"]))
+            return _cells(found, {**csv_options(str(given["sep"]), str(given["quote"])), **options, "multiLine": False}, True, schema)
+        check_closed_quotes(lines().text(path), str(given["sep"]), str(given["quote"]))
         options = {**csv_options(str(given["sep"]), str(given["quote"])), "multiLine": given["multiLine"], **options}
         reader = reader.options(header=True, inferSchema=schema is None)
     if schema is not None:

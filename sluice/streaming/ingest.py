@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 from sluice.operators.rows import keep_first
 from sluice.sources.datasets import BATCH, Dataset, newer_rows
 from sluice.sources.readers import csv_options
+from sluice.streaming.incremental import KeptPivot, KeptTop, keep, merged_increment
 
 # fixed values: how a file name may match, and webhook modes
 NAME_MATCHES = ("contains", "starts_with", "ends_with", "exact")
@@ -164,11 +165,17 @@ def merge_increments(
     checkpoint: str,
     keys: Sequence[str],
     order_by: Sequence,
+    kept: Sequence[KeptPivot | KeptTop] = (),
 ) -> None:
-    """Upsert every increment by key; merging the same increment again changes nothing."""
+    """Upsert every increment by key; merging the same increment again changes nothing.
+
+    Aggregates in ``kept`` are corrected by the rows an increment adds and replaces.
+    """
 
     def each(rows: DataFrame, batch: str) -> None:
-        if not target.exists():
+        if kept:
+            merged_increment(target, rows, keys, order_by, kept, batch)
+        elif not target.exists():
             target.replace(keep_first(rows, keys, order_by))
         else:
             target.merge(rows, keys, order_by)
@@ -183,11 +190,16 @@ def run_steps(
     checkpoint: str,
     whole: Callable[[DataFrame], DataFrame] | None = None,
     result: Dataset | None = None,
+    kept: Sequence[KeptPivot | KeptTop] = (),
 ) -> None:
-    """Row-wise steps on each increment; steps over all rows on the dataset after it."""
+    """Row-wise steps on each increment; steps over all rows on the dataset after it.
+
+    Aggregates in ``kept`` take up each increment and read nothing else.
+    """
 
     def each(rows: DataFrame, batch: str) -> None:
         target.append(steps(rows), batch=batch)
+        keep(kept, batch, target.batch(batch))
         if whole is not None and result is not None:
             result.replace(whole(target.read()), batch=batch)
 
