@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import re
 import tempfile
 import uuid
@@ -97,6 +98,16 @@ def materialize(df: DataFrame, label: str = "step") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def forget_shuffles(spark: SparkSession) -> None:
+    """Let Spark remove shuffle files that nothing refers to any more.
+
+    It does so when the driver collects its garbage, which may be long after a
+    step is done whose result has been written.
+    """
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def with_row_keys(df: DataFrame) -> DataFrame:
     """``df`` with ``__row``, a number no other row has, and ``__hash`` of the text.
 
