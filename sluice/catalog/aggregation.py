@@ -314,6 +314,25 @@ def profile(t):
     return steadied(quality.profile(t.orders, exact=True), "mean", "stddev")
 
 
+_FREQUENT = ("l_returnflag", "l_linenumber", "l_quantity", "l_discount", "l_suppkey")
+
+
+@query(
+    "profile_frequent",
+    "WITH "
+    + ", ".join(
+        f"""t{i} AS (SELECT '{c}' AS "column", {c} AS v, count(*) AS n FROM lineitem WHERE {c} IS NOT NULL GROUP BY ALL)""" for i, c in enumerate(_FREQUENT)
+    )
+    + ", every AS ("
+    + " UNION ALL ".join(f'SELECT "column", {"v::INT::VARCHAR" if c == "l_quantity" else "v::VARCHAR"} AS v, n FROM t{i}' for i, c in enumerate(_FREQUENT))
+    + """), ranked AS (SELECT *, row_number() OVER (PARTITION BY "column" ORDER BY n DESC, v) AS place FROM every)
+       SELECT "column", string_agg(v || ' (' || n || ')', ', ' ORDER BY place) AS top_values FROM ranked WHERE place <= 3 GROUP BY ALL""",
+)
+def profile_frequent(t):
+    """Columns with fewer values than a sketch holds: their lists are those of an exact count."""
+    return quality.frequent_values(t.lineitem, _FREQUENT, 3).select("column", "top_values")
+
+
 @query("profile_sketched")
 def profile_sketched(t):
     return quality.profile(t.lineitem)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field, replace
 from typing import Any
@@ -17,6 +18,8 @@ from sluice.operators.rows import limit_rows
 from sluice.session import materialize, settled
 
 MAX_WIDGETS = 100  # fixed value: widgets in one request
+# relative standard error of a distinct count from a sketch of 2^13 places
+DISTINCT_ERROR = 0.0115
 
 
 def profile(
@@ -28,7 +31,10 @@ def profile(
 ) -> DataFrame:
     """One row per column: kind, nulls, distinct values, range, mean, spread, top values.
 
-    Distinct counts are sketched unless ``exact``. The range is over the values
+    Distinct counts are sketched unless ``exact``, and ``distinct_error`` is their
+    relative standard error; top values are then counted exactly, but looked for
+    among the frequent values of a sketch: no value left out occurs more often
+    than the larger of ``top_bound`` and the last one listed. The range is over the values
     as text for TEXT, as numbers otherwise; top values come as ``value (count)``.
     ``samples`` adds that many different values, the same ones on every run.
     An exact profile reads the table twice, whatever its number of columns.
@@ -59,16 +65,16 @@ def profile(
     rows = one.select(F.inline(F.array(*[F.col(f"m{i}") for i in range(len(names))])))
     percent = F.round(F.try_divide(F.col("nulls") * 100, F.col("rows")), 2)
     rows = rows.withColumn("null_pct", percent)
-    if not exact and not samples:
-        return rows.join(_sketched_tops(df, names, top), "column", "left")
+    if not exact:
+        rows = rows.withColumn("distinct_error", F.lit(DISTINCT_ERROR)).join(frequent_values(df, names, top), "column", "left")
+        if not samples:
+            return rows
     counts = settled(value_counts(df, names), "counts")
     if exact:
         distinct = counts.groupBy("column").agg(F.count(F.lit(1)).alias("_distinct"))
         order = rows.columns
         rows = rows.join(distinct, "column", "left").withColumn("distinct_values", F.coalesce("_distinct", F.lit(0).cast("bigint")))
         rows = rows.select(*order).join(_tops(counts, top), "column", "left")
-    else:
-        rows = rows.join(_sketched_tops(df, names, top), "column", "left")
     if not samples:
         return rows
     # the values with the smallest hashes, a handful per column
@@ -95,31 +101,42 @@ def value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return long.groupBy("column", "value").agg(F.any_value("shown").alias("shown"), F.count(F.lit(1)).alias("n"))
 
 
-def _sketched_tops(df: DataFrame, columns: Sequence[str], top: int) -> DataFrame:
-    """Frequent values of all columns from one bounded sketch each, in one pass.
+def frequent_values(df: DataFrame, columns: Sequence[str], top: int = 5, tracked: int = 1000) -> DataFrame:
+    """``column, top_values, top_bound``: frequent values of all columns with exact counts, in two passes.
 
-    Columns in which no value stands out get no list.
+    A sketch of ``tracked`` values a column, which tasks fill and which are merged,
+    names the candidates; only these are then counted. No value left out occurs
+    more often than the larger of ``top_bound`` and the last one listed.
     """
-    sketches = []
-    for i, name in enumerate(columns):
-        text = converted(col(name), kind_of(df, name), TEXT)
-        sketches.append(F.expr(f"approx_top_k(_t{i}, {top}, {max(1000, 100 * top)})").alias(f"s{i}"))
-        df = df.withColumn(f"_t{i}", text)
-    one = df.agg(*sketches)
-    listed = [
-        F.struct(
-            F.lit(name).alias("column"),
-            F.array_join(
-                F.transform(
-                    F.filter(F.col(f"s{i}"), lambda e: e["item"].isNotNull()),
-                    lambda e: F.concat(e["item"], F.lit(" ("), e["count"].cast("string"), F.lit(")")),
-                ),
-                ", ",
-            ).alias("top_values"),
+    require(df, *columns)
+    tracked = max(tracked, 20 * top)
+    texts = df.select(*[converted(col(c), kind_of(df, c), TEXT).alias(f"t{i}") for i, c in enumerate(columns)])
+    # a sketch is wrong by 3.5 / its places of the rows, and may name a value only if that is certain
+    places = 1 << (math.ceil(tracked / 0.75) - 1).bit_length()
+    sketches = [F.expr(f"approx_top_k(t{i}, {tracked}, {tracked})").alias(f"s{i}") for i in range(len(columns))]
+    counts = [F.count(f"t{i}").alias(f"n{i}") for i in range(len(columns))]
+    one = settled(texts.agg(*sketches, *counts), "sketches")
+
+    def items(i: int) -> Column:
+        return F.transform(F.col(f"s{i}"), lambda e: F.struct(F.lit(i).alias("i"), e["item"].alias("value")))
+
+    named = one.select(F.inline(F.flatten(F.array(*[items(i) for i in range(len(columns))])))).filter("value IS NOT NULL")
+    long = texts.select(F.inline(F.array(*[F.struct(F.lit(i).alias("i"), F.col(f"t{i}").alias("value")) for i in range(len(columns))])))
+    # some thousand candidates at most for each column
+    counted = long.join(named, ["i", "value"], "left_semi").groupBy("i", "value").agg(F.count(F.lit(1)).alias("n"))
+    label = F.element_at(F.array(*[F.lit(c) for c in columns]), F.col("i") + 1)
+    tops = _tops(counted.select(label.alias("column"), F.col("value").alias("shown"), "n"), top)
+    bounds = one.select(
+        F.inline(
+            F.array(
+                *[
+                    F.struct(F.lit(c).alias("column"), F.floor(F.col(f"n{i}") * 7 / places).cast("bigint").alias("top_bound"))
+                    for i, c in enumerate(columns)
+                ]
+            )
         )
-        for i, name in enumerate(columns)
-    ]
-    return one.select(F.inline(F.array(*listed)))
+    )
+    return bounds.join(tops, "column", "left").select("column", "top_values", "top_bound")
 
 
 def top_values(df: DataFrame, columns: Sequence[str], top: int = 5) -> DataFrame:

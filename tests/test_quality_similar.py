@@ -217,3 +217,19 @@ def test_exact_profile_reads_twice_and_shows_samples(table):
     assert got["c"]["sample_values"] == ["1.5"] and got["c"]["top_values"] == "1.5 (20)"
     again = {r["column"]: r["sample_values"] for r in profile(df.repartition(7), exact=True, samples=3).collect()}
     assert again == {k: r["sample_values"] for k, r in got.items()}
+
+
+def test_frequent_values_state_a_bound(spark):
+    """Two frequent values among ten thousand that occur once or twice."""
+    df = spark.range(40_000).selectExpr(
+        "CASE WHEN id % 4 = 0 THEN 'often' WHEN id % 10 = 1 THEN 'less' ELSE concat('v', id div 2) END AS t", "id % 3 AS k", "CAST(NULL AS STRING) AS none"
+    )
+    got = {r["column"]: r for r in quality.frequent_values(df, ["t", "k", "none"], 3).collect()}
+    exact = {r["column"]: r["top_values"] for r in quality.top_values(df, ["t", "k"], 3).collect()}
+    assert got["k"]["top_values"] == exact["k"] and got["none"]["top_values"] is None
+    listed = got["t"]["top_values"].split(", ")
+    assert listed[:2] == exact["t"].split(", ")[:2]
+    # nothing that is left out occurs more often than the bound says
+    assert 2 <= got["t"]["top_bound"] < 4000
+    row = {r["column"]: r for r in quality.profile(df, ["t"]).collect()}["t"]
+    assert abs(row["distinct_values"] / df.select("t").distinct().count() - 1) < 5 * row["distinct_error"]
