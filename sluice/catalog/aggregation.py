@@ -324,7 +324,7 @@ _FREQUENT = ("l_returnflag", "l_linenumber", "l_quantity", "l_discount", "l_supp
         f"""t{i} AS (SELECT '{c}' AS "column", {c} AS v, count(*) AS n FROM lineitem WHERE {c} IS NOT NULL GROUP BY ALL)""" for i, c in enumerate(_FREQUENT)
     )
     + ", every AS ("
-    + " UNION ALL ".join(f'SELECT "column", {"v::INT::VARCHAR" if c == "l_quantity" else "v::VARCHAR"} AS v, n FROM t{i}' for i, c in enumerate(_FREQUENT))
+    + " UNION ALL ".join(f'SELECT "column", v::VARCHAR AS v, n FROM t{i}' for i in range(len(_FREQUENT)))
     + """), ranked AS (SELECT *, row_number() OVER (PARTITION BY "column" ORDER BY n DESC, v) AS place FROM every)
        SELECT "column", string_agg(v || ' (' || n || ')', ', ' ORDER BY place) AS top_values FROM ranked WHERE place <= 3 GROUP BY ALL""",
 )

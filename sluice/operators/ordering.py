@@ -26,7 +26,8 @@ from sluice.functions.kinds import DATE, NUMERIC, col, kind_of, require
 from sluice.session import planned_bytes
 
 BUCKET_BYTES = 128 << 20
-SAMPLED_BYTES = 64 << 20
+# what is sampled for cut points: at least this much, and so much for each bucket
+SAMPLED_BYTES, SAMPLED_PER_BUCKET = 64 << 20, 256 << 10
 # cut points of a text key per bucket, rows sampled for each, and the text they may hold together
 _FINER, _SAMPLED_ROWS, _SAMPLED_TEXT = 4, 8, 256 << 20
 # Catalyst plans rows that came from the driver as if they were endless
@@ -213,9 +214,9 @@ def with_buckets(
         setting = df.sparkSession.conf.get("spark.sql.shuffle.partitions")
         parallel = int(setting) if setting.isdigit() else 200
         count = max(size // BUCKET_BYTES, parallel, 2)
-    sampled = df
-    if size > SAMPLED_BYTES:
-        sampled = df.sample(fraction=max(SAMPLED_BYTES / size, 1e-6), seed=7)
+    sampled, wanted = df, max(SAMPLED_BYTES, count * SAMPLED_PER_BUCKET)
+    if size > wanted:
+        sampled = df.sample(fraction=wanted / size, seed=7)
     codes = _Codes(df, keys, sampled, count)
     code, descending = codes.first()
     found = sampled.agg(F.percentile_approx(code, _shares(count), 10 * count)).first()[0] or []
