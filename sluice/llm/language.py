@@ -22,8 +22,8 @@ from sluice.llm.counts import pack, unpack
 from sluice.llm.vectors import slices, texts
 
 UNKNOWN = "und"
-#: language values are codes; more of them than this are no languages
-MAX_LANGUAGES = 256
+#: languages a model tells apart: a matrix of as many columns goes to every task
+LANGUAGES = 256
 
 
 @dataclass(frozen=True)
@@ -86,8 +86,16 @@ def buckets(chars: np.ndarray, order: int, bits: int) -> np.ndarray:
     return made & np.uint32((1 << bits) - 1)
 
 
-def train(df: DataFrame, orders: tuple[int, ...] = (1, 2, 3), bits: int = 16, smoothing: float = 0.5) -> Model:
-    """A model from all rows of ``text, lang`` with a language and a letter."""
+def train(df: DataFrame, orders: tuple[int, ...] = (1, 2, 3), bits: int = 16, smoothing: float = 0.5, most: int = LANGUAGES) -> Model:
+    """A model from all rows of ``text, lang`` with a language and a letter.
+
+    Values of ``lang`` are counted over all rows first; of more than ``most``
+    different ones the most frequent are learned (the first in order among
+    equally frequent ones), and the others are never predicted.
+    """
+    lang = F.col("lang").cast("string").alias("lang")
+    counted = df.filter(F.col("lang").isNotNull()).groupBy(lang).agg(F.count(F.lit(1)).alias("n"))
+    known = frozenset(r["lang"] for r in counted.orderBy(F.desc("n"), "lang").limit(most).collect())
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}
@@ -97,14 +105,12 @@ def train(df: DataFrame, orders: tuple[int, ...] = (1, 2, 3), bits: int = 16, sm
                 chars, bounds, lettered = characters(part.column("text"))
                 langs = part.column("lang").to_pylist()
                 grams = [buckets(chars, n, bits) for n in orders]
-                for lang in set(langs) - {None}:
+                for lang in known.intersection(langs):
                     mine = np.array([x == lang for x in langs]) & lettered
                     inside = np.repeat(mine, np.diff(bounds))
                     total = sum(np.bincount(g[inside], minlength=1 << bits) for g in grams)
                     sums[lang] = sums.get(lang, 0) + total
                     docs[lang] = docs.get(lang, 0) + int(mine.sum())
-                if len(sums) > MAX_LANGUAGES:
-                    raise ValueError(f"more than {MAX_LANGUAGES} values of lang")
         rows = [(lang, docs[lang], pack(total)) for lang, total in sums.items()]
         out = list(zip(*rows, strict=True)) or [[], [], []]
         arrays = [pa.array(c, k) for c, k in zip(out, (pa.string(), pa.int64(), pa.binary()), strict=True)]

@@ -62,3 +62,14 @@ def test_score_is_the_posterior(table):
     share = 1 / sum(math.exp(v - logs[best]) for v in logs.values())
     names, score = score_batch(pa.array(["katze dog"]), model)
     assert names == [best] and abs(score[0] - share) < 1e-3
+
+
+def test_ten_thousand_values_of_lang(spark):
+    """The most frequent ones are learned, whatever task they lie in."""
+    text = "CASE id % 3 WHEN 0 THEN 'the quick brown fox and the lazy dog' WHEN 1 THEN 'el perro y la casa de los niños' ELSE concat('zz', id) END"
+    lang = "CASE id % 3 WHEN 0 THEN 'en' WHEN 1 THEN 'es' ELSE concat('x', id) END"
+    df = spark.range(30_000).selectExpr("id AS doc_id", f"{text} AS text", f"{lang} AS lang").repartition(7)
+    model = train(df, most=20)
+    assert len(model.languages) == 20 and {"en", "es"} <= set(model.languages)
+    got = identify(df.filter("doc_id < 300"), model, "doc_id", F.lit(False)).collect()
+    assert all(r["lang_pred"] == ("en", "es")[r["doc_id"] % 3] for r in got if r["doc_id"] % 3 < 2)
