@@ -225,9 +225,11 @@ def language_references(df: DataFrame, limits: Limits = Limits()) -> dict[str |
     summed = found.groupBy("lang", "kind", "key").agg(F.sum("n").alias("n"))
     place = F.row_number().over(Window.partitionBy("lang", "kind").orderBy(F.desc("n"), "key"))
     rows = summed.withColumn("_place", place).filter(f"_place <= {max(k, CLASSES)} AND (kind <> 1 OR _place <= {k})").collect()
+    found_in: dict[str | None, dict[int, list]] = {}
+    for r in rows:
+        found_in.setdefault(r["lang"], {0: [], 1: [], 2: []})[r["kind"]].append((r["key"], r["n"]))
     out = {}
-    for lang in {r["lang"] for r in rows}:
-        mine = {kind: [(r["key"], r["n"]) for r in rows if r["lang"] == lang and r["kind"] == kind] for kind in (0, 1, 2)}
+    for lang, mine in found_in.items():
         classes = np.zeros(CLASSES)
         for key, n in mine[0]:
             classes[key] = n

@@ -104,3 +104,8 @@ def test_odd_rows(table):
 def test_empty_table(table):
     none = table([], "doc_id long, text string, lang string")
     assert language_references(none) == {} and judge(none).collect() == []
+
+
+def test_thousands_of_languages(spark):
+    df = spark.range(4000).selectExpr("id AS doc_id", "array_join(transform(sequence(1, 40), x -> concat('w', x * (id + 1))), ' ') AS text", "concat('l', id) AS lang").repartition(4)
+    assert len(language_references(df)) == 4000
