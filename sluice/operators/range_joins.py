@@ -5,7 +5,8 @@ into cells at shared points; a range is split at cell edges into few aligned
 runs of cells of sizes 1, 2, 4, ..., and a value meets the run of each size that
 its cell lies in. Every pair meets exactly once, and only pairs that meet in a
 range's outermost cells can fail the exact comparison. Texts are cut by the bytes
-that follow the beginning that all of them share.
+that follow the beginning that all of them share. Where there are equal keys as
+well, only keys with more rows than a cell holds are cut; the others meet by key.
 
 A nearest join is one pass over both sides in one order: each row of the left
 side takes the last row of the right side that came before it, carried over the
@@ -211,11 +212,33 @@ def _meet(points: DataFrame, ranges: DataFrame, keys: Sequence[str], exact: Colu
     """Pairs of rows with equal keys for which ``exact`` holds: ``at`` of one in ``low`` to ``high`` of the other."""
     present = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in ("at", *keys)])
     points = settled(points.filter(present), "points")
+    whole = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in ("low", "high", *keys)])
+    ranges = ranges.filter(whole)
+    if not keys:
+        return _meet_in_runs(points, ranges, keys, exact)
+    # keys with few rows need no cells: each row is shuffled once, however many rows there are in all
+    hot = _hot_keys(points, ranges, keys)
+    if hot.isEmpty():
+        return points.withColumn("run", F.lit(-1).cast("long")).join(ranges, [*keys]).filter(exact)
+    few = points.join(hot, [*keys], "left_anti").withColumn("run", F.lit(-1).cast("long"))
+    few = few.join(ranges.join(hot, [*keys], "left_anti"), [*keys]).filter(exact)
+    many = [settled(side.join(hot, [*keys], "left_semi"), "hot-rows") for side in (points, ranges)]
+    return _meet_in_runs(*many, keys, exact).unionByName(few)
+
+
+def _hot_keys(points: DataFrame, ranges: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Keys that both sides have, with more rows than a cell should hold, written once."""
+    counted = points.groupBy(*keys).agg(F.count(F.lit(1)).alias("points"))
+    joined = counted.join(ranges.groupBy(*keys).agg(F.count(F.lit(1)).alias("ranges")), [*keys])
+    return materialize(joined.filter(F.col("points") + F.col("ranges") > CELL_ROWS).select(*keys), "hot-keys")
+
+
+def _meet_in_runs(points: DataFrame, ranges: DataFrame, keys: Sequence[str], exact: Column) -> DataFrame:
+    """The same by runs of cells, for rows without nulls."""
     shared = _shared(points, ranges)
     points = points.withColumn("code", _code(points, "at", shared))
-    whole = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in ("low", "high", *keys)])
     bounds = {"code_low": _code(ranges, "low", shared), "code_high": _code(ranges, "high", shared)}
-    ranges = ranges.filter(whole).withColumns(bounds).filter("code_low <= code_high")
+    ranges = ranges.withColumns(bounds).filter("code_low <= code_high")
     counted = points.agg(F.count(F.lit(1))).first()[0] + ranges.agg(F.count(F.lit(1))).first()[0]
     both = points.select("code").unionAll(ranges.select("code_low")).unionAll(ranges.select("code_high"))
     cells = _Cells(both, counted)

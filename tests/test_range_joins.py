@@ -145,6 +145,32 @@ def test_hot_key_is_cut_by_value(spark):
     assert met.groupBy("key0", "run").count().agg({"count": "max"}).first()[0] < 3 * 256 * 40
 
 
+def test_keys_with_few_rows_meet_by_key(spark):
+    # what a row costs does not depend on how many keys there are
+    points = spark.range(20_000).selectExpr("id", "id % 2000 AS g", "id * 1.0D AS v")
+    ranges = spark.range(4000).selectExpr("id AS rid", "id % 2000 AS g", "id * 4.0D AS lo", "id * 4.0D + 300 AS hi")
+    got = join_range(points, ranges, "v", "lo", "hi", ["g"], select=["rid"])
+    assert "Generate" not in plan(got)
+    rids = [(rid, rid % 2000) for rid in range(4000)]
+    want = [(i, rid) for rid, g in rids for i in range(g, 20_000, 2000) if rid * 4 <= i <= rid * 4 + 300]
+    assert collected(got, "id", "rid") == sorted(want, key=repr)
+
+
+def test_keys_with_few_and_many_rows_together(spark):
+    points = spark.range(6000).selectExpr("id", "IF(id % 2 = 0, 0, id % 500) AS g", "id % 997 * 1.0D AS v")
+    ranges = spark.range(2000).selectExpr("id AS rid", "IF(id % 2 = 0, 0L, id % 500) AS g", "id % 991 * 1.0D AS lo", "id % 991 + 3.0D AS hi")
+    got = join_range(points, ranges, "v", "lo", "hi", ["g"], "LEFT", select=["rid"])
+    points, ranges = [tuple(r) for r in points.collect()], [tuple(r) for r in ranges.collect()]
+    by_key = {}
+    for rid, g, lo, hi in ranges:
+        by_key.setdefault(g, []).append((rid, lo, hi))
+    want = []
+    for i, g, v in points:
+        found = [rid for rid, lo, hi in by_key.get(g, []) if lo <= v <= hi]
+        want += [(i, rid) for rid in found or [None]]
+    assert collected(got, "id", "rid") == sorted(want, key=repr)
+
+
 def test_hot_group_of_a_nearest_join(spark):
     left = spark.range(20_000).selectExpr("id", "0 AS g", "id * 2 AS at")
     right = spark.range(5000).selectExpr("id AS rid", "0 AS g", "id * 8 + 1 AS at")
