@@ -14,6 +14,8 @@ from sluice.operators.rows import keep_first
 from sluice.session import materialize, settled
 
 METHODS = ("spelling", "phonetic", "patterns", "tfidf")
+# texts of a word that one part of it compares with all others
+MET_TEXTS = 2048
 # fixed values: words that say what kind of entity a name is, not which one
 ENTITY_WORDS = (
     "inc", "incorporated", "corp", "corporation", "co", "company", "ltd", "limited",
@@ -121,7 +123,8 @@ def cosine_pairs(values: DataFrame, min_similarity: float) -> DataFrame:
     Words of a text are taken rarest first, as many as are needed for the rest to
     be shorter than the bound: two texts as similar as that share one of these.
     So a word that half of the texts have brings no candidates, unless a text has
-    little else.
+    little else. Candidates are verified where they meet, by vectors that travel
+    with each of these words: meant for names, titles and other short texts.
     """
     if not 0 < min_similarity <= 1:
         raise ValueError(f"min_similarity lies above 0 and not above 1, not {min_similarity}")
@@ -137,12 +140,20 @@ def cosine_pairs(values: DataFrame, min_similarity: float) -> DataFrame:
     # what is left of the vector from each word on
     rest = F.sum(F.col("weight") ** 2).over(whole.orderBy(F.desc("texts"), F.desc("word")).rowsBetween(Window.unboundedPreceding, 0))
     first = vectors.withColumn("rest", rest).filter(F.col("rest") >= min_similarity**2 - 1e-9).select("text", "word")
-    other = first.withColumnRenamed("text", "other")
-    met = first.join(other, "word").filter(F.col("text") < F.col("other")).select("text", "other").distinct()
-    mine = vectors.select("text", "word", "weight")
-    yours = vectors.select(F.col("text").alias("other"), "word", F.col("weight").alias("other_weight"))
-    product = F.round(F.sum(F.col("weight") * F.col("other_weight")), 9).alias("similarity")
-    return met.join(mine, "text").join(yours, ["other", "word"]).groupBy("text", "other").agg(product).filter(F.col("similarity") >= min_similarity)
+    # the whole vector goes along, so that candidates are verified where they meet and only similar ones are kept
+    whole = vectors.groupBy("text").agg(F.map_from_entries(F.collect_list(F.struct("word", "weight"))).alias("vector"))
+    shared = first.groupBy("word").agg((F.floor(F.count(F.lit(1)) / MET_TEXTS) + 1).cast("int").alias("parts")).filter("parts > 1")
+    first = materialize(first.join(whole, "text").join(shared, "word", "left").fillna(1, ["parts"]), "first-words")
+    # a word with many texts is met in parts; tasks are few rows but many candidates, so they are not put together
+    tasks = int(values.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    mine = first.select("word", F.pmod(F.xxhash64("text"), "parts").cast("int").alias("part"), "text", "vector")
+    yours = first.select("word", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.col("text").alias("other"), F.col("vector").alias("other_vector"))
+    met = mine.repartition(tasks, "word", "part").join(yours.repartition(tasks, "word", "part"), ["word", "part"]).filter(F.col("text") < F.col("other"))
+    product = F.aggregate(
+        F.map_entries("vector"), F.lit(0.0), lambda total, x: total + x["value"] * F.coalesce(F.try_element_at("other_vector", x["key"]), F.lit(0.0))
+    )
+    similar = met.select("text", "other", F.round(product, 9).alias("similarity")).filter(F.col("similarity") >= min_similarity)
+    return similar.dropDuplicates(["text", "other"])
 
 
 def suggest_replacements(

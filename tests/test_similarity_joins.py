@@ -93,6 +93,18 @@ def test_a_word_that_half_of_the_texts_have_brings_no_candidates(spark):
     assert not met
 
 
+def test_candidates_are_verified_where_they_meet(spark, monkeypatch):
+    # many texts share their rarest word; none of the pairs it brings is grouped before it is known to be similar
+    names = spark.range(600).select(F.concat(F.lit("lot "), (F.col("id") % 3).cast("string"), F.lit(" kind "), F.chr(F.col("id") % 20 + 97), F.lit(" name "), F.col("id").cast("string")).alias("text"))
+    want = {(r["text"], r["other"]): r["similarity"] for r in cosine_pairs(names, 0.3).collect()}
+    monkeypatch.setattr("sluice.operators.similar.MET_TEXTS", 5)
+    got = cosine_pairs(names, 0.3)
+    assert want and {(r["text"], r["other"]): r["similarity"] for r in got.collect()} == want
+    text = got._jdf.queryExecution().optimizedPlan().toString()
+    (join,) = [line for line in text.split("\n") if "Join" in line]
+    assert "lambda" in join and text.index("Aggregate [text") < text.index("Join")
+
+
 def test_suggestions_and_duplicates(table):
     rows = [("Acme Trading Corporation", 3), ("Acme Tradng Corporatoin", 1), ("Beta Works", 2), ("Bta Wrks", 1), ("Gamma", 1)]
     df = table([(n,) for n, k in rows for _ in range(k)], "v string")
