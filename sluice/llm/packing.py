@@ -5,8 +5,9 @@ their lengths alone, so the search works on the counts of at most ``capacity``
 lengths, however many pieces there are: it fills around the largest length with
 undominated sets of smaller ones, takes each filling as often as the counts
 allow, and prunes branches whose waste cannot beat the best packing so far, which
-starts as best fit. Pieces then read off their sequence from their rank among the
-pieces of their length.
+starts as best fit. Where that leaves a packing above the lower bound, a second
+search goes through all sets of any size and all numbers of times. Pieces then read
+off their sequence from their rank among the pieces of their length.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ import math
 from bisect import bisect_left, bisect_right, insort
 from collections.abc import Iterator
 from functools import cache
+from itertools import islice
 from zlib import crc32
 
 import numpy as np
@@ -204,7 +206,8 @@ def fillings(lengths: list[int], counts: dict[int, int], room: int, most: int =
 
     A set is left out when its lengths can be grouped so that each group fits
     under a length of another set: a shorter last length never beats the longest
-    that fits, and a set of several no fuller than a set of fewer loses to it.
+    that fits, and a set of several no fuller than a set of fewer hardly ever does.
+    These are the most promising sets only; :func:`all_fillings` has the rest.
     """
     found: list[tuple[int, tuple[int, ...]]] = []
 
@@ -234,14 +237,54 @@ def fillings(lengths: list[int], counts: dict[int, int], room: int, most: int =
     return out
 
 
-def complete(counts: dict[int, int], capacity: int, nodes: int = 20_000) -> Packing:
-    """The best packing found within ``nodes`` search steps; stops at the lower bound."""
+def all_fillings(lengths: list[int], counts: dict[int, int], room: int) -> Iterator[tuple[int, ...]]:
+    """Every set of lengths (ascending list) that may be needed to fill ``room``, one after the other.
+
+    Left out are only sets to which a length could be added, and those that end in
+    a shorter length than would fit: another set holds each of these, length for length.
+    """
+    chosen: list[int] = []
+    used: dict[int, int] = {}
+    # of each length so far: the next place to try, whether one was tried, the room, and whether it is the longest that fits
+    open_: list[list] = [[bisect_right(lengths, room) - 1, False, room, True]]
+    while open_:
+        at, tried, left, longest = open_[-1]
+        while at >= 0 and used.get(lengths[at], 0) >= counts[lengths[at]]:
+            at -= 1
+        if at >= 0:
+            n = lengths[at]
+            open_[-1][:2] = at - 1, True
+            chosen.append(n)
+            used[n] = used.get(n, 0) + 1
+            open_.append([bisect_right(lengths, min(left - n, n)) - 1, False, left - n, not tried])
+            continue
+        if not tried and longest:
+            yield tuple(chosen)
+        open_.pop()
+        if chosen:
+            used[chosen.pop()] -= 1
+
+
+def complete(counts: dict[int, int], capacity: int, nodes: int | None = 20_000) -> Packing:
+    """The best packing found; stops at the lower bound.
+
+    First the most promising fillings are searched for ``nodes`` steps, then all
+    fillings for as many. Without ``nodes`` the second search goes on until no
+    better packing is left, which may take exponentially long.
+    """
     counts = {n: k for n, k in counts.items() if k}
     if not counts:
         return []
-    best = best_fit(counts, capacity)
+    best, bound = best_fit(counts, capacity), lower_bound(counts, capacity)
+    for every in (False, True):
+        if sum(t for t, _ in best) > bound:
+            best = _searched(counts, capacity, best, bound, 20_000 if nodes is None and not every else nodes, every)
+    return best
+
+
+def _searched(counts: dict[int, int], capacity: int, best: Packing, bound: int, nodes: int | None, every: bool) -> Packing:
+    """The best packing found within ``nodes`` steps, through ``every`` filling or the most promising ones."""
     best_size = sum(t for t, _ in best)
-    bound = lower_bound(counts, capacity)
     total = sum(n * k for n, k in counts.items())
     steps = 0
 
@@ -252,10 +295,18 @@ def complete(counts: dict[int, int], capacity: int, nodes: int = 20_000) -> Pack
     stack: list[Iterator] = []
     waste = 0
 
+    def sets(top: int) -> Iterator[tuple[int, ...]]:
+        rest = {**left, top: left[top] - 1}
+        if not every:
+            yield from fillings(lengths, rest, capacity - top) or [()]
+            return
+        found = all_fillings(lengths, rest, capacity - top)
+        while some := list(islice(found, 200)):
+            yield from sorted(some, key=lambda chosen: (-sum(chosen), len(chosen)))
+
     def choices() -> Iterator[tuple[int, Filling, int]]:
         top = lengths[-1]
-        sets = fillings(lengths, {**left, top: left[top] - 1}, capacity - top) or [()]
-        for chosen in sets:
+        for chosen in sets(top):
             room = capacity - top - sum(chosen)
             need = {top: 1}
             for n in chosen:
@@ -269,8 +320,10 @@ def complete(counts: dict[int, int], capacity: int, nodes: int = 20_000) -> Pack
                     need[n] = need.get(n, 0) + more
                     room -= more * n
                 at = min(at - 1, bisect_right(lengths, room) - 1)
-            times = min(left[n] // k for n, k in need.items())
-            yield times, tuple(sorted(need.items(), reverse=True)), room
+            most = min(left[n] // k for n, k in need.items())
+            filling = tuple(sorted(need.items(), reverse=True))
+            for times in range(most, 0 if every else most - 1, -1):
+                yield times, filling, room
 
     def change(times: int, filling: Filling, sign: int) -> None:
         for n, k in filling:
@@ -283,7 +336,7 @@ def complete(counts: dict[int, int], capacity: int, nodes: int = 20_000) -> Pack
 
     used = 0
     stack.append(choices())
-    while stack and best_size > bound and steps < nodes:
+    while stack and best_size > bound and (nodes is None or steps < nodes):
         step = next(stack[-1], None)
         steps += 1
         if step is None:
@@ -324,7 +377,7 @@ def _segments(packing: Packing) -> np.ndarray:
     return np.array(sorted(rows), np.int64).reshape(-1, 5)
 
 
-def pack_documents(df: DataFrame, tokenizer: str, capacity: int = 4096, end_id: int = 1, nodes: int = 20_000) -> DataFrame:
+def pack_documents(df: DataFrame, tokenizer: str, capacity: int = 4096, end_id: int = 1, nodes: int | None = 20_000) -> DataFrame:
     """Pack the documents of ``doc_id, text`` into sequences of at most ``capacity`` tokens.
 
     Returns doc_id, piece, start, length, ids_crc32, sequence_id, offset, one row

@@ -7,7 +7,7 @@ import zlib
 import numpy as np
 import pytest
 
-from sluice.llm.packing import best_fit, complete, lower_bound, pack_documents
+from sluice.llm.packing import all_fillings, best_fit, complete, lower_bound, pack_documents
 from sluice.llm.queries import tokenizer_path
 
 FOLDER = "/root/testdata/sf0.001"
@@ -73,6 +73,41 @@ def test_search_beats_best_fit():
     assert gained > 0
 
 
+def test_search_goes_on_through_all_fillings():
+    # sequences that are full to the last place, of many lengths: sets of three, and the first 200, are not enough
+    rng = random.Random(5)
+    for _ in range(120):
+        capacity, sequences, parts = rng.choice([100, 150, 200, 400]), rng.randrange(2, 6), rng.randrange(5, 9)
+        lengths = []
+        for _ in range(sequences):
+            cuts = [0, *sorted(rng.sample(range(1, capacity), parts - 1)), capacity]
+            lengths += [b - a for a, b in itertools.pairwise(cuts)]
+        counts = {n: lengths.count(n) for n in lengths}
+        assert checked(complete(counts, capacity), counts, capacity) == sequences
+
+
+def test_search_without_limit_proves_the_least():
+    rng = random.Random(9)
+    for _ in range(40):
+        lengths = [rng.randrange(5, 22) for _ in range(rng.randrange(1, 10))]
+        counts = {n: lengths.count(n) for n in lengths}
+        assert checked(complete(counts, 30, nodes=None), counts, 30) == fewest(lengths, 30)
+
+
+def test_no_filling_is_left_out():
+    rng = random.Random(2)
+    for _ in range(60):
+        pool = sorted(rng.randrange(1, 30) for _ in range(rng.randrange(0, 9)))
+        counts, room = {n: pool.count(n) for n in pool}, rng.randrange(0, 60)
+        lengths = sorted(counts)
+        found = list(all_fillings(lengths, counts, room))
+        assert len(found) == len(set(found)) and all(sum(f) <= room and all(f.count(n) <= counts[n] for n in f) for f in found)
+        for k in range(len(pool) + 1):
+            for some in set(itertools.combinations(sorted(pool, reverse=True), k)):
+                # length for length, one of those found holds it
+                assert sum(some) > room or any(len(f) >= k and all(a >= b for a, b in zip(f, some, strict=False)) for f in found)
+
+
 def test_work_does_not_grow_with_the_counts():
     counts = {4096: 10**9, 3000: 10**10, 1000: 10**10, 96: 10**10, 7: 3}
     assert checked(complete(counts, 4096), counts, 4096) >= lower_bound(counts, 4096)
