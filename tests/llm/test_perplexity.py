@@ -120,6 +120,17 @@ def test_judge_against_dictionaries(spark, frequent):
     compare(df, 1 << 17, frequent, lambda v: True)
 
 
+@pytest.mark.parametrize("contexts", [1, 9])
+def test_rare_contexts_have_their_statistics(spark, contexts):
+    """How many contexts are on the spot changes nothing."""
+    rng = random.Random(contexts)
+    pool = [f"w{k}" for k in range(50)]
+    texts = [" ".join(rng.choices(pool, weights=[50 - j for j in range(50)], k=rng.randrange(0, 50))) for _ in range(160)]
+    rows = [(k, t, rng.choice(["en", "de"])) for k, t in enumerate(texts)] + [(300, texts[1], None), (301, None, "en"), (302, " ".join(f"new{k}" for k in range(60)), "en")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+    compare(df, contexts, 20, lambda v: True)
+
+
 def test_judge_of_documents_against_dictionaries(spark):
     docs = spark.read.parquet(f"{FOLDER}/documents.parquet").select("doc_id", "text", "lang")
     kept = Counter(r[6] for r in compare(docs, 1 << 17, 1 << 16, lambda v: True))
