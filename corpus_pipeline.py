@@ -8,13 +8,14 @@ of its own, also one that shares its doc_id with others or has none.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluice.llm import jaccard, leaks, packing, perplexity, spans
 from sluice.llm.queries import table, tokenizer_path
-from sluice.session import materialize, with_row_keys
+from sluice.session import finished, materialize, with_row_names  # noqa: F401
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -26,7 +27,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of rows linked by 5-word shingles at 0.8, one stays: smallest doc_id, then hash of the text, then row."""
-    rows = with_row_keys(docs)
+    rows = with_row_names(docs)
     classes = jaccard.jaccard_classes(rows.select(F.col("__row").alias("doc_id"), "text"), jaccard.Similar(words=5, percent=80))
     named = classes.select(F.col("doc_id").alias("__row"), "component_id").join(rows.select("__row", "__hash", "doc_id"), "__row")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "__hash", "__row"))
@@ -67,8 +68,8 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``, each written and read again before the next."""
+    """All stages over ``documents``, each written and read again before the next; what a stage wrote for itself goes."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = materialize(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        docs = finished(spark, name.replace(" ", "-"), partial(stage, spark, docs, sf_dir))
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from sluice.llm.counts import by_shard, pack, pack_sorted, shard_bits, unpack, unpack_sorted
 from sluice.llm.vectors import U64, Texts, mixed, ragged, run_hashes, slices, span_hashes, split_words, texts
-from sluice.session import materialize
+from sluice.session import finished, materialize
 
 #: bits of the folded sketch of a whole set
 FOLD = 1024
@@ -367,6 +367,10 @@ def jaccard_classes(df: DataFrame, rule: Similar = Similar()) -> DataFrame:
     Repeated rows are kept, other columns left out, and an empty table gives an
     empty result.
     """
+    return finished(df.sparkSession, "classes", lambda: _classes(df, rule))
+
+
+def _classes(df: DataFrame, rule: Similar) -> DataFrame:
     size = df.select(F.sum(F.octet_length("text"))).first()[0] or 0
     # about one shingle in six bytes, and a piece per possible difference, some in two bands
     pieces = size / 6 * 2 * (100 - rule.percent) / (100 + rule.percent) * rule.spare * 1.6

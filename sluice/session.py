@@ -6,7 +6,7 @@ import gc
 import re
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
@@ -108,6 +108,16 @@ def forget_shuffles(spark: SparkSession) -> None:
     spark._jvm.System.gc()
 
 
+def finished(spark: SparkSession, label: str, make: Callable[[], DataFrame]) -> DataFrame:
+    """What ``make`` returns, written to the shared folder; all else it wrote there goes."""
+    path = scratch_path(spark, label)
+    with intermediates(spark):
+        made = make()
+        made.write.parquet(path)
+    forget_shuffles(spark)
+    return spark.read.schema(made.schema).parquet(path)
+
+
 def with_row_keys(df: DataFrame) -> DataFrame:
     """``df`` with ``__row``, a number no other row has, and ``__hash`` of the text.
 
@@ -117,6 +127,18 @@ def with_row_keys(df: DataFrame) -> DataFrame:
     return materialize(df.withColumns(keys), "rows")
 
 
+def with_row_names(df: DataFrame) -> DataFrame:
+    """``df`` with ``__row``, a number no other row has, and ``__hash`` of the text, written only if need be.
+
+    Rows that come straight from Parquet files are named by a hash of their file and place in it.
+    """
+    lines = df._jdf.queryExecution().optimizedPlan().toString().strip().split("\n")
+    place = ("_metadata.file_path", "_metadata.row_index")
+    if not (all(re.match(r"[\s:+-]*(Project|Filter|Relation)\b", line) for line in lines) and lines[-1].endswith("parquet")):
+        return with_row_keys(df)
+    return df.select("*", F.xxhash64(*place).alias("__row"), F.xxhash64(F.col("text").cast("string")).alias("__hash"))
+
+
 # plan nodes that cost more than reading and reshaping rows in place
 _COSTLY = re.compile(r"(?m)^[\s:+-]*(Join|Aggregate|Window|Sort|Distinct|Deduplicate|Intersect|Except|Generate|\w*Python|\w*InPandas|LogicalRDD)")
 

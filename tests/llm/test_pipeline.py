@@ -1,10 +1,13 @@
 """The pipeline's stages against plain versions, and its registration."""
 
+import pathlib
+
 import corpus_pipeline
 import pytest
 
 import __spark_entry__
 from sluice.llm import perplexity
+from sluice.session import scratch_root, with_row_names
 from tests_llm_plain import plain_leaks, plain_near, plain_spans
 
 FOLDER = "/root/testdata/sf0.001"
@@ -104,3 +107,30 @@ def test_registration():
     assert "pipeline" in names
     for n in range(1, 11):
         assert len([x for x in names if x.startswith(f"op{n}_")]) == 1
+
+
+def test_stages_let_go_of_what_they_wrote(spark):
+    """Counts and sketches go with their stage, and row numbers need no copy of the texts."""
+    root = pathlib.Path(scratch_root(spark).removeprefix("file://"))
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    before = set(root.iterdir())
+    kept = corpus_pipeline.near_copies(spark, corpus_pipeline.quality(spark, docs, FOLDER).localCheckpoint(), FOLDER)
+    assert kept.count() < docs.count()
+    left = {p.name.rsplit("-", 1)[0] for p in set(root.iterdir()) - before}
+    assert {n for n in left if n != "rows"} == {"bits", "classes"}
+    before = set(root.iterdir())
+    assert corpus_pipeline.near_copies(spark, docs, FOLDER).count() < docs.count()
+    assert {p.name.rsplit("-", 1)[0] for p in set(root.iterdir()) - before} == {"classes"}
+
+
+def test_rows_are_named_alike_whenever_they_are_read(spark, tmp_path):
+    docs = spark.range(3000, numPartitions=3).selectExpr("id % 7 AS doc_id", "IF(id % 5 = 0, NULL, concat('t', id % 11)) AS text", "id AS n")
+    docs.write.parquet(f"{tmp_path}/docs")
+    read = spark.read.parquet(f"{tmp_path}/docs")
+    named = with_row_names(read)
+    first = {r["n"]: r["__row"] for r in named.collect()}
+    assert len(set(first.values())) == 3000
+    assert {r["n"]: r["__row"] for r in named.filter("text = 't3'").select("n", "__row").collect()}.items() <= first.items()
+    # not straight from files: a file's row may come twice
+    twice = with_row_names(read.unionAll(read))
+    assert twice.select("__row").distinct().count() == 6000
