@@ -31,6 +31,9 @@ from sluice.session import materialize
 Filling = tuple[tuple[int, int], ...]
 Packing = list[tuple[int, Filling]]
 
+#: levels of the search whose open choices are held; those above are made again on the way back
+LIVE = 16
+
 
 #: fixed values: characters that are tokens of their own after a letter
 TAIL = b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
@@ -292,7 +295,8 @@ def _searched(counts: dict[int, int], capacity: int, best: Packing, bound: int,
     left = dict(counts)
     lengths = sorted(left)
     path: Packing = []
-    stack: list[Iterator] = []
+    # of each level: its choices, if they are held, and how many were taken
+    stack: list[list] = []
     waste = 0
 
     def sets(top: int) -> Iterator[tuple[int, ...]]:
@@ -334,10 +338,20 @@ def _searched(counts: dict[int, int], capacity: int, best: Packing, bound: int,
             elif before == 0:
                 insort(lengths, n)
 
+    def descend(found: Iterator) -> None:
+        stack.append([found, 0])
+        if len(stack) > LIVE:
+            stack[-LIVE - 1][0] = None
+
     used = 0
-    stack.append(choices())
+    descend(choices())
     while stack and best_size > bound and (nodes is None or steps < nodes):
-        step = next(stack[-1], None)
+        level = stack[-1]
+        if level[0] is None:
+            # counts are as they were, so the choices are too
+            level[0] = islice(choices(), level[1], None)
+        step = next(level[0], None)
+        level[1] += 1
         steps += 1
         if step is None:
             stack.pop()
@@ -358,9 +372,9 @@ def _searched(counts: dict[int, int], capacity: int, best: Packing, bound: int,
         if not lengths:
             if used < best_size:
                 best, best_size = list(path), used
-            stack.append(iter(()))
+            descend(iter(()))
         else:
-            stack.append(choices())
+            descend(choices())
     return best
 
 

@@ -2,6 +2,7 @@
 
 import itertools
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -113,6 +114,33 @@ def test_work_does_not_grow_with_the_counts():
     assert checked(complete(counts, 4096), counts, 4096) >= lower_bound(counts, 4096)
 
 
+def test_memory_does_not_grow_with_the_depth_of_the_search():
+    # without short lengths best fit misses the bound, and the search goes down a level for nearly every length
+    rng = random.Random(4)
+    counts = {n: rng.randrange(1, 9) for n in range(701, 4097, 3)}
+    assert sum(t for t, _ in best_fit(counts, 4096)) > lower_bound(counts, 4096)
+    tracemalloc.start()
+    try:
+        packing = complete(counts, 4096, nodes=1500)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert checked(packing, counts, 4096) >= lower_bound(counts, 4096)
+    assert peak < 16 << 20
+
+
+def test_choices_made_again_are_the_same(monkeypatch):
+    rng = random.Random(7)
+    for _ in range(20):
+        lengths = [rng.randrange(60, 300) for _ in range(60)]
+        counts = {n: lengths.count(n) for n in lengths}
+        found = []
+        for live in (1, 2, 16, 10**6):
+            monkeypatch.setattr("sluice.llm.packing.LIVE", live)
+            found.append(complete(counts, 400, nodes=300))
+        assert all(packing == found[-1] for packing in found)
+
+
 def verify(rows, docs, tokenizer, capacity):
     """Pieces hold the tokenizer's ids, and sequences are gapless."""
     expected = []
