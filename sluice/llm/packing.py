@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sluice.llm.vectors import Texts, Words, ragged, slices, span_hashes, split_words, texts
+from sluice.llm.vectors import Texts, Words, let_go, ragged, slices, span_hashes, split_words, texts
 from sluice.session import materialize
 
 #: (length, copies) of one sequence, longest first
@@ -129,6 +129,7 @@ def token_pieces(df: DataFrame, tokenizer: str, capacity: int = 4096, end_id: in
     """
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         model = encoder(tokenizer)
         for whole in batches:
             for part in slices(whole, limit=2 << 20):
@@ -147,6 +148,7 @@ def token_pieces(df: DataFrame, tokenizer: str, capacity: int = 4096, end_id: in
                 arrays = [part.column("doc_id").take(pa.array(doc)), pa.array(piece.astype(np.int32))]
                 arrays += [pa.array(start), pa.array(length), pa.array(sums, pa.int64())]
                 yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "piece", "start", "length", "ids_crc32"])
+        let_go()
 
     chosen = df.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return chosen.mapInArrow(rows, "doc_id long, piece int, start long, length long, ids_crc32 long")

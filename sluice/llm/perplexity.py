@@ -24,7 +24,7 @@ the trusted documents of their language give.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterator
 from dataclasses import dataclass, replace
 from zlib import crc32
 
@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 
 from sluice.llm.counts import by_shard, counted, merged, pack, pack_sorted, shard_bits, unpack, unpack_sorted
 from sluice.llm.divergence import class_histogram
-from sluice.llm.vectors import Texts, mixed, slices, span_hashes, split_words, texts
+from sluice.llm.vectors import Texts, let_go, mixed, slices, span_hashes, split_words, texts
 from sluice.llm.warc import store
 from sluice.session import forget_shuffles, intermediates, materialize, scratch_path
 
@@ -57,8 +57,8 @@ _WORD = np.uint64(0xFFFFFFFFFFFF0000)
 _FOLD_BITS = 4
 #: codes of words that are no frequent contexts: this bit and the 48 of their hash
 _OTHER = np.uint64(1 << 63)
-#: the folds are scored in so many passes, which bounds what is shuffled at a time
-PASSES = 2
+#: the documents are scored in so many passes, which bounds what is shuffled at a time
+PASSES = 3
 _SPREAD = np.uint64(0x9E3779B97F4A7C15)
 #: a place among the codes of a block
 _PLACE = np.uint64((1 << 30) - 1)
@@ -98,9 +98,9 @@ class Contexts:
         """A code for the word before each word; 0 before the first of a text."""
         prior = np.concatenate([np.zeros(1, np.uint64), words[:-1]]) if len(words) else words
         made = _OTHER | prior >> np.uint64(16)
-        if len(self.hashes):
-            at = np.minimum(np.searchsorted(self.hashes, prior), len(self.hashes) - 1)
-            made = np.where(self.hashes[at] == prior, self.codes[at].astype(np.uint64), made)
+        at = _places(self.hashes, prior)
+        there = at >= 0
+        made[there] = self.codes[at[there]]
         made[first[:-1][first[:-1] < first[1:]]] = 0
         return made
 
@@ -218,6 +218,29 @@ def _word_order(words: np.ndarray) -> np.ndarray:
     return order if (found[1:] >= found[:-1]).all() else np.argsort(words, kind="stable")
 
 
+def _places(table: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """The place of each value in an ascending table, or -1. Values that are searched in order find the table in the cache."""
+    if len(table) == 0:
+        return np.full(len(values), -1, np.int32)
+    order = _word_order(values)
+    found = values[order]
+    at = np.minimum(np.searchsorted(table, found), len(table) - 1)
+    places = np.empty(len(values), np.int32)
+    places[order] = np.where(table[at] == found, at, -1)
+    return places
+
+
+def _largest(numbers: np.ndarray, keys: np.ndarray, most: int) -> np.ndarray:
+    """Places of the ``most`` largest numbers; of equal ones, those with the smallest keys."""
+    if len(numbers) <= most:
+        return np.arange(len(numbers))
+    if most <= 0:
+        return np.arange(0)
+    least = np.partition(numbers, len(numbers) - most)[len(numbers) - most]
+    above, equal = np.flatnonzero(numbers > least), np.flatnonzero(numbers == least)
+    return np.concatenate([above, equal[np.argsort(keys[equal], kind="stable")[: most - len(above)]]])
+
+
 def _fold(folds: int) -> Column:
     return F.pmod(F.xxhash64(F.col("text").cast("string")), F.lit(folds)).cast("int").alias("fold")
 
@@ -247,6 +270,7 @@ def frequent_contexts(df: DataFrame, rules: Trust, most: int = CONTEXTS, block:
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         best, number = np.zeros(0, np.uint64), np.zeros(0, np.int64)
         held: list[np.ndarray] = []
 
@@ -284,7 +308,9 @@ def frequent_contexts(df: DataFrame, rules: Trust, most: int = CONTEXTS, block:
 def count_bigrams(
     df: DataFrame, rules: Trust, contexts: Contexts, bits: int, block: int = BLOCK, folds: int = 1, marks: np.ndarray | None = None
 ) -> DataFrame:
-    """Shards of all bigrams of trusted text: ``shard, words, lengths, before, counts``, written once; counts fold by fold.
+    """Shards of all bigrams of trusted text: ``shard, words, lengths, known, before, counts``, written once; counts fold by fold.
+
+    ``known`` are the codes of a shard in order, ``before`` places among them.
 
     With ``marks`` (see :func:`repeated_hashes`) every text counts once, and only
     texts that are marked are shuffled for that.
@@ -293,11 +319,13 @@ def count_bigrams(
     kinds = (pa.int32(), *[pa.binary()] * 5)
 
     def gather(batches: Iterator[pa.RecordBatch], marks: np.ndarray | None = marks) -> Iterator[pa.RecordBatch]:
+        let_go()
         held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         size = 0
 
         def rows() -> pa.RecordBatch:
             words, before, fold = (np.concatenate(c) for c in zip(*held, strict=True))
+            held.clear()
             order = _word_order(words)
             words, before, fold = words[order], before[order], fold[order]
             # a number for each word, in their order, one for the code before it and the fold as one
@@ -323,24 +351,28 @@ def count_bigrams(
                 size += len(held[-1][0])
                 if size > block:
                     yield rows()
-                    held, size = [], 0
+                    size = 0
         if held:
             yield rows()
 
     def merge(pdf: pd.DataFrame) -> pd.DataFrame:
+        let_go()
         each, lengths = [unpack_sorted(w) for w in pdf["words"]], [unpack(k) for k in pdf["lengths"]]
         distinct = np.unique(np.concatenate(each))
         place = np.concatenate([np.repeat(np.searchsorted(distinct, w), k) for w, k in zip(each, lengths, strict=True)])
         codes, before = np.unique(np.concatenate([unpack(v) for v in pdf["before"]]), return_inverse=True)
         pairs = place.astype(np.uint64) << np.uint64(32) | before.astype(np.uint64)
+        del each, lengths, place, before
         n, fold = np.concatenate([unpack(c) for c in pdf["counts"]]), np.concatenate([unpack(f) for f in pdf["folds"]])
         order = np.argsort(pairs)
         pairs, n, fold = pairs[order], n[order], fold[order]
+        del order
         at = np.flatnonzero(np.concatenate([[True], pairs[1:] != pairs[:-1]]))
-        words, before = distinct[(pairs >> np.uint64(32)).astype(np.int64)], codes[(pairs & np.uint64(0xFFFFFFFF)).astype(np.int64)]
-        counts = np.stack([np.add.reduceat(np.where(fold == f, n, 0).astype(np.int64), at) for f in range(folds)])
-        w, k, v = _packed(words[at], before[at])
-        return pd.DataFrame({"shard": [int(pdf["shard"].iloc[0])], "words": [w], "lengths": [k], "before": [v], "counts": [pack(counts.reshape(-1))]})
+        words, place = distinct[(pairs >> np.uint64(32)).astype(np.int64)], (pairs & np.uint64(0xFFFFFFFF)).astype(np.uint32)
+        counts = np.stack([_small(np.add.reduceat(np.where(fold == f, n, np.uint32(0)), at, dtype=np.int64)) for f in range(folds)])
+        w, k, v = _packed(words[at], _small(place[at]))
+        made = {"words": w, "lengths": k, "known": pack_sorted(codes), "before": v, "counts": pack(counts.reshape(-1))}
+        return pd.DataFrame({"shard": [int(pdf["shard"].iloc[0])], **{name: [blob] for name, blob in made.items()}})
 
     schema = "shard int, words binary, lengths binary, before binary, folds binary, counts binary"
     chosen = df.select(F.col("text").cast("string").alias("text"), _fold(folds))
@@ -354,7 +386,7 @@ def count_bigrams(
 
         repeated = chosen.mapInArrow(again, chosen.schema).dropDuplicates(["h"])
         parts = parts.unionAll(repeated.mapInArrow(lambda batches: gather(batches, None), schema))
-    made = parts.groupBy("shard").applyInPandas(merge, "shard int, words binary, lengths binary, before binary, counts binary")
+    made = parts.groupBy("shard").applyInPandas(merge, "shard int, words binary, lengths binary, known binary, before binary, counts binary")
     # a folder for each shard, so that its bigrams can be read where they are asked for
     folder = scratch_path(df.sparkSession, "bigrams")
     made.write.partitionBy("shard").parquet(folder)
@@ -374,16 +406,22 @@ def _read_row(folder: str | None, number: int) -> object | None:
 
 @dataclass(frozen=True)
 class _Shard:
-    """The bigrams of a shard in order of word and code."""
+    """The bigrams of a shard in order of word and code; codes are places among the known ones."""
 
     words: np.ndarray
     lengths: np.ndarray
-    before: np.ndarray
+    known: np.ndarray
+    inside: np.ndarray
     counts: np.ndarray
 
+    @property
+    def before(self) -> np.ndarray:
+        return self.known[self.inside]
+
     @classmethod
     def of(cls, row: object, folds: int) -> _Shard:
-        return cls(unpack_sorted(row.words), unpack(row.lengths).astype(np.int64), unpack(row.before), unpack(row.counts).reshape(folds, -1))
+        counts = unpack(row.counts).reshape(folds, -1)
+        return cls(unpack_sorted(row.words), unpack(row.lengths).astype(np.int64), unpack_sorted(row.known), unpack(row.before), counts)
 
     @classmethod
     def read(cls, folder: str | None, number: int, folds: int) -> _Shard:
@@ -391,7 +429,7 @@ class _Shard:
         row = _read_row(folder, number)
         if row is not None:
             return cls.of(row, folds)
-        return cls(np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros((folds, 0), np.int64))
+        return cls(np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.uint8), np.zeros((folds, 0), np.int64))
 
     def kinds(self, counts: np.ndarray) -> np.ndarray:
         """How many different words come before each word, by the given counts."""
@@ -419,21 +457,24 @@ def fit(shards: DataFrame, contexts: Contexts, hot: int = FREQUENT, folds: int =
     def sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         # per context: occurrences, followers seen once, twice, more often; then how many bigrams have each count,
         # and how many words have each number of words before them, their sum, and the words
+        let_go()
         total = np.zeros((folds + 1, 4, codes), np.int64)
         few = np.zeros((folds + 1, 2, 7), np.int64)
         for pdf in batches:
             for row in pdf.itertuples():
                 shard = _Shard.of(row, folds)
-                frequent = shard.before < _OTHER
-                code = shard.before[frequent].astype(np.int64)
+                before = shard.before
+                frequent = before < _OTHER
+                code = before[frequent].astype(np.int64)
+                whole = without(shard.counts, folds)
                 for m in models:
-                    all_counts = without(shard.counts, m)
+                    all_counts = whole if m == folds else whole - shard.counts[m]
                     counts = all_counts[frequent]
                     total[m, 0] += np.bincount(code, counts, codes).astype(np.int64)
-                    for n, some in ((1, counts == 1), (2, counts == 2), (3, counts >= 3)):
-                        total[m, n] += np.bincount(code[some], minlength=codes)
+                    classes = np.bincount(code * 4 + np.minimum(counts, 3), minlength=4 * codes).reshape(codes, 4)
+                    total[m, 1:] += classes[:, 1:].T
                     counts = all_counts if every else counts
-                    few[m, 0, :5] += np.bincount(np.minimum(counts[counts > 0], 5) - 1, minlength=5)
+                    few[m, 0, :5] += np.bincount(np.minimum(counts, 5), minlength=6)[1:]
                     kinds = shard.kinds(all_counts)
                     kinds = kinds[kinds > 0]
                     few[m, 1, :5] += np.bincount(np.minimum(kinds, 5) - 1, minlength=5)
@@ -448,20 +489,27 @@ def fit(shards: DataFrame, contexts: Contexts, hot: int = FREQUENT, folds: int =
         return pd.DataFrame({"model": [pdf["model"].iloc[0]], "kind": [pdf["kind"].iloc[0]], "total": [pack(total)]})
 
     def frequent(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        let_go()
         best = np.zeros(0, np.uint64), np.zeros((2 * folds + 1, 0), np.int64)
+        least = 0
         for pdf in batches:
             for row in pdf.itertuples():
                 shard = _Shard.of(row, folds)
-                kinds = np.stack([shard.kinds(without(shard.counts, m)) for m in range(folds + 1)])
-                keys = pair_keys(np.repeat(shard.words, shard.lengths), shard.before)
-                # the largest counts of the shard are enough; only contexts whose statistics are at hand are of use
-                top = np.argsort(-shard.counts.sum(axis=0), kind="stable")
-                top = top[shard.before[top] < _OTHER][:hot] if every else top[:hot]
+                whole = without(shard.counts, folds)
+                # only contexts whose statistics are at hand are of use, and counts that can be among the largest
+                before = shard.before
+                top = np.flatnonzero((whole >= least) & (before < _OTHER) if every else whole >= least)
                 word = np.repeat(np.arange(len(shard.words)), shard.lengths)[top]
-                facts = np.concatenate([shard.counts[:, top], kinds[:, word]])
-                best = np.concatenate([best[0], keys[top]]), np.concatenate([best[1], facts], axis=1)
-                top = np.lexsort((best[0], -best[1][:folds].sum(axis=0)))[:hot]
+                keys = pair_keys(shard.words[word], before[top])
+                some = _largest(whole[top], keys, hot)
+                top, word, keys = top[some], word[some], keys[some]
+                kinds = [shard.kinds(whole if m == folds else whole - shard.counts[m])[word] for m in range(folds + 1)]
+                facts = np.concatenate([shard.counts[:, top].astype(np.int64), kinds])
+                best = np.concatenate([best[0], keys]), np.concatenate([best[1], facts], axis=1)
+                number = best[1][:folds].sum(axis=0)
+                top = _largest(number, best[0], hot)
                 best = best[0][top], best[1][:, top]
+                least = number[top].min() if 0 < hot <= len(top) else 0
         parts = [p.tobytes() for p in np.ascontiguousarray(best[1].T)]
         yield pd.DataFrame({"at": best[0].view(np.int64), "n": best[1][:folds].sum(axis=0), "parts": parts})
 
@@ -505,31 +553,38 @@ def rare_contexts(shards: DataFrame, model: Model, bits: int) -> DataFrame:
     folds = len(held_out)
 
     def send(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        let_go()
         for pdf in batches:
             for row in pdf.itertuples():
                 shard = _Shard.of(row, folds)
-                rare = np.flatnonzero(shard.before >= _OTHER)
-                rare = rare[np.argsort(shard.before[rare], kind="stable")]
+                first = np.searchsorted(shard.known, _OTHER)
+                rare = np.flatnonzero(shard.inside >= first)
                 if len(rare) == 0:
                     continue
-                words = shard.before[rare] << np.uint64(16)
+                place = shard.inside[rare].astype(np.uint32)
+                order = np.argsort(place, kind="stable")
+                rare, words = rare[order], shard.known[place[order]] << np.uint64(16)
                 at = np.flatnonzero(np.concatenate([[True], words[1:] != words[:-1]]))
                 facts = np.zeros((4 * folds, len(at)), np.uint32)
+                known = shard.counts[:, rare]
+                whole = without(known, folds)
                 for m in range(folds):
-                    counts = without(shard.counts[:, rare], m if held_out[m] else folds)
+                    counts = whole - known[m] if held_out[m] else whole
                     for n, some in enumerate((counts, counts == 1, counts == 2, counts >= 3)):
                         facts[4 * m + n] = np.add.reduceat(some.astype(np.int64), at)
                 words = words[at]
-                found = [(s, pack_sorted(words[p]), pack(facts[:, p].reshape(-1))) for s, p in by_shard(words, bits)]
+                found = [(s, pack_sorted(words[p]), pack(_small(facts[:, p].reshape(-1)))) for s, p in by_shard(words, bits)]
                 yield pd.DataFrame(found, columns=["shard", "words", "facts"])
 
     def merge(pdf: pd.DataFrame) -> pd.DataFrame:
+        let_go()
         words = np.concatenate([unpack_sorted(w) for w in pdf["words"]])
-        facts = np.concatenate([unpack(f).reshape(4 * folds, -1) for f in pdf["facts"]], axis=1)
-        order = np.argsort(words, kind="stable")
-        words, facts = words[order], facts[:, order]
+        parts = [unpack(f).reshape(4 * folds, -1) for f in pdf["facts"]]
+        order = _word_order(words)
+        words = words[order]
         at = np.flatnonzero(np.concatenate([[True], words[1:] != words[:-1]]))
-        facts = np.add.reduceat(facts, at, axis=1)
+        # one fact at a time, as all of them in order are many times larger
+        facts = np.stack([_small(np.add.reduceat(np.concatenate([f[k] for f in parts])[order], at, dtype=np.int64)) for k in range(4 * folds)])
         return pd.DataFrame({"shard": [int(pdf["shard"].iloc[0])], "words": [pack_sorted(words[at])], "facts": [pack(facts.reshape(-1))]})
 
     schema = "shard int, words binary, facts binary"
@@ -548,11 +603,11 @@ DOCS = "doc_id long, lang string, h long, n_words long, bits double, trusted boo
 
 
 def document_bits(
-    df: DataFrame, shards: DataFrame, model: Model, rules: Trust, bits: int, block: int = ASKED, rare: DataFrame | None = None, rare_bits: int = 0, scored: Sequence[int] | None = None
+    df: DataFrame, shards: DataFrame, model: Model, rules: Trust, bits: int, block: int = ASKED, rare: DataFrame | None = None, rare_bits: int = 0, scored: tuple[int, int] | None = None
 ) -> DataFrame:
     """Bits of all words of each document: ``doc_id, lang, h, n_words, bits, trusted``, ``h`` a hash of its text.
 
-    ``rare`` is what :func:`rare_contexts` returns, if every word is a context; only documents of the ``scored`` folds are taken.
+    ``rare`` is what :func:`rare_contexts` returns, if every word is a context; only one part of so many is ``scored``: ``(part, parts)``.
     """
     folds = len(model.held_out)
     if model.every and rare is None:
@@ -561,6 +616,7 @@ def document_bits(
     kinds = (pa.string(), pa.int32(), *[pa.binary()] * 5)
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         held: list[tuple] = []
         size = docs = number = 0
 
@@ -580,6 +636,7 @@ def document_bits(
             words, before = np.concatenate([h[4] for h in held]), np.concatenate([h[5] for h in held])
             # a document's number and fold as one
             doc = np.concatenate([h[6] + np.uint32(b * folds) for h, b in zip(held, base, strict=False)])
+            held.clear()
             order = _word_order(words)
             words, before, doc = words[order], before[order], doc[order]
             small = np.uint16 if len(count) * folds < 1 << 16 else np.uint32
@@ -593,8 +650,8 @@ def document_bits(
                 before, count, fold = model.contexts.before(words, first), np.diff(first), part.column("fold").to_numpy()
                 doc = np.repeat(np.arange(len(t)), count)
                 keys = pair_keys(words, before)
-                at = np.minimum(np.searchsorted(model.hot_keys, keys), max(len(model.hot_keys) - 1, 0))
-                hot = model.hot_keys[at] == keys if len(model.hot_keys) else np.zeros(len(keys), bool)
+                at = _places(model.hot_keys, keys)
+                hot = at >= 0
                 own, at = fold[doc[hot]], at[hot]
                 found = model.bits(before[hot], model.known(model.hot_counts, at, own), model.hot_kinds[own, at], own)
                 here = np.bincount(doc[hot], np.round(found * 1024), len(t)) / 1024
@@ -605,7 +662,7 @@ def document_bits(
                 size, docs = size + len(asked), docs + len(t)
                 if size > block or docs >= 50_000:
                     yield rows()
-                    held, size, docs, number = [], 0, 0, number + 1
+                    size, docs, number = 0, 0, number + 1
         if held:
             yield rows()
 
@@ -616,11 +673,12 @@ def document_bits(
     counted_model, plain_model = model.slim(), model.slim(contexts=False)
 
     def score(parts: pd.DataFrame) -> pd.DataFrame:
+        let_go()
         shard = _Shard.read(folder, int(parts["shard"].iloc[0]), folds)
         whole = shard.counts.sum(axis=0, dtype=np.int64)
         kinds = np.stack([shard.kinds(whole - np.where(counted_model.held_out[m], shard.counts[m], 0)) for m in range(folds)])
-        known, inside = np.unique(shard.before, return_inverse=True)
-        pairs = np.repeat(np.arange(len(shard.words), dtype=np.uint64), shard.lengths) << np.uint64(32) | inside.astype(np.uint64)
+        known = shard.known
+        pairs = np.repeat(np.arange(len(shard.words), dtype=np.uint64), shard.lengths) << np.uint64(32) | shard.inside.astype(np.uint64)
         out: list[tuple] = []
         names: list[str] = []
         onward: list[tuple[np.ndarray, ...]] = []
@@ -638,8 +696,8 @@ def document_bits(
                 place = np.minimum(np.searchsorted(shard.words, words), len(shard.words) - 1)
                 there, place = np.repeat(shard.words[place] == words, length), np.repeat(place, length)
                 k = np.where(there, kinds[fold, place], 0)
-                code = np.minimum(np.searchsorted(known, before), len(known) - 1)
-                there &= known[code] == before
+                code = _places(known, before)
+                there &= code >= 0
                 pair = place.astype(np.uint64) << np.uint64(32) | code.astype(np.uint64)
                 at = np.minimum(np.searchsorted(pairs, pair), len(pairs) - 1)
                 n = np.where(there & (pairs[at] == pair), whole[at] - np.where(counted_model.held_out[fold], shard.counts[fold, at], 0), 0)
@@ -662,6 +720,7 @@ def document_bits(
         return pd.DataFrame(out, columns=columns_on)
 
     def score_rare(parts: pd.DataFrame) -> pd.DataFrame:
+        let_go()
         done = parts[parts["words"].isna()]
         out = [(r.block, r.sums, r.table) for r in done.itertuples()]
         asked = parts[parts["words"].notna()]
@@ -709,7 +768,8 @@ def document_bits(
         _fold(folds),
     )
     if scored is not None:
-        chosen = chosen.filter(F.col("fold").isin(list(scored)))
+        # folds are the remainders of the hash itself
+        chosen = chosen.filter(F.pmod(F.shiftrightunsigned("h", 16), F.lit(scored[1])) == scored[0])
     schema = "block string, shard int, words binary, lengths binary, before binary, docs binary, table binary"
     asked = chosen.mapInArrow(gather, schema)
     done = "block string, sums binary, table binary"
@@ -748,14 +808,15 @@ def verdicts(df: DataFrame, rules: Trust = Trust(), bound: Bound = Bound(), cont
     # counts and contexts go when all is scored
     with intermediates(spark):
         known = frequent_contexts(df, rules, contexts)
-        shards = count_bigrams(df, rules, known, bits, folds=FOLDS, marks=repeated_hashes(df))
+        marks = repeated_hashes(df)
+        forget_shuffles(spark)
+        shards = count_bigrams(df, rules, known, bits, folds=FOLDS, marks=marks)
         model = fit(shards, known, frequent, folds=FOLDS, every=contexts > 0)
         forget_shuffles(spark)
         rare = rare_contexts(shards, model, rare_bits) if model.every else None
         for k, path in enumerate(parts):
             forget_shuffles(spark)
-            scored = range(k, FOLDS, passes)
-            document_bits(df, shards, model, rules, bits, rare=rare, rare_bits=rare_bits, scored=scored).write.parquet(path)
+            document_bits(df, shards, model, rules, bits, rare=rare, rare_bits=rare_bits, scored=(k, passes)).write.parquet(path)
     forget_shuffles(spark)
     found = spark.read.schema(DOCS).parquet(*parts)
     found = found.withColumn("bits_per_word", F.when(F.col("n_words") > 0, F.round(F.col("bits") / F.col("n_words"), 6)))

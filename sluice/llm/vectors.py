@@ -7,8 +7,10 @@ text longer than the bound is a slice of its own.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -22,6 +24,19 @@ _powers = np.ones(1, U64)
 _inverses = np.ones(1, U64)
 
 
+@cache
+def _trim() -> Callable[[int], int] | None:
+    return getattr(ctypes.CDLL(None), "malloc_trim", None)
+
+
+def let_go() -> None:
+    """Give memory back that is free: Spark's workers live on, and keep what earlier tasks needed."""
+    pa.default_memory_pool().release_unused()
+    trim = _trim()
+    if trim is not None:
+        trim(0)
+
+
 def _grown(powers: np.ndarray, base: np.uint64, n: int) -> np.ndarray:
     with np.errstate(over="ignore"):
         while len(powers) < n:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import gc
 import re
 import tempfile
+import time
 import uuid
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
@@ -102,10 +103,13 @@ def forget_shuffles(spark: SparkSession) -> None:
     """Let Spark remove shuffle files that nothing refers to any more.
 
     It does so when the driver collects its garbage, which may be long after a
-    step is done whose result has been written.
+    step is done whose result has been written. The last step is still referred to
+    for a moment, until its end has been told to all listeners, so this is done twice.
     """
-    gc.collect()
-    spark._jvm.System.gc()
+    for wait in (0.5, 0.0):
+        gc.collect()
+        spark._jvm.System.gc()
+        time.sleep(wait)
 
 
 def finished(spark: SparkSession, label: str, make: Callable[[], DataFrame]) -> DataFrame:

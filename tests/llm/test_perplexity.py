@@ -3,6 +3,7 @@
 import math
 import random
 import re
+import time
 from collections import Counter
 
 import duckdb
@@ -226,3 +227,46 @@ def test_every_text_once(table):
     assert total(df, np.full(1 << 21, 255, np.uint8)) == total(once)
     near = np.array([8, 7, 7, 6, 1 << 60, 5, 0], np.uint64)
     assert near[_word_order(near)].tolist() == sorted(near.tolist()) and len(_word_order(near[:0])) == 0
+
+
+def shuffle_files(spark):
+    kept = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString("\n")
+    return {f for f in kept.split("\n") if "/shuffle_" in f}
+
+
+def test_shuffles_of_the_last_step_go(spark, tmp_path):
+    from sluice.session import forget_shuffles
+
+    before = shuffle_files(spark)
+    spark.range(1000).selectExpr("id % 7 AS k").groupBy("k").count().write.parquet(str(tmp_path / "counts"))
+    made = shuffle_files(spark) - before
+    assert made
+    forget_shuffles(spark)
+    time.sleep(1)
+    assert not shuffle_files(spark) & made
+
+
+def test_passes_do_not_change_verdicts(spark, monkeypatch):
+    df = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    monkeypatch.setattr("sluice.llm.perplexity.shard_bits", lambda *_: 3)
+    found = []
+    for passes in (1, 3):
+        monkeypatch.setattr("sluice.llm.perplexity.PASSES", passes)
+        found.append(sorted(map(tuple, judge(df).collect()), key=repr))
+    assert found[0] == found[1]
+    assert len(found[0]) == df.count()
+
+
+def test_places_and_largest():
+    from sluice.llm.perplexity import _largest, _places
+
+    rng = np.random.default_rng(5)
+    table = np.unique(rng.integers(0, 1 << 63, 300).astype(np.uint64))
+    values = np.concatenate([table[rng.integers(0, len(table), 500)], rng.integers(0, 1 << 63, 500).astype(np.uint64), np.array([0, (1 << 64) - 1], np.uint64)])
+    where = {int(v): k for k, v in enumerate(table)}
+    assert _places(table, values).tolist() == [where.get(int(v), -1) for v in values]
+    assert _places(table[:0], values).tolist() == [-1] * len(values)
+    numbers, keys = rng.integers(0, 6, 200), rng.permutation(200)
+    for most in (0, 1, 37, 200, 300):
+        ranked = sorted(range(200), key=lambda k: (-numbers[k], keys[k]))[:most]
+        assert sorted(_largest(numbers, keys, most).tolist()) == sorted(ranked)
