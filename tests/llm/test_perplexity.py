@@ -270,3 +270,18 @@ def test_places_and_largest():
     for most in (0, 1, 37, 200, 300):
         ranked = sorted(range(200), key=lambda k: (-numbers[k], keys[k]))[:most]
         assert sorted(_largest(numbers, keys, most).tolist()) == sorted(ranked)
+
+
+def test_free_memory_goes_back():
+    from sluice.llm.vectors import let_go
+
+    def resident():
+        with open("/proc/self/statm") as f:
+            return int(f.read().split()[1]) * 4096
+
+    held = [np.ones(100_000, np.uint8) for _ in range(3000)]
+    # the last one keeps the others' room from being given back by itself
+    held = held[-1:]
+    before = resident()
+    let_go()
+    assert held[0].all() and before - resident() > 100_000_000
