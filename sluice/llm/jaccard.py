@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from sluice.llm.counts import by_shard, pack, pack_sorted, shard_bits, unpack, unpack_sorted
 from sluice.llm.vectors import U64, Texts, mixed, ragged, run_hashes, slices, span_hashes, split_words, texts
-from sluice.session import finished, materialize
+from sluice.session import finished, materialize, scratch_path
 
 #: bits of the folded sketch of a whole set
 FOLD = 1024
@@ -151,6 +151,7 @@ def sketch_pieces(sets: np.ndarray, first: np.ndarray, rule: Similar) -> dict[st
 BLOCKS = "shard int, a binary, b binary, c binary, d binary, e binary"
 NAMES = ["shard", "a", "b", "c", "d", "e"]
 MEMBERS = "key long, cls long, band int, spare int, size long, freq long"
+DOCUMENTS = "doc_id long, cls long, size long, fold array<long>"
 #: the most frequent of all, for pieces too frequent to count in one place
 HOT = 1 << 40
 
@@ -284,7 +285,7 @@ def _unpacked_documents(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFram
 
 
 def _class_sets(df: DataFrame, documents: DataFrame, pairs: DataFrame, rows: int, rule: Similar) -> DataFrame:
-    """``cls, items`` of all sets that met another one, from one document of each, written once."""
+    """``cls, items`` of all sets that met another one, from one document of each."""
 
     def shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -301,7 +302,7 @@ def _class_sets(df: DataFrame, documents: DataFrame, pairs: DataFrame, rows: int
     chosen = df.select(F.col("doc_id").cast("long").alias("_id"), F.col("text").cast("string").alias("text"))
     # the same plan at every size
     joined = chosen.join(needed.hint("merge"), F.col("_id").eqNullSafe(F.col("doc_id"))).select("cls", "text")
-    return materialize(joined.mapInArrow(shingled, "cls long, items array<long>").dropDuplicates(["cls"]), "sets")
+    return joined.mapInArrow(shingled, "cls long, items array<long>").dropDuplicates(["cls"])
 
 
 def _sized(df: DataFrame, rows: int) -> DataFrame:
@@ -375,22 +376,31 @@ def _classes(df: DataFrame, rule: Similar) -> DataFrame:
     # about one shingle in six bytes, and a piece per possible difference, some in two bands
     pieces = size / 6 * 2 * (100 - rule.percent) / (100 + rule.percent) * rule.spare * 1.6
     bits = shard_bits(pieces, 1_000_000)
-    blocks = materialize(sketch_blocks(df, rule, bits), "sketches")
-    unpacked = blocks.filter("shard = -2").mapInPandas(_unpacked_documents, "doc_id long, cls long, size long, fold array<long>")
-    documents = materialize(unpacked, "documents")
-    shared = blocks.filter("shard >= 0").groupBy("shard").applyInPandas(_members, MEMBERS)
-    hot = blocks.filter("shard = -1").mapInPandas(_unpacked_members, MEMBERS)
-    members = materialize(shared.unionByName(hot), "members")
-    rank = F.row_number().over(Window.partitionBy("cls", "band").orderBy(F.desc("freq"), "key"))
-    ranked = members.withColumn("_rank", rank).filter("_rank > spare").select("key", "cls", "size")
-    kept, n = _kept(ranked, "kept", members.count())
+    # what a step read goes as soon as the next one is written
+    spark, place = df.sparkSession, scratch_path(df.sparkSession, "documents")
+
+    def members() -> DataFrame:
+        blocks = materialize(sketch_blocks(df, rule, bits), "sketches")
+        blocks.filter("shard = -2").mapInPandas(_unpacked_documents, DOCUMENTS).write.parquet(place)
+        shared = blocks.filter("shard >= 0").groupBy("shard").applyInPandas(_members, MEMBERS)
+        hot = blocks.filter("shard = -1").mapInPandas(_unpacked_members, MEMBERS)
+        return shared.unionByName(hot)
+
+    def met_pieces() -> DataFrame:
+        found = finished(spark, "members", members)
+        rank = F.row_number().over(Window.partitionBy("cls", "band").orderBy(F.desc("freq"), "key"))
+        ranked = found.withColumn("_rank", rank).filter("_rank > spare").select("key", "cls", "size")
+        return _sized(ranked, found.count())
+
+    kept = finished(spark, "kept", met_pieces)
+    documents, n = spark.read.schema(DOCUMENTS).parquet(place), kept.count()
 
     fits = F.least("size", "size_b") * 100 >= F.greatest("size", "size_b") * rule.percent
     leads = kept.groupBy("key").agg(F.min(F.struct("cls", "size")).alias("lead"))
     star = kept.join(leads, "key").select(F.col("lead.cls").alias("a"), F.col("lead.size").alias("size_b"), F.col("cls").alias("b"), "size")
     met, n_met = _kept(star.filter(F.col("a") != F.col("b")).select("a", "b", fits.alias("fits")).distinct(), "pairs", n)
     pairs = met.filter("fits").select("a", "b")
-    sets = _class_sets(df, documents, met, n_met, rule)
+    sets = finished(spark, "sets", lambda: _class_sets(df, documents, met, n_met, rule))
     links, linked = _linked(pairs, n_met, sets, rule)
     groups = components(links, linked)
 
@@ -448,7 +458,8 @@ def _across(rest: DataFrame, rule: Similar) -> DataFrame:
 
 def _linked(pairs: DataFrame, rows: int, sets: DataFrame, rule: Similar) -> tuple[DataFrame, int]:
     """The pairs that are similar, and how many they are."""
-    return _kept(_verified(pairs, sets, rule), "links", 8 * rows)
+    found = finished(pairs.sparkSession, "links", lambda: _sized(_verified(pairs, sets, rule), 8 * rows))
+    return found, found.count()
 
 
 def _labelled(documents: DataFrame, groups: DataFrame) -> DataFrame:

@@ -1,5 +1,6 @@
 """Near copies against all pairs."""
 
+import pathlib
 import random
 import re
 
@@ -9,6 +10,7 @@ import pytest
 from sluice.llm import jaccard
 from sluice.llm.jaccard import Similar, jaccard_classes, shingle_sets, sketch_pieces
 from sluice.llm.vectors import texts
+from sluice.session import scratch_root
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -127,3 +129,25 @@ def test_rows_without_an_id(table):
 
 def test_empty_table(table):
     assert jaccard_classes(table([], "doc_id long, text string")).collect() == []
+
+
+def test_what_a_step_read_goes_before_the_next(spark, table, monkeypatch):
+    """Sketches and members, with their shuffles, are gone when the sets are made; so is what made the sets at their verification."""
+    root = pathlib.Path(scratch_root(spark).removeprefix("file://"))
+    earlier, seen = set(root.iterdir()), {}
+
+    def spied(name):
+        real = getattr(jaccard, name)
+
+        def spy(*args):
+            seen[name] = {re.sub(r"-[0-9a-f]{32}$", "", p.name) for p in set(root.iterdir()) - earlier}
+            return real(*args)
+
+        monkeypatch.setattr(jaccard, name, spy)
+
+    spied("_class_sets")
+    spied("_verified")
+    docs = family()
+    assert jaccard_classes(table(docs, "doc_id long, text string")).count() == len(docs)
+    assert seen["_class_sets"] == {"documents", "kept", "pairs"}
+    assert seen["_verified"] == {"documents", "kept", "pairs", "sets"}
