@@ -26,6 +26,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass, replace
+from functools import cached_property
 from zlib import crc32
 
 import numpy as np
@@ -38,8 +39,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sluice.llm.counts import by_shard, counted, merged, pack, pack_sorted, shard_bits, unpack, unpack_sorted
-from sluice.llm.divergence import class_histogram
-from sluice.llm.vectors import Texts, let_go, mixed, slices, span_hashes, split_words, texts
+from sluice.llm.divergence import CLASS_OF
+from sluice.llm.vectors import Texts, mixed, slices, span_hashes, split_words, texts, tidy
 from sluice.llm.warc import store
 from sluice.session import forget_shuffles, intermediates, materialize, scratch_path
 
@@ -59,6 +60,9 @@ _FOLD_BITS = 4
 _OTHER = np.uint64(1 << 63)
 #: the documents are scored in so many passes, which bounds what is shuffled at a time
 PASSES = 3
+#: bytes of text at a time: the arrays of sums and powers, eight times as large, stay in the cache
+_SLICE = 1 << 18
+_CLASS_OF = CLASS_OF.astype(np.uint8).tobytes()
 _SPREAD = np.uint64(0x9E3779B97F4A7C15)
 #: a place among the codes of a block
 _PLACE = np.uint64((1 << 30) - 1)
@@ -87,6 +91,40 @@ class Bound:
     sampling: float = 8.0
 
 
+@dataclass(frozen=True)
+class Index:
+    """An ascending table of hashes, found by their top bits, which few of them share as they are spread evenly."""
+
+    table: np.ndarray
+
+    @cached_property
+    def bits(self) -> int:
+        return (4 * len(self.table) - 1).bit_length()
+
+    @cached_property
+    def slots(self) -> tuple[np.ndarray, np.ndarray]:
+        """For each value of the top bits the last hash that has them, and whether others have them too."""
+        slot = (self.table >> np.uint64(64 - self.bits)).astype(np.int64)
+        last = np.zeros(1 << self.bits, np.int32)
+        last[slot] = np.arange(len(slot), dtype=np.int32)
+        shared = np.zeros(1 << self.bits, bool)
+        shared[slot[1:][slot[1:] == slot[:-1]]] = True
+        return last, shared
+
+    def places(self, values: np.ndarray) -> np.ndarray:
+        """The place of each value in the table, or -1."""
+        if len(self.table) == 0:
+            return np.full(len(values), -1, np.int32)
+        last, shared = self.slots
+        slot = (values >> np.uint64(64 - self.bits)).astype(np.int64)
+        places = last[slot]
+        other = np.flatnonzero(self.table[places] != values)
+        places[other] = -1
+        other = other[shared[slot[other]]]
+        places[other] = _places(self.table, values[other])
+        return places
+
+
 @dataclass(frozen=True)
 class Contexts:
     """Frequent words in order of their hash, with codes from 1, the most frequent first."""
@@ -94,11 +132,15 @@ class Contexts:
     hashes: np.ndarray
     codes: np.ndarray
 
+    @cached_property
+    def index(self) -> Index:
+        return Index(self.hashes)
+
     def before(self, words: np.ndarray, first: np.ndarray) -> np.ndarray:
         """A code for the word before each word; 0 before the first of a text."""
         prior = np.concatenate([np.zeros(1, np.uint64), words[:-1]]) if len(words) else words
         made = _OTHER | prior >> np.uint64(16)
-        at = _places(self.hashes, prior)
+        at = self.index.places(prior)
         there = at >= 0
         made[there] = self.codes[at[there]]
         made[first[:-1][first[:-1] < first[1:]]] = 0
@@ -128,6 +170,10 @@ class Model:
     #: whether the other words have statistics as contexts too
     every: bool
 
+    @cached_property
+    def hot_index(self) -> Index:
+        return Index(self.hot_keys)
+
     def slim(self, contexts: bool = True) -> Model:
         """The model without the frequent bigrams and words, and unless asked without statistics of contexts, to go to tasks that need no more."""
         none = np.zeros((len(self.held_out), 0))
@@ -169,10 +215,17 @@ def pair_keys(words: np.ndarray, before: np.ndarray) -> np.ndarray:
 
 
 def trusted(t: Texts, first: np.ndarray, rules: Trust) -> np.ndarray:
-    n = class_histogram(t).astype(float)
-    share = n / np.maximum(n.sum(axis=1, keepdims=True), 1)
-    ok = (np.diff(first) >= rules.words) & (share[:, 9] <= rules.symbols) & (share[:, 7] <= rules.marks)
-    return ok & (share[:, 1] <= rules.upper) & (share[:, 2] <= rules.digits)
+    classes = np.frombuffer(t.data.tobytes().translate(_CLASS_OF), np.uint8)
+
+    def number(kind: int) -> np.ndarray:
+        return np.diff(np.searchsorted(np.flatnonzero(classes == kind), t.bounds))
+
+    # of all characters: later bytes of a character are no others
+    whole = np.maximum(np.diff(t.bounds) - number(11), 1)
+    ok = np.diff(first) >= rules.words
+    for kind, most in ((9, rules.symbols), (7, rules.marks), (1, rules.upper), (2, rules.digits)):
+        ok &= number(kind) / whole <= most
+    return ok
 
 
 def discounts(ones: float, twos: float, threes: float, fours: float) -> np.ndarray:
@@ -208,14 +261,32 @@ def _marked(marks: np.ndarray, batch: pa.RecordBatch) -> np.ndarray:
 
 
 def _word_order(words: np.ndarray) -> np.ndarray:
-    """An order of the words by their hashes. Sorting values is many times faster than sorting places."""
+    """A stable order of the words by their hashes. Sorting values is many times faster than sorting places."""
     bits = np.uint64(max(1, (len(words) - 1).bit_length()))
     keys = words >> bits << bits | np.arange(len(words), dtype=np.uint64)
     keys.sort()
     order = (keys & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64)
     found = words[order]
-    # hashes that differ in their last bits only may be out of order
-    return order if (found[1:] >= found[:-1]).all() else np.argsort(words, kind="stable")
+    # hashes that differ in their last bits only may be out of order: these few are sorted again, unless they are many
+    wrong = np.flatnonzero(found[1:] < found[:-1])
+    alike = np.unique(keys[wrong] >> bits) << bits
+    if len(alike) > 1000:
+        return np.argsort(words, kind="stable")
+    starts = np.searchsorted(keys, alike)
+    ends = np.searchsorted(keys, alike | ((np.uint64(1) << bits) - np.uint64(1)), "right")
+    for a, b in zip(starts, ends, strict=True):
+        order[a:b] = order[a:b][np.argsort(found[a:b], kind="stable")]
+    return order
+
+
+def _coded(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct values in order, and the place of each value among them, in half the room that NumPy takes."""
+    order = np.argsort(values)
+    values = values[order]
+    first = np.concatenate([[True], values[1:] != values[:-1]])[: len(values)]
+    places = np.empty(len(values), np.uint32)
+    places[order] = np.cumsum(first, dtype=np.uint32) - np.uint32(1)
+    return values[first], places
 
 
 def _places(table: np.ndarray, values: np.ndarray) -> np.ndarray:
@@ -270,7 +341,6 @@ def frequent_contexts(df: DataFrame, rules: Trust, most: int = CONTEXTS, block:
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        let_go()
         best, number = np.zeros(0, np.uint64), np.zeros(0, np.int64)
         held: list[np.ndarray] = []
 
@@ -283,7 +353,7 @@ def frequent_contexts(df: DataFrame, rules: Trust, most: int = CONTEXTS, block:
             return words, n
 
         for whole in batches:
-            for part in slices(whole):
+            for part in slices(whole, limit=_SLICE):
                 t = texts(part.column("text"))
                 words, first = word_hashes(t)
                 held.append(words[np.repeat(trusted(t, first, rules), np.diff(first))])
@@ -294,7 +364,7 @@ def frequent_contexts(df: DataFrame, rules: Trust, most: int = CONTEXTS, block:
         top = np.argsort(-number, kind="stable")[:most]
         yield pa.RecordBatch.from_arrays([pa.array(best[top].view(np.int64)), pa.array(number[top])], ["word", "n"])
 
-    found = df.select(F.col("text").cast("string").alias("text")).mapInArrow(count, "word long, n long")
+    found = df.select(F.col("text").cast("string").alias("text")).mapInArrow(tidy(count), "word long, n long")
     # written, as it is read twice
     counts = materialize(found.groupBy("word").agg(F.sum("n").alias("n")), "contexts")
     top = _most_frequent(counts, "n", most).toPandas()
@@ -319,7 +389,6 @@ def count_bigrams(
     kinds = (pa.int32(), *[pa.binary()] * 5)
 
     def gather(batches: Iterator[pa.RecordBatch], marks: np.ndarray | None = marks) -> Iterator[pa.RecordBatch]:
-        let_go()
         held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         size = 0
 
@@ -331,7 +400,7 @@ def count_bigrams(
             # a number for each word, in their order, one for the code before it and the fold as one
             first = np.concatenate([[True], words[1:] != words[:-1]])[: len(words)]
             number = np.cumsum(first).astype(np.uint64) - np.uint64(1)
-            codes, before = np.unique(before, return_inverse=True)
+            codes, before = _coded(before)
             entries, n = counted((number << np.uint64(30) | before.astype(np.uint64)) << np.uint64(_FOLD_BITS) | fold)
             pairs, fold = entries >> np.uint64(_FOLD_BITS), (entries & np.uint64((1 << _FOLD_BITS) - 1)).astype(np.uint8)
             words, before, n = words[first][(pairs >> np.uint64(30)).astype(np.int64)], codes[(pairs & _PLACE).astype(np.int64)], n.astype(np.uint32)
@@ -342,7 +411,7 @@ def count_bigrams(
         for whole in batches:
             if marks is not None:
                 whole = whole.filter(pa.array(~_marked(marks, whole)))
-            for part in slices(whole):
+            for part in slices(whole, limit=_SLICE):
                 t = texts(part.column("text"))
                 words, first = word_hashes(t)
                 good = np.repeat(trusted(t, first, rules), np.diff(first))
@@ -356,13 +425,16 @@ def count_bigrams(
             yield rows()
 
     def merge(pdf: pd.DataFrame) -> pd.DataFrame:
-        let_go()
         each, lengths = [unpack_sorted(w) for w in pdf["words"]], [unpack(k) for k in pdf["lengths"]]
         distinct = np.unique(np.concatenate(each))
-        place = np.concatenate([np.repeat(np.searchsorted(distinct, w), k) for w, k in zip(each, lengths, strict=True)])
-        codes, before = np.unique(np.concatenate([unpack(v) for v in pdf["before"]]), return_inverse=True)
-        pairs = place.astype(np.uint64) << np.uint64(32) | before.astype(np.uint64)
-        del each, lengths, place, before
+        codes, pairs = _coded(np.concatenate([unpack(v) for v in pdf["before"]]))
+        pairs = pairs.astype(np.uint64)
+        at = 0
+        for w, k in zip(each, lengths, strict=True):
+            to = at + int(k.sum(dtype=np.int64))
+            pairs[at:to] |= np.repeat(np.searchsorted(distinct, w).astype(np.uint64) << np.uint64(32), k)
+            at = to
+        del each, lengths
         n, fold = np.concatenate([unpack(c) for c in pdf["counts"]]), np.concatenate([unpack(f) for f in pdf["folds"]])
         order = np.argsort(pairs)
         pairs, n, fold = pairs[order], n[order], fold[order]
@@ -377,7 +449,7 @@ def count_bigrams(
     schema = "shard int, words binary, lengths binary, before binary, folds binary, counts binary"
     chosen = df.select(F.col("text").cast("string").alias("text"), _fold(folds))
     chosen = chosen.filter("text IS NOT NULL").withColumn("h", F.xxhash64("text"))
-    parts = chosen.mapInArrow(gather, schema)
+    parts = chosen.mapInArrow(tidy(gather), schema)
     if marks is not None:
 
         def again(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -385,11 +457,12 @@ def count_bigrams(
                 yield batch.filter(pa.array(_marked(marks, batch)))
 
         repeated = chosen.mapInArrow(again, chosen.schema).dropDuplicates(["h"])
-        parts = parts.unionAll(repeated.mapInArrow(lambda batches: gather(batches, None), schema))
-    made = parts.groupBy("shard").applyInPandas(merge, "shard int, words binary, lengths binary, known binary, before binary, counts binary")
+        parts = parts.unionAll(repeated.mapInArrow(tidy(lambda batches: gather(batches, None)), schema))
+    made = parts.groupBy("shard").applyInPandas(tidy(merge), "shard int, words binary, lengths binary, known binary, before binary, counts binary")
     # a folder for each shard, so that its bigrams can be read where they are asked for
     folder = scratch_path(df.sparkSession, "bigrams")
-    made.write.partitionBy("shard").parquet(folder)
+    # what is packed is not compressed again
+    made.write.partitionBy("shard").option("compression", "none").parquet(folder)
     return df.sparkSession.read.schema(made.schema).parquet(folder)
 
 
@@ -457,7 +530,6 @@ def fit(shards: DataFrame, contexts: Contexts, hot: int = FREQUENT, folds: int =
     def sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         # per context: occurrences, followers seen once, twice, more often; then how many bigrams have each count,
         # and how many words have each number of words before them, their sum, and the words
-        let_go()
         total = np.zeros((folds + 1, 4, codes), np.int64)
         few = np.zeros((folds + 1, 2, 7), np.int64)
         for pdf in batches:
@@ -489,7 +561,6 @@ def fit(shards: DataFrame, contexts: Contexts, hot: int = FREQUENT, folds: int =
         return pd.DataFrame({"model": [pdf["model"].iloc[0]], "kind": [pdf["kind"].iloc[0]], "total": [pack(total)]})
 
     def frequent(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        let_go()
         best = np.zeros(0, np.uint64), np.zeros((2 * folds + 1, 0), np.int64)
         least = 0
         for pdf in batches:
@@ -514,8 +585,8 @@ def fit(shards: DataFrame, contexts: Contexts, hot: int = FREQUENT, folds: int =
         yield pd.DataFrame({"at": best[0].view(np.int64), "n": best[1][:folds].sum(axis=0), "parts": parts})
 
     schema = "model int, kind int, total binary"
-    table = {(r["model"], r["kind"]): unpack(r["total"]) for r in shards.mapInPandas(sums, schema).groupBy("model", "kind").applyInPandas(add, schema).collect()}
-    top = _most_frequent(shards.mapInPandas(frequent, "at long, n long, parts binary"), "n", hot).select("at", "parts").toPandas()
+    table = {(r["model"], r["kind"]): unpack(r["total"]) for r in shards.mapInPandas(tidy(sums), schema).groupBy("model", "kind").applyInPandas(add, schema).collect()}
+    top = _most_frequent(shards.mapInPandas(tidy(frequent), "at long, n long, parts binary"), "n", hot).select("at", "parts").toPandas()
 
     def array(model: int, kind: int) -> np.ndarray:
         return table.get((model, kind), np.zeros(codes if kind < 4 else 7)).astype(float)
@@ -553,7 +624,6 @@ def rare_contexts(shards: DataFrame, model: Model, bits: int) -> DataFrame:
     folds = len(held_out)
 
     def send(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        let_go()
         for pdf in batches:
             for row in pdf.itertuples():
                 shard = _Shard.of(row, folds)
@@ -577,7 +647,6 @@ def rare_contexts(shards: DataFrame, model: Model, bits: int) -> DataFrame:
                 yield pd.DataFrame(found, columns=["shard", "words", "facts"])
 
     def merge(pdf: pd.DataFrame) -> pd.DataFrame:
-        let_go()
         words = np.concatenate([unpack_sorted(w) for w in pdf["words"]])
         parts = [unpack(f).reshape(4 * folds, -1) for f in pdf["facts"]]
         order = _word_order(words)
@@ -588,9 +657,10 @@ def rare_contexts(shards: DataFrame, model: Model, bits: int) -> DataFrame:
         return pd.DataFrame({"shard": [int(pdf["shard"].iloc[0])], "words": [pack_sorted(words[at])], "facts": [pack(facts.reshape(-1))]})
 
     schema = "shard int, words binary, facts binary"
-    made = shards.mapInPandas(send, schema).groupBy("shard").applyInPandas(merge, schema)
+    made = shards.mapInPandas(tidy(send), schema).groupBy("shard").applyInPandas(tidy(merge), schema)
     folder = scratch_path(shards.sparkSession, "rare-contexts")
-    made.write.partitionBy("shard").parquet(folder)
+    # what is packed is not compressed again
+    made.write.partitionBy("shard").option("compression", "none").parquet(folder)
     return shards.sparkSession.read.schema(made.schema).parquet(folder)
 
 
@@ -616,15 +686,16 @@ def document_bits(
     kinds = (pa.string(), pa.int32(), *[pa.binary()] * 5)
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        let_go()
         held: list[tuple] = []
         size = docs = number = 0
 
         def rows() -> pa.RecordBatch:
             # the same for a task that runs again
             name = f"{TaskContext.get().partitionId()}-{number}"
-            table = pa.Table.from_batches([h[0] for h in held])
-            count, good, here = (np.concatenate([h[k] for h in held]) for k in (1, 2, 3))
+            heads, counts, goods, heres, words, before, doc = map(list, zip(*held, strict=True))
+            held.clear()
+            table = pa.Table.from_batches(heads)
+            count, good, here = (np.concatenate(c) for c in (counts, goods, heres))
             table = table.append_column("n_words", pa.array(count)).append_column("trusted", pa.array(good))
             table = table.append_column("bits", pa.array(here))
             sink = pa.BufferOutputStream()
@@ -632,25 +703,27 @@ def document_bits(
                 writer.write_table(table)
             # the table goes along with the bigrams of one shard
             out = [(name, crc32(name.encode()) & ((1 << bits) - 1), None, None, None, None, sink.getvalue().to_pybytes())]
-            base = np.concatenate([[0], np.cumsum([len(h[1]) for h in held])])
-            words, before = np.concatenate([h[4] for h in held]), np.concatenate([h[5] for h in held])
-            # a document's number and fold as one
-            doc = np.concatenate([h[6] + np.uint32(b * folds) for h, b in zip(held, base, strict=False)])
-            held.clear()
-            order = _word_order(words)
-            words, before, doc = words[order], before[order], doc[order]
+            base = np.concatenate([[0], np.cumsum([len(c) for c in counts])])
             small = np.uint16 if len(count) * folds < 1 << 16 else np.uint32
-            out += [(name, s, *_packed(words[p], before[p]), pack_sorted(doc[p].astype(small)), None) for s, p in by_shard(words, bits)]
+            words = np.concatenate(words)
+            order = _word_order(words)
+            words = words[order]
+            # one column after the other, so that few are there twice
+            before = np.concatenate(before)[order]
+            # a document's number and fold as one
+            doc = np.concatenate([(d + np.uint32(b * folds)).astype(small) for d, b in zip(doc, base, strict=False)])[order]
+            del order
+            out += [(name, s, *_packed(words[p], before[p]), pack_sorted(doc[p]), None) for s, p in by_shard(words, bits)]
             return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], columns)
 
         for whole in batches:
-            for part in slices(whole):
+            for part in slices(whole, limit=_SLICE):
                 t = texts(part.column("text"))
                 words, first = word_hashes(t)
                 before, count, fold = model.contexts.before(words, first), np.diff(first), part.column("fold").to_numpy()
                 doc = np.repeat(np.arange(len(t)), count)
                 keys = pair_keys(words, before)
-                at = _places(model.hot_keys, keys)
+                at = model.hot_index.places(keys)
                 hot = at >= 0
                 own, at = fold[doc[hot]], at[hot]
                 found = model.bits(before[hot], model.known(model.hot_counts, at, own), model.hot_kinds[own, at], own)
@@ -673,7 +746,6 @@ def document_bits(
     counted_model, plain_model = model.slim(), model.slim(contexts=False)
 
     def score(parts: pd.DataFrame) -> pd.DataFrame:
-        let_go()
         shard = _Shard.read(folder, int(parts["shard"].iloc[0]), folds)
         whole = shard.counts.sum(axis=0, dtype=np.int64)
         kinds = np.stack([shard.kinds(whole - np.where(counted_model.held_out[m], shard.counts[m], 0)) for m in range(folds)])
@@ -720,7 +792,6 @@ def document_bits(
         return pd.DataFrame(out, columns=columns_on)
 
     def score_rare(parts: pd.DataFrame) -> pd.DataFrame:
-        let_go()
         done = parts[parts["words"].isna()]
         out = [(r.block, r.sums, r.table) for r in done.itertuples()]
         asked = parts[parts["words"].notna()]
@@ -771,10 +842,10 @@ def document_bits(
         # folds are the remainders of the hash itself
         chosen = chosen.filter(F.pmod(F.shiftrightunsigned("h", 16), F.lit(scored[1])) == scored[0])
     schema = "block string, shard int, words binary, lengths binary, before binary, docs binary, table binary"
-    asked = chosen.mapInArrow(gather, schema)
+    asked = chosen.mapInArrow(tidy(gather), schema)
     done = "block string, sums binary, table binary"
-    sums = asked.groupBy("shard").applyInPandas(score, f"target int, {done}, words binary, places binary, docs binary, counts binary, kinds binary")
-    sums = sums.groupBy("target").applyInPandas(score_rare, done) if model.every else sums.select("block", "sums", "table")
+    sums = asked.groupBy("shard").applyInPandas(tidy(score), f"target int, {done}, words binary, places binary, docs binary, counts binary, kinds binary")
+    sums = sums.groupBy("target").applyInPandas(tidy(score_rare), done) if model.every else sums.select("block", "sums", "table")
     return sums.groupBy("block").applyInPandas(total, DOCS)
 
 

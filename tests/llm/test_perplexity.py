@@ -285,3 +285,64 @@ def test_free_memory_goes_back():
     before = resident()
     let_go()
     assert held[0].all() and before - resident() > 100_000_000
+
+
+def test_tasks_leave_no_free_memory_behind():
+    from sluice.llm.vectors import tidy
+
+    def resident():
+        with open("/proc/self/statm") as f:
+            return int(f.read().split()[1]) * 4096
+
+    def work(given):
+        held = [np.ones(100_000, np.uint8) for _ in range(3000)]
+        most.append(resident())
+        # keeps the others' room from being given back by itself
+        kept.append(held[-1])
+        return len(given)
+
+    most, kept = [], []
+    assert tidy(work)([1, 2]) == 2 and most[-1] - resident() > 100_000_000
+    assert list(tidy(lambda batches: map(work, batches))(iter([[1], [], [2, 3]]))) == [1, 0, 2]
+    assert list(tidy(lambda batches: (work(b) for b in batches))(iter([[1]]))) == [1] and most[-1] - resident() > 100_000_000
+
+
+def test_words_that_differ_in_their_last_bits_are_ordered_in_place(monkeypatch):
+    from sluice.llm.perplexity import _coded, _word_order
+
+    rng = np.random.default_rng(8)
+    some = np.unique(rng.integers(0, 1 << 63, 5000).astype(np.uint64) << np.uint64(16))
+    words = np.concatenate([some[rng.integers(0, len(some), 100_000)], rng.permutation(np.repeat(some[:3] ^ np.uint64(1 << 16), 20)), some[:3]])
+    words = words[rng.permutation(len(words))]
+    right = np.argsort(words, kind="stable")
+    codes, places = np.unique(words, return_inverse=True)
+    sizes = []
+    monkeypatch.setattr(np, "argsort", lambda a, *x, f=np.argsort, **y: sizes.append(len(a)) or f(a, *x, **y))
+    assert (_word_order(words) == right).all() and max(sizes) < 1000
+    assert len(_word_order(words[:0])) == 0 and _word_order(words[:1]).tolist() == [0]
+    many = rng.integers(0, 1 << 20, 50_000).astype(np.uint64)
+    assert (_word_order(many) == np.argsort(many, kind="stable")).all()
+    assert all((a == b).all() for a, b in zip(_coded(words), (codes, places), strict=True))
+    assert [len(x) for x in _coded(words[:0])] == [0, 0]
+
+
+def test_index_finds_what_places_finds():
+    from sluice.llm.perplexity import Index, _places
+
+    rng = np.random.default_rng(3)
+    values = np.concatenate([rng.integers(0, 1 << 63, 4000).astype(np.uint64) * np.uint64(2), np.array([0, 1, 2, (1 << 64) - 1], np.uint64)])
+    for table in (values[:0], values[:1], np.array([0, 1, (1 << 64) - 1], np.uint64), np.arange(300, dtype=np.uint64), np.unique(values[:1500])):
+        assert (Index(table).places(values) == _places(table, values)).all()
+
+
+def test_trust_counts_characters_as_the_histogram():
+    from sluice.llm.perplexity import trusted
+    from sluice.llm.vectors import split_words
+
+    odd = ["", None, "é; A1#", "a,b" * 30, "Ab 1 " * 9 + "c" * 80, "ü" * 40 + "#", "x\n\ty: zz " * 12, "  "]
+    t = texts(pa.array(odd))
+    n = class_histogram(t).astype(float)
+    share = n / np.maximum(n.sum(axis=1, keepdims=True), 1)
+    for most in (0.0, 0.02, 0.1, 1.0):
+        right = (share[:, [9, 7, 1, 2]] <= most).all(axis=1)
+        assert (trusted(t, split_words(t).first, Trust(0, most, most, most, most)) == right).all()
