@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sluice.llm.counts import by_shard, pack, pack_sorted, shard_bits, unpack, unpack_sorted
-from sluice.llm.vectors import U64, Texts, mixed, ragged, run_hashes, slices, span_hashes, split_words, texts
+from sluice.llm.vectors import U64, Texts, mixed, ragged, run_hashes, slices, span_hashes, split_words, texts, tidy
 from sluice.session import finished, materialize, scratch_path
 
 #: bits of the folded sketch of a whole set
@@ -187,7 +187,7 @@ def sketch_blocks(df: DataFrame, rule: Similar, bits: int, block_keys: int = 500
             yield _rows(list(_packed(held, bits)))
 
     chosen = df.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return chosen.mapInArrow(gather, BLOCKS)
+    return chosen.mapInArrow(tidy(gather), BLOCKS)
 
 
 def _packed(held: list[tuple], bits: int) -> Iterator[tuple]:
@@ -302,7 +302,7 @@ def _class_sets(df: DataFrame, documents: DataFrame, pairs: DataFrame, rows: int
     chosen = df.select(F.col("doc_id").cast("long").alias("_id"), F.col("text").cast("string").alias("text"))
     # the same plan at every size
     joined = chosen.join(needed.hint("merge"), F.col("_id").eqNullSafe(F.col("doc_id"))).select("cls", "text")
-    return joined.mapInArrow(shingled, "cls long, items array<long>").dropDuplicates(["cls"])
+    return joined.mapInArrow(tidy(shingled), "cls long, items array<long>").dropDuplicates(["cls"])
 
 
 def _sized(df: DataFrame, rows: int) -> DataFrame:
@@ -381,9 +381,9 @@ def _classes(df: DataFrame, rule: Similar) -> DataFrame:
 
     def members() -> DataFrame:
         blocks = materialize(sketch_blocks(df, rule, bits), "sketches")
-        blocks.filter("shard = -2").mapInPandas(_unpacked_documents, DOCUMENTS).write.parquet(place)
-        shared = blocks.filter("shard >= 0").groupBy("shard").applyInPandas(_members, MEMBERS)
-        hot = blocks.filter("shard = -1").mapInPandas(_unpacked_members, MEMBERS)
+        blocks.filter("shard = -2").mapInPandas(tidy(_unpacked_documents), DOCUMENTS).write.parquet(place)
+        shared = blocks.filter("shard >= 0").groupBy("shard").applyInPandas(tidy(_members), MEMBERS)
+        hot = blocks.filter("shard = -1").mapInPandas(tidy(_unpacked_members), MEMBERS)
         return shared.unionByName(hot)
 
     def met_pieces() -> DataFrame:

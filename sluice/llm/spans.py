@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sluice.llm.counts import by_shard, pack, pack_sorted, shard_bits, unpack, unpack_sorted
-from sluice.llm.vectors import Texts, mixed, slices, span_hashes, split_words, texts
+from sluice.llm.vectors import Texts, mixed, slices, span_hashes, split_words, texts, tidy
 from sluice.session import materialize, with_row_keys
 
 LAST = np.int64(2**63 - 1)
@@ -225,7 +225,7 @@ def row_ranges(keyed: DataFrame, run: Run, block_runs: int = 400_000) -> DataFra
     columns = [F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("__row").alias("row")]
     # half of the hash orders rows of one doc_id, their numbers tell them apart
     columns.append(F.shiftright("__hash", 32).cast("int").alias("mix"))
-    blocks = materialize(df.select(*columns).mapInArrow(gather, schema), "runs")
+    blocks = materialize(df.select(*columns).mapInArrow(tidy(gather), schema), "runs")
 
     def resolve(pdf: pd.DataFrame) -> pd.DataFrame:
         h = np.concatenate([unpack_sorted(b) for b in pdf["hashes"]])
@@ -246,7 +246,7 @@ def row_ranges(keyed: DataFrame, run: Run, block_runs: int = 400_000) -> DataFra
         cuts = [[{"begin": b, "end": e} for b, e in zip(begin[x:y], end[x:y], strict=True)] for x, y in zip(at, stops, strict=True)]
         return pd.DataFrame({"__row": doc[at], "cuts": cuts})
 
-    across = blocks.filter("shard >= 0").groupBy("shard").applyInPandas(resolve, "group int, docs binary, begins binary, ends binary")
+    across = blocks.filter("shard >= 0").groupBy("shard").applyInPandas(tidy(resolve), "group int, docs binary, begins binary, ends binary")
     within = blocks.filter("shard < 0").selectExpr("-1 - shard AS group", "docs", "begins", "lengths AS ends")
     found = across.unionByName(within)
     return found.groupBy("group").applyInPandas(collect, "__row long, cuts array<struct<begin:long,end:long>>")
@@ -282,7 +282,7 @@ def remove_repeats(df: DataFrame, run: Run = Run()) -> DataFrame:
 
     names = [*df.columns, "n_sentences", "n_removed"]
     kinds = ", ".join(f"`{f.name}` {'string' if f.name == 'text' else f.dataType.simpleString()}" for f in df.schema)
-    return joined.mapInArrow(cut, f"{kinds}, n_sentences long, n_removed long")
+    return joined.mapInArrow(tidy(cut), f"{kinds}, n_sentences long, n_removed long")
 
 
 def cut_texts(column: pa.Array, cuts: list) -> tuple[pa.Array, np.ndarray, np.ndarray]:
